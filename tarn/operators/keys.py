@@ -42,7 +42,12 @@ def lay_out(df: DataFrame, order_by: list[str | Column], unique: bool = False) -
     if unique:
         laid = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     else:
-        ties = [F.col(f"`{f.name}`") for f in df.schema.fields if _sortable(f.dataType)]
+        named = {c for c in order_by if isinstance(c, str)}
+        ties = [
+            F.col(f"`{f.name}`")
+            for f in df.schema.fields
+            if _sortable(f.dataType) and f.name not in named
+        ]
         salted = df.sortWithinPartitions(*keys, *ties).withColumn(
             _SALT, F.monotonically_increasing_id()
         )

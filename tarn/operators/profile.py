@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarn.operators.keys import cumulative
+from tarn.operators.keys import with_row_index
 
 
 def count_tables(tables: dict[tuple[str, str, str], DataFrame]) -> DataFrame:
@@ -77,10 +77,10 @@ def describe_long(df: DataFrame, columns: list[str] | None = None, exact: bool =
     """(column, stat, value): count, mean, std, min, quartiles, max of numeric columns.
 
     One pass; quartiles are approximate with a bounded sketch unless `exact`, which adds
-    one distributed sort per column.
+    one distributed sort of the values.
     """
     columns = columns or numeric_columns(df)
-    aggregates = []
+    entries = []
     for c in columns:
         value = present(df, c).cast("double")
         stats = {
@@ -93,41 +93,42 @@ def describe_long(df: DataFrame, columns: list[str] | None = None, exact: bool =
         if not exact:
             marks = F.percentile_approx(value, list(QUARTILES.values()), 10_000)
             stats |= {name: F.get(marks, F.lit(i)) for i, name in enumerate(QUARTILES)}
-        entries = [F.struct(F.lit(c).alias("column"), F.lit(s).alias("stat"), v.alias("value"))
-                   for s, v in stats.items()]
-        aggregates += entries
-    profile = df.agg(F.array(*aggregates).alias("__stats")).select(F.inline("__stats"))
-    if exact:
-        for c in columns:
-            marks = exact_quantiles(df, c, list(QUARTILES.values()))
-            label = F.concat((F.col("quantile") * 100).cast("int").cast("string"), F.lit("%"))
-            profile = profile.unionByName(
-                marks.select(F.lit(c).alias("column"), label.alias("stat"), "value")
+        for stat, value in stats.items():
+            entries.append(
+                F.struct(F.lit(c).alias("column"), F.lit(stat).alias("stat"), value.alias("value"))
             )
+    profile = df.agg(F.array(*entries).alias("__stats")).select(F.inline("__stats"))
+    if exact:
+        marks = exact_quantiles(df, columns, list(QUARTILES.values()))
+        names = F.create_map(*[F.lit(x) for name, q in QUARTILES.items() for x in (q, name)])
+        stat = names[F.col("quantile")].alias("stat")
+        profile = profile.unionByName(marks.select("column", stat, "value"))
     return profile
 
 
-def exact_quantiles(df: DataFrame, column: str, quantiles: list[float]) -> DataFrame:
-    """(quantile, value) with linear interpolation, without one task seeing all values.
+def exact_quantiles(df: DataFrame, columns: list[str], quantiles: list[float]) -> DataFrame:
+    """(column, quantile, value) with linear interpolation, exact at any size.
 
-    Values are counted first, so copies collapse before any exchange; a cumulative count
-    over the ordered distinct values then says which ranks each value covers.
+    The values of all columns are put in one global order, column after column, and only
+    the rows at the wanted ranks are read out: one exchange, and no task sees a column whole.
     """
-    values = df.select(present(df, column).cast("double").alias("value")).dropna()
-    counted = values.groupBy("value").agg(F.count("*").alias("n"))
-    ranked = cumulative(counted, ["value"], "n", "sum", "upto", unique=True)
-    total = ranked.agg(F.coalesce(F.max("upto"), F.lit(0)).alias("total")).scalar()
-
-    def at(rank: Column) -> Column:
-        return F.min(F.when(F.col("upto") > rank, F.col("value")))
-
-    marks = []
-    for q in quantiles:
-        place = F.lit(float(q)) * (total - 1)
-        low, high = at(F.floor(place)), at(F.ceil(place))
-        value = low + (high - low) * (place - F.floor(place))
-        marks.append(F.struct(F.lit(float(q)).alias("quantile"), value.alias("value")))
-    return ranked.agg(F.array(*marks).alias("__marks")).select(F.inline("__marks"))
+    values = df.select(*[present(df, c).cast("double").alias(str(i)) for i, c in enumerate(columns)])
+    long = values.unpivot([], [str(i) for i in range(len(columns))], "n", "value").dropna()
+    long = long.select(F.col("n").cast("int"), "value")
+    ranked = with_row_index(long, ["n", "value"], "rank")
+    # one row per column and quantile from here on
+    counted = ranked.groupBy("n").agg(F.min("rank").alias("first"), F.count("*").alias("total"))
+    quantile = F.explode(F.lit([float(q) for q in quantiles])).alias("quantile")
+    place = F.col("first") + F.col("quantile") * (F.col("total") - 1)
+    wanted = counted.select("n", "first", "total", quantile).withColumn("place", place)
+    ranks = F.explode(F.array(F.floor("place"), F.ceil("place"))).alias("rank")
+    wanted = wanted.select("n", "quantile", (F.col("place") - F.floor("place")).alias("part"), ranks)
+    found = ranked.select("rank", "value").join(F.broadcast(wanted), "rank")
+    low, high = F.min("value"), F.max("value")
+    name = F.get(F.lit(columns), F.col("n")).alias("column")
+    return found.groupBy("n", "quantile").agg((low + (high - low) * F.max("part")).alias("value")).select(
+        name, "quantile", "value"
+    )
 
 
 def summarize(df: DataFrame) -> DataFrame:

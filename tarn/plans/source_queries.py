@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tarn.operators.maintain import checksum_manifest, table_stats
 from tarn.plans.registry import query, table
 from tarn.session import scratch_path
-from tarn.sources.generated import add_person_columns, date_range, number_range
+from tarn.sources.generated import add_person_columns, date_range, literal_table, number_range
 from tarn.sources.readers import (
     file_inventory,
     infer_schema_first_file,
@@ -15,6 +19,7 @@ from tarn.sources.readers import (
     read_folder,
     read_folder_tolerant,
     read_text,
+    unpack_archives,
     widen_ints,
 )
 from tarn.sources.writers import write_csv, write_json, write_parquet, write_text
@@ -63,6 +68,75 @@ def columnar_json_words(spark, sf_dir):
     return rows.groupBy("word").agg(F.count("*").alias("n"), F.sum("position").alias("positions"))
 
 
+def _as_array_documents(frames):
+    """Row texts of one task -> lines of one JSON array document."""
+    opened = False
+    for frame in frames:
+        if len(frame):
+            lines = ["," + v if opened or i else "[" + v for i, v in enumerate(frame["value"])]
+            opened = True
+            yield pd.DataFrame({"value": lines})
+    yield pd.DataFrame({"value": ["]" if opened else "[]"]})
+
+
+@query("S3", sql="SELECT event_id, user_id, event_type, value FROM events")
+def json_array_read(spark, sf_dir):
+    """Every file is one JSON array over many lines."""
+    folder = scratch_path(spark, "arrays")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    texts = events.select(F.to_json(F.struct("*")).alias("value"))
+    write_text(texts.mapInPandas(_as_array_documents, "value string"), folder)
+    return read_folder(spark, folder, "json", schema=events.schema, glob="*.txt", multiline=True)
+
+
+def _as_archives(frames):
+    """Each batch of lines as a zip archive with one CSV member and one to be ignored."""
+    for i, frame in enumerate(frames):
+        content = io.BytesIO()
+        with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("rows.csv", "\n".join(frame["value"]) + "\n")
+            archive.writestr("notes.txt", "not read")
+        yield pd.DataFrame({"path": [f"{i}.zip"], "content": [content.getvalue()]})
+
+
+@query("S16", sql="SELECT p_partkey, p_name, p_brand, p_size FROM part")
+def zipped_csv_read(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    lines = part.select(F.to_csv(F.struct("*")).alias("value"))
+    archives = lines.mapInPandas(_as_archives, "path string, content binary")
+    parsed = F.from_csv("value", "p_partkey bigint, p_name string, p_brand string, p_size int")
+    return unpack_archives(archives).select(parsed.alias("row")).select("row.*")
+
+
+@query(
+    "S11",
+    sql="""
+    SELECT label, count(*) AS n FROM events
+    JOIN (VALUES ('click', 'look'), ('view', 'look'), ('purchase', 'buy')) AS t(event_type, label)
+    USING (event_type) GROUP BY label""",
+)
+def literal_labels(spark, sf_dir):
+    """Events labelled by a literal table; counted per type first, so no hot join key."""
+    labels = literal_table(
+        spark,
+        [("click", "look"), ("view", "look"), ("purchase", "buy")],
+        "event_type string, label string",
+    )
+    per_type = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count("*").alias("n"))
+    return per_type.join(labels, "event_type").groupBy("label").agg(F.sum("n").alias("n"))
+
+
+@query("F9 F14", sql="SELECT 'orders' AS source, count(*) AS n, true AS stamped FROM orders")
+def source_file_rows(spark, sf_dir):
+    """Rows per source file name, with a load time on every row."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.regexp_extract("_metadata.file_path", r"/(\w+)\.parquet", 1).alias("source"),
+        F.current_timestamp().alias("loaded_at"),
+    )
+    stamped = F.min(F.col("loaded_at").isNotNull())
+    return orders.groupBy("source").agg(F.count("*").alias("n"), stamped.alias("stamped"))
+
+
 @query("S5 K18", sql="SELECT * FROM lineitem")
 def parquet_folder_read(spark, sf_dir):
     folder = scratch_path(spark, "parquet")
@@ -155,8 +229,9 @@ def number_range_rows(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     first, last = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).head()
     numbers = number_range(spark, first, last + 100)
-    found = numbers.join(orders, F.col("id") == F.col("o_orderkey"), "left")
-    return found.groupBy("id").agg(F.count("o_orderkey").alias("n_orders"))
+    per_key = orders.groupBy(F.col("o_orderkey").alias("id")).agg(F.count("*").alias("n"))
+    found = numbers.join(per_key, "id", "left")
+    return found.select("id", F.coalesce("n", F.lit(0)).alias("n_orders"))
 
 
 @query(

@@ -14,9 +14,9 @@ from tarn.functions.columns import (
     row_sum,
     whitespace_fields,
 )
-from tarn.operators.joins import combine_all
+from tarn.operators.joins import combine_all, split_outer_join
 from tarn.operators.names import clean_names, sanitize_columns
-from tarn.plans.loads import with_parameters
+from tarn.plans.loads import job_parameters, with_parameters
 from tarn.plans.registry import exact_sum, query, table
 
 
@@ -30,7 +30,7 @@ from tarn.plans.registry import exact_sum, query, table
 def sanitized_columns(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     messy = ["part key", "part - name", "part.brand!", "p_type", "size (cm)", "retail/price"]
-    return sanitize_columns(part.toDF(*messy)).withColumnRenamed("size_cm_", "size_cm_")
+    return sanitize_columns(part.toDF(*messy))
 
 
 @query(
@@ -86,10 +86,8 @@ def like_filter(spark, sf_dir):
     FROM part""",
 )
 def expression_projection(spark, sf_dir):
-    part = table(spark, sf_dir, "part")
-    return part.selectExpr("p_partkey", "upper(p_name) AS big_name", "lower(p_type) AS little_type").join(
-        part.select("p_partkey", F.expr("p_size * 2 AS twice")), "p_partkey"
-    )
+    part = table(spark, sf_dir, "part").withColumn("twice", F.expr("p_size * 2"))
+    return part.selectExpr("p_partkey", "upper(p_name) AS big_name", "lower(p_type) AS little_type", "twice")
 
 
 @query(
@@ -255,8 +253,8 @@ def left_join_sql(spark, sf_dir):
     )
 
 
-def _customers_and_states(spark, sf_dir):
-    """Customers, and orders per customer key with some keys nobody has."""
+def _customers_and_orders(spark, sf_dir):
+    """Customers, and large orders, some under a customer key nobody has."""
     customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"), "c_mktsegment")
     orders = table(spark, sf_dir, "orders").filter("o_totalprice > 300000")
     shifted = F.when(F.col("o_orderstatus") == "P", -F.col("o_custkey")).otherwise(F.col("o_custkey"))
@@ -270,18 +268,29 @@ _SIDES = """
     """
 
 
-def _join_query(kind):
-    def run(spark, sf_dir):
-        left, right = _customers_and_states(spark, sf_dir)
-        return left.join(right, "custkey", kind)
+def _by_name(kind):
+    return f"{_SIDES} SELECT custkey, c_mktsegment, o_orderkey FROM l {kind} JOIN r USING (custkey)"
+
+
+@query("J3", sql=_by_name("inner"))
+def inner_join_by_name(spark, sf_dir):
+    left, right = _customers_and_orders(spark, sf_dir)
+    return left.join(right, "custkey", "inner")
 
-    return run
 
+@query("J4", sql=_by_name("full"))
+def full_join_by_name(spark, sf_dir):
+    return split_outer_join(*_customers_and_orders(spark, sf_dir), ["custkey"], "full")
 
-for _id, _kind in [("J3", "inner"), ("J4", "full"), ("J5", "left"), ("J6", "right")]:
-    _run = _join_query(_kind)
-    _run.__name__ = f"{_kind}_join_by_name"
-    query(_id, sql=f"{_SIDES} SELECT custkey, c_mktsegment, o_orderkey FROM l {_kind} JOIN r USING (custkey)")(_run)
+
+@query("J5", sql=_by_name("left"))
+def left_join_by_name(spark, sf_dir):
+    return split_outer_join(*_customers_and_orders(spark, sf_dir), ["custkey"], "left")
+
+
+@query("J6", sql=_by_name("right"))
+def right_join_by_name(spark, sf_dir):
+    return split_outer_join(*_customers_and_orders(spark, sf_dir), ["custkey"], "right")
 
 
 @query(
@@ -300,7 +309,7 @@ def all_combinations(spark, sf_dir):
     sql=f"{_SIDES} SELECT custkey, c_mktsegment FROM l WHERE custkey IN (SELECT custkey FROM r)",
 )
 def semi_join(spark, sf_dir):
-    left, right = _customers_and_states(spark, sf_dir)
+    left, right = _customers_and_orders(spark, sf_dir)
     return left.join(right, "custkey", "left_semi")
 
 
@@ -309,7 +318,7 @@ def semi_join(spark, sf_dir):
     sql=f"{_SIDES} SELECT custkey, o_orderkey FROM r WHERE custkey NOT IN (SELECT custkey FROM l)",
 )
 def anti_join(spark, sf_dir):
-    left, right = _customers_and_states(spark, sf_dir)
+    left, right = _customers_and_orders(spark, sf_dir)
     return right.join(left, "custkey", "left_anti")
 
 
@@ -318,25 +327,25 @@ def anti_join(spark, sf_dir):
     sql=f"{_SIDES} SELECT r.custkey, r.o_orderkey FROM r LEFT JOIN l ON r.custkey = l.custkey WHERE l.custkey IS NULL",
 )
 def anti_join_sql(spark, sf_dir):
-    left, right = _customers_and_states(spark, sf_dir)
+    left, right = _customers_and_orders(spark, sf_dir)
     return spark.sql(
         "SELECT n.* FROM {new} n LEFT ANTI JOIN {old} o ON n.custkey = o.custkey", new=right, old=left
     )
 
 
 @query(
-    "X1",
+    "X1 X2",
     sql="""
-    SELECT o_orderpriority, '123' AS period, count(*) AS n, sum(o_totalprice::DECIMAL(18,4))::DOUBLE AS total
+    SELECT o_orderpriority, '12310' AS period, count(*) AS n, sum(o_totalprice::DECIMAL(18,4))::DOUBLE AS total
     FROM orders WHERE o_totalprice > 250000 GROUP BY o_orderpriority""",
 )
 def parameterised_query(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
+    job = job_parameters({"period": "123", "suffix": 5}, {"suffix": 10})
     rows = with_parameters(
         spark,
-        "SELECT *, :period AS period FROM {orders} WHERE IDENTIFIER(:column) > :least",
-        {"period": "123", "column": "o_totalprice", "least": 250000},
-        orders=orders,
+        "SELECT *, :period || :suffix AS period FROM {orders} WHERE IDENTIFIER(:column) > :least",
+        {**job, "column": "o_totalprice", "least": 250000},
+        orders=table(spark, sf_dir, "orders"),
     )
     return rows.groupBy("o_orderpriority", "period").agg(
         F.count("*").alias("n"), exact_sum("o_totalprice").alias("total")

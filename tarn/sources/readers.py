@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import itertools
 import zipfile
 from collections.abc import Iterator
 
@@ -198,10 +199,14 @@ def read_columnar_json(df: DataFrame, schema: T.StructType | str, column: str =
     return df.select(F.inline(zipped))
 
 
-def read_zip_members(
-    spark: SparkSession, path: str, suffix: str = ".csv", batch_lines: int = 10_000
-) -> DataFrame:
-    """Lines of all archive members with `suffix`: archive, member, line number, line.
+def read_zip_members(spark: SparkSession, path: str, suffix: str = ".csv") -> DataFrame:
+    """Lines of the members with `suffix` of all zip archives in a folder."""
+    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
+    return unpack_archives(archives.select("path", "content"), suffix)
+
+
+def unpack_archives(archives: DataFrame, suffix: str = ".csv", batch_lines: int = 10_000) -> DataFrame:
+    """Archives (path, content) -> lines (archive, member, line_number, value).
 
     Archives are unpacked in parallel, one at a time per task, and their lines leave the
     task in batches. Parse them with `from_csv` / `from_json`.
@@ -212,26 +217,17 @@ def read_zip_members(
             for archive, content in zip(frame["path"], frame["content"], strict=True):
                 with zipfile.ZipFile(io.BytesIO(content)) as opened:
                     for member in sorted(n for n in opened.namelist() if n.endswith(suffix)):
-                        yield from _batches(opened, archive, member)
-
-    def _batches(opened, archive, member):
-        batch, start = [], 1
-        with io.TextIOWrapper(opened.open(member), encoding="utf-8") as text:
-            for line in text:
-                batch.append(line.rstrip("\r\n"))
-                if len(batch) == batch_lines:
-                    yield _frame(archive, member, start, batch)
-                    start, batch = start + len(batch), []
-        if batch:
-            yield _frame(archive, member, start, batch)
-
-    def _frame(archive, member, start, batch):
-        numbers = range(start, start + len(batch))
-        return pd.DataFrame({"archive": archive, "member": member, "line_number": numbers, "value": batch})
-
-    archives = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
-    )
-    return archives.mapInPandas(
-        unpack, "archive string, member string, line_number bigint, value string"
-    )
+                        with io.TextIOWrapper(opened.open(member), encoding="utf-8") as text:
+                            for start, lines in batches(text):
+                                numbers = range(start, start + len(lines))
+                                yield pd.DataFrame(
+                                    {"archive": archive, "member": member, "line_number": numbers, "value": lines}
+                                )
+
+    def batches(text):
+        start = 1
+        while lines := [line.rstrip("\r\n") for line in itertools.islice(text, batch_lines)]:
+            yield start, lines
+            start += len(lines)
+
+    return archives.mapInPandas(unpack, "archive string, member string, line_number bigint, value string")
