@@ -17,9 +17,9 @@ from pyspark.sql.window import Window
 from tarn.session import as_columns, stage
 
 POSITION_BITS = 33  # layout of monotonically_increasing_id
-_STAMP = "__stamp"
+STAMP = "__stamp"
 _SALT = "__salt"
-_RANGE = "__range"
+RANGE = "__range"
 
 
 def _sortable(data_type: T.DataType) -> bool:
@@ -35,44 +35,41 @@ def lay_out(df: DataFrame, order_by: list[str | Column], unique: bool = False) -
 
     `unique` promises that `order_by` has no ties. Without it all other columns break ties,
     so the order does not depend on partitioning, and a salt follows them so that even a
-    huge group of identical rows is cut into several ranges. The salt is taken from locally
-    sorted rows: a recomputed task hands out the same ones.
+    huge group of identical rows is cut into several ranges. The salt numbers the rows of a
+    task in the order of their hash: however they arrive at a recomputed task, copies of a
+    row get the same numbers again. (Sorting by one hash is a radix sort, no comparisons.)
     """
     keys = as_columns(order_by)
     if unique:
         laid = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     else:
         named = {c for c in order_by if isinstance(c, str)}
-        ties = [
-            F.col(f"`{f.name}`")
-            for f in df.schema.fields
-            if _sortable(f.dataType) and f.name not in named
-        ]
-        salted = df.sortWithinPartitions(*keys, *ties).withColumn(
-            _SALT, F.monotonically_increasing_id()
-        )
+        sortable = [f.name for f in df.schema.fields if _sortable(f.dataType)]
+        ties = [F.col(f"`{c}`") for c in sortable if c not in named]
+        row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in sortable])
+        salted = df.sortWithinPartitions(row_hash).withColumn(_SALT, F.monotonically_increasing_id())
         full = [*keys, *ties, F.col(_SALT)]
         laid = salted.repartitionByRange(*full).sortWithinPartitions(*full).drop(_SALT)
-    return stage(laid.withColumn(_STAMP, F.monotonically_increasing_id()), "ordered")
+    return stage(laid.withColumn(STAMP, F.monotonically_increasing_id()), "ordered")
 
 
-def _range() -> Column:
-    return F.shiftright(F.col(_STAMP), POSITION_BITS)
+def range_number() -> Column:
+    return F.shiftright(F.col(STAMP), POSITION_BITS)
 
 
-def _position() -> Column:
-    return F.col(_STAMP).bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+def position_in_range() -> Column:
+    return F.col(STAMP).bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
 
 
-def _before(laid: DataFrame, total: Column, combine) -> DataFrame:
+def before_ranges(laid: DataFrame, total: Column, combine) -> DataFrame:
     """Per range, `combine` of `total` over all earlier ranges.
 
     The window sorts one row per range, and the result is broadcast: both are bounded by
     the number of shuffle partitions, whatever the data size.
     """
-    earlier = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    per_range = laid.groupBy(_range().alias(_RANGE)).agg(total.alias("__total"))
-    return per_range.select(_RANGE, combine("__total").over(earlier).alias("__before"))
+    earlier = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    per_range = laid.groupBy(range_number().alias(RANGE)).agg(total.alias("__total"))
+    return per_range.select(RANGE, combine("__total").over(earlier).alias("__before"))
 
 
 def with_row_index(
@@ -84,14 +81,14 @@ def with_row_index(
 ) -> DataFrame:
     """Dense row numbers in the order of `order_by`, counting from `start`."""
     laid = lay_out(df, order_by, unique)
-    offsets = _before(laid, F.count("*"), F.sum)
+    offsets = before_ranges(laid, F.count("*"), F.sum)
     first = start if isinstance(start, Column) else F.lit(start).cast("bigint")
-    number = F.coalesce(F.col("__before"), F.lit(0)) + _position() + first
+    number = F.coalesce(F.col("__before"), F.lit(0)) + position_in_range() + first
     return (
-        laid.withColumn(_RANGE, _range())
-        .join(F.broadcast(offsets), _RANGE)
+        laid.withColumn(RANGE, range_number())
+        .join(F.broadcast(offsets), RANGE)
         .withColumn(name, number)
-        .drop(_RANGE, "__before", _STAMP)
+        .drop(RANGE, "__before", STAMP)
     )
 
 
@@ -134,8 +131,8 @@ def cumulative(
     is_float = isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType))
     value = F.nanvl(column, F.lit(None)) if is_float else F.col(column)
     laid = lay_out(df, order_by, unique)
-    before = _before(laid, combine(value), combine)
-    running = Window.partitionBy(_RANGE).orderBy(_STAMP).rowsBetween(Window.unboundedPreceding, 0)
+    before = before_ranges(laid, combine(value), combine)
+    running = Window.partitionBy(RANGE).orderBy(STAMP).rowsBetween(Window.unboundedPreceding, 0)
     here = F.col("__running")
     carried = F.col("__before")
     joined = {
@@ -144,9 +141,9 @@ def cumulative(
         "sum": here + F.coalesce(carried, F.lit(0)),
     }[how]
     return (
-        laid.withColumn(_RANGE, _range())
+        laid.withColumn(RANGE, range_number())
         .withColumn("__running", combine(value).over(running))
-        .join(F.broadcast(before), _RANGE)
+        .join(F.broadcast(before), RANGE)
         .withColumn(name, F.when(value.isNotNull(), joined))
-        .drop(_RANGE, "__running", "__before", _STAMP)
+        .drop(RANGE, "__running", "__before", STAMP)
     )

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from tarn.operators.keys import with_row_index
+from tarn.operators.keys import POSITION_BITS, RANGE, STAMP, lay_out, range_number
 
 
 def count_tables(tables: dict[tuple[str, str, str], DataFrame]) -> DataFrame:
@@ -109,26 +113,43 @@ def describe_long(df: DataFrame, columns: list[str] | None = None, exact: bool =
 def exact_quantiles(df: DataFrame, columns: list[str], quantiles: list[float]) -> DataFrame:
     """(column, quantile, value) with linear interpolation, exact at any size.
 
-    The values of all columns are put in one global order, column after column, and only
-    the rows at the wanted ranks are read out: one exchange, and no task sees a column whole.
+    Values are counted first, so copies collapse before the exchange. The distinct values
+    of all columns are then laid out in one global order, column after column. The driver
+    sees row totals per range and column only; they tell which few ranges hold the wanted
+    ranks, and just those are read again.
     """
     values = df.select(*[present(df, c).cast("double").alias(str(i)) for i, c in enumerate(columns)])
     long = values.unpivot([], [str(i) for i in range(len(columns))], "n", "value").dropna()
-    long = long.select(F.col("n").cast("int"), "value")
-    ranked = with_row_index(long, ["n", "value"], "rank")
-    # one row per column and quantile from here on
-    counted = ranked.groupBy("n").agg(F.min("rank").alias("first"), F.count("*").alias("total"))
-    quantile = F.explode(F.lit([float(q) for q in quantiles])).alias("quantile")
-    place = F.col("first") + F.col("quantile") * (F.col("total") - 1)
-    wanted = counted.select("n", "first", "total", quantile).withColumn("place", place)
-    ranks = F.explode(F.array(F.floor("place"), F.ceil("place"))).alias("rank")
-    wanted = wanted.select("n", "quantile", (F.col("place") - F.floor("place")).alias("part"), ranks)
-    found = ranked.select("rank", "value").join(F.broadcast(wanted), "rank")
-    low, high = F.min("value"), F.max("value")
-    name = F.get(F.lit(columns), F.col("n")).alias("column")
-    return found.groupBy("n", "quantile").agg((low + (high - low) * F.max("part")).alias("value")).select(
-        name, "quantile", "value"
+    counted = long.groupBy(F.col("n").cast("int").alias("n"), "value").agg(F.count("*").alias("copies"))
+    laid = lay_out(counted, ["n", "value"], unique=True)
+    totals = laid.groupBy("n", range_number().alias(RANGE)).agg(F.sum("copies").alias("copies"))
+    parts = pd.DataFrame(totals.orderBy("n", RANGE).collect(), columns=["n", "range", "copies"])
+
+    wanted = []  # (column number, quantile, share of the upper neighbour, range, rank in range)
+    for n, part in parts.groupby("n"):
+        ends = part["copies"].cumsum().to_numpy()
+        for q in quantiles:
+            place = q * float(ends[-1] - 1)
+            for rank in (math.floor(place), math.ceil(place)):
+                i = int(np.searchsorted(ends, rank, side="right"))
+                before = int(ends[i - 1]) if i else 0
+                wanted.append((int(n), float(q), place % 1, int(part["range"].iloc[i]), rank - before))
+    schema = f"n int, quantile double, share double, {RANGE} bigint, rank bigint"
+    ranks = df.sparkSession.createDataFrame(wanted, schema)
+
+    inside = F.lit(False)
+    for r in sorted({w[3] for w in wanted}):
+        inside = inside | F.col(STAMP).between(r << POSITION_BITS, ((r + 1) << POSITION_BITS) - 1)
+    order = Window.partitionBy(RANGE, "n").orderBy(STAMP).rowsBetween(Window.unboundedPreceding, 0)
+    covered = laid.filter(inside).withColumn(RANGE, range_number())
+    covered = covered.withColumn("upto", F.sum("copies").over(order))
+    # one row per column, quantile and neighbour: as small as the two lists given
+    hits = covered.join(F.broadcast(ranks), ["n", RANGE]).filter(
+        (F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("copies"))
     )
+    low, high = F.min("value"), F.max("value")
+    marks = hits.groupBy("n", "quantile").agg((low + (high - low) * F.max("share")).alias("value"))
+    return marks.select(F.get(F.lit(columns), F.col("n")).alias("column"), "quantile", "value")
 
 
 def summarize(df: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,7 +94,7 @@ def infer_schema_first_file(
         return read_folder(spark, first, fmt, sep, glob="*", multiline=multiline).schema
     sample = spark.read.text(first).head(n + 1 if fmt == "csv" else n)
     lines = scratch_path(spark, "schema-sample")
-    spark.createDataFrame(sample, "value string").coalesce(1).write.text(lines)
+    spark.createDataFrame(pa.table({"value": [row[0] for row in sample]})).coalesce(1).write.text(lines)
     return read_folder(spark, lines, fmt, sep, glob="*").schema
 
 
