@@ -35,15 +35,11 @@ def combine_all(left: DataFrame, right: DataFrame, max_right_rows: int = 1_000)
     """Every left row with every row of a small right table; clashing names get `.x`, `.y`.
 
     The right side travels as one literal list that each left row unfolds: no join and no
-    shuffle. More than `max_right_rows` right rows fail instead of being cut.
+    shuffle. More than `max_right_rows` right rows are refused, never cut.
     """
-    bounded = right.limit(max_right_rows + 1)
-    too_many = F.raise_error(F.lit(f"combine_all: right side has more than {max_right_rows} rows"))
-    listed = bounded.agg(
-        F.when(F.count("*") > max_right_rows, too_many)
-        .otherwise(F.collect_list(F.struct(*[f"`{c}`" for c in right.columns])))
-        .alias("rows")
-    )
+    if right.limit(max_right_rows + 1).count() > max_right_rows:
+        raise ValueError(f"right side has more than {max_right_rows} rows")
+    listed = right.agg(F.collect_list(F.struct(*[f"`{c}`" for c in right.columns])))
     clash = {c.lower() for c in left.columns} & {c.lower() for c in right.columns}
     named_left = [F.col(f"`{c}`").alias(f"{c}.x" if c.lower() in clash else c) for c in left.columns]
     paired = left.select(*named_left, listed.scalar().alias("__rows"))
