@@ -25,6 +25,7 @@ class LoadSpec:
     sep: str = ";"
     mode: str = "append"
     on_error: str = "fail"
+    schema_from: str = "all"
     multiline: bool = False
     table: str | None = None
 
@@ -32,22 +33,19 @@ class LoadSpec:
 def load_folder(spark: SparkSession, spec: LoadSpec) -> str:
     """Read a raw folder, clean its column names and publish it; returns the table path.
 
-    Types come from the first file and are imposed on all others, so the folder is read
-    once. `on_error="skip"` leaves unreadable files out and says which.
+    CSV and JSON types are inferred from all files, or with `schema_from="first"` from the
+    first one and imposed on the rest, which reads a large folder only once. With
+    `on_error="skip"` files that do not fit the first one are left out and named.
     """
+    options = {"sep": spec.sep, "multiline": spec.multiline}
     if spec.on_error == "skip":
-        rows, report = read_folder_tolerant(
-            spark, spec.source, spec.fmt, sep=spec.sep, multiline=spec.multiline
-        )
-        for row in report.filter(~F.col("ok")).limit(20).collect():
-            print(f"skipped {row.path}")
+        rows, report = read_folder_tolerant(spark, spec.source, spec.fmt, **options)
+        print_skipped(report)
     else:
-        schema = infer_schema_first_file(
-            spark, spec.source, spec.fmt, spec.sep, multiline=spec.multiline
-        )
-        rows = read_folder(
-            spark, spec.source, spec.fmt, spec.sep, schema=schema, multiline=spec.multiline
-        )
+        schema = None
+        if spec.schema_from == "first":
+            schema = infer_schema_first_file(spark, spec.source, spec.fmt, **options)
+        rows = read_folder(spark, spec.source, spec.fmt, schema=schema, **options)
     if spec.fmt == "csv" and len(rows.columns) == 1:
         print(f"{spec.source}: only one column, is the separator {spec.sep!r} right?")
     name = table_name_from_folder(spec.source.rstrip("/") + "/")
@@ -67,18 +65,37 @@ def run_loads(spark: SparkSession, specs: list[LoadSpec]) -> list[str]:
     return [load_folder(spark, spec) for spec in specs]
 
 
+def print_skipped(report: DataFrame, at_most: int = 20) -> None:
+    skipped = report.filter(~F.col("ok"))
+    for row in skipped.limit(at_most).collect():
+        print(f"skipped {row.path}")
+
+
 def load_distinct_per_file(
-    spark: SparkSession, src: str, dst: str, fmt: str = "csv", sep: str = ",", scope: str = "file"
+    spark: SparkSession,
+    src: str,
+    dst: str,
+    fmt: str = "csv",
+    sep: str = ",",
+    scope: str = "file",
+    on_error: str = "fail",
 ) -> None:
     """Distinct rows of each source file (or of all, `scope="all"`) as ZSTD Parquet.
 
     The output is partitioned by `file_stem`. For `scope="all"` a row found in several files
-    goes to the first of them by name.
+    goes to the first of them by name. With `on_error="skip"` bad files are left out.
     """
-    rows = read_folder(spark, src, fmt, sep, schema=infer_schema_first_file(spark, src, fmt, sep))
-    columns = [f"`{c}`" for c in rows.columns]
-    stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.[^.]*$", "").alias("file_stem")
-    rows = rows.select(*columns, stem)
+    if on_error == "skip":
+        rows, report = read_folder_tolerant(spark, src, fmt, sep=sep, source_column="file_stem")
+        print_skipped(report)
+        columns = [f"`{c}`" for c in rows.columns if c != "file_stem"]
+        file_name = F.col("file_stem")
+    else:
+        rows = read_folder(spark, src, fmt, sep)
+        columns = [f"`{c}`" for c in rows.columns]
+        file_name = F.col("_metadata.file_path")
+    stem = F.regexp_replace(F.substring_index(file_name, "/", -1), r"\.[^.]*$", "")
+    rows = rows.select(*columns, stem.alias("file_stem"))
     if scope == "all":
         rows = rows.groupBy(*columns).agg(F.min("file_stem").alias("file_stem"))
     write_distinct_per_file(rows, "file_stem", dst)

@@ -235,7 +235,7 @@ def load_list(spark, sf_dir):
     orders, events, part = run_loads(
         spark,
         [
-            LoadSpec(f"{raw}/orders_csv/", warehouse, "csv", ","),
+            LoadSpec(f"{raw}/orders_csv/", warehouse, "csv", ",", schema_from="first"),
             LoadSpec(f"{raw}/events/", warehouse, "json"),
             LoadSpec(f"{raw}/part/", warehouse, "parquet", mode="replace"),
         ],

@@ -47,11 +47,14 @@ def read_folder(
     """All files of one format in a folder as one table; other files are ignored.
 
     CSV has a header row. Without `schema`, CSV and JSON types are inferred from all files,
-    which costs one extra pass; see `infer_schema_first_file` for large folders.
+    which costs one extra pass; see `infer_schema_first_file` for large folders. Against a
+    given `schema` a record that does not fit is an error, not a silent NULL.
     """
     reader = _reader(spark, fmt, sep, multiline, glob, recursive)
     if schema is not None:
         reader = reader.schema(schema)
+        if fmt != "parquet":
+            reader = reader.option("mode", "FAILFAST")
     elif fmt == "csv":
         reader = reader.option("inferSchema", "true")
     return reader.load(path)
@@ -81,20 +84,27 @@ def infer_schema_first_file(
     glob: str | None = None,
     multiline: bool = False,
 ) -> T.StructType:
-    """Schema of the first file by name, from at most its first `n` rows.
+    """Schema of the first file by name that has rows, from at most its first `n` rows.
 
     Impose it on the whole folder with `read_folder(schema=...)`. Only these `n` lines
     pass the driver; Parquet needs none, its footer holds the schema. A multi-line file
     has no line limit to cut at and is inferred whole, by one task.
     """
-    first = file_inventory(spark, path, glob or SUFFIXES[fmt], recursive=False).agg(F.min("path")).head()[0]
+    header = 1 if fmt == "csv" else 0
+    files = file_inventory(spark, path, glob or SUFFIXES[fmt], recursive=False).orderBy("path")
+    first, sample = None, []
+    for file in files.toLocalIterator():  # the first file nearly always has rows
+        if fmt == "parquet" or multiline:
+            return read_folder(spark, file.path, fmt, sep, glob="*", multiline=multiline).schema
+        first, sample = file.path, spark.read.text(file.path).head(header + n)
+        if len(sample) > header:
+            break
     if first is None:
         raise FileNotFoundError(f"no {fmt} files in {path}")
-    if fmt == "parquet" or multiline:
-        return read_folder(spark, first, fmt, sep, glob="*", multiline=multiline).schema
-    sample = spark.read.text(first).head(n + 1 if fmt == "csv" else n)
     lines = scratch_path(spark, "schema-sample")
-    spark.createDataFrame(pa.table({"value": [row[0] for row in sample]})).coalesce(1).write.text(lines)
+    numbered = pa.table({"n": range(len(sample)), "value": [row[0] for row in sample]})
+    ordered = spark.createDataFrame(numbered).repartition(1).sortWithinPartitions("n")
+    ordered.select("value").write.text(lines)
     return read_folder(spark, lines, fmt, sep, glob="*").schema
 
 
@@ -106,12 +116,13 @@ def read_folder_tolerant(
     sep: str = ";",
     multiline: bool = False,
     glob: str | None = None,
+    source_column: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The rows of all readable files, and a report (path, n_rows, ok) over every file.
 
     A file with one record that does not fit the schema is left out whole; if no file is
-    readable the call fails. The schema defaults to that of the first file. Records are
-    parsed once, at full width, into a staged table: parsing lazily would let column
+    readable the call fails. The schema defaults to that of the first file;
+    `source_column` keeps the path of each row's file. Records are parsed once, at full width, into a staged table: parsing lazily would let column
     pruning hide bad fields from later queries.
     """
     files = _listing(spark, path, glob or SUFFIXES[fmt], recursive=False)
@@ -132,8 +143,11 @@ def read_folder_tolerant(
     if not report.filter("ok").head(1):
         raise ValueError(f"no readable {fmt} file in {path}")
     bad = report.filter(~F.col("ok")).select(F.col("path").alias(_SOURCE))
-    good = rows.join(broadcast_if_small(bad, 100_000), _SOURCE, "left_anti").drop(_SOURCE)
-    return good, report
+    good = rows.join(broadcast_if_small(bad, 100_000), _SOURCE, "left_anti")
+    columns = [f"`{c}`" for c in rows.columns if c != _SOURCE]
+    if source_column:
+        return good.select(*columns, F.col(_SOURCE).alias(source_column)), report
+    return good.select(*columns), report
 
 
 def _tolerant_records(spark, path, fmt, schema, sep, multiline, glob):

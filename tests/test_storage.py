@@ -64,10 +64,20 @@ def test_schema_sample_is_limited(spark, tmp_path):
     assert readers.infer_schema_first_file(spark, folder, "csv", n=2).simpleString() == "struct<x:int>"
     assert readers.infer_schema_first_file(spark, folder, "csv", n=3).simpleString() == "struct<x:double>"
     assert readers.infer_schema_first_file(spark, folder, "json", n=1).simpleString() == "struct<x:bigint>"
+    put(tmp_path / "empty", a__csv="x\n", b__csv="x\n7\n")
+    assert readers.infer_schema_first_file(spark, f"{folder}/empty", "csv").simpleString() == "struct<x:int>"
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_folder(spark, folder, "csv", schema="x int").collect()
     with pytest.raises(FileNotFoundError):
         readers.infer_schema_first_file(spark, folder, "parquet")
 
 
+def test_large_sample_keeps_its_header_first(spark, tmp_path):
+    writers.write_csv(spark.range(120_000).withColumn("v", F.col("id") / 2).coalesce(1), str(tmp_path / "c"))
+    schema = readers.infer_schema_first_file(spark, str(tmp_path / "c"), "csv")
+    assert schema.simpleString() == "struct<id:int,v:double>"
+
+
 def names(report, ok):
     return sorted(os.path.basename(r.path) for r in report.filter(F.col("ok") == ok).collect())
 
@@ -224,6 +234,12 @@ def test_distinct_per_file(spark, tmp_path):
     load_distinct_per_file(spark, src, str(tmp_path / "dst"))
     got = spark.read.parquet(str(tmp_path / "dst"))
     assert rows(got.select("file_stem", "x")) == [("a", 1), ("a", 2), ("b", 1), ("b", 3)]
+    put(src, c__csv="x,y\nbad,z\n")
+    load_distinct_per_file(spark, src, str(tmp_path / "good"), on_error="skip")
+    assert rows(spark.read.parquet(str(tmp_path / "good")).select("file_stem", "x")) == rows(
+        got.select("file_stem", "x")
+    )
+    os.remove(f"{src}/c.csv")
     load_distinct_per_file(spark, src, str(tmp_path / "all"), scope="all")
     assert rows(spark.read.parquet(str(tmp_path / "all")).select("file_stem", "x")) == [("a", 1), ("a", 2), ("b", 3)]
 
