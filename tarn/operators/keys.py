@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from tarn.session import as_columns, stage
+from tarn.session import as_columns, comes_in_file_order, stage
 
 POSITION_BITS = 33  # layout of monotonically_increasing_id
 STAMP = "__stamp"
@@ -35,20 +35,23 @@ def lay_out(df: DataFrame, order_by: list[str | Column], unique: bool = False) -
 
     `unique` promises that `order_by` has no ties. Without it all other columns break ties,
     so the order does not depend on partitioning, and a salt follows them so that even a
-    huge group of identical rows is cut into several ranges. The salt numbers the rows of a
-    task in the order of their hash: however they arrive at a recomputed task, copies of a
-    row get the same numbers again. (Sorting by one hash is a radix sort, no comparisons.)
+    huge group of identical rows is cut into several ranges. The salt numbers the rows as
+    they come. A rerun task has to hand out the same ones, or copies could get lost, so the
+    rows are staged first unless they come straight from a scan.
     """
     keys = as_columns(order_by)
     if unique:
         laid = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     else:
         named = {c for c in order_by if isinstance(c, str)}
-        sortable = [f.name for f in df.schema.fields if _sortable(f.dataType)]
-        ties = [F.col(f"`{c}`") for c in sortable if c not in named]
-        row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in sortable])
-        salted = df.sortWithinPartitions(row_hash).withColumn(_SALT, F.monotonically_increasing_id())
+        ties = [
+            F.col(f"`{f.name}`")
+            for f in df.schema.fields
+            if _sortable(f.dataType) and f.name not in named
+        ]
+        steady = df if comes_in_file_order(df) else stage(df, "unordered")
         full = [*keys, *ties, F.col(_SALT)]
+        salted = steady.withColumn(_SALT, F.monotonically_increasing_id())
         laid = salted.repartitionByRange(*full).sortWithinPartitions(*full).drop(_SALT)
     return stage(laid.withColumn(STAMP, F.monotonically_increasing_id()), "ordered")
 

@@ -152,6 +152,6 @@ def exact_quantiles(df: DataFrame, columns: list[str], quantiles: list[float]) -
     return marks.select(F.get(F.lit(columns), F.col("n")).alias("column"), "quantile", "value")
 
 
-def summarize(df: DataFrame) -> DataFrame:
+def summarize(df: DataFrame, statistics: list[str] | None = None) -> DataFrame:
     """`DataFrame.summary`, strings included."""
-    return df.summary()
+    return df.summary(*(statistics or []))

@@ -158,6 +158,21 @@ def summary_with_strings(spark, sf_dir):
     return summarize(table(spark, sf_dir, "customer").select("c_name", "c_acctbal", "c_mktsegment"))
 
 
+@query(
+    "A9",
+    sql=" UNION ALL ".join(
+        f"""SELECT '{f}' AS summary, {f}(c_name)::VARCHAR AS c_name, {f}(c_acctbal)::DOUBLE AS c_acctbal,
+        {f}(c_mktsegment)::VARCHAR AS c_mktsegment FROM customer"""
+        for f in ("count", "min", "max")
+    ),
+)
+def summary_bounds(spark, sf_dir):
+    """Counts and bounds of text and numbers in one report."""
+    customer = table(spark, sf_dir, "customer").select("c_name", "c_acctbal", "c_mktsegment")
+    report = summarize(customer, ["count", "min", "max"])
+    return report.withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
+
+
 @query("A10", sql="SELECT DISTINCT l_partkey, l_suppkey FROM lineitem")
 def distinct_rows(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey").distinct()

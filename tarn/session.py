@@ -55,6 +55,15 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def comes_in_file_order(df: DataFrame) -> bool:
+    """Whether a rerun task sees its rows in the same order again.
+
+    True without an exchange in the plan: splits of files are read from start to end, while
+    shuffled blocks arrive in any order.
+    """
+    return "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only after counting that `df` has at most `max_rows` rows.
 

@@ -133,6 +133,30 @@ def test_split_outer_join_equals_plain_join(spark):
         assert got == sorted(left.join(right, "k", how).collect(), key=key)
 
 
+def test_hot_key_of_an_outer_join_is_split(spark):
+    """The matches of a key with a third of the rows are cut by the skew join, either way."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k")
+        hot = spark.range(0, 300_000, 1, 8).select(key, F.xxhash64("id").alias("h"))
+        even = spark.range(0, 300_000, 2, 8).select(F.col("id").alias("k"), F.xxhash64("id").alias("g"))
+        for left, right, how in [(even, hot, "left"), (even, hot, "full"), (hot, even, "right")]:
+            execution = split_outer_join(left, right, ["k"], how)._jdf.queryExecution()
+            execution.toRdd().count()
+            assert "skew=true" in execution.executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_all_combinations(products, spark):
     left, right = products
     pairs = combine_all(left, right)
