@@ -2,30 +2,47 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarn.functions.columns import content_hash
 from tarn.session import settings
+from tarn.sources.readers import file_inventory
 from tarn.sources.writers import TARGET_MB, replace_folder
 
 RETAIN_HOURS = 168
 
 
-def compact(spark: SparkSession, path: str, target_mb: int = TARGET_MB) -> None:
-    """Rewrite a Parquet folder in files of about `target_mb`, without a shuffle.
+def compact(spark: SparkSession, path: str, target_mb: int = TARGET_MB) -> bool:
+    """Rewrite a Parquet folder in files of about `target_mb`; False if there is no need.
 
-    The scan itself packs small files into tasks of the target size, and each task writes
-    one file. The finished folder then replaces the old one.
+    A folder with at most one file below half the target (per partition folder) is left
+    alone. Otherwise the scan itself packs small files into tasks of the target size, and
+    each task writes one file: no shuffle. Only a table in partition folders is exchanged,
+    by its partition columns. The finished folder then replaces the old one.
     """
+    files = file_inventory(spark, path, "*.parquet").withColumn("folder", F.regexp_extract("path", "(.*)/", 1))
+    small = files.filter(F.col("size") < target_mb * 1024 * 1024 // 2)
+    if not small.groupBy("folder").count().filter("count > 1").head(1):
+        return False
+    base, folder = (re.sub(r"^\w*:?/*", "", p.rstrip("/")) for p in (path, files.head().folder))
+    partition_by = re.findall(r"/([^/=]+)=[^/]*", folder[len(base) :])
     size = f"{target_mb}m"
     with settings(
         spark,
         spark__sql__files__maxPartitionBytes=size,
         spark__sql__files__openCostInBytes="0",
         spark__sql__files__minPartitionNum="1",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes=size,
+        spark__sql__sources__partitionColumnTypeInference__enabled="false",  # keeps folder names
     ):
-        replace_folder(spark.read.parquet(path), path)
+        table = spark.read.parquet(path)
+        if partition_by:
+            table = table.hint("rebalance", *partition_by)
+        replace_folder(table, path, lambda df, fresh: df.write.partitionBy(*partition_by).parquet(fresh))
+    return True
 
 
 def expired_files(

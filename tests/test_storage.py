@@ -259,7 +259,8 @@ def test_distinct_per_file_layout(spark, tmp_path):
 def test_sized_write_and_compaction(spark, tmp_path):
     path = str(tmp_path / "many")
     spark.range(0, 20_000, 1, 40).write.parquet(path)
-    compact(spark, path)
+    assert compact(spark, path)
+    assert not compact(spark, path)
     stats = table_stats(spark, path).head()
     assert (stats.n_files, stats.n_rows, stats.n_columns) == (1, 20_000, 1)
     assert rows(spark.read.parquet(path)) == [(i,) for i in range(20_000)]
@@ -271,6 +272,16 @@ def test_sized_write_and_compaction(spark, tmp_path):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
 
 
+def test_compaction_keeps_partition_folders(spark, tmp_path):
+    path = str(tmp_path / "batches")
+    for batch in ("2024-01-01", "007"):
+        writers.append_or_create(spark.range(0, 1000, 1, 10), path, batch=batch)
+    assert compact(spark, path) and not compact(spark, path)
+    assert sorted(p.name for p in Path(path).glob("batch=*")) == ["batch=007", "batch=2024-01-01"]
+    assert len(list(Path(path).glob("batch=*/*.parquet"))) == 2
+    assert spark.read.parquet(path).count() == 2000
+
+
 def test_compaction_needs_no_shuffle(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(100).write.parquet(path)
