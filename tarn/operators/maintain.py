@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tarn.functions.columns import content_hash
 from tarn.session import settings
 from tarn.sources.readers import file_inventory
-from tarn.sources.writers import TARGET_MB, replace_folder
+from tarn.sources.writers import TARGET_MB, qualified_path, replace_folder
 
 RETAIN_HOURS = 168
 
@@ -27,8 +27,8 @@ def compact(spark: SparkSession, path: str, target_mb: int = TARGET_MB) -> bool:
     small = files.filter(F.col("size") < target_mb * 1024 * 1024 // 2)
     if not small.groupBy("folder").count().filter("count > 1").head(1):
         return False
-    base, folder = (re.sub(r"^\w*:?/*", "", p.rstrip("/")) for p in (path, files.head().folder))
-    partition_by = re.findall(r"/([^/=]+)=[^/]*", folder[len(base) :])
+    inside = files.head().folder.removeprefix(qualified_path(spark, path))
+    partition_by = re.findall(r"/([^/=]+)=[^/]*", inside)
     size = f"{target_mb}m"
     with settings(
         spark,

@@ -31,6 +31,12 @@ _FULL_TIME = {
 }
 
 
+def qualified_path(spark: SparkSession, path: str) -> str:
+    """The path as file listings spell it, with scheme and without a trailing slash."""
+    fs, p = _fs(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ";", mode: str = "overwrite") -> None:
     writer = df.write.mode(mode).options(header="true", sep=sep, escape='"', **_FULL_TIME)
     writer.csv(path)
