@@ -9,9 +9,17 @@ from pyspark.sql import DataFrame
 
 
 def sanitized(name: str) -> str:
-    """Anything but letters and digits becomes `_`; then `__` and `___` shrink, in turn."""
-    replaced = "".join(c if c.isalnum() else "_" for c in name)
-    return replaced.replace("__", "_").replace("___", "_")
+    """Anything but letters, digits and `_` becomes `_`; then runs of `_` shrink.
+
+    Pairs are merged first and triples of what is left after that, so a run of one or two
+    leaves one, of three or four leaves two, of five or six one again.
+    """
+
+    def shrink(run: re.Match) -> str:
+        pairs = -(-len(run.group()) // 2)
+        return "_" * (pairs // 3 + pairs % 3)
+
+    return re.sub("_+", shrink, re.sub(r"\W", "_", name))
 
 
 def sanitize_columns(df: DataFrame) -> DataFrame:
@@ -50,6 +58,5 @@ def table_name_from_folder(path: str) -> str:
 
     A folder path ends with `/`; of `raw/sales_csv/` the table is `sales`.
     """
-    piece = path.split("/")[-2]
-    kept = "".join(c for c in piece if c.isalnum() or c == "_")
-    return kept.replace("_csv", "").lower()
+    folder = path.rsplit("/", 2)[-2]
+    return re.sub(r"\W", "", folder).replace("_csv", "").lower()
