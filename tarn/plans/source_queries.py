@@ -68,42 +68,41 @@ def columnar_json_words(spark, sf_dir):
     return rows.groupBy("word").agg(F.count("*").alias("n"), F.sum("position").alias("positions"))
 
 
-def _as_array_documents(frames):
-    """Row texts of one task -> lines of one JSON array document."""
-    opened = False
-    for frame in frames:
-        if len(frame):
-            lines = ["," + v if opened or i else "[" + v for i, v in enumerate(frame["value"])]
-            opened = True
-            yield pd.DataFrame({"value": lines})
-    yield pd.DataFrame({"value": ["]" if opened else "[]"]})
-
-
 @query("S3", sql="SELECT event_id, user_id, event_type, value FROM events")
 def json_array_read(spark, sf_dir):
     """Every file is one JSON array over many lines."""
+
+    def array_documents(frames):
+        opened = False
+        for frame in frames:
+            if len(frame):
+                lines = ["," + v if opened or i else "[" + v for i, v in enumerate(frame["value"])]
+                opened = True
+                yield pd.DataFrame({"value": lines})
+        yield pd.DataFrame({"value": ["]" if opened else "[]"]})
+
     folder = scratch_path(spark, "arrays")
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     texts = events.select(F.to_json(F.struct("*")).alias("value"))
-    write_text(texts.mapInPandas(_as_array_documents, "value string"), folder)
+    write_text(texts.mapInPandas(array_documents, "value string"), folder)
     return read_folder(spark, folder, "json", schema=events.schema, glob="*.txt", multiline=True)
 
 
-def _as_archives(frames):
+@query("S16", sql="SELECT p_partkey, p_name, p_brand, p_size FROM part")
+def zipped_csv_read(spark, sf_dir):
     """Each batch of lines as a zip archive with one CSV member and one to be ignored."""
-    for i, frame in enumerate(frames):
-        content = io.BytesIO()
-        with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr("rows.csv", "\n".join(frame["value"]) + "\n")
-            archive.writestr("notes.txt", "not read")
-        yield pd.DataFrame({"path": [f"{i}.zip"], "content": [content.getvalue()]})
 
+    def zipped(frames):
+        for i, frame in enumerate(frames):
+            content = io.BytesIO()
+            with zipfile.ZipFile(content, "w", zipfile.ZIP_DEFLATED) as archive:
+                archive.writestr("rows.csv", "\n".join(frame["value"]) + "\n")
+                archive.writestr("notes.txt", "not read")
+            yield pd.DataFrame({"path": [f"{i}.zip"], "content": [content.getvalue()]})
 
-@query("S16", sql="SELECT p_partkey, p_name, p_brand, p_size FROM part")
-def zipped_csv_read(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
     lines = part.select(F.to_csv(F.struct("*")).alias("value"))
-    archives = lines.mapInPandas(_as_archives, "path string, content binary")
+    archives = lines.mapInPandas(zipped, "path string, content binary")
     parsed = F.from_csv("value", "p_partkey bigint, p_name string, p_brand string, p_size int")
     return unpack_archives(archives).select(parsed.alias("row")).select("row.*")
 
