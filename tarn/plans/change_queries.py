@@ -110,13 +110,15 @@ def expired_file_plan(spark, sf_dir):
 @query(
     "T9",
     sql="""
-    SELECT DISTINCT split_part(url, '?', 1) AS table_path FROM pages WHERE html LIKE '%<table%' OR html LIKE '%<nav>%'""",
+    SELECT DISTINCT split_part(url, '?', 1) AS table_path FROM pages
+    WHERE html LIKE '%<table%' OR html LIKE '%<nav>%'""",
 )
 def discovered_tables(spark, sf_dir):
     """Page addresses as object keys; those of pages with a table or menu get a log folder."""
     pages = table(spark, sf_dir, "pages")
     base = F.substring_index("url", "?", 1)
-    logs = pages.filter("html LIKE '%<table%' OR html LIKE '%<nav>%'").select(F.concat(base, F.lit("/_delta_log/0.json")).alias("path"))
+    logs = pages.filter("html LIKE '%<table%' OR html LIKE '%<nav>%'")
+    logs = logs.select(F.concat(base, F.lit("/_delta_log/0.json")).alias("path"))
     data = pages.select(F.concat(base, F.lit("/part-0.parquet")).alias("path"))
     return discover_tables(logs.unionByName(data))
 

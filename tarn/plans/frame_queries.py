@@ -361,7 +361,11 @@ def assigned_label_range(spark, sf_dir):
 
 
 def _transposed_sql():
-    expressions = {"n": "count(*)::DOUBLE", "total": "sum(value::DECIMAL(18,4))::DOUBLE", "users": "max(user_id)::DOUBLE"}
+    expressions = {
+        "n": "count(*)::DOUBLE",
+        "total": "sum(value::DECIMAL(18,4))::DOUBLE",
+        "users": "max(user_id)::DOUBLE",
+    }
     kinds = ["click", "error", "purchase", "signup", "view"]
     return " UNION ALL ".join(
         f"""SELECT '{name}' AS "column", """

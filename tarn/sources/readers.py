@@ -121,9 +121,10 @@ def read_folder_tolerant(
     """The rows of all readable files, and a report (path, n_rows, ok) over every file.
 
     A file with one record that does not fit the schema is left out whole; if no file is
-    readable the call fails. The schema defaults to that of the first file;
-    `source_column` keeps the path of each row's file. Records are parsed once, at full width, into a staged table: parsing lazily would let column
-    pruning hide bad fields from later queries.
+    readable the call fails. The schema defaults to that of the first file, and
+    `source_column` keeps the path of each row's file. Records are parsed once, at full
+    width, into a staged table: parsing lazily would let column pruning hide bad fields
+    from later queries.
     """
     files = _listing(spark, path, glob or SUFFIXES[fmt], recursive=False)
     files = files.select(F.col("_metadata.file_path").alias(_SOURCE))
@@ -151,7 +152,7 @@ def read_folder_tolerant(
 
 
 def _tolerant_records(spark, path, fmt, schema, sep, multiline, glob):
-    flagged = schema.add(_CORRUPT, "string") if _CORRUPT not in schema.names else schema
+    flagged = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     parsed = (
         _reader(spark, fmt, sep, multiline, glob, False)
         .schema(flagged)

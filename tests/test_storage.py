@@ -5,6 +5,7 @@ import hashlib
 import os
 import zipfile
 from pathlib import Path
+from types import SimpleNamespace
 
 import duckdb
 import pytest
@@ -95,6 +96,9 @@ def test_bad_csv_files_are_left_out_whole(spark, tmp_path):
     assert rows(good) == [(1, "one"), (2, "two"), (6, "six")]
     assert rows(good.select("y")) == [("one",), ("six",), ("two",)]
     assert names(report, False) == ["b.csv", "c.csv"]
+    schema = good.schema
+    readers.read_folder_tolerant(spark, folder, "csv", schema=schema, sep=",")
+    assert schema.names == ["x", "y"]
     assert names(report, True) == ["a.csv", "d.csv", "e.csv"]
 
 
@@ -300,6 +304,15 @@ def test_scratch_is_where_the_session_says(spark):
     assert base is None or path.startswith(base)
 
 
+def test_scratch_without_a_setting():
+    def session(master):
+        conf = {"spark.sql.warehouse.dir": "hdfs://shared/warehouse"}
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert Path(scratch_path(session("local[2]"), "x")).parent.is_dir()
+    assert scratch_path(session("yarn"), "x").startswith("hdfs://shared/warehouse/")
+
+
 # ---- catalog ------------------------------------------------------------------------
 
 
