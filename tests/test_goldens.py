@@ -275,7 +275,7 @@ def test_names(spark):
     assert sanitized("a - b") == "a__b"
     runs = {n: len(sanitized("a" + "-" * n + "b")) - 2 for n in range(1, 10)}
     assert runs == {1: 1, 2: 1, 3: 2, 4: 2, 5: 1, 6: 1, 7: 2, 8: 2, 9: 3}
-    assert table_name_from_folder("raw/kvk-company/") == "kvkcompany"
+    assert table_name_from_folder("raw/car-parts/") == "carparts"
     assert table_name_from_folder("raw/dummy_csv/") == "dummy"
     dirty = ["firstName", "ábc@!*", "% successful (2009)", "REPEAT VALUE", "REPEAT VALUE", ""]
     clean = ["first_name", "abc", "percent_successful_2009", "repeat_value", "repeat_value_2", "x"]
