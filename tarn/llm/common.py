@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,24 @@ def slabs(batches: Iterable[pa.RecordBatch], column: int, rows: int = 2_000, siz
             start = stop
 
 
+def coded_words(texts: pa.Array, lower: bool = False) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct words of some texts, all words in order as numbers into them, and where
+    the words of each text begin and end. Words are cut at white space; null has none."""
+    texts = pc.fill_null(texts, "")
+    words = pc.utf8_split_whitespace(pc.utf8_lower(texts) if lower else texts)
+    coded = words.flatten().dictionary_encode()
+    vocabulary, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+    starts = words.offsets.to_numpy().astype(np.int64) - words.offsets[0].as_py()
+    if "" in vocabulary:  # what is left of and right of white space at the ends of a text
+        empty = vocabulary.index("")
+        kept = codes != empty
+        starts = np.concatenate(([0], np.cumsum(kept)))[starts]
+        codes = codes[kept]
+        codes = codes - (codes > empty)
+        del vocabulary[empty]
+    return vocabulary, codes, starts
+
+
 def mix64(values: np.ndarray) -> np.ndarray:
     """A bijective mix of 64-bit values (the finaliser of splitmix64)."""
     x = values.astype(np.uint64, copy=True)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tarn.llm.common import slabs
+from tarn.llm.common import coded_words, slabs
 from tarn.session import stage
 
 CAPACITY = 4096
@@ -85,17 +85,13 @@ class WordEncoder:
             ids = [self._whole(t) for t in texts.to_pylist()]
             ends = np.cumsum([0, *map(len, ids)]) // 4
             return np.frombuffer(b"".join(ids), "<u4"), ends
-        words = pc.utf8_split_whitespace(texts)
-        coded = words.flatten().dictionary_encode()
-        vocabulary = self._word_ids(coded.dictionary.to_pylist())
-        size = np.fromiter(map(len, vocabulary), np.int64, len(vocabulary)) // 4
-        known = np.frombuffer(b"".join(vocabulary), "<u4")
-        code = coded.indices.to_numpy(zero_copy_only=False)
+        words, code, starts = coded_words(texts)
+        ids = self._word_ids(words)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         length = size[code]
         ends = np.concatenate(([0], np.cumsum(length)))
         places = np.repeat((np.cumsum(size) - size)[code] - ends[:-1], length) + np.arange(ends[-1])
-        offsets = words.offsets.to_numpy() - words.offsets[0].as_py()
-        return known[places], ends[offsets]
+        return np.frombuffer(b"".join(ids), "<u4")[places], ends[starts]
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()

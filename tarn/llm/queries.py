@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tarn.llm.common import read_table
+from tarn.llm import langid, packing, simhash, toxicity
+from tarn.llm.common import checksum_rest, read_table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -15,13 +16,32 @@ def registered(run):
 
 @registered
 def op4_best_fit_packing(spark, sf_dir):
-    from tarn.llm.packing import pack_documents, tokenizer_file
-
-    return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_file())
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), packing.tokenizer_file())
 
 
 @registered
 def op7_simhash_near_dedup(spark, sf_dir):
-    from tarn.llm.simhash import near_duplicates
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
+@registered
+def op6_language_id(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = checksum_rest("doc_id", 3) == 1
+    model = langid.train(docs.filter(~held_out), "text", "lang")
+    return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@registered
+def op10_weak_supervision_toxicity(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = checksum_rest("doc_id", 5) == 0
+    model = toxicity.train(docs.filter(~held_out), read_table(spark, sf_dir, "labels"))
+    return toxicity.score_texts(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@registered
+def pipeline(spark, sf_dir):
+    from corpus_pipeline import run
 
-    return near_duplicates(read_table(spark, sf_dir, "documents"))
+    return run(spark, sf_dir)
