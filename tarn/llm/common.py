@@ -37,11 +37,14 @@ def slabs(batches: Iterable[pa.RecordBatch], column: int, rows: int = 2_000, siz
             start = stop
 
 
-def coded_words(texts: pa.Array, lower: bool = False) -> tuple[list[str], np.ndarray, np.ndarray]:
+def coded_words(texts: pa.Array, lower: bool = False, ascii: bool = False) -> tuple[list[str], np.ndarray, np.ndarray]:
     """The distinct words of some texts, all words in order as numbers into them, and where
-    the words of each text begin and end. Words are cut at white space; null has none."""
+    the words of each text begin and end. Words are cut at white space; null has none.
+    With `ascii`, only ASCII white space cuts, and only A-Z are lowered."""
     texts = pc.fill_null(texts, "")
-    words = pc.utf8_split_whitespace(pc.utf8_lower(texts) if lower else texts)
+    if lower:
+        texts = pc.ascii_lower(texts) if ascii else pc.utf8_lower(texts)
+    words = pc.ascii_split_whitespace(texts) if ascii else pc.utf8_split_whitespace(texts)
     coded = words.flatten().dictionary_encode()
     vocabulary, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
     starts = words.offsets.to_numpy().astype(np.int64) - words.offsets[0].as_py()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tarn.llm import langid, packing, simhash, toxicity
+from tarn.llm import langid, language_model, packing, simhash, toxicity
 from tarn.llm.common import checksum_rest, read_table
 
 QUERIES: dict = {}
@@ -45,3 +45,9 @@ def pipeline(spark, sf_dir):
     from corpus_pipeline import run
 
     return run(spark, sf_dir)
+
+
+@registered
+def op9_context_tree_scores(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return language_model.score_documents(docs, checksum_rest("doc_id", 10) == 0)
