@@ -2,8 +2,22 @@
 
 from __future__ import annotations
 
-from tarn.llm import langid, language_model, packing, simhash, toxicity
+from pyspark.sql import functions as F
+
+from tarn.llm import (
+    exact_search,
+    langid,
+    language_model,
+    packing,
+    segmentation,
+    simhash,
+    toxicity,
+    vector_dedup,
+    warc,
+    wordpiece,
+)
 from tarn.llm.common import checksum_rest, read_table
+from tarn.session import scratch_path
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -51,3 +65,70 @@ def pipeline(spark, sf_dir):
 def op9_context_tree_scores(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     return language_model.score_documents(docs, checksum_rest("doc_id", 10) == 0)
+
+
+@registered
+def op1_exact_top_products(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "embeddings")
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * 256))
+    vectors = rows.filter(F.col("embedding").isNotNull() & finite).select("vec_id", whole.alias("vector"))
+    return exact_search.top_products(vectors, F.col("vec_id") % 50 == 0, "vec_id", "vector")
+
+
+SQL["op1_exact_top_products"] = """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS z FROM embeddings
+        WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), pairs AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.z, c.z)::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM pairs
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
+@registered
+def op2_content_addressed_warc(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages")
+    records = pages.select(
+        F.col("page_id").alias("key"), F.col("url").alias("uri"), F.encode("html", "UTF-8").alias("payload")
+    )
+    path = scratch_path(spark, "warc")
+    warc.write_archive(records, path)
+    return warc.described(warc.read_archive(spark, path)).withColumnRenamed("key", "page_id")
+
+
+SQL["op2_content_addressed_warc"] = """
+    WITH p AS (
+        SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS h,
+               max(page_id) OVER (PARTITION BY coalesce(html, '')) AS newest
+        FROM pages
+    )
+    SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes,
+           list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               1 + ((('0x' || substr(h, 1 + 10 * (i // 8), 10))::BIGINT >> (35 - 5 * (i % 8))) & 31)::INT, 1)),
+               'string_agg', '') AS payload_digest,
+           CASE WHEN newest IS NULL OR page_id IS NOT DISTINCT FROM newest THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN newest IS NULL OR page_id IS NOT DISTINCT FROM newest THEN NULL ELSE newest END AS refers_to
+    FROM p"""
+
+
+@registered
+def op3_vector_near_dedup(spark, sf_dir):
+    return vector_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+@registered
+def op5_sampled_segmentations(spark, sf_dir):
+    model = packing.tokenizer_file("piece_bpe_32k.model")
+    rows = read_table(spark, sf_dir, "conversations")
+    return segmentation.sample_segmentations(rows, model, ["conv_id", "turn"], with_ids=False)
+
+
+@registered
+def op8_word_piece_counts(spark, sf_dir):
+    begin, inside = wordpiece.sentencepiece_vocabulary(packing.tokenizer_file("piece_bpe_32k.model"))
+    return wordpiece.count_tokens(read_table(spark, sf_dir, "documents"), begin, inside)
