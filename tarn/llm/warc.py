@@ -134,12 +134,12 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 def field(name: str) -> Column:
     """A header field of a record, null if it has none."""
-    return F.nullif(F.regexp_extract("header", rf"(?m)^{name}: (.*?)\r$", 1), F.lit(""))
+    return F.nullif(F.regexp_extract("header", rf"(?md)^{name}: (.*?)\r$", 1), F.lit(""))
 
 
 def record_number(name: str) -> Column:
     """The key in a field that holds a record id."""
-    return F.nullif(F.regexp_extract("header", rf"(?m)^{name}: <urn:x-record:(-?\d*)>\r$", 1), F.lit("")).cast("long")
+    return F.nullif(F.regexp_extract("header", rf"(?md)^{name}: <urn:x-record:(-?\d*)>\r$", 1), F.lit("")).cast("long")
 
 
 def whole_records(archive: DataFrame) -> DataFrame:
