@@ -28,7 +28,7 @@ SCRIPT_SHARE = 0.01
 UNKNOWN = "und"
 _BLOCK = 1 << 13
 _HELD_LANGUAGES = 64
-_CACHE_WORDS = 1_000_000
+_CACHE_WORDS = 300_000
 _IMPOSSIBLE = -1e6
 SPANS = pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32()), ("lang", pa.string())]))
 _SMOOTHING = 0.5
@@ -124,7 +124,7 @@ def train(rows: DataFrame, text_column: str, language_column: str) -> Model:
     def count(batches):
         tables: dict[str, np.ndarray] = {}
         scripts: dict[str, np.ndarray] = {}
-        for batch in slabs(batches, 0, rows=8_000, size=16 << 20):
+        for batch in slabs(batches, 0, rows=8_000):
             words, codes, starts = coded_words(batch.column(0), lower=True)
             if not words:
                 continue
@@ -304,7 +304,7 @@ def identify(
 
     def label(batches):
         labeller = Labeller(shared.value)
-        size = (64 << 20) // max(4, len(shared.value.languages))
+        size = (32 << 20) // max(4, len(shared.value.languages))
         for batch in slabs(batches, 1, rows=8_000, size=size):
             language, score, spans = labeller.label(batch.column(1))
             yield pa.RecordBatch.from_arrays(

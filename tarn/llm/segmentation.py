@@ -28,7 +28,7 @@ from tarn.llm.common import slabs
 
 BLANK = "▁"
 SAMPLES = 4
-_CACHE_PARTS = 200_000
+_CACHE_PARTS = 50_000
 
 
 @dataclass

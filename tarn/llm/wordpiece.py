@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tarn.llm.common import coded_words, slabs
 
-_CACHE_WORDS = 1_000_000
+_CACHE_WORDS = 300_000
 _CACHE_CHARS = 64
 
 
@@ -110,7 +110,7 @@ def count_tokens(
     def count(batches):
         known: dict[str, int] = {}
         spell = automaton.value.count
-        for batch in slabs(batches, 1, size=16 << 20):
+        for batch in slabs(batches, 1):
             words, codes, starts = coded_words(batch.column(1))
             if len(known) > _CACHE_WORDS:
                 known.clear()
