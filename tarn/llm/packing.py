@@ -10,6 +10,7 @@ more. Only lengths travel, and no group grows with the data.
 from __future__ import annotations
 
 import json
+import os
 import re
 import zlib
 from array import array
@@ -45,7 +46,7 @@ _PLAIN = re.compile("[!-~\xa1-\xac\xae-\u024f]+").fullmatch
 #: How a byte-level tokenizer shows the bytes that are not printable (a fixed rule).
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 _SHOWN = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
-_CACHE_WORDS = 1_000_000
+_CACHE_WORDS = 250_000
 _CACHE_CHARS = 64
 
 
@@ -79,6 +80,8 @@ class WordEncoder:
         """All ids one after another, and where the ids of each text begin and end."""
         if len(self.words) > _CACHE_WORDS:
             self.words, self.parts = {}, {}
+        elif len(self.parts) > _CACHE_WORDS // 2:
+            self.parts = {}
         texts = pc.fill_null(texts, "")
         odd = pc.match_substring_regex(texts, "[\x1c-\x1f]")
         if pc.any(odd).as_py():
@@ -114,14 +117,13 @@ class WordEncoder:
         return found
 
     def _learn_parts(self, parts: list[str]) -> None:
-        shown = [p if p.isascii() else p.encode().decode("latin-1").translate(_SHOWN) for p in parts]
-        runs = [shown[i : i + 500] for i in range(0, len(shown), 500)]
-        encoded = self.model.encode_batch_fast(runs, is_pretokenized=True, add_special_tokens=False)
-        for i, e in enumerate(encoded):
-            ids = np.array(e.ids, "<u4")
+        for at in range(0, len(parts), 500):  # few at a time, as an encoding is much larger than its ids
+            own = parts[at : at + 500]
+            shown = [p if p.isascii() else p.encode().decode("latin-1").translate(_SHOWN) for p in own]
+            (encoded,) = self.model.encode_batch_fast([shown], is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(encoded.ids, "<u4")
             ends = (4 * (np.flatnonzero(self.ends_part[ids]) + 1)).tolist()
-            data, own = ids.tobytes(), parts[500 * i : 500 * (i + 1)]
-            spans = zip([0, *ends[:-1]], ends, strict=True)
+            data, spans = ids.tobytes(), zip([0, *ends[:-1]], ends, strict=True)
             self.parts.update(zip(own, [data[a:b] for a, b in spans], strict=True))
 
 
@@ -170,8 +172,9 @@ def pieces(
     width = 4 * capacity
 
     def cut(batches):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
         encoder, item = WordEncoder(definition), TaskContext.get().partitionId() << 40
-        for batch in slabs(batches, 1):
+        for batch in slabs(batches, 1, size=4 << 20):
             ids, ends = encoder.encode_batch(batch.column(1))
             rows = []
             for key, start, end in zip(batch.column(0).to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
