@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -19,6 +21,21 @@ def checksum_rest(column: str, modulus: int) -> Column:
     return F.crc32(text.cast("binary")) % modulus
 
 
+def shared(spark: SparkSession, value):
+    """A function that gives tasks a broadcast value; each task unpacks it once.
+
+    Objects of this package are packed with their classes, which executors need not have.
+    """
+    packed, unpacked = spark.sparkContext.broadcast(cloudpickle.dumps(value)), []
+
+    def get():
+        if not unpacked:
+            unpacked.append(pickle.loads(packed.value))
+        return unpacked[0]
+
+    return get
+
+
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

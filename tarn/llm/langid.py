@@ -9,7 +9,6 @@ of a text, with a penalty for every change of language, labels spans.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -17,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarn.llm.common import coded_words, mix64, slabs
+from tarn.llm.common import coded_words, mix64, shared, slabs
 
 ORDERS = (1, 2, 3, 4)
 SLOTS = 1 << 17
@@ -69,16 +68,16 @@ def _codes(words: list[str]) -> np.ndarray:
     return np.frombuffer(line.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-@cache
-def _letter_table() -> np.ndarray:
+def letter_table() -> np.ndarray:
+    """Whether a code point is a letter; made once per task."""
     return np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
 
 
-def _letters(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def _letters(words: list[str], is_letter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Letters and main script of each word."""
     code = _codes(words)
     owner = np.clip(np.cumsum(code == 32) - 1, 0, len(words) - 1)
-    letter = _letter_table()[code]
+    letter = is_letter[code]
     count = np.bincount(owner, weights=letter, minlength=len(words)).astype(np.int64)
     script = np.full(len(words), _NAMES.index("latin"))
     for i in np.unique(owner[letter & (code >= _STARTS[1])]).tolist():
@@ -124,12 +123,13 @@ def train(rows: DataFrame, text_column: str, language_column: str) -> Model:
     def count(batches):
         tables: dict[str, np.ndarray] = {}
         scripts: dict[str, np.ndarray] = {}
+        is_letter = letter_table()
         for batch in slabs(batches, 0, rows=8_000):
             words, codes, starts = coded_words(batch.column(0), lower=True)
             if not words:
                 continue
             number, slot = _grams(words)
-            letters, script = _letters(words)
+            letters, script = _letters(words, is_letter)
             spoken = batch.column(1).dictionary_encode()
             of_word = np.repeat(spoken.indices.to_numpy(), np.diff(starts))
             for i, language in enumerate(spoken.dictionary.to_pylist()):
@@ -179,14 +179,14 @@ def train(rows: DataFrame, text_column: str, language_column: str) -> Model:
     return Model(languages, logp.astype(np.float32), share >= SCRIPT_SHARE, common)
 
 
-def score_words(words: list[str], model: Model) -> tuple[np.ndarray, np.ndarray]:
+def score_words(words: list[str], model: Model, is_letter: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Letters of each word and its score under each language.
 
     Scores are sums of n-gram log probabilities, over the number of orders. A language that
     does not write in the word's script is no candidate; a word without letters, or in a
     script of no language, says nothing.
     """
-    letters, script = _letters(words)
+    letters, script = _letters(words, is_letter)
     scores = np.zeros((len(words), len(model.languages)), np.float32)
     number, slot = _grams(words)
     for i, table in enumerate(model.logp):
@@ -239,7 +239,7 @@ class Labeller:
     """Labels texts under a model and keeps the scores of the words it has seen."""
 
     def __init__(self, model: Model, penalty: float = SWITCH_PENALTY):
-        self.model, self.penalty = model, penalty
+        self.model, self.penalty, self.is_letter = model, penalty, letter_table()
         self._forget()
 
     def _forget(self) -> None:
@@ -253,7 +253,7 @@ class Labeller:
         rows = list(map(self.known.get, words))
         fresh = [i for i, row in enumerate(rows) if row is None]
         if fresh:
-            letters, scores = score_words([words[i] for i in fresh], self.model)
+            letters, scores = score_words([words[i] for i in fresh], self.model, self.is_letter)
             first = len(self.letters)
             self.letters = np.concatenate((self.letters, letters))
             self.scores = np.concatenate((self.scores, scores))
@@ -300,11 +300,11 @@ def identify(
 ) -> DataFrame:
     """(id, lang_pred, score, spans) of every row; ids may be null or repeated, and further
     columns are not read. Spans are (first word, number of words, language)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    get = shared(docs.sparkSession, model)
 
     def label(batches):
-        labeller = Labeller(shared.value)
-        size = (32 << 20) // max(4, len(shared.value.languages))
+        labeller = Labeller(get())
+        size = (32 << 20) // max(4, len(get().languages))
         for batch in slabs(batches, 1, rows=8_000, size=size):
             language, score, spans = labeller.label(batch.column(1))
             yield pa.RecordBatch.from_arrays(

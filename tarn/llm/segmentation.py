@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarn.llm.common import slabs
+from tarn.llm.common import shared, slabs
 
 BLANK = "▁"
 SAMPLES = 4
@@ -211,7 +211,7 @@ def sample_segmentations(
     columns are not read.
     """
     spark = rows.sparkSession
-    vocabulary = spark.sparkContext.broadcast(Vocabulary.load(model_path, sharpness))
+    get = shared(spark, Vocabulary.load(model_path, sharpness))
     keys = [F.col(f"`{c}`").cast("long").alias(f"k{i}") for i, c in enumerate(key_columns)]
     source = rows.select(
         F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text"),
@@ -221,13 +221,14 @@ def sample_segmentations(
     n_keys = len(keys)
 
     def draw(batches):
-        sampler = Sampler(vocabulary.value)
+        vocabulary = get()
+        sampler = Sampler(vocabulary)
         for batch in slabs(batches, 0, rows=500):
             out = []
             for i, (text, row_seed) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
                 for n, (ids, logp, inclusion) in enumerate(sampler.sample(text, samples, row_seed & (2**63 - 1))):
                     crc = zlib.crc32(np.array(ids, "<u4").tobytes())
-                    out.append((i, n, ids, len(ids), crc, logp, inclusion, decode(ids, vocabulary.value) == text))
+                    out.append((i, n, ids, len(ids), crc, logp, inclusion, decode(ids, vocabulary) == text))
             owner, *found = (list(c) for c in zip(*out, strict=True))
             taken = [batch.column(2 + j).take(pa.array(owner)) for j in range(n_keys)]
             arrays = [pa.array(c, t) for c, t in zip(found, types, strict=True)]

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarn.llm.common import coded_words, slabs
+from tarn.llm.common import coded_words, shared, slabs
 from tarn.session import broadcast_if_small
 
 #: Beginnings of words that may become voters, besides whole words.
@@ -101,11 +101,11 @@ def text_patterns(text: str | None) -> list[float]:
 
 def _count_stems(rows: DataFrame, wanted: dict[str, int] | None) -> DataFrame:
     """(stem, n): the number of texts with each stem."""
-    shared = rows.sparkSession.sparkContext.broadcast(wanted)
+    get = shared(rows.sparkSession, wanted)
 
     def count(batches):
         for batch in slabs(batches, 0):
-            names, _, stem = text_stems(batch.column(0), None if shared.value is None else dict(shared.value))
+            names, _, stem = text_stems(batch.column(0), get())
             times = np.bincount(stem, minlength=len(names))
             found = np.flatnonzero(times)
             listed = np.array(list(names), dtype=object)
@@ -289,11 +289,11 @@ def train(rows: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     def sampled(frame, n):
         return frame.filter(F.pmod(F.xxhash64("id"), F.lit(max(1, -(-n // FIT_ROWS)))) == 0)
 
-    shared = spark.sparkContext.broadcast(numbers)
+    get = shared(spark, numbers)
 
     def show(batches):
         for batch in slabs(batches, 1):
-            votes, patterns = votes_of(batch.column(1), shared.value)
+            votes, patterns = votes_of(batch.column(1), get())
             fired = [np.flatnonzero(v) for v in votes]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(fired, pa.list_(pa.int64())),
@@ -320,11 +320,11 @@ def train(rows: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
 def score_texts(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, score, predicted) of every row; predicted is 1 from 0.5 on. Null and empty texts
     fire no voter. Ids may be null or repeated; further columns are not read."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    get = shared(docs.sparkSession, model)
 
     def score(batches):
         for batch in slabs(batches, 1):
-            values = shared.value.score(batch.column(1))
+            values = get().score(batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(values), pa.array((values >= 0.5).astype(np.int32))],
                 ["id", "score", "predicted"],

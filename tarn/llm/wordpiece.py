@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarn.llm.common import coded_words, slabs
+from tarn.llm.common import coded_words, shared, slabs
 
 _CACHE_WORDS = 300_000
 _CACHE_CHARS = 64
@@ -105,11 +105,11 @@ def count_tokens(
     counts as unknown. A null or empty text has none. Ids may be null or repeated; further
     columns are not read.
     """
-    automaton = docs.sparkSession.sparkContext.broadcast(Automaton(begin, inside))
+    automaton = shared(docs.sparkSession, Automaton(begin, inside))
 
     def count(batches):
         known: dict[str, int] = {}
-        spell = automaton.value.count
+        spell = automaton().count
         for batch in slabs(batches, 1):
             words, codes, starts = coded_words(batch.column(1))
             if len(known) > _CACHE_WORDS:
