@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # The accepted join type names.
 JOIN_TYPES = [
@@ -31,23 +30,15 @@ def split_outer_join(left: DataFrame, right: DataFrame, on: list[str], how: str)
     return rows.select(*[f"`{c}`" for c in columns])
 
 
-def combine_all(left: DataFrame, right: DataFrame, max_right_rows: int = 1_000) -> DataFrame:
-    """Every left row with every row of a small right table; clashing names get `.x`, `.y`.
+def combine_all(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every left row with every right row; clashing names get `.x`, `.y`.
 
-    The right side travels as one literal list that each left row unfolds: no join and no
-    shuffle. More than `max_right_rows` right rows are refused, never cut.
+    All pairs are the feature here, so this one is a cross join: its result is as large as
+    the product of both sides.
     """
-    if right.limit(max_right_rows + 1).count() > max_right_rows:
-        raise ValueError(f"right side has more than {max_right_rows} rows")
-    listed = right.agg(F.collect_list(F.struct(*[f"`{c}`" for c in right.columns])))
     clash = {c.lower() for c in left.columns} & {c.lower() for c in right.columns}
-    named_left = [F.col(f"`{c}`").alias(f"{c}.x" if c.lower() in clash else c) for c in left.columns]
-    paired = left.select(*named_left, listed.scalar().alias("__rows"))
-    paired = paired.withColumn("__row", F.explode("__rows"))
-    return paired.select(
-        *[F.col(f"`{c}.x`" if c.lower() in clash else f"`{c}`") for c in left.columns],
-        *[
-            F.col("__row").getField(c).alias(f"{c}.y" if c.lower() in clash else c)
-            for c in right.columns
-        ],
-    )
+
+    def named(df: DataFrame, suffix: str) -> DataFrame:
+        return df.toDF(*[f"{c}{suffix}" if c.lower() in clash else c for c in df.columns])
+
+    return named(left, ".x").crossJoin(named(right, ".y"))

@@ -33,9 +33,10 @@ def _sortable(data_type: T.DataType) -> bool:
 def lay_out(df: DataFrame, order_by: list[str | Column], unique: bool = False) -> DataFrame:
     """`df` in global order, staged, with a `__stamp` of (range, position in range).
 
-    `unique` promises that `order_by` has no ties. Without it all other columns break ties,
-    so the order does not depend on partitioning, and a salt follows them so that even a
-    huge group of identical rows is cut into several ranges. The salt numbers the rows as
+    `unique` promises that `order_by` has hardly any ties. Without it a hash of the other
+    columns breaks ties, so the order does not depend on partitioning and no wide column is
+    sampled or sorted, and a salt follows it so that even a huge group of identical rows is
+    cut into several ranges. Name further columns in `order_by` for a tie order of your own. The salt numbers the rows as
     they come. A rerun task has to hand out the same ones, or copies could get lost, so the
     rows are staged first unless they come straight from a scan.
     """
@@ -49,8 +50,9 @@ def lay_out(df: DataFrame, order_by: list[str | Column], unique: bool = False) -
             for f in df.schema.fields
             if _sortable(f.dataType) and f.name not in named
         ]
+        tie = [F.xxhash64(*ties)] if ties else []
         steady = df if comes_in_file_order(df) else stage(df, "unordered")
-        full = [*keys, *ties, F.col(_SALT)]
+        full = [*keys, *tie, F.col(_SALT)]
         salted = steady.withColumn(_SALT, F.monotonically_increasing_id())
         laid = salted.repartitionByRange(*full).sortWithinPartitions(*full).drop(_SALT)
     return stage(laid.withColumn(STAMP, F.monotonically_increasing_id()), "ordered")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,39 +10,78 @@ from pyspark.sql import functions as F
 from tarn.functions.columns import content_hash
 from tarn.session import settings
 from tarn.sources.readers import file_inventory
-from tarn.sources.writers import TARGET_MB, qualified_path, replace_folder
+from tarn.sources.writers import TARGET_MB, _fs
 
 RETAIN_HOURS = 168
 
 
-def compact(spark: SparkSession, path: str, target_mb: int = TARGET_MB) -> bool:
-    """Rewrite a Parquet folder in files of about `target_mb`; False if there is no need.
+_COMPACTING = "_compact-"
+_REPLACES = "_replaces"
+
 
-    A folder with at most one file below half the target (per partition folder) is left
-    alone. Otherwise the scan itself packs small files into tasks of the target size, and
-    each task writes one file: no shuffle. Only a table in partition folders is exchanged,
-    by its partition columns. The finished folder then replaces the old one.
+def compact(spark: SparkSession, path: str, target_mb: int = TARGET_MB) -> bool:
+    """Pack the small files of a Parquet table into files of about `target_mb`; False if
+    there is nothing to pack.
+
+    A file is small below half the target. Each folder with two or more of them is packed by
+    itself: the scan packs the small files into tasks of the target size and each task
+    writes one file, without a shuffle; large files are not touched. Columns that only some
+    of the files have stay, with NULL in the other rows; types that conflict are an error.
+    The new files wait in a hidden folder with a list of those they replace. From then on the
+    change is decided: if this is interrupted, the next call carries it through.
     """
+    fs, _ = _fs(spark, path)
+    _finish(spark, fs, path)
     files = file_inventory(spark, path, "*.parquet").withColumn("folder", F.regexp_extract("path", "(.*)/", 1))
     small = files.filter(F.col("size") < target_mb * 1024 * 1024 // 2)
-    if not small.groupBy("folder").count().filter("count > 1").head(1):
-        return False
-    inside = files.head().folder.removeprefix(qualified_path(spark, path))
-    partition_by = re.findall(r"/([^/=]+)=[^/]*", inside)
-    size = f"{target_mb}m"
-    with settings(
-        spark,
-        spark__sql__files__maxPartitionBytes=size,
-        spark__sql__files__openCostInBytes="0",
-        spark__sql__files__minPartitionNum="1",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes=size,
-        spark__sql__sources__partitionColumnTypeInference__enabled="false",  # keeps folder names
-    ):
-        table = spark.read.parquet(path)
-        if partition_by:
-            table = table.hint("rebalance", *partition_by)
-        replace_folder(table, path, lambda df, fresh: df.write.partitionBy(*partition_by).parquet(fresh))
-    return True
+    crowded = small.groupBy("folder").agg(F.collect_list("path").alias("paths")).filter("size(paths) > 1")
+    packed, size = False, f"{target_mb}m"
+    for row in crowded.toLocalIterator():
+        tag = uuid.uuid4().hex
+        fresh = f"{row.folder}/{_COMPACTING}{tag}"
+        with settings(
+            spark,
+            spark__sql__files__maxPartitionBytes=size,
+            spark__sql__files__openCostInBytes="0",
+            spark__sql__files__minPartitionNum="1",
+            spark__sql__sources__partitionColumnTypeInference__enabled="false",
+        ):
+            rows = spark.read.option("mergeSchema", "true").option("basePath", row.folder).parquet(*row.paths)
+            rows.write.parquet(fresh)
+        listed = fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{fresh}/{_REPLACES}"))
+        listed.write(bytearray("\n".join(p.rsplit("/", 1)[1] for p in row.paths).encode()))
+        listed.close()
+        packed = True
+    _finish(spark, fs, path)
+    spark.catalog.refreshByPath(path)
+    return packed
+
+
+def _finish(spark: SparkSession, fs, path: str) -> None:
+    """Carry decided compactions through, and forget undecided ones."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    pending = [hadoop.Path(path)]
+    while pending:
+        folder = pending.pop()
+        for status in fs.listStatus(folder):
+            inner = status.getPath()
+            if not status.isDirectory():
+                continue
+            if not inner.getName().startswith(_COMPACTING):
+                pending.append(inner)
+                continue
+            replaces = hadoop.Path(inner, _REPLACES)
+            if fs.exists(replaces):
+                listed = fs.open(replaces)
+                names = spark._jvm.org.apache.commons.io.IOUtils.toString(listed, "UTF-8")
+                listed.close()
+                for name in names.split("\n"):
+                    fs.delete(hadoop.Path(folder, name), False)
+                for done in fs.listStatus(inner):
+                    name = done.getPath().getName()
+                    if name.startswith("part-"):
+                        fs.rename(done.getPath(), hadoop.Path(folder, name))
+            fs.delete(inner, True)
 
 
 def expired_files(

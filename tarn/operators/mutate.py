@@ -6,11 +6,13 @@ publishes the result. Nothing overwrites a path that the same plan reads.
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarn.operators.keys import assign_surrogate_keys
 from tarn.operators.validate import require_key
+from tarn.session import stage
 
 _HIT = "__hit"
 
@@ -28,24 +30,40 @@ def merge_update(
     """
     on = on or [target.columns[1]]
     protect = [target.columns[0]] if protect is None else protect
+    source = _named_like(source, target)
     require_key(source.dropna(subset=on), on, "merge source")
-    return _overlay(target, source, on, protect)
-
-
-def _overlay(target: DataFrame, source: DataFrame, on: list[str], protect: list[str]) -> DataFrame:
-    changed = [c for c in target.columns if c in source.columns and c not in {*on, *protect}]
+    changed = _changed(target, source, [*on, *protect])
     incoming = source.select(
         *on, *[F.col(f"`{c}`").alias(f"__new_{c}") for c in changed], F.lit(True).alias(_HIT)
     )
     joined = target.join(incoming, on, "left")
+    return joined.select(*_overlaid(target, changed, F.col(_HIT)))
+
+
+def _named_like(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Source columns under the names of the target, whatever their case; one that the
+    target lacks is an error."""
+    names = {c.lower(): c for c in target.columns}
+    unknown = [c for c in source.columns if c.lower() not in names]
+    if unknown:
+        raise ValueError(f"the target has no columns {unknown}")
+    return source.toDF(*[names[c.lower()] for c in source.columns])
+
+
+def _changed(target: DataFrame, source: DataFrame, kept: list[str]) -> list[str]:
+    return [c for c in target.columns if c in source.columns and c not in kept]
+
+
+def _overlaid(target: DataFrame, changed: list[str], hit: Column) -> list[Column]:
+    """The target's columns, `__new_` values over the changed ones where `hit` is true."""
 
     def value(c: str) -> Column:
         if c not in changed:
             return F.col(f"`{c}`")
         new = F.col(f"`__new_{c}`").cast(target.schema[c].dataType)
-        return F.when(F.col(_HIT), new).otherwise(F.col(f"`{c}`")).alias(c)
+        return F.when(hit, new).otherwise(F.col(f"`{c}`")).alias(c)
 
-    return joined.select(*[value(c) for c in target.columns])
+    return [value(c) for c in target.columns]
 
 
 def new_members(target: DataFrame, source: DataFrame, on: list[str]) -> DataFrame:
@@ -67,17 +85,32 @@ def renew_dimension(
 
     Known members keep their surrogate key, new ones get `max + 1, max + 2, ...` in key
     order (from 1 on an empty dimension). The key of `incoming` has to be unique and not
-    null: a NULL never matches and would be inserted again by every run.
+    null: a NULL never matches and would be inserted again by every run. Columns are matched
+    whatever their case, and one that `dim` lacks is an error. Both tables are read once, by
+    one full join that is staged.
     """
     surrogate = surrogate or dim.columns[0]
     key = key or dim.columns[1]
-    require_key(incoming, [key], "incoming dimension rows")
-    attributes = [c for c in dim.columns if c != surrogate]
-    highest = dim.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("bigint")).scalar()
-    fresh = new_members(dim, incoming.select(*[f"`{c}`" for c in attributes]), [key])
-    keyed = assign_surrogate_keys(fresh, [key], highest, surrogate, unique=True)
+    incoming = _named_like(incoming, dim)
+    changed = _changed(dim, incoming, [key, surrogate])
+    # one row per incoming key; the plan itself finds keys that are missing or repeated
+    fields = F.struct(F.lit(True).alias(_HIT), *[F.col(f"`{c}`").alias(f"__new_{c}") for c in changed])
+    per_key = incoming.groupBy(key).agg(F.count("*").alias("__n"), F.first(fields).alias("__fields"))
+    wrong = F.raise_error(F.lit(f"incoming dimension rows: [{key!r}] is not a key"))
+    checked = F.when(F.col(key).isNull() | (F.col("__n") > 1), wrong.cast(incoming.schema[key].dataType))
+    rows = per_key.select(checked.otherwise(F.col(key)).alias(key), "__fields.*")
+    try:
+        both = stage(dim.withColumn("__known", F.lit(True)).join(rows, key, "full"), "renewed")
+    except PySparkException as error:
+        if "is not a key" in str(error):
+            raise ValueError(f"incoming dimension rows: [{key!r}] is not a key") from None
+        raise
+    known = both.filter("__known").select(*_overlaid(dim, changed, F.col(_HIT)))
+    highest = both.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("bigint")).scalar()
+    fresh = both.filter("__known IS NULL").select(*_overlaid(dim, changed, F.lit(True)))
+    keyed = assign_surrogate_keys(fresh.drop(surrogate), [key], highest, surrogate, unique=True)
     keyed = keyed.select(*[F.col(f"`{c}`").cast(dim.schema[c].dataType).alias(c) for c in dim.columns])
-    return _overlay(dim, incoming, [key], [surrogate]).unionByName(keyed)
+    return known.unionByName(keyed)
 
 
 def densify_missing(

@@ -8,18 +8,21 @@ import unicodedata
 from pyspark.sql import DataFrame
 
 
-def sanitized(name: str) -> str:
-    """Anything but letters, digits and `_` becomes `_`; then runs of `_` shrink.
+# Runs of underscores shrink by these replacements, in this order.
+SHRINK = (("__", "_"), ("___", "_"))
 
-    Pairs are merged first and triples of what is left after that, so a run of one or two
-    leaves one, of three or four leaves two, of five or six one again.
-    """
 
-    def shrink(run: re.Match) -> str:
-        pairs = -(-len(run.group()) // 2)
-        return "_" * (pairs // 3 + pairs % 3)
+def only_word_characters(text: str, filler: str) -> str:
+    """`text` with `filler` for every character but letters, digits and underscores."""
+    return re.sub(r"\W", filler, text)
 
-    return re.sub("_+", shrink, re.sub(r"\W", "_", name))
+
+def sanitized(name: str) -> str:
+    """A name of letters, digits and underscores; runs of underscores are shortened."""
+    name = only_word_characters(name, "_")
+    for run, shorter in SHRINK:
+        name = name.replace(run, shorter)
+    return name
 
 
 def sanitize_columns(df: DataFrame) -> DataFrame:
@@ -34,17 +37,20 @@ def sanitize_columns(df: DataFrame) -> DataFrame:
 
 def cleaned_names(names: list[str]) -> list[str]:
     """snake_case ASCII names; `%` and `#` are spelled out, repeats get `_2`, `_3`, ..."""
-    cleaned, seen = [], {}
+    cleaned: list[str] = []
     for name in names:
         text = name.replace("%", "_percent_").replace("#", "_number_")
         text = unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode()
         text = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", text)
         text = re.sub(r"([A-Z]+)([A-Z][a-z])", r"\1_\2", text)
-        text = re.sub(r"[^A-Za-z0-9]+", "_", text).strip("_").lower() or "x"
+        text = re.sub(r"_+", "_", only_word_characters(text, "_")).strip("_").lower() or "x"
         if text[0].isdigit():
             text = "x" + text
-        seen[text] = seen.get(text, 0) + 1
-        cleaned.append(text if seen[text] == 1 else f"{text}_{seen[text]}")
+        unused, n = text, 1
+        while unused in cleaned:
+            n += 1
+            unused = f"{text}_{n}"
+        cleaned.append(unused)
     return cleaned
 
 
@@ -54,9 +60,11 @@ def clean_names(df: DataFrame) -> DataFrame:
 
 
 def table_name_from_folder(path: str) -> str:
-    """Name for a table loaded from `path`: its second-last piece, letters, digits and `_`.
+    """Name for the table of a folder: `raw/sales_csv/` and the files in it give `sales`.
 
-    A folder path ends with `/`; of `raw/sales_csv/` the table is `sales`.
+    A path that ends with `/` is the folder itself, any other one is a file in it. Letters,
+    digits and underscores of the folder's name stay, in lower case and without `_csv`.
     """
-    folder = path.rsplit("/", 2)[-2]
-    return re.sub(r"\W", "", folder).replace("_csv", "").lower()
+    folder, _, _ = path.rpartition("/")
+    name = only_word_characters(folder.rpartition("/")[2], "")
+    return name.replace("_csv", "").lower()

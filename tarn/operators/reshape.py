@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,11 +51,12 @@ def assign_between(df: DataFrame, label: str, first, last, column: str, value) -
     return df.withColumn(column, F.when(inside, F.lit(value)).otherwise(F.col(column)))
 
 
-def transpose(df: DataFrame, label: str, max_rows: int = 1_000) -> DataFrame:
+def transpose(df: DataFrame, label: str, max_rows: int) -> DataFrame:
     """Columns become rows, and each row becomes a column named after its label.
 
-    Only a frame of at most `max_rows` rows has a transpose a table can hold; a larger one
-    is an error. Numeric values come out as double, a mix with text as string.
+    Only a bounded frame has a transpose a table can hold: one of more than `max_rows` rows
+    is an error. Values take the type that Spark finds common to their columns, text if
+    there is none.
     """
     labels = [row[0] for row in df.select(F.col(label).cast("string")).orderBy(label).head(max_rows + 1)]
     if len(labels) > max_rows:
@@ -62,10 +64,12 @@ def transpose(df: DataFrame, label: str, max_rows: int = 1_000) -> DataFrame:
     if None in labels or len(set(labels)) < len(labels):
         raise ValueError(f"labels in {label} have to be unique and not null")
     values = [c for c in df.columns if c != label]
-    numeric = all(df.schema[c].dataType.simpleString() != "string" for c in values)
+    try:
+        common = df.select(F.coalesce(*[f"`{c}`" for c in values])).schema[0].dataType.simpleString()
+    except AnalysisException:
+        common = "string"
     wide = df.select(
-        F.col(label).cast("string").alias("__label"),
-        *[F.col(f"`{c}`").cast("double" if numeric else "string").alias(c) for c in values],
+        F.col(label).cast("string").alias("__label"), *[F.col(f"`{c}`").cast(common).alias(c) for c in values]
     )
     long = wide.unpivot("__label", values, "column", "__value")
     return long.groupBy("column").pivot("__label", labels).agg(F.first("__value"))

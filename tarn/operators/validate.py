@@ -30,7 +30,7 @@ def check_fk(
 
 
 def require_key(df: DataFrame, columns: list[str], what: str) -> None:
-    """Raise when `columns` is not a key of `df`; one narrow job, no rows on the driver."""
+    """Raise when `columns` is not a key of `df`; one aggregation over the key columns."""
     bad = check_pk(df, columns).head(1)
     if bad:
         raise ValueError(f"{what}: {columns} is not a key, e.g. {bad[0].asDict()}")

@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 from tarn.operators.maintain import discover_tables, expired_files
 from tarn.operators.mutate import densify_missing, merge_insert, merge_update, renew_dimension
 from tarn.plans.registry import query, table
-from tarn.session import scratch_path
-from tarn.sources.writers import write_json
+from tarn.session import scratch_path, stage
+from tarn.sources.writers import write_csv, write_json
 from tarn.streaming.ingest import (
     dedupe_exact,
     dedupe_latest,
     incremental_since,
     ingest_stream,
     land_pages,
+    reset_stream,
+    run_increment,
 )
 
 
@@ -160,6 +162,36 @@ def landed_pages(spark, sf_dir):
     return spark.read.parquet(out).drop("batch_id")
 
 
+@query("R4 R5", sql="SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-15' - INTERVAL 1 MONTH OR ts < TIMESTAMP '2024-01-15'")
+def finished_paged_runs(spark, sf_dir):
+    """Two runs: the first lands what there was until its day, the second only the overlap
+    and what is new; rows of both are in the table once."""
+    pages, out, state = (scratch_path(spark, label) for label in ("pages", "increments", "state"))
+    events, schema = table(spark, sf_dir, "events"), spark.createDataFrame([], _EVENT_SCHEMA).schema
+
+    def fetch(last, folder):
+        rows = events.filter(F.col("ts") < "2024-01-15") if last is None else events
+        write_json(rows.repartition(12, "event_id"), folder)
+
+    for day in ("2024-01-15", "2024-02-15"):
+        run_increment(spark, fetch, pages, out, state, schema, "ts", day)
+    return dedupe_exact(spark.read.parquet(out).drop("run", "batch_id"))
+
+
+@query("R3 R1", sql="SELECT event_id, value FROM events")
+def reset_and_loaded_again(spark, sf_dir):
+    """A stream that is forgotten loads all files once more."""
+    src, checkpoint, path = (scratch_path(spark, label) for label in ("drops", "checkpoint", "streamed"))
+    name = "tarn_" + path.rsplit("-", 1)[1]
+    write_csv(table(spark, sf_dir, "events").select("event_id", "value"), src, sep=",")
+    schema = spark.createDataFrame([], "event_id bigint, value double").schema
+    for run in range(2):
+        ingest_stream(spark, src, name, checkpoint, fmt="csv", schema=schema, path=f"{path}/{run}")
+        rows = stage(spark.table(name).select("event_id", "value"), "loaded")
+        reset_stream(spark, name, checkpoint)
+    return rows
+
+
 @query(
     "R4 F8",
     sql="""

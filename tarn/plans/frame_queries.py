@@ -148,14 +148,46 @@ def exact_profile(spark, sf_dir):
     return profile.withColumn("value", F.round("value", 6))
 
 
-@query("A8")
+@query(
+    "A8",
+    sql=f"""SELECT "column", stat, CASE WHEN stat LIKE '%\\%' ESCAPE '\\' THEN NULL ELSE value END AS value,
+        true AS near FROM ({_profile_sql("lineitem", ["l_quantity", "l_extendedprice", "l_discount"])})""",
+)
 def approximate_profile(spark, sf_dir):
-    return describe_long(table(spark, sf_dir, "lineitem"))
+    """Exact statistics, and whether each quartile has nearly its share of rows at or below it."""
+    columns = ["l_quantity", "l_extendedprice", "l_discount"]
+    lines = table(spark, sf_dir, "lineitem").select(*columns)
+    profile = describe_long(lines, columns)
+    marks = profile.filter(F.col("stat").endswith("%"))
+    rows = marks.collect()  # three quartiles per column
+    shares = [
+        (F.avg((F.col(r.column) <= r.value).cast("int")) >= float(r.stat[:-1]) / 100 - 0.01)
+        & (F.avg((F.col(r.column) < r.value).cast("int")) <= float(r.stat[:-1]) / 100 + 0.01)
+        for r in rows
+    ]
+    entries = [
+        F.struct(F.lit(r.column).alias("column"), F.lit(r.stat).alias("stat"), F.lit(None).cast("double").alias("value"), s.alias("near"))
+        for r, s in zip(rows, shares, strict=True)
+    ]
+    near = lines.agg(F.array(*entries).alias("__marks")).select(F.inline("__marks"))
+    exact = profile.filter(~F.col("stat").endswith("%"))
+    return exact.select("column", "stat", F.round("value", 6).alias("value"), F.lit(True).alias("near")).unionByName(near)
 
 
-@query("A9")
+@query(
+    "A9",
+    sql="""
+    SELECT 'count' AS summary, count(c_name)::VARCHAR AS c_name, count(c_acctbal)::DOUBLE AS c_acctbal FROM customer
+    UNION ALL SELECT 'mean', NULL, round(avg(c_acctbal), 6) FROM customer
+    UNION ALL SELECT 'stddev', NULL, round(stddev_samp(c_acctbal), 6) FROM customer
+    UNION ALL SELECT 'min', min(c_name), min(c_acctbal) FROM customer
+    UNION ALL SELECT 'max', max(c_name), max(c_acctbal) FROM customer""",
+)
 def summary_with_strings(spark, sf_dir):
-    return summarize(table(spark, sf_dir, "customer").select("c_name", "c_acctbal", "c_mktsegment"))
+    """The exact part of a summary over text and numbers."""
+    customer = table(spark, sf_dir, "customer").select("c_name", "c_acctbal")
+    report = summarize(customer, ["count", "mean", "stddev", "min", "max"])
+    return report.withColumn("c_acctbal", F.round(F.col("c_acctbal").cast("double"), 6))
 
 
 @query(
@@ -207,10 +239,10 @@ def surrogate_keys(spark, sf_dir):
       GROUP BY ALL)""",
 )
 def ranked_groups(spark, sf_dir):
-    """Row numbers along a key with three values: its huge ties still spread over ranges."""
+    """Row numbers along a key with three values, ties by part: they spread over ranges."""
     groups = table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_partkey")
     groups = groups.agg(F.min("l_linenumber").alias("l_linenumber"))
-    ranked = with_row_index(groups, ["l_returnflag"], "rn", start=1)
+    ranked = with_row_index(groups, ["l_returnflag", "l_partkey"], "rn", start=1)
     return ranked.groupBy("l_returnflag", "l_partkey").agg(
         F.count("*").alias("n"), F.sum("rn").alias("total")
     )
@@ -242,9 +274,9 @@ def cumulative_max(spark, sf_dir):
     FROM orders""",
 )
 def cumulative_max_with_ties(spark, sf_dir):
-    """Many orders share a day; the other columns break the tie."""
+    """Many orders share a day; the order key breaks the tie."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
-    return cumulative(orders, ["o_orderdate"], "o_totalprice", "max", "highest_so_far")
+    return cumulative(orders, ["o_orderdate", "o_orderkey"], "o_totalprice", "max", "highest_so_far")
 
 
 @query(
@@ -381,4 +413,4 @@ def transposed_report(spark, sf_dir):
     report = report.agg(
         F.count("*").alias("n"), exact_sum("value").alias("total"), F.max("user_id").alias("users")
     )
-    return transpose(report, "event_type")
+    return transpose(report, "event_type", max_rows=100)

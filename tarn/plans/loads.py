@@ -8,10 +8,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarn.operators.names import sanitize_columns, table_name_from_folder
 from tarn.sources.catalog import register_external
-from tarn.sources.readers import infer_schema_first_file, read_folder, read_folder_tolerant
+from tarn.sources.readers import SUFFIXES, file_inventory, infer_schema_first_file, read_folder, read_folder_tolerant
 from tarn.sources.writers import append_or_create, replace_folder, write_distinct_per_file
 
 
@@ -30,17 +31,26 @@ class LoadSpec:
     table: str | None = None
 
 
-def load_folder(spark: SparkSession, spec: LoadSpec) -> str:
-    """Read a raw folder, clean its column names and publish it; returns the table path.
+@dataclass(frozen=True)
+class Loaded:
+    """The path of a loaded table, and with `on_error="skip"` the report (path, n_rows, ok)
+    on every file of the source."""
+
+    path: str
+    report: DataFrame | None = None
+
+
+def load_folder(spark: SparkSession, spec: LoadSpec) -> Loaded:
+    """Read a raw folder, clean its column names and publish it.
 
     CSV and JSON types are inferred from all files, or with `schema_from="first"` from the
     first one and imposed on the rest, which reads a large folder only once. With
-    `on_error="skip"` files that do not fit the first one are left out and named.
+    `on_error="skip"` files that do not fit the first one are left out and reported. A
+    registered table shows the new rows when this returns.
     """
-    options = {"sep": spec.sep, "multiline": spec.multiline}
+    options, report = {"sep": spec.sep, "multiline": spec.multiline}, None
     if spec.on_error == "skip":
         rows, report = read_folder_tolerant(spark, spec.source, spec.fmt, **options)
-        print_skipped(report)
     else:
         schema = None
         if spec.schema_from == "first":
@@ -57,20 +67,14 @@ def load_folder(spark: SparkSession, spec: LoadSpec) -> str:
         append_or_create(clean, path)
     if spec.table:
         register_external(spark, spec.table, path)
-    return path
+    return Loaded(path, report)
 
 
-def run_loads(spark: SparkSession, specs: list[LoadSpec]) -> list[str]:
+def run_loads(spark: SparkSession, specs: list[LoadSpec]) -> list[Loaded]:
     """The datasets of a load list, in order; a failing one stops the rest."""
     return [load_folder(spark, spec) for spec in specs]
 
 
-def print_skipped(report: DataFrame, at_most: int = 20) -> None:
-    skipped = report.filter(~F.col("ok"))
-    for row in skipped.limit(at_most).collect():
-        print(f"skipped {row.path}")
-
-
 def load_distinct_per_file(
     spark: SparkSession,
     src: str,
@@ -79,19 +83,29 @@ def load_distinct_per_file(
     sep: str = ",",
     scope: str = "file",
     on_error: str = "fail",
-) -> None:
+    schema: T.StructType | str | None = None,
+    own_schemas: bool = False,
+) -> DataFrame | None:
     """Distinct rows of each source file (or of all, `scope="all"`) as ZSTD Parquet.
 
     The output is partitioned by `file_stem`. For `scope="all"` a row found in several files
-    goes to the first of them by name. With `on_error="skip"` bad files are left out.
+    goes to the first of them by name. A `schema` saves the pass that infers it. With
+    `own_schemas` every file keeps types of its own, inferred file by file, a job for each.
+    With `on_error="skip"` bad files are left out, and the report on all files is returned.
     """
+    if own_schemas:
+        for file in file_inventory(spark, src, SUFFIXES[fmt], recursive=False).toLocalIterator():
+            stem = file.path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+            one = read_folder(spark, file.path, fmt, sep, glob="*").withColumn("file_stem", F.lit(stem))
+            write_distinct_per_file(one, "file_stem", dst, only_these=True)
+        return None
+    report = None
     if on_error == "skip":
         rows, report = read_folder_tolerant(spark, src, fmt, sep=sep, source_column="file_stem")
-        print_skipped(report)
         columns = [f"`{c}`" for c in rows.columns if c != "file_stem"]
         file_name = F.col("file_stem")
     else:
-        rows = read_folder(spark, src, fmt, sep)
+        rows = read_folder(spark, src, fmt, sep, schema=schema)
         columns = [f"`{c}`" for c in rows.columns]
         file_name = F.col("_metadata.file_path")
     stem = F.regexp_replace(F.substring_index(file_name, "/", -1), r"\.[^.]*$", "")
@@ -99,6 +113,7 @@ def load_distinct_per_file(
     if scope == "all":
         rows = rows.groupBy(*columns).agg(F.min("file_stem").alias("file_stem"))
     write_distinct_per_file(rows, "file_stem", dst)
+    return report
 
 
 def run_together(jobs: list[Callable[[], object]], threads: int = 2) -> list[object]:

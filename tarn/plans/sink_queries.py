@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.operators.maintain import compact
 from tarn.operators.validate import check_fk, check_pk
-from tarn.plans.loads import LoadSpec, load_distinct_per_file, run_loads, run_together
+from tarn.plans.loads import LoadSpec, load_distinct_per_file, load_folder, run_loads, run_together
 from tarn.plans.registry import exact_sum, query, table
-from tarn.session import scratch_path
+from tarn.session import scratch_path, stage
 from tarn.sources.catalog import (
+    create_schema,
+    describe_schema,
+    drop_schema,
     insert_if_empty,
     insert_into,
+    list_tables,
     read_table,
     register_external,
     replace_view,
@@ -61,14 +67,14 @@ def single_csv_export(spark, sf_dir):
     return read_folder(spark, path, "csv", sep=",", glob="line_report.csv")
 
 
-@query("K4", sql="SELECT DISTINCT * EXCLUDE (l_shipdate) FROM lineitem")
+@query("K4", sql="SELECT DISTINCT * FROM lineitem")
 def distinct_per_file(spark, sf_dir):
     """Every line written twice to its file; one copy is left."""
     src, dst = scratch_path(spark, "doubled"), scratch_path(spark, "distinct")
     twice = F.explode(F.array(F.lit(1), F.lit(2)))
-    doubled = table(spark, sf_dir, "lineitem").drop("l_shipdate").withColumn("copy", twice)
-    write_csv(doubled.drop("copy"), src, sep=",")
-    load_distinct_per_file(spark, src, dst, "csv", sep=",")
+    lines = table(spark, sf_dir, "lineitem")
+    write_csv(lines.withColumn("copy", twice).drop("copy"), src, sep=",")
+    load_distinct_per_file(spark, src, dst, "csv", sep=",", schema=lines.schema)
     return spark.read.parquet(dst).drop("file_stem")
 
 
@@ -81,11 +87,11 @@ def append_or_create_table(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query("K5", sql="SELECT event_id, event_type, value FROM events")
+@query("K5", sql="SELECT * FROM events")
 def rerun_safe_append(spark, sf_dir):
     """Each batch is loaded twice, as after a crash; its partition is replaced, not doubled."""
     path = scratch_path(spark, "batches")
-    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    events = table(spark, sf_dir, "events")
     early = F.col("event_type").isin("click", "view")
     for _ in range(2):
         append_or_create(events.filter(early), path, batch="1")
@@ -211,14 +217,63 @@ def foreign_key_violations(spark, sf_dir):
     return check_fk(child, customer, ["o_custkey"], ["c_custkey"])
 
 
-@query("T6", sql="SELECT * FROM orders")
+@query("T6", sql="SELECT * REPLACE (CASE WHEN o_orderstatus <> 'F' THEN o_totalprice END AS o_totalprice) FROM orders")
 def compacted_table(spark, sf_dir):
+    """Many small files, those of the first load without a column that came later."""
     path = scratch_path(spark, "small-files")
-    table(spark, sf_dir, "orders").repartition(32, "o_orderkey").write.parquet(path)
+    orders = table(spark, sf_dir, "orders").repartition(32, "o_orderkey")
+    orders.filter("o_orderstatus = 'F'").drop("o_totalprice").write.parquet(path)
+    orders.filter("o_orderstatus <> 'F'").write.mode("append").parquet(path)
     compact(spark, path)
     return spark.read.parquet(path)
 
 
+@query(
+    "X3 K11",
+    sql="""
+    SELECT 'append' AS mode, count(*) AS n, sum(c_custkey)::BIGINT AS keys FROM customer
+    UNION ALL SELECT 'replace', count(*), sum(c_custkey)::BIGINT FROM customer WHERE c_acctbal > 0
+    UNION ALL SELECT 'batch', count(*), sum(c_custkey)::BIGINT FROM customer""",
+)
+def registered_after_two_loads(spark, sf_dir):
+    """Tables that were registered at the first of two loads, read by name after the second."""
+    raw, warehouse = scratch_path(spark, "raw"), scratch_path(spark, "warehouse")
+    customer = table(spark, sf_dir, "customer")
+    rich = F.col("c_acctbal") > 0
+    names = {mode: _name(mode) for mode in ("append", "replace", "batch")}
+    for i, rows in enumerate((customer.filter(~rich), customer.filter(rich))):
+        write_parquet(rows, f"{raw}/{i}/part")
+        for mode in ("append", "replace"):
+            source, target = f"{raw}/{i}/part/", f"{warehouse}/{mode}"
+            load_folder(spark, LoadSpec(source, target, "parquet", mode=mode, table=names[mode]))
+        append_or_create(rows, f"{warehouse}/batch", batch=str(i))
+        register_external(spark, names["batch"], f"{warehouse}/batch")
+    counts = []
+    for mode, name in names.items():
+        totals = read_table(spark, name).agg(F.count("*").alias("n"), F.sum("c_custkey").alias("keys"))
+        counts.append(stage(totals.withColumn("mode", F.lit(mode)), "totals"))
+        spark.sql("DROP TABLE IDENTIFIER(:name)", {"name": name})
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query(
+    "K12 K14 K16",
+    sql="""
+    SELECT 'nation' AS "table", 0 AS position, 'n_nationkey' AS "column", true AS gone
+    UNION ALL SELECT 'nation', 1, 'n_name', true UNION ALL SELECT 'nation', 2, 'n_regionkey', true""",
+)
+def schema_life(spark, sf_dir):
+    """A schema with one table: its tables are listed and described, then it is dropped."""
+    name, path = _name("schema"), scratch_path(spark, "schema-table")
+    create_schema(spark, name)
+    overwrite_table(table(spark, sf_dir, "nation"), f"{name}.nation", path)
+    (listed,) = list_tables(spark).filter(F.col("namespace") == name).collect()
+    columns = describe_schema(read_table(spark, f"{name}.nation")).select("position", "column")
+    drop_schema(spark, name)
+    gone = not spark.catalog.databaseExists(name)
+    return columns.select(F.lit(listed.tableName).alias("table"), "*", F.lit(gone).alias("gone"))
+
+
 @query(
     "X3 P1 P3 K5",
     sql="""
@@ -232,14 +287,14 @@ def load_list(spark, sf_dir):
     write_csv(table(spark, sf_dir, "orders"), f"{raw}/orders_csv", sep=",")
     write_json(table(spark, sf_dir, "events"), f"{raw}/events")
     write_parquet(table(spark, sf_dir, "part"), f"{raw}/part")
-    orders, events, part = run_loads(
+    orders, events, part = (loaded.path for loaded in run_loads(
         spark,
         [
             LoadSpec(f"{raw}/orders_csv/", warehouse, "csv", ",", schema_from="first"),
             LoadSpec(f"{raw}/events/", warehouse, "json"),
             LoadSpec(f"{raw}/part/", warehouse, "parquet", mode="replace"),
         ],
-    )
+    ))
 
     def total(path, dataset, column):
         return spark.read.parquet(path).agg(

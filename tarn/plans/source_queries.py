@@ -68,7 +68,7 @@ def columnar_json_words(spark, sf_dir):
     return rows.groupBy("word").agg(F.count("*").alias("n"), F.sum("position").alias("positions"))
 
 
-@query("S3", sql="SELECT event_id, user_id, event_type, value FROM events")
+@query("S3", sql="SELECT * EXCLUDE (ts) FROM events")
 def json_array_read(spark, sf_dir):
     """Every file is one JSON array over many lines."""
 
@@ -82,7 +82,7 @@ def json_array_read(spark, sf_dir):
         yield pd.DataFrame({"value": ["]" if opened else "[]"]})
 
     folder = scratch_path(spark, "arrays")
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    events = table(spark, sf_dir, "events").drop("ts")
     texts = events.select(F.to_json(F.struct("*")).alias("value"))
     write_text(texts.mapInPandas(array_documents, "value string"), folder)
     return read_folder(spark, folder, "json", schema=events.schema, glob="*.txt", multiline=True)
@@ -125,15 +125,17 @@ def literal_labels(spark, sf_dir):
     return per_type.join(labels, "event_type").groupBy("label").agg(F.sum("n").alias("n"))
 
 
-@query("F9 F14", sql="SELECT 'orders' AS source, count(*) AS n, true AS stamped FROM orders")
+@query("F9 F14", sql="SELECT 'orders' AS source, count(*) AS n, true AS stamped, true AS by_user FROM orders")
 def source_file_rows(spark, sf_dir):
     """Rows per source file name, with a load time on every row."""
     orders = table(spark, sf_dir, "orders").select(
         F.regexp_extract("_metadata.file_path", r"/(\w+)\.parquet", 1).alias("source"),
         F.current_timestamp().alias("loaded_at"),
+        F.current_user().alias("loaded_by"),
     )
-    stamped = F.min(F.col("loaded_at").isNotNull())
-    return orders.groupBy("source").agg(F.count("*").alias("n"), stamped.alias("stamped"))
+    stamped = F.min(F.col("loaded_at").between("2020-01-01", F.current_timestamp()))
+    by_user = F.min(F.length("loaded_by") > 0)
+    return orders.groupBy("source").agg(F.count("*").alias("n"), stamped.alias("stamped"), by_user.alias("by_user"))
 
 
 @query("S5 K18", sql="SELECT * FROM lineitem")
@@ -167,7 +169,7 @@ def first_file_schema_read(spark, sf_dir):
 def _events_with_bad_files(spark, sf_dir):
     """CSV files of all events; those with `error` events hold text in a number column."""
     folder = scratch_path(spark, "some-bad")
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    events = table(spark, sf_dir, "events").drop("ts")
     good, bad = F.col("event_type") != "error", F.col("event_type") == "error"
     write_csv(events.filter(good), folder, sep=",")
     spoiled = events.filter(bad).withColumn("value", F.concat(F.lit("?"), "value"))
@@ -177,7 +179,7 @@ def _events_with_bad_files(spark, sf_dir):
 
 @query(
     "S8",
-    sql="SELECT event_id, user_id, event_type, value FROM events WHERE event_type <> 'error'",
+    sql="SELECT * EXCLUDE (ts) FROM events WHERE event_type <> 'error'",
 )
 def tolerant_folder_read(spark, sf_dir):
     return _events_with_bad_files(spark, sf_dir)[0]

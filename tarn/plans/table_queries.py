@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.functions.columns import (
@@ -14,7 +17,7 @@ from tarn.functions.columns import (
     row_sum,
     whitespace_fields,
 )
-from tarn.operators.joins import combine_all, split_outer_join
+from tarn.operators.joins import JOIN_TYPES, combine_all, split_outer_join
 from tarn.operators.names import clean_names, sanitize_columns
 from tarn.plans.loads import job_parameters, with_parameters
 from tarn.plans.registry import exact_sum, query, table
@@ -235,14 +238,14 @@ def content_hashes(spark, sf_dir):
 @query(
     "J1",
     sql="""
-    SELECT o_orderkey, o_custkey, c_custkey, c_name FROM orders
-    LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey""",
+    SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN -o_custkey ELSE o_custkey END AS custkey, c_custkey, c_name
+    FROM orders LEFT JOIN customer ON (CASE WHEN o_orderstatus = 'P' THEN -o_custkey ELSE o_custkey END) = c_custkey""",
 )
 def left_join_expression(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
-    customer = table(spark, sf_dir, "customer").filter("c_acctbal > 0")
-    joined = orders.join(customer, orders.o_custkey == customer.c_custkey, "left")
-    return joined.select("o_orderkey", "o_custkey", "c_custkey", "c_name")
+    """Orders, some under a customer key nobody has, with their customers."""
+    customer, orders = table(spark, sf_dir, "customer"), _customers_and_orders(spark, sf_dir)[1]
+    joined = orders.join(customer, orders.custkey == customer.c_custkey, "left")
+    return joined.select("o_orderkey", "custkey", "c_custkey", "c_name")
 
 
 @query(
@@ -263,9 +266,9 @@ def left_join_sql(spark, sf_dir):
 
 
 def _customers_and_orders(spark, sf_dir):
-    """Customers, and large orders, some under a customer key nobody has."""
+    """Customers, and orders, some under a customer key nobody has."""
     customer = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"), "c_mktsegment")
-    orders = table(spark, sf_dir, "orders").filter("o_totalprice > 300000")
+    orders = table(spark, sf_dir, "orders")
     shifted = F.when(F.col("o_orderstatus") == "P", -F.col("o_custkey")).otherwise(F.col("o_custkey"))
     return customer, orders.select(shifted.alias("custkey"), "o_orderkey")
 
@@ -273,7 +276,7 @@ def _customers_and_orders(spark, sf_dir):
 _SIDES = """
     WITH l AS (SELECT c_custkey AS custkey, c_mktsegment FROM customer),
          r AS (SELECT CASE WHEN o_orderstatus = 'P' THEN -o_custkey ELSE o_custkey END AS custkey, o_orderkey
-               FROM orders WHERE o_totalprice > 300000)
+               FROM orders)
     """
 
 
@@ -305,12 +308,37 @@ def right_join_by_name(spark, sf_dir):
 @query(
     "J7",
     sql="""
-    SELECT c_custkey, c_name, r_regionkey, r_name FROM customer, region""",
+    SELECT n_nationkey, n_name, n_regionkey, c_custkey, c_name FROM nation, customer""",
 )
 def all_combinations(spark, sf_dir):
-    """Every customer with every region."""
+    """Every nation with every customer."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    return combine_all(customer, table(spark, sf_dir, "region"))
+    return combine_all(table(spark, sf_dir, "nation"), customer)
+
+
+@query(
+    "J11",
+    sql=f"""{_SIDES},
+        i AS (SELECT count(*) AS n FROM l JOIN r USING (custkey)),
+        a AS (SELECT count(*) AS n FROM l WHERE custkey NOT IN (SELECT custkey FROM r)),
+        b AS (SELECT count(*) AS n FROM r WHERE custkey NOT IN (SELECT custkey FROM l)),
+        counted AS (SELECT i.n AS i, a.n AS a, b.n AS b, (SELECT count(*) FROM l) AS l FROM i, a, b)
+    SELECT how, CASE WHEN how = 'inner' THEN i WHEN how IN ('outer', 'full', 'fullouter', 'full_outer') THEN i + a + b
+                     WHEN how IN ('leftouter', 'left', 'left_outer') THEN i + a
+                     WHEN how IN ('rightouter', 'right', 'right_outer') THEN i + b
+                     WHEN how IN ('leftsemi', 'left_semi', 'semi') THEN l - a ELSE a END AS n
+    FROM counted, (SELECT unnest(['inner', 'outer', 'full', 'fullouter', 'full_outer', 'leftouter', 'left', 'left_outer',
+        'rightouter', 'right', 'right_outer', 'leftsemi', 'left_semi', 'semi', 'leftanti', 'left_anti', 'anti']) AS how)""",
+)
+def join_type_counts(spark, sf_dir):
+    """Rows of every join by name, under every spelling of its type."""
+    left, right = _customers_and_orders(spark, sf_dir)
+    counts = [
+        left.join(right, "custkey", how).agg(F.count("*").alias("n")).select(F.lit(how).alias("how"), "n")
+        for how in JOIN_TYPES
+        if how != "cross"
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query(

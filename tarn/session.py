@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import contextlib
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own_scratch: tempfile.TemporaryDirectory | None = None
+_settings_lock = threading.RLock()
 
 
 def get_session(app: str = "tarn", **conf: str) -> SparkSession:
@@ -30,8 +32,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder named by `spark.checkpoint.dir`.
 
     Only a local session without that setting gets a temporary folder of its own, removed
-    when Python exits. A cluster without it falls back to the warehouse folder, which all
-    executors can reach.
+    when Python exits. A cluster without it falls back to the warehouse folder. A folder on
+    the machine's own disk is refused there, as executors could not see each other's files.
     """
     global _own_scratch
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -41,6 +43,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
             base = _own_scratch.name
         else:
             base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tarn_scratch"
+    if base.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"{base} is no shared folder; set spark.checkpoint.dir to one")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -55,13 +59,22 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_STEADY_LEAVES = ("Scan parquet", "Scan csv", "Scan json", "Scan text", "Scan orc", "Scan binaryFile", "Range", "LocalTableScan")
+
+
 def comes_in_file_order(df: DataFrame) -> bool:
     """Whether a rerun task sees its rows in the same order again.
 
-    True without an exchange in the plan: splits of files are read from start to end, while
-    shuffled blocks arrive in any order.
+    True if all leaves of the plan are files, ranges or literal rows and there is no exchange
+    above them: splits of files are read from start to end, while shuffled blocks arrive in
+    any order, and an RDD or a cached table may have been shuffled before.
     """
-    return "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    execution = df._jdf.queryExecution()
+    leaves = execution.sparkPlan().collectLeaves().iterator()
+    while leaves.hasNext():
+        if not leaves.next().nodeName().startswith(_STEADY_LEAVES):
+            return False
+    return "Exchange" not in execution.executedPlan().toString()
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
@@ -76,7 +89,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
 
 @contextlib.contextmanager
 def settings(spark: SparkSession, **conf: str):
-    """Session settings for the duration of one write; `conf` keys use `__` for dots."""
+    """Session settings for the duration of one write; `conf` keys use `__` for dots.
+
+    The settings are shared by all threads of a session, so one block runs at a time; they
+    only ever tune file sizes, never what is written.
+    """
+    with _settings_lock:
+        yield from _changed(spark, conf)
+
+
+def _changed(spark: SparkSession, conf: dict[str, str]):
     names = {key.replace("__", "."): value for key, value in conf.items()}
     before = {name: spark.conf.get(name, None) for name in names}
     for name, value in names.items():

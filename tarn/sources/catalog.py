@@ -19,9 +19,20 @@ def drop_schema(spark: SparkSession, name: str) -> None:
 
 
 def register_external(spark: SparkSession, name: str, path: str) -> None:
-    """Give an existing Parquet path a table name; an existing table stays as it is."""
+    """Give a Parquet path a table name, so that the table shows what the path holds now.
+
+    A table of that name stays, unless its columns are no longer those of the path. Call it
+    again after each load: it drops listings Spark has kept and finds new partitions.
+    """
+    columns = [(f.name, f.dataType) for f in spark.read.parquet(path).schema.fields]
+    if spark.catalog.tableExists(name):
+        if [(f.name, f.dataType) for f in spark.table(name).schema.fields] != columns:
+            spark.sql("DROP TABLE IDENTIFIER(:name)", {"name": name})
     if not spark.catalog.tableExists(name):
         spark.catalog.createTable(name, path=path, source="parquet")
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
 
 
 def replace_view(df: DataFrame, name: str) -> None:

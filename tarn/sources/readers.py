@@ -9,11 +9,11 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarn.session import broadcast_if_small, scratch_path, stage
+from tarn.session import scratch_path, stage
 
 SUFFIXES = {"csv": "*.csv", "json": "*.json", "parquet": "*.parquet", "text": "*.txt"}
 SAMPLE_ROWS = 100_000
@@ -28,7 +28,8 @@ def _reader(spark: SparkSession, fmt: str, sep: str, multiline: bool, glob: str
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     if fmt == "csv":
-        reader = reader.option("header", "true").option("sep", sep).option("escape", '"')
+        # a header with other names, or in another order, than the schema is an error
+        reader = reader.options(header="true", sep=sep, escape='"', enforceSchema="false")
     if fmt in ("csv", "json") and multiline:
         reader = reader.option("multiLine", "true")
     return reader
@@ -48,7 +49,8 @@ def read_folder(
 
     CSV has a header row. Without `schema`, CSV and JSON types are inferred from all files,
     which costs one extra pass; see `infer_schema_first_file` for large folders. Against a
-    given `schema` a record that does not fit is an error, not a silent NULL.
+    given `schema` a record that does not fit is an error, not a silent NULL. So is a CSV
+    file whose header has other columns, or another order of them, than the schema.
     """
     reader = _reader(spark, fmt, sep, multiline, glob, recursive)
     if schema is not None:
@@ -80,15 +82,16 @@ def infer_schema_first_file(
     path: str,
     fmt: str,
     sep: str = ";",
-    n: int = SAMPLE_ROWS,
+    n: int | None = SAMPLE_ROWS,
     glob: str | None = None,
     multiline: bool = False,
 ) -> T.StructType:
     """Schema of the first file by name that has rows, from at most its first `n` rows.
 
     Impose it on the whole folder with `read_folder(schema=...)`. Only these `n` lines
-    pass the driver; Parquet needs none, its footer holds the schema. A multi-line file
-    has no line limit to cut at and is inferred whole, by one task.
+    pass the driver; Parquet needs none, its footer holds the schema. With `n=None` all rows
+    of that file are seen, by Spark's tasks. A multi-line file has no line limit to cut at
+    and is inferred whole, by one task.
     """
     header = 1 if fmt == "csv" else 0
     files = file_inventory(spark, path, glob or SUFFIXES[fmt], recursive=False).orderBy("path")
@@ -96,7 +99,9 @@ def infer_schema_first_file(
     for file in files.toLocalIterator():  # the first file nearly always has rows
         if fmt == "parquet" or multiline:
             return read_folder(spark, file.path, fmt, sep, glob="*", multiline=multiline).schema
-        first, sample = file.path, spark.read.text(file.path).head(header + n)
+        if n is None and len(spark.read.text(file.path).head(header + 1)) > header:
+            return read_folder(spark, file.path, fmt, sep, glob="*").schema
+        first, sample = file.path, spark.read.text(file.path).head(header + (n or 0))
         if len(sample) > header:
             break
     if first is None:
@@ -120,8 +125,9 @@ def read_folder_tolerant(
 ) -> tuple[DataFrame, DataFrame]:
     """The rows of all readable files, and a report (path, n_rows, ok) over every file.
 
-    A file with one record that does not fit the schema is left out whole; if no file is
-    readable the call fails. The schema defaults to that of the first file, and
+    A file with one record that does not fit the schema, or with another header than the
+    schema's names in their order, is left out whole; if no file is readable the call fails.
+    The schema defaults to that of the first file, inferred from all its rows, and
     `source_column` keeps the path of each row's file. Records are parsed once, at full
     width, into a staged table: parsing lazily would let column pruning hide bad fields
     from later queries.
@@ -131,7 +137,7 @@ def read_folder_tolerant(
     if fmt == "parquet":
         rows, per_file = _tolerant_parquet(spark, path, schema, glob)
     else:
-        schema = schema or infer_schema_first_file(spark, path, fmt, sep, glob=glob, multiline=multiline)
+        schema = schema or infer_schema_first_file(spark, path, fmt, sep, None, glob, multiline)
         rows, per_file = _tolerant_records(spark, path, fmt, schema, sep, multiline, glob)
     report = stage(
         files.join(per_file, _SOURCE, "left").select(
@@ -144,7 +150,7 @@ def read_folder_tolerant(
     if not report.filter("ok").head(1):
         raise ValueError(f"no readable {fmt} file in {path}")
     bad = report.filter(~F.col("ok")).select(F.col("path").alias(_SOURCE))
-    good = rows.join(broadcast_if_small(bad, 100_000), _SOURCE, "left_anti")
+    good = rows.join(bad, _SOURCE, "left_anti")
     columns = [f"`{c}`" for c in rows.columns if c != _SOURCE]
     if source_column:
         return good.select(*columns, F.col(_SOURCE).alias(source_column)), report
@@ -158,13 +164,33 @@ def _tolerant_records(spark, path, fmt, schema, sep, multiline, glob):
         .schema(flagged)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
+        .option("enforceSchema", "true")
         .load(path)
     )
     rows = stage(parsed.select("*", F.col("_metadata.file_path").alias(_SOURCE)), "parsed")
     per_file = rows.groupBy(_SOURCE).agg(
         F.count("*").alias("n_rows"), F.max(F.col(_CORRUPT).isNotNull()).alias("bad")
     )
-    return rows.drop(_CORRUPT), per_file.select(_SOURCE, "n_rows", (~F.col("bad")).alias("ok"))
+    per_file = per_file.select(_SOURCE, "n_rows", (~F.col("bad")).alias("ok"))
+    if fmt == "csv":
+        headers = _right_headers(spark, path, sep, schema.names, glob)
+        per_file = headers.join(per_file, _SOURCE, "left").select(
+            _SOURCE,
+            F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+            (F.coalesce("ok", F.lit(True)) & F.col("right")).alias("ok"),
+        )
+    return rows.drop(_CORRUPT), per_file
+
+
+def _right_headers(spark, path, sep, names, glob) -> DataFrame:
+    """For every file with lines, whether its first block has the header line of `names`."""
+
+    def bare(text: Column) -> Column:
+        return F.regexp_replace(text, "[\"\\r\ufeff]", "")
+
+    lines = spark.read.option("pathGlobFilter", glob or SUFFIXES["csv"]).text(path)
+    header = (F.col("_metadata.file_block_start") == 0) & (bare(F.col("value")) == bare(F.lit(sep.join(names))))
+    return lines.groupBy(F.col("_metadata.file_path").alias(_SOURCE)).agg(F.max(header).alias("right"))
 
 
 def _tolerant_parquet(spark, path, schema, glob):
@@ -206,11 +232,15 @@ def read_columnar_json(df: DataFrame, schema: T.StructType | str, column: str =
     """Rows of JSON objects that hold one array per column.
 
     `schema` describes one row, e.g. `"Name string, Age int"`. Each document may be of any
-    length; documents are spread over the tasks, each is unpacked where it lies.
+    length; documents are spread over the tasks, each is unpacked where it lies. A document
+    that is no such object, or whose arrays differ in length, is an error.
     """
     row = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     arrays = T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in row.fields])
-    doc = F.from_json(column, arrays)
+    doc = F.from_json(column, arrays, {"mode": "FAILFAST"})
+    sizes = F.array(*[F.coalesce(F.size(doc.getField(f.name)), F.lit(-1)) for f in row.fields])
+    uneven = F.raise_error(F.lit("arrays of different lengths in a columnar document"))
+    doc = F.when(F.size(F.array_distinct(sizes)) > 1, uneven.cast(arrays)).otherwise(doc)
     zipped = F.arrays_zip(*[doc.getField(f.name).alias(f.name) for f in row.fields])
     return df.select(F.inline(zipped))
 

@@ -11,7 +11,6 @@ from tarn.session import settings
 
 TARGET_MB = 256
 ROW_GROUP_ROWS = 100_000
-EXPORT_ROWS = 1_000_000
 
 
 def _fs(spark: SparkSession, path: str):
@@ -55,19 +54,27 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_single_csv(
-    df: DataFrame, folder: str, name: str, sep: str = ",", max_rows: int = EXPORT_ROWS
+    df: DataFrame, folder: str, name: str, sep: str = ",", max_rows: int | None = None
 ) -> str:
     """One CSV called `<folder>/<name>.csv`, replacing an older one; no marker files.
 
-    One file means one writing task, so this is for exports: a frame of more than
-    `max_rows` rows is refused, never cut. Use `write_csv` for those.
+    One file means one writing task, so this is for exports; use `write_csv` for anything
+    else. With `max_rows` a larger frame is refused while it is written, and the older file
+    stays.
     """
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"more than {max_rows} rows: not a single-file export")
     spark = df.sparkSession
     part_folder = f"{folder.rstrip('/')}/_writing-{uuid.uuid4().hex}"
-    write_csv(df.coalesce(1), part_folder, sep)
+    single = df.coalesce(1)
+    if max_rows is not None:
+        over = F.raise_error(F.lit(f"more than {max_rows} rows: not a single-file export"))
+        numbered = single.withColumn("__n", F.monotonically_increasing_id())
+        single = numbered.filter(F.when(F.col("__n") >= max_rows, over.cast("boolean")).otherwise(True)).drop("__n")
     fs, staged = _fs(spark, part_folder)
+    try:
+        write_csv(single, part_folder, sep)
+    except Exception:
+        fs.delete(staged, True)
+        raise
     target = f"{folder.rstrip('/')}/{name}.csv"
     _, target_path = _fs(spark, target)
     for status in fs.listStatus(staged):
@@ -109,15 +116,26 @@ def append_or_create(df: DataFrame, path: str, batch: str | None = None) -> None
     """Append to the table at `path`, or create it.
 
     Plain appends add the rows again on a rerun. With `batch` the rows go to a `batch=`
-    partition that a rerun replaces.
+    partition that a rerun replaces, whatever other threads write. Columns are matched by
+    name; other names or types than those of the table are an error.
     """
+    if path_exists(df.sparkSession, path):
+        df = _fitted(df, path, "batch" if batch is not None else None)
     if batch is not None:
-        with settings(df.sparkSession, spark__sql__sources__partitionOverwriteMode="dynamic"):
-            df.withColumn("batch", F.lit(batch)).write.mode("overwrite").partitionBy("batch").parquet(path)
-    elif path_exists(df.sparkSession, path):
-        df.write.mode("append").parquet(path)
+        rows = df.withColumn("batch", F.lit(batch)).write.mode("overwrite").partitionBy("batch")
+        rows.option("partitionOverwriteMode", "dynamic").parquet(path)
     else:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("append").parquet(path)
+
+
+def _fitted(df: DataFrame, path: str, partition: str | None) -> DataFrame:
+    """`df` in the column order of the table at `path`, or an error if it does not fit."""
+    stored = df.sparkSession.read.parquet(path).schema.fields
+    wanted = {f.name: f.dataType.simpleString() for f in stored if f.name != partition}
+    given = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    if wanted != given:
+        raise ValueError(f"{path} has {wanted}, the new rows have {given}")
+    return df.select(*[f"`{c}`" for c in wanted])
 
 
 def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> None:
@@ -138,12 +156,13 @@ def write_sized(df: DataFrame, path: str, target_mb: int = TARGET_MB, columns: l
         df.hint("rebalance", *(columns or [])).write.mode("overwrite").parquet(path)
 
 
-def write_distinct_per_file(rows: DataFrame, stem: str, path: str) -> None:
+def write_distinct_per_file(rows: DataFrame, stem: str, path: str, only_these: bool = False) -> None:
     """Distinct rows per source file into `<path>/<stem>=<name>/`, ZSTD, small row groups.
 
     One job for all files. Rows hash on all their columns, so one huge file spreads over
     all tasks and copies collapse before the shuffle; the rebalance by file keeps output
-    files few, cutting a file that is larger than the advisory size.
+    files few, cutting a file that is larger than the advisory size. With `only_these` the
+    folders of other files stay.
     """
     (
         rows.dropDuplicates()
@@ -151,6 +170,7 @@ def write_distinct_per_file(rows: DataFrame, stem: str, path: str) -> None:
         .write.mode("overwrite")
         .option("compression", "zstd")
         .option("parquet.block.row.count.limit", str(ROW_GROUP_ROWS))
+        .option("partitionOverwriteMode", "dynamic" if only_these else "static")
         .partitionBy(stem)
         .parquet(path)
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from pyspark.sql import types as T
 from tarn.sources.readers import read_folder
 from tarn.sources.writers import path_exists, replace_folder
 
-PAGES_PER_BATCH = 10
+PAGES_PER_FILE = 10
+FILES_PER_BATCH = 50
 
 
 def stream_schema(spark: SparkSession, src: str, location: str, fmt: str = "json") -> T.StructType:
@@ -24,11 +26,41 @@ def stream_schema(spark: SparkSession, src: str, location: str, fmt: str = "json
     return schema
 
 
-def _file_stream(spark, src, fmt, schema, max_files):
-    reader = spark.readStream.format(fmt).schema(schema)
+def renew_schema(spark: SparkSession, src: str, location: str, fmt: str = "json") -> T.StructType:
+    """Take the fields of all files now in `src` for the kept schema; kept fields come first.
+
+    Call it when a stream stops at a file with new fields. A kept field keeps its type.
+    """
+    kept = stream_schema(spark, src, location, fmt)
+    found = read_folder(spark, src, fmt, glob="*").schema
+    fresh = [f for f in found.fields if f.name not in kept.names]
+    schema = T.StructType([*kept.fields, *fresh])
+    replace_folder(
+        spark.createDataFrame([(schema.json(),)], "value string").coalesce(1), location, lambda df, p: df.write.text(p)
+    )
+    return schema
+
+
+def _file_stream(spark, src, fmt, schema, max_files, sep=","):
+    """A stream of files, with `_metadata`. A record that does not fit the schema, a field
+    the schema does not have and a CSV file with another header stop it."""
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(src)
+    if fmt == "csv":
+        return reader.options(header="true", sep=sep, enforceSchema="false", mode="FAILFAST").schema(schema).csv(src).select(
+            "*", "_metadata"
+        )
+    if fmt != "json":
+        return reader.format(fmt).schema(schema).load(src).select("*", "_metadata")
+    lines = reader.text(src).filter(F.trim("value") != "")
+    unknown = F.array_except(F.json_object_keys("value"), F.array(*[F.lit(c) for c in schema.names]))
+    message = F.concat(F.lit("fields that the schema does not have: "), F.array_join(unknown, ", "))
+    known = F.when(F.size(unknown) > 0, F.raise_error(message).cast("string")).otherwise(F.col("value"))
+    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    return lines.select(F.from_json(known, nullable, {"mode": "FAILFAST"}).alias("__row"), "_metadata").select(
+        "__row.*", "_metadata"
+    )
 
 
 def ingest_stream(
@@ -40,16 +72,19 @@ def ingest_stream(
     schema: T.StructType | None = None,
     path: str | None = None,
     max_files: int | None = None,
+    sep: str = ",",
 ) -> None:
     """Load the files of `src` that no earlier run has loaded into `table`, and stop.
 
     Adds `source_file` and `processing_time`. Without `schema` it is inferred once and kept
     beside the checkpoint. Returns when the rows can be read. `path` makes the table
-    external; `max_files` bounds the size of one micro-batch, not of the run.
+    external; `max_files` bounds the size of one micro-batch, not of the run. A record that
+    does not fit and a field that the schema lacks stop the stream before its batch is
+    written; see `renew_schema`.
     """
     schema = schema or stream_schema(spark, src, checkpoint.rstrip("/") + "_schema", fmt)
-    rows = _file_stream(spark, src, fmt, schema, max_files).select(
-        "*",
+    rows = _file_stream(spark, src, fmt, schema, max_files, sep).select(
+        *[f"`{c}`" for c in schema.names],
         F.col("_metadata.file_path").alias("source_file"),
         F.current_timestamp().alias("processing_time"),
     )
@@ -74,20 +109,28 @@ def land_pages(
     checkpoint: str,
     schema: T.StructType,
     fmt: str = "json",
-    pages_per_batch: int = PAGES_PER_BATCH,
+    pages_per_file: int = PAGES_PER_FILE,
+    files_per_batch: int = FILES_PER_BATCH,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
+    sep: str = ",",
 ) -> None:
-    """Turn landed page files into Parquet batches of `pages_per_batch` pages, resumably.
+    """Turn landed page files into Parquet files of about `pages_per_file` pages, resumably.
 
-    A batch goes to its own `batch_id=` folder with overwrite, and Spark moves the
-    checkpoint on only after that write. A run killed in between writes the same folder
-    again, so no page is lost or doubled.
+    One job lands `files_per_batch` such files side by side in a `batch_id=` folder of its
+    own, with overwrite, and Spark moves the checkpoint on only after that write. A run
+    killed in between writes the same folder again, so no page is lost or doubled. `keep`
+    is applied to every batch, e.g. a date filter.
     """
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
+        n_pages = batch.select("_metadata.file_path").distinct().count()
+        dealt = batch.repartition(max(1, -(-n_pages // pages_per_file)), "_metadata.file_path")
+        rows = dealt.select(*[f"`{c}`" for c in schema.names])
+        rows = keep(rows) if keep else rows
+        rows.write.mode("overwrite").parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
 
     query = (
-        _file_stream(spark, pages, fmt, schema, pages_per_batch)
+        _file_stream(spark, pages, fmt, schema, pages_per_file * files_per_batch, sep)
         .writeStream.foreachBatch(save)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -96,6 +139,36 @@ def land_pages(
     query.awaitTermination()
 
 
+def run_increment(
+    spark: SparkSession,
+    fetch: Callable[[str | None, str], None],
+    pages: str,
+    out: str,
+    state: str,
+    schema: T.StructType,
+    column: str,
+    day: str,
+    months: int = 1,
+    fmt: str = "json",
+) -> str | None:
+    """One finished paged run: last stamp, pages, filter, landing, new stamp.
+
+    `fetch(last_day, folder)` puts the pages of this run into `folder`; last_day is the day
+    of the last finished run, or None. Only rows from `months` before that day on are
+    landed, under `<out>/run=<day>`. The stamp is set last, so a run that fails is repeated
+    from the same day; what it has landed is landed again in the same place. Returns the day
+    of the run before.
+    """
+    last, folder = last_run(spark, f"{state}/last_run"), f"{pages}/run={day}"
+    fetch(last, folder)
+    land_pages(
+        spark, folder, f"{out}/run={day}", f"{state}/checkpoint-{day}", schema, fmt,
+        keep=lambda rows: incremental_since(rows, column, last, months),
+    )
+    mark_run(spark, f"{state}/last_run", day)
+    return last
+
+
 def mark_run(spark: SparkSession, path: str, day: str) -> None:
     """Keep the day (`yyyy-MM-dd`) of the last finished run."""
     replace_folder(spark.createDataFrame([(day,)], "last_run string"), path)
@@ -132,6 +205,7 @@ def dedupe_latest(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """The last row per key by `order`; ties are broken by the other columns.
 
     `max` of a struct is combined before the shuffle, so a hot key sends one row per task.
+    Such a buffer makes Spark sort the rows by key before and after the shuffle; it spills.
     """
     rest = [c for c in df.columns if c not in {*key, *order}]
     latest = df.groupBy(*key).agg(F.max(F.struct(*order, *rest)).alias("__row"))

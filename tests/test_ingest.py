@@ -14,6 +14,7 @@ from tarn.streaming.ingest import (
     land_pages,
     last_run,
     mark_run,
+    renew_schema,
     reset_stream,
     stream_schema,
 )
@@ -64,13 +65,13 @@ def test_pages_land_in_batches(spark, tmp_path):
     schema = spark.createDataFrame([], "id bigint, v string").schema
     for i in range(25):
         page(src, i)
-    land_pages(spark, str(src), out, checkpoint, schema)
+    land_pages(spark, str(src), out, checkpoint, schema, files_per_batch=1)
     landed = spark.read.parquet(out)
     assert landed.count() == 250 and landed.select("batch_id").distinct().count() == 3
     for i in range(25, 28):
         page(src, i)
-    land_pages(spark, str(src), out, checkpoint, schema)
-    land_pages(spark, str(src), out, checkpoint, schema)
+    land_pages(spark, str(src), out, checkpoint, schema, files_per_batch=1)
+    land_pages(spark, str(src), out, checkpoint, schema, files_per_batch=1)
     landed = spark.read.parquet(out)
     assert landed.count() == 280 == landed.select("id").distinct().count()
     assert landed.select("batch_id").distinct().count() == 4
@@ -82,12 +83,12 @@ def test_killed_between_write_and_checkpoint(spark, tmp_path):
     schema = spark.createDataFrame([], "id bigint, v string").schema
     for i in range(15):
         page(src, i)
-    land_pages(spark, str(src), out, str(checkpoint), schema)
+    land_pages(spark, str(src), out, str(checkpoint), schema, files_per_batch=1)
     for f in (checkpoint / "commits").iterdir():
         if f.name in ("1", ".1.crc"):
             f.unlink()
     page(src, 15)
-    land_pages(spark, str(src), out, str(checkpoint), schema)
+    land_pages(spark, str(src), out, str(checkpoint), schema, files_per_batch=1)
     landed = spark.read.parquet(out)
     assert landed.count() == 160 == landed.select("id").distinct().count()
 
@@ -98,9 +99,9 @@ def test_failing_batch_is_tried_again(spark, tmp_path):
     page(src, 0)
     (tmp_path / "out").write_text("in the way")
     with pytest.raises(Exception):  # noqa: B017
-        land_pages(spark, str(src), out, checkpoint, schema)
+        land_pages(spark, str(src), out, checkpoint, schema, files_per_batch=1)
     (tmp_path / "out").unlink()
-    land_pages(spark, str(src), out, checkpoint, schema)
+    land_pages(spark, str(src), out, checkpoint, schema, files_per_batch=1)
     assert spark.read.parquet(out).count() == 10
 
 
@@ -126,3 +127,34 @@ def test_dedupe(spark):
     assert dedupe_exact(df).count() == 3
     assert rows(dedupe_latest(df, ["k"], ["t"])) == [(1, 2, "b"), (2, 1, None)]
     assert dedupe_latest(df, ["k"], ["t"]).columns == df.columns
+
+
+@pytest.mark.parametrize("bad", ['{"id": "text", "v": "x"}', '{"id": 1', '{"id": 1, "v": "x", "more": 2}'])
+def test_misfits_stop_a_stream(spark, tmp_path, bad):
+    src, schema = tmp_path / "src", spark.createDataFrame([], "id bigint, v string").schema
+    page(src, 0)
+    (src / "z.json").write_text(bad + "\n")
+    with pytest.raises(Exception):  # noqa: B017
+        land_pages(spark, str(src), str(tmp_path / "out"), str(tmp_path / "cp"), schema)
+
+
+def test_renewed_schema_takes_new_fields(spark, tmp_path):
+    src, location = tmp_path / "src", str(tmp_path / "schema")
+    page(src, 0)
+    stream_schema(spark, str(src), location)
+    (src / "z.json").write_text('{"id": 1, "v": "x", "more": 2}\n')
+    renewed = renew_schema(spark, str(src), location)
+    assert renewed == stream_schema(spark, str(src), location)
+    assert renewed.simpleString() == "struct<id:bigint,v:string,more:bigint>"
+
+
+def test_csv_stream_reads_its_header(spark, tmp_path):
+    src, out = tmp_path / "src", str(tmp_path / "out")
+    schema = spark.createDataFrame([], "id bigint, v string").schema
+    src.mkdir()
+    (src / "a.csv").write_text("id;v\n1;x\n2;y\n")
+    land_pages(spark, str(src), out, str(tmp_path / "cp"), schema, fmt="csv", sep=";")
+    assert rows(spark.read.parquet(out).select("id", "v")) == [(1, "x"), (2, "y")]
+    (src / "b.csv").write_text("v;id\nz;3\n")
+    with pytest.raises(Exception):  # noqa: B017
+        land_pages(spark, str(src), out, str(tmp_path / "cp"), schema, fmt="csv", sep=";")

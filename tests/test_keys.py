@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tarn.operators import keys
 from tarn.operators.keys import (
     POSITION_BITS,
     STAMP,
@@ -109,3 +110,16 @@ def test_hot_group_is_cut_into_ranges(spark, hot):
     assert ranked.agg(F.count_distinct("row_index"), F.max("row_index")).head() == (300_000, 299_999)
     positions = laid.agg(F.max(F.col(STAMP).bitwiseAND((1 << POSITION_BITS) - 1))).head()[0]
     assert positions < 300_000
+
+
+def test_no_wide_column_is_a_range_key(spark, tmp_path):
+    spark.range(50).select((F.col("id") % 5).alias("k"), F.lit("long text").alias("text")).write.parquet(str(tmp_path / "t"))
+    plans = []
+    original = keys.stage
+    keys.stage = lambda df, label: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or original(df, label)
+    try:
+        lay_out(spark.read.parquet(str(tmp_path / "t")), ["k"])
+    finally:
+        keys.stage = original
+    (line,) = [x for x in plans[-1].splitlines() if "RepartitionByExpression" in x]
+    assert "text" not in line.replace("xxhash64(text", "")
