@@ -222,6 +222,52 @@ def test_scores_of_odd_documents(spark, monkeypatch):
     assert (untrained["train_tokens"] == 0).all() and (untrained["n_known"] == 0).all()
 
 
+def test_scores_equal_brute_force(spark, monkeypatch):
+    """The same tree, but counts of words and pairs taken one by one, over several runs and groups."""
+    monkeypatch.setattr(language_model, "SLOTS", 1 << 16)
+    monkeypatch.setattr(language_model, "GROUP_WORDS", 150)
+    monkeypatch.setattr(language_model, "GROUP_PAIRS", 100)
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents").limit(60).repartition(3).cache()
+    got = {r.doc_id: r.score for r in language_model.score_documents(docs, checksum_rest("doc_id", 10) == 0).collect()}
+    texts = {r.doc_id: re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]+", lambda m: m[0].lower(), (r.text or "").encode())) for r in docs.collect()}
+    learned = [words for i, words in texts.items() if zlib.crc32(str(i).encode()) % 10]
+    counts, pairs = Counter(w for words in learned for w in words), Counter()
+    counts[b"\n"] = len(learned)
+    for words in learned:
+        pairs.update(zip([b"\n", *words], [*words, b"\n"], strict=True))
+    packed = language_model._deflated
+    rows = [(bytearray(packed(b" ".join(w for w in counts if w != b"\n"))), bytearray(packed(np.ones(len(counts) - 1)))), (bytearray(packed(b"\n")), bytearray(packed([1])))]
+    model = language_model.train(spark.createDataFrame(rows, "words binary, trained binary"))
+    every = sorted({w for words in texts.values() for w in words} | {b"\n"})
+    tree = dict(zip(every, model.word_log10(every), strict=True))
+    total = sum(counts.values())
+
+    def chance(before, word):
+        alone = max(counts[word] - 0.75, 0) / total + 0.75 * len(counts) / total * 10 ** tree[word]
+        return (pairs[before, word] + (counts[before] + 0.5) * alone) / (2 * counts[before] + 0.5)
+
+    for i, words in texts.items():
+        want = sum(math.log10(chance(a, b)) for a, b in zip([b"\n", *words], [*words, b"\n"], strict=True))
+        assert abs(got[i] - want) < 1e-3 * max(1, len(words) / 100), i
+
+
+def test_word_chances_sum_to_one():
+    logs = np.log10([0.5, 0.2, 0.2, 0.1])
+    counts, followers = np.array([5.0, 3.0, 1.0, 0.0]), np.array([2.0, 0.0, 1.0, 0.0])
+    alone = language_model._word_mixture(counts, logs, 9, 3)
+    assert abs((10**alone).sum() - 1) < 1e-9
+    assert abs((10 ** language_model._pair_log10(followers, np.full(4, 3.0), alone)).sum() - 1) < 1e-9
+    tiny = language_model._word_mixture(np.zeros(1), np.array([-5000.0]), 9, 3)
+    assert np.isfinite(language_model._pair_log10(np.zeros(1), np.zeros(1), tiny)).all()
+
+
+def test_held_out_scores_beat_the_base(spark):
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents")
+    scores = language_model.score_documents(docs, checksum_rest("doc_id", 10) == 0).filter("held_out")
+    found = scores.agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).head()
+    assert found.score > 0.85 * found.base
+
+
 def test_byte_predictions_sum_to_one(spark, monkeypatch):
     monkeypatch.setattr(language_model, "SLOTS", 1 << 16)
     words = [b"banana", b"bandana", b"bank", b"zz"]
