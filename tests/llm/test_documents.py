@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 from tokenizers.models import WordPiece
 
 import corpus_pipeline
-from tarn.llm import langid, language_model, packing, segmentation, simhash, toxicity, wordpiece
+from tarn.llm import langid, language_model, near_copies, packing, segmentation, simhash, toxicity, wordpiece
 from tarn.llm.common import checksum_rest, least_labels, read_table
 
 SF = "/root/testdata/sf0.001"
@@ -75,6 +75,55 @@ def test_links_equal_brute_force(spark, slice_rows):
     assert simhash.bucket_labels(values).tolist() == want.tolist()
 
 
+# --- near copies
+
+
+def copied_documents():
+    """Texts and copies of them with a word replaced here and there, and copies of copies."""
+    draw, texts = random.Random(11), []
+    words = ["".join(draw.choices("abcdefghij", k=4)) for _ in range(3_000)]
+    for i in range(60):
+        text = draw.choices(words, k=draw.choice([3, 12, 40, 100, 150, 400]))
+        texts.append(text)
+        for _ in range(i % 5):
+            text = list(text)
+            for _ in range(1 + len(text) * (i % 3) // 100):
+                text[draw.randrange(len(text))] = draw.choice(words)
+            texts.append(text)
+    texts += [[*texts[0], "tail"]] + [texts[7]] * 3
+    return [(i, " ".join(t)) for i, t in enumerate(texts)]
+
+
+def brute_copies(rows):
+    sets = []
+    for _, text in rows:
+        words = text.lower().split()
+        sets.append({tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))})
+    links = [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if 10 * len(a & b) >= 8 * len(a | b)]
+    left, right = (np.array(x, np.int64) for x in zip(*links, strict=True))
+    return least_labels(len(rows), left, right).tolist(), links
+
+
+@pytest.mark.parametrize("slice_rows", [2, 1_000])
+def test_near_copies_equal_brute_force(spark, monkeypatch, slice_rows):
+    monkeypatch.setattr(near_copies, "SLICE", slice_rows)
+    rows = copied_documents()
+    want, links = brute_copies(rows)
+    assert len(links) > 60
+    got = near_copies.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r.component_id for r in sorted(got)] == want
+    odd = near_copies.near_copies(odd_documents(spark)).collect()
+    component = {r.doc_id: r.component_id for r in odd}
+    assert len(odd) == 12 and component[None] is None and component[0] == component[2] == 0 and component[5] == 4
+
+
+def test_pipeline_drops_near_copies(spark):
+    rows = copied_documents()
+    want, _ = brute_copies(rows)
+    kept = corpus_pipeline.without_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want))
+
+
 # --- packing
 
 
