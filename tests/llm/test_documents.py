@@ -331,6 +331,26 @@ def test_byte_predictions_sum_to_one(spark, monkeypatch):
     assert scores[0] > scores[1] > scores[2]
 
 
+def test_no_two_contexts_share_a_count(spark):
+    """Counts of the tree against a dictionary of contexts, with many contexts at the last depth."""
+    draw = random.Random(3)
+    words = sorted({"".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=draw.randint(1, 12))).encode() for _ in range(30_000)})
+    row = (bytearray(language_model._deflated(b" ".join(words))), bytearray(language_model._deflated(np.ones(len(words)))))
+    model = language_model.train(spark.createDataFrame([row], "words binary, trained binary"))
+    counts = Counter()
+    for w in words:
+        line = [1, *(b + 2 for b in w)]
+        for at, byte in enumerate(w + b" "):
+            context = sum(x << 9 * k for k, x in enumerate(reversed(line[max(0, at - 5) : at + 1])))
+            if at >= 5:
+                for k in range(8):
+                    counts[context << 8 | (byte | 256) >> (8 - k), byte >> (7 - k) & 1] += 1
+    nodes = {n for n, _ in counts}
+    assert len(nodes) > 1 << 19 and sorted(nodes) == model.nodes[6].tolist()
+    want = [(counts[n, 1] + 0.5) / (counts[n, 0] + counts[n, 1] + 1) for n in sorted(nodes)]
+    assert np.allclose(model.kt[6], want)
+
+
 # --- word pieces
 
 
