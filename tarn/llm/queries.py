@@ -124,8 +124,13 @@ def op3_vector_near_dedup(spark, sf_dir):
 @registered
 def op5_sampled_segmentations(spark, sf_dir):
     model = packing.tokenizer_file("piece_bpe_32k.model")
-    rows = read_table(spark, sf_dir, "conversations")
-    return segmentation.sample_segmentations(rows, model, ["conv_id", "turn"], with_ids=False)
+    return segmentation.sample_segmentations(read_table(spark, sf_dir, "documents"), model, ["doc_id"])
+
+
+@registered
+def op5_sampled_turns(spark, sf_dir):
+    model = packing.tokenizer_file("piece_bpe_32k.model")
+    return segmentation.sample_segmentations(read_table(spark, sf_dir, "conversations"), model, ["conv_id", "turn"])
 
 
 @registered

@@ -223,7 +223,7 @@ def sample_segmentations(
     def draw(batches):
         vocabulary = get()
         sampler = Sampler(vocabulary)
-        for batch in slabs(batches, 0, rows=500):
+        for batch in slabs(batches, 0, rows=500, size=1 << 20):
             out = []
             for i, (text, row_seed) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
                 for n, (ids, logp, inclusion) in enumerate(sampler.sample(text, samples, row_seed & (2**63 - 1))):

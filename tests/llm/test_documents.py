@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 from tokenizers.models import WordPiece
 
 import corpus_pipeline
-from tarn.llm import langid, language_model, near_copies, packing, segmentation, simhash, toxicity, wordpiece
+from tarn.llm import langid, language_model, near_copies, packing, queries, segmentation, simhash, toxicity, wordpiece
 from tarn.llm.common import checksum_rest, least_labels, read_table
 
 SF = "/root/testdata/sf0.001"
@@ -388,6 +388,15 @@ def test_segmentations(spark):
     assert segmentation.sample_segmentations(frame.limit(0), model, ["conv_id", "turn"]).count() == 0
 
 
+def test_documents_and_turns_are_segmented(spark):
+    for name, table, keys in (
+        ("op5_sampled_segmentations", "documents", ["doc_id"]), ("op5_sampled_turns", "conversations", ["conv_id", "turn"])
+    ):
+        got = queries.QUERIES[name](spark, SF).select(*keys, "n_pieces", "decodes", F.size("ids").alias("ids")).collect()
+        assert all(r.decodes and r.ids == r.n_pieces for r in got), name
+        assert {tuple(r[k] for k in keys) for r in got} == {tuple(r) for r in read_table(spark, SF, table).select(*keys).collect()}
+
+
 def test_samples_follow_the_lattice():
     vocabulary = segmentation.Vocabulary.load(packing.tokenizer_file("piece_bpe_32k.model"), sharpness=0.2)
     sampler, text = segmentation.Sampler(vocabulary), "the"
