@@ -19,14 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.llm.common import coded_words, shared, slabs
-from tarn.session import broadcast_if_small
+from tarn.session import broadcast_if_small, stage
 
 #: Beginnings of words that may become voters, besides whole words.
 BEGINNINGS = (3, 4, 5, 6)
-#: A stem is a candidate if at least this share of the toxic texts, and two of them, have it.
-#: As a text has a limited number of stems on average, so has the list of candidates.
-SUPPORT = 0.005
+#: The strongest voters stand alone; all further ones are pooled by strength in `POOLS` voters.
 MAX_VOTERS = 400
+POOLS = 10
 MIN_PRECISION = 0.7
 #: About so many labelled and as many unlabelled rows fit the label model and classifier.
 FIT_ROWS = 20_000
@@ -117,38 +116,53 @@ def _count_stems(rows: DataFrame, wanted: dict[str, int] | None) -> DataFrame:
     return counted.groupBy("stem").agg(F.sum("n").alias("n"))
 
 
-def mine_voters(labelled: DataFrame) -> list[str]:
-    """Stems that tell toxic from clean texts, over all labelled rows (text, toxic).
+def mine_voters(labelled: DataFrame) -> tuple[list[str], dict[str, int]]:
+    """Voters that tell toxic from clean texts, over all labelled rows (text, toxic), and the
+    voter of every stem.
 
     The log-likelihood ratio of a stem has to pass a bound that grows with the number of
-    stems tried, so that chance finds few; the strongest are kept.
+    stems tried, so that chance finds few. Stems that fire on the same texts are one voter.
     """
     sizes = {r.toxic: r.n for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
-        return []
-    candidates = _count_stems(labelled.filter("toxic = 1"), None)
-    candidates = candidates.filter(F.col("n") >= max(2, int(SUPPORT * toxic))).collect()
-    wanted = {r.stem: i for i, r in enumerate(sorted(candidates))}
-    if not wanted:
-        return []
-    inside = np.array([r.n for r in sorted(candidates)], float)
-    outside = np.zeros(len(wanted))
-    for r in _count_stems(labelled.filter("toxic = 0"), wanted).collect():
-        outside[wanted[r.stem]] = r.n
-    rate = (inside + outside) / (toxic + clean)
-
-    def likelihood(k, n, p):
-        p = np.clip(p, 1e-12, 1 - 1e-12)
-        return k * np.log(p) + (n - k) * np.log(1 - p)
-
-    gain = likelihood(inside, toxic, inside / toxic) + likelihood(outside, clean, outside / clean)
-    gain = 2 * (gain - likelihood(inside, toxic, rate) - likelihood(outside, clean, rate))
-    precise = inside >= MIN_PRECISION * (inside + outside)
-    good = np.flatnonzero(precise & (gain >= 2 * np.log(len(wanted)) + 2))
-    names = list(wanted)
-    best = sorted(good.tolist(), key=lambda i: (-gain[i], names[i]))[:MAX_VOTERS]
-    return [names[i] for i in best]
+        return [], {}
+    inside = _count_stems(labelled.filter("toxic = 1"), None).filter("n > 1")
+    outside = _count_stems(labelled.filter("toxic = 0"), None).withColumnRenamed("n", "m")
+    counted = stage(inside.join(outside, "stem", "left").fillna(0, ["m"]), "stems")
+    tried = counted.count()
+    if not tried:
+        return [], {}
+    n, m = F.col("n"), F.col("m")
+
+    def likelihood(k, size, rate):
+        p = F.greatest(F.lit(1e-12), F.least(F.lit(1 - 1e-12), rate))
+        return k * F.log(p) + (size - k) * F.log(1 - p)
+
+    both = (n + m) / (toxic + clean)
+    gain = likelihood(n, toxic, n / toxic) + likelihood(m, clean, m / clean)
+    gain = 2 * (gain - likelihood(n, toxic, both) - likelihood(m, clean, both))
+    good = counted.filter(n >= MIN_PRECISION * (n + m)).withColumn("gain", gain)
+    good = good.filter(F.col("gain") >= float(2 * np.log(tried) + 2)).collect()
+    return voters_of([(r.stem, r.n, r.m, r.gain) for r in good])
+
+
+def voters_of(good: list[tuple[str, int, int, float]]) -> tuple[list[str], dict[str, int]]:
+    """The names of the voters of all accepted stems (stem, toxic and clean texts, gain), and
+    the voter of every stem."""
+    counts = {stem: (n, m) for stem, n, m, _ in good}
+    members: dict[str, list[str]] = {}
+    for stem, *_ in sorted(good, key=lambda g: (len(g[0]), g[0])):
+        # a beginning is in every text that a longer stem is in; with equal counts, in no other
+        above = (f"^{stem[1 : 1 + k]}" for k in BEGINNINGS if k < len(stem) - 1)
+        head = next((b for b in above if counts.get(b) == counts[stem]), stem)
+        members.setdefault(head, []).append(stem)
+    gains = {stem: gain for stem, _, _, gain in good}
+    heads = sorted(members, key=lambda h: (-gains[h], h))
+    alone, rest = heads[:MAX_VOTERS], heads[MAX_VOTERS:]
+    cuts = np.linspace(0, len(rest), min(POOLS, len(rest)) + 1).astype(int).tolist()
+    pools = [[h] for h in alone] + [rest[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return [p[0] for p in pools], {s: i for i, pool in enumerate(pools) for h in pool for s in members[h]}
 
 
 # --- label model and classifier
@@ -237,9 +251,8 @@ class Model:
     voters: list[str]
     weights: np.ndarray
     label_model: LabelModel | None = field(default=None, repr=False)
-
-    def __post_init__(self):
-        self.numbers = {v: i for i, v in enumerate(self.voters)}
+    #: the voter of every stem
+    numbers: dict[str, int] = field(default_factory=dict, repr=False)
 
     def score(self, texts: pa.Array) -> np.ndarray:
         """From 0 to 1; null texts count as empty, and without labels all scores are 0."""
@@ -253,7 +266,7 @@ class Model:
 
 
 def votes_of(texts: pa.Array, numbers: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
-    votes = np.zeros((len(texts), len(numbers)))
+    votes = np.zeros((len(texts), 1 + max(numbers.values(), default=-1)))
     if numbers:
         _, text, voter = text_stems(texts, numbers)
         votes[text, voter] = 1
@@ -269,8 +282,8 @@ def train(rows: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     """Learn from `rows` and the labels (doc_id, toxic) of some of them.
 
     The lexicon is counted over all labelled rows. The label model and the classifier are
-    fitted on about `FIT_ROWS` labelled and as many unlabelled rows, taken by a hash of the
-    id. Of several labels of one id, one that says toxic wins; null labels are no labels.
+    fitted on about `FIT_ROWS` labelled and as many unlabelled rows, taken by a hash of
+    id and text. Of several labels of one id, one that says toxic wins; null labels are no labels.
     """
     spark = rows.sparkSession
     marks = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic"))
@@ -280,14 +293,13 @@ def train(rows: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
         F.col(f"`{id_column}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_column}`"), F.lit("")).alias("text")
     )
     labelled = texts.join(marks, "id").select("id", "text", "toxic")
-    voters = mine_voters(labelled)
-    numbers = {v: i for i, v in enumerate(voters)}
+    voters, numbers = mine_voters(labelled)
     n_rows, n_marks = texts.select("id").count(), marks.count()
     if not n_rows or not n_marks:
         return Model([], np.zeros(0))
 
     def sampled(frame, n):
-        return frame.filter(F.pmod(F.xxhash64("id"), F.lit(max(1, -(-n // FIT_ROWS)))) == 0)
+        return frame.filter(F.pmod(F.xxhash64("id", "text"), F.lit(max(1, -(-n // FIT_ROWS)))) == 0)
 
     get = shared(spark, numbers)
 
@@ -314,7 +326,7 @@ def train(rows: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     patterns = np.array([f["patterns"] for f in found])
     label = np.array([-1 if f["toxic"] is None else f["toxic"] for f in found])
     model, belief = fit_label_model(np.concatenate((votes, patterns > 0.5), axis=1), label)
-    return Model(voters, fit_linear(_features(votes, patterns), belief), model)
+    return Model(voters, fit_linear(_features(votes, patterns), belief), model, numbers)
 
 
 def score_texts(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

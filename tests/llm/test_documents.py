@@ -230,6 +230,17 @@ def test_toxic_words_are_learned(spark):
     assert toxicity.score_texts(docs.limit(0), model).count() == 0
 
 
+def test_rare_and_many_voters_are_kept(spark, monkeypatch):
+    """Words in a small share of many toxic texts, and more words than voters that stand alone."""
+    monkeypatch.setattr(toxicity, "MAX_VOTERS", 3)
+    rows = [(f"q{chr(97 + i // 20 % 26)}{chr(97 + i // 520)}zz" if i < 6_000 else "plain", int(i < 6_000)) for i in range(12_000)]
+    voters, numbers = toxicity.mine_voters(spark.createDataFrame(rows, "text string, toxic int"))
+    words = {f"={t}" for t, toxic in rows if toxic}
+    assert len(words) == 300 and words <= set(numbers) and len(voters) == 3 + toxicity.POOLS
+    same = numbers["=qaazz"]
+    assert numbers["^qaa"] == numbers["^qaaz"] == same
+
+
 def test_repeating_voters_share_their_weight():
     draw = np.random.default_rng(2)
     label = (draw.random(4000) < 0.3).astype(int)
