@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tarn.llm import (
+    bpe,
     exact_search,
     langid,
     language_model,
@@ -137,3 +138,12 @@ def op5_sampled_turns(spark, sf_dir):
 def op8_word_piece_counts(spark, sf_dir):
     begin, inside = wordpiece.sentencepiece_vocabulary(packing.tokenizer_file("piece_bpe_32k.model"))
     return wordpiece.count_tokens(read_table(spark, sf_dir, "documents"), begin, inside)
+
+
+@registered
+def op11_merge_queue_bpe(spark, sf_dir):
+    path = packing.tokenizer_file()
+    ids = bpe.encode_texts(read_table(spark, sf_dir, "documents"), path)
+    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256)
+    counted = ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), "ids")
+    return bpe.decode_ids(counted, path).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
