@@ -9,6 +9,7 @@ from tarn.llm import (
     exact_search,
     langid,
     language_model,
+    merkle,
     packing,
     segmentation,
     simhash,
@@ -147,3 +148,81 @@ def op11_merge_queue_bpe(spark, sf_dir):
     digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256)
     counted = ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), "ids")
     return bpe.decode_ids(counted, path).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
+
+
+@registered
+def op13_merkle_manifest(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    head = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    without_breaks = merkle.leaf_digest(*head, F.replace("text", F.lit("\n"), F.lit("")))
+    leaves = docs.select(
+        "doc_id", "source", merkle.leaf_digest(*head, F.col("text")).alias("leaf"),
+        F.when(checksum_rest("doc_id", 2) == 0, without_breaks).alias("tampered"),
+    )
+    proven = merkle.prove(leaves, "source", ["doc_id"], "leaf")
+    back = merkle.folded(F.coalesce("tampered", "leaf"), F.col("steps"))
+    proven = proven.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("steps")).alias("proof_sha256"),
+        back.alias("folded_root"),
+    )
+    return proven.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+#: crc32 of a key as decimal text, in SQL.
+CRC32_SQL = """xor(4294967295, list_reduce(
+    list_transform(range(1, 1 + len({key}::VARCHAR)), lambda j: ascii(substr({key}::VARCHAR, j::INT, 1))::BIGINT),
+    lambda c, b: list_reduce(range(8), lambda x, k: xor(x >> 1, (x & 1) * 3988292384), xor(c, b)), 4294967295::BIGINT))"""
+
+
+def _merkle_sql(levels: int = 14) -> str:
+    """Level by level, for groups of up to 3^levels nodes."""
+
+    def field(x):
+        return f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen({x}::VARCHAR) || ':' || {x}::VARCHAR END"
+
+    def leaf(text):
+        return "sha256(" + " || ".join(map(field, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+
+    def tree(name, first):
+        """CTEs of nodes `{name}{k}` (g, n, i, h) and their siblings `{name}s{k}`."""
+        parts = [f"{name}0 AS ({first})"]
+        for k in range(levels):
+            over = "OVER (PARTITION BY g, i // 3 ORDER BY i ROWS BETWEEN"
+            parts.append(f"""{name}s{k} AS (SELECT *,
+                coalesce(string_agg(h, '') {over} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                coalesce(string_agg(h, '') {over} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k})""")
+            parts.append(f"""{name}{k + 1} AS (SELECT g, n, i // 3 AS i, CASE WHEN n <= {3**k} THEN min(h)
+                ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {name}{k} GROUP BY g, n, i // 3)""")
+        return parts
+
+    def climb(name, first, nodes):
+        """CTEs that take rows (g, i, f, p) up: f the folded digest, p the siblings so far."""
+        parts = [f"{name}0 AS ({first})"]
+        for k in range(levels):
+            parts.append(f"""{name}{k + 1} AS (SELECT c.* REPLACE (
+                CASE WHEN s.n <= {3**k} THEN f ELSE sha256(s.l || f || s.r) END AS f,
+                CASE WHEN s.n <= {3**k} THEN p ELSE p || s.l || s.r END AS p)
+                FROM {name}{k} c JOIN {nodes}s{k} s ON c.g IS NOT DISTINCT FROM s.g AND c.i // {3**k} = s.i)""")
+        return parts
+
+    even = CRC32_SQL.format(key="coalesce(doc_id::VARCHAR, '')") + " % 2 = 0"
+    without_breaks = "replace(text, chr(10), '')"
+    rows = f"""SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+        count(*) OVER (PARTITION BY g) AS n FROM (SELECT doc_id, source AS g, {leaf("text")} AS leaf,
+        CASE WHEN {even} THEN {leaf(without_breaks)} ELSE {leaf("text")} END AS f FROM documents)"""
+    parts = [
+        f"docs AS MATERIALIZED ({rows})",
+        *tree("a", "SELECT g, n, i, leaf AS h FROM docs"),
+        *climb("u", "SELECT g, i, doc_id, leaf, f, '' AS p FROM docs", "a"),
+        f"""tops AS MATERIALIZED (SELECT g AS own, 0 AS g, h, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS i,
+            count(*) OVER () AS n FROM a{levels})""",
+        *tree("b", "SELECT g, n, i, h FROM tops"),
+        *climb("v", f"""SELECT t.g, t.i, u.doc_id, u.leaf, t.h AS subroot, u.f, u.p
+            FROM u{levels} u JOIN tops t ON u.g IS NOT DISTINCT FROM t.own""", "b"),
+    ]
+    return f"""WITH {", ".join(parts)}
+        SELECT doc_id, leaf, subroot, h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = h AS verified
+        FROM v{levels}, (SELECT h FROM b{levels})"""
+
+
+SQL["op13_merkle_manifest"] = _merkle_sql()
