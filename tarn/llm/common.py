@@ -11,8 +11,14 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from tarn.operators.keys import RANGE, STAMP, lay_out, position_in_range, range_number
+from tarn.session import broadcast_if_small, stage
 
 _GOLDEN = 0x9E3779B97F4A7C15
+#: (group, range) pairs, some 50 bytes each, that `ranked` may broadcast.
+SPANS_BROADCAST = 50_000
 
 
 def checksum_rest(column: str, modulus: int) -> Column:
@@ -75,6 +81,28 @@ def coded_words(texts: pa.Array, lower: bool = False, ascii: bool = False) -> tu
     return vocabulary, codes, starts
 
 
+def ranked(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """`rows` (g, ...) with `rank`, the place in its group from 0, and `n`, the group's size.
+
+    All rows are cut into ranges of equal size, so a group may span many tasks; offsets are
+    known per (group, range), and no key of a join has more rows than a range.
+    """
+    laid = lay_out(rows, [F.col("g"), *order]).withColumn(RANGE, range_number())
+    laid = laid.withColumn("place", position_in_range()).drop(STAMP)
+    spans = laid.groupBy("g", RANGE).agg(F.count("*").alias("rows"), F.min("place").alias("first"))
+    group = Window.partitionBy("g")
+    earlier = group.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("rows").over(earlier), F.lit(0))
+    spans = spans.select(
+        F.col("g").alias("span_g"), F.col(RANGE).alias("span"),
+        (before - F.col("first")).alias("shift"), F.sum("rows").over(group).alias("n"),
+    )
+    spans = stage(spans, "spans")
+    same = laid["g"].eqNullSafe(spans["span_g"]) & (laid[RANGE] == spans["span"])
+    joined = laid.join(broadcast_if_small(spans, SPANS_BROADCAST), same)
+    return joined.withColumn("rank", F.col("place") + F.col("shift")).drop("place", "shift", "span_g", "span", RANGE)
+
+
 def mix64(values: np.ndarray) -> np.ndarray:
     """A bijective mix of 64-bit values (the finaliser of splitmix64)."""
     x = values.astype(np.uint64, copy=True)

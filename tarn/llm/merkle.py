@@ -17,15 +17,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from tarn.operators.keys import RANGE, STAMP, lay_out, position_in_range, range_number, with_row_index
+from tarn.llm.common import ranked
+from tarn.operators.keys import with_row_index
 from tarn.session import broadcast_if_small, stage
 
 ARITY = 3
 BLOCK_LEVELS = 6
 BLOCK = ARITY**BLOCK_LEVELS
-#: Rows of offsets or of block proofs (some 1,500 bytes each) that may be broadcast.
+#: Rows of block proofs (some 1,500 bytes each) that may be broadcast.
 BROADCAST_ROWS = 20_000
 STEPS_TYPE = "array<struct<left:string,right:string>>"
 
@@ -45,24 +45,6 @@ def leaf_digest(*columns: Column) -> Column:
     return digest(*map(field, columns))
 
 
-def _ranked(leaves: DataFrame, order: list[Column]) -> DataFrame:
-    """`leaves` (g, ...) with `rank` in its group and `n`, the group's size."""
-    laid = lay_out(leaves, [F.col("g"), *order]).withColumn(RANGE, range_number())
-    laid = laid.withColumn("place", position_in_range()).drop(STAMP)
-    spans = laid.groupBy("g", RANGE).agg(F.count("*").alias("rows"), F.min("place").alias("first"))
-    group = Window.partitionBy("g")
-    earlier = group.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("rows").over(earlier), F.lit(0))
-    spans = spans.select(
-        F.col("g").alias("span_g"), F.col(RANGE).alias("span"),
-        (before - F.col("first")).alias("shift"), F.sum("rows").over(group).alias("n"),
-    )
-    spans = stage(spans, "spans")
-    same = laid["g"].eqNullSafe(spans["span_g"]) & (laid[RANGE] == spans["span"])
-    joined = laid.join(broadcast_if_small(spans, BROADCAST_ROWS), same)
-    return joined.withColumn("rank", F.col("place") + F.col("shift")).drop("place", "shift", "span_g", "span", RANGE)
-
-
 def _concat_digests(kids: Column) -> Column:
     return F.array_join(F.transform(kids, lambda kid: kid["digest"]), "")
 
@@ -171,7 +153,7 @@ def prove(leaves: DataFrame, group: str, order: list[str], digest_column: str) -
         raise ValueError(f"columns {sorted(clash)} are there already")
     row = F.struct(*[F.col(f"`{c}`") for c in leaves.columns])
     nodes = leaves.select(F.col(f"`{group}`").alias("g"), F.col(f"`{digest_column}`").alias("digest"), row.alias("row"))
-    passes = _passes(_ranked(stage(nodes, "leaves"), [*[F.col(f"row.`{c}`") for c in order], F.col("digest")]))
+    passes = _passes(ranked(stage(nodes, "leaves"), [*[F.col(f"row.`{c}`") for c in order], F.col("digest")]))
 
     tops = stage(_tops(passes), "tops")
     count = tops.count()

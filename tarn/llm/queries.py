@@ -11,6 +11,7 @@ from tarn.llm import (
     language_model,
     merkle,
     packing,
+    prefix_trie,
     segmentation,
     simhash,
     toxicity,
@@ -19,7 +20,7 @@ from tarn.llm import (
     wordpiece,
 )
 from tarn.llm.common import checksum_rest, read_table
-from tarn.session import scratch_path
+from tarn.session import scratch_path, stage
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -226,3 +227,66 @@ def _merkle_sql(levels: int = 14) -> str:
 
 
 SQL["op13_merkle_manifest"] = _merkle_sql()
+
+
+@registered
+def op12_conversation_prefix_trie(spark, sf_dir):
+    own = stage(prefix_trie.numbered_turns(read_table(spark, sf_dir, "conversations")), "own")
+    taken = checksum_rest("conv_id", 4)
+    lead = F.col("conv_id") - F.col("conv_id") % 20
+    ids = own.filter("pos = 0").select("conv_id")
+    openings = own.filter("pos < 3 AND conv_id % 20 = 0").withColumnRenamed("conv_id", "lead")
+    first = ids.select("conv_id", lead.alias("lead"), taken.alias("taken")).join(openings, "lead").filter("pos < taken")
+    rest = own.filter(F.col("pos") >= taken)
+    columns = ["key", "words"]
+    turns = first.select("conv_id", F.col("pos").alias("place"), *columns)
+    turns = turns.unionByName(rest.select("conv_id", (F.col("pos") + 3).alias("place"), *columns))
+    return prefix_trie.prefix_trie(turns, ids)
+
+
+SQL["op12_conversation_prefix_trie"] = f"""
+    WITH own AS (
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                   sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos,
+               coalesce(role, '') AS role, coalesce(text, '') AS text
+        FROM conversations WHERE conv_id IS NOT NULL
+    ), ids AS (
+        SELECT conv_id, conv_id - conv_id % 20 AS lead, {CRC32_SQL.format(key="conv_id")} % 4 AS h
+        FROM (SELECT DISTINCT conv_id FROM own)
+    ), placed AS (
+        SELECT i.conv_id, o.pos, role, text FROM ids i JOIN own o ON o.conv_id = i.lead AND o.pos <= i.h
+        UNION ALL
+        SELECT i.conv_id, o.pos + 3, role, text FROM ids i JOIN own o ON o.conv_id = i.conv_id AND o.pos > i.h
+    ), turns AS (
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY pos) AS depth,
+               sha256(strlen(role) || ':' || role || text) AS key,
+               len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words
+        FROM placed
+    ), prefixes AS (
+        SELECT conv_id, 0 AS depth, '' AS path, NULL AS above, 0 AS words FROM ids
+        UNION ALL
+        SELECT conv_id, depth, string_agg(key, '/') OVER upto, coalesce(string_agg(key, '/') OVER before, ''), words
+        FROM turns
+        WINDOW upto AS (PARTITION BY conv_id ORDER BY depth),
+               before AS (PARTITION BY conv_id ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+    ), lengths AS (
+        SELECT conv_id, max(depth) AS length FROM prefixes GROUP BY conv_id
+    ), nodes AS (
+        SELECT depth, path, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+               string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE depth = length) AS ends
+        FROM prefixes JOIN lengths USING (conv_id) GROUP BY depth, path
+    ), families AS (
+        SELECT p.*, q.conv_id AS parent_conv_id, (SELECT count(*) FROM nodes c WHERE c.depth = p.depth + 1 AND c.above = p.path)
+                   AS n_children
+        FROM nodes p LEFT JOIN nodes q ON q.depth = p.depth - 1 AND q.path = p.above
+    ), subtrees AS (
+        SELECT a.depth, a.path, count(*) FILTER (WHERE f.n_children = 0) AS n_leaves,
+               sum((f.n_convs - 1) * f.words)::BIGINT AS saved_tokens
+        FROM (SELECT DISTINCT a.depth, a.path, b.depth AS low, b.path AS below
+              FROM prefixes a JOIN prefixes b ON a.conv_id = b.conv_id AND a.depth <= b.depth) a
+        JOIN families f ON f.depth = a.low AND f.path = a.below
+        GROUP BY a.depth, a.path
+    )
+    SELECT f.conv_id, f.depth::BIGINT AS depth, f.parent_conv_id, f.n_convs, f.n_children, s.n_leaves, s.saved_tokens,
+           sha256(coalesce(f.ends, '')) AS ends_sha256
+    FROM families f JOIN subtrees s ON s.depth = f.depth AND s.path = f.path"""
