@@ -28,6 +28,8 @@ UNKNOWN = "und"
 _BLOCK = 1 << 13
 _HELD_LANGUAGES = 64
 _CACHE_WORDS = 300_000
+#: Words whose n-grams are in memory at a time, some 1,000 bytes each.
+_RUN = 20_000
 _IMPOSSIBLE = -1e6
 SPANS = pa.list_(pa.struct([("first", pa.int32()), ("words", pa.int32()), ("lang", pa.string())]))
 _SMOOTHING = 0.5
@@ -114,6 +116,12 @@ def _grams(words: list[str], slots: int = SLOTS) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(numbers), np.concatenate(found).astype(np.int64)
 
 
+def _gram_runs(words: list[str]):
+    """First word, word numbers from there, and slots, for runs of the words."""
+    for at in range(0, len(words), _RUN):
+        yield at, *_grams(words[at : at + _RUN])
+
+
 def train(rows: DataFrame, text_column: str, language_column: str) -> Model:
     """Count the n-grams of all rows whose text and language are not null.
 
@@ -124,20 +132,23 @@ def train(rows: DataFrame, text_column: str, language_column: str) -> Model:
         tables: dict[str, np.ndarray] = {}
         scripts: dict[str, np.ndarray] = {}
         is_letter = letter_table()
-        for batch in slabs(batches, 0, rows=8_000):
+        for batch in slabs(batches, 0, size=2 << 20):
             words, codes, starts = coded_words(batch.column(0), lower=True)
             if not words:
                 continue
-            number, slot = _grams(words)
             letters, script = _letters(words, is_letter)
             spoken = batch.column(1).dictionary_encode()
             of_word = np.repeat(spoken.indices.to_numpy(), np.diff(starts))
-            for i, language in enumerate(spoken.dictionary.to_pylist()):
-                weight = np.bincount(codes[of_word == i], minlength=len(words)).astype(float)
-                table = np.bincount(slot, weights=weight[number], minlength=SLOTS)
+            names = spoken.dictionary.to_pylist()
+            for i, language in enumerate(names):
+                weight = np.bincount(codes[of_word == i], minlength=len(words))
                 total = np.bincount(script, weights=letters * weight, minlength=len(_NAMES))
-                tables[language] = tables.get(language, 0) + table
                 scripts[language] = scripts.get(language, 0) + total
+            for at, number, slot in _gram_runs(words):
+                for i, language in enumerate(names):
+                    weight = np.bincount(codes[of_word == i], minlength=len(words))[at:].astype(float)
+                    table = np.bincount(slot, weights=weight[number], minlength=SLOTS)
+                    tables[language] = tables.get(language, 0) + table
             if len(tables) > _HELD_LANGUAGES:
                 yield blocks(tables, scripts)
                 tables, scripts = {}, {}
@@ -188,9 +199,10 @@ def score_words(words: list[str], model: Model, is_letter: np.ndarray) -> tuple[
     """
     letters, script = _letters(words, is_letter)
     scores = np.zeros((len(words), len(model.languages)), np.float32)
-    number, slot = _grams(words)
-    for i, table in enumerate(model.logp):
-        scores[:, i] = np.bincount(number, weights=table[slot], minlength=len(words)) / len(ORDERS)
+    for at, number, slot in _gram_runs(words):
+        run = scores[at : at + _RUN]
+        for i, table in enumerate(model.logp):
+            run[:, i] = np.bincount(number, weights=table[slot], minlength=len(run)) / len(ORDERS)
     candidate = model.writes[:, script].T
     silent = (letters == 0) | ~candidate.any(axis=1)
     scores[~candidate] = _IMPOSSIBLE
