@@ -178,23 +178,25 @@ class Encoder:
         if len(self.known) > _CACHE_PARTS:
             self.known = {}
         found = list(map(self.known.get, parts))
-        merge, special = self.merges.merge, self.merges.special
-        for i, ids in enumerate(found):
-            if ids is None:
-                part = parts[i]
-                if part[0] == _AS_SHOWN:
-                    own = merge(part[1:])
-                elif part[0] == _SPECIAL:
-                    own = [special[part[1:]]]
-                elif part.isascii():
-                    own = merge(part)
-                else:
-                    own = merge(part.encode().decode("latin-1").translate(_SHOWN))
-                found[i] = array("i", own).tobytes()
-                if len(part) <= _CACHE_CHARS:
-                    self.known[part] = found[i]
+        fresh = [i for i, ids in enumerate(found) if ids is None]
+        special, shown = self.merges.special, {}
+        for i in fresh:
+            part = parts[i]
+            if part[0] == _SPECIAL:
+                found[i] = array("i", [special[part[1:]]]).tobytes()
+            elif part[0] == _AS_SHOWN:
+                shown[i] = part[1:]
+            else:
+                shown[i] = part if part.isascii() else part.encode().decode("latin-1").translate(_SHOWN)
+        for i, ids in zip(shown, self._merged(list(shown.values())), strict=True):
+            found[i] = ids
+        self.known.update((parts[i], found[i]) for i in fresh if len(parts[i]) <= _CACHE_CHARS)
         return found
 
+    def _merged(self, shown: list[str]) -> list[bytes]:
+        """The ids of parts, given as the tokenizer shows their bytes."""
+        return [array("i", self.merges.merge(part)).tobytes() for part in shown]
+
 
 def _around(text: str, special: list[str]) -> Iterator[tuple[str, bool]]:
     """A text cut at special tokens: at each place the first in the text, the longest there."""

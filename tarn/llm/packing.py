@@ -9,25 +9,21 @@ more. Only lengths travel, and no group grows with the data.
 
 from __future__ import annotations
 
-import json
 import os
-import re
 import zlib
-from array import array
 from bisect import bisect_left, insort
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tarn.llm.common import coded_words, slabs
+from tarn.llm import bpe
+from tarn.llm.common import shared, slabs
 from tarn.session import stage
 
 CAPACITY = 4096
@@ -36,118 +32,37 @@ END_ID = 1
 FULL_SHARE = 0.998
 #: Items that are packed together at one node of the tree.
 GROUP = 4_000
-#: The parts of a word, as the word-level tokenizer itself defines them (a fixed value).
-PART_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_WORD_END = "</w>"
-_PART = regex.compile(PART_PATTERN)
-_MARKS = ".,;:!?#$%&*"
-#: Latin characters that the normalizer only lower-cases.
-_PLAIN = re.compile("[!-~\xa1-\xac\xae-\u024f]+").fullmatch
-#: How a byte-level tokenizer shows the bytes that are not printable (a fixed rule).
-_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
-_SHOWN = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
-_CACHE_WORDS = 250_000
-_CACHE_CHARS = 64
 
 
 # --- tokens
 
 
-class WordEncoder:
-    """Token ids of texts, from the ids of their distinct words; those of seen words are kept.
+class WordEncoder(bpe.Encoder):
+    """Token ids of texts by the tokenizers library, from the ids of their distinct parts.
 
-    The tokenizer drops white space and makes no token across it, so the ids of a text are
-    those of its words. Words of Latin letters, digits and marks without a special token
-    are lower-cased and cut into parts here by the tokenizer's own pattern, and its model
-    gives the ids of each part; for these characters its normalizer does nothing else. Every
-    other word, and texts with the control characters 0x1C-0x1F, at which Arrow cuts but the
-    tokenizer does not, are encoded by the whole tokenizer.
+    Texts are cut and parts remembered as `bpe.Encoder` does; the library's model gives the
+    ids of new parts, which is quicker than making their merges in Python.
     """
 
-    def __init__(self, definition: bytes):
-        self.tokenizer = Tokenizer.from_buffer(definition)
-        self.model = Tokenizer(self.tokenizer.model)  # neither normalizes nor cuts
-        known = json.loads(definition)
-        self.cuts_words = _is_word_bpe(known)
-        self.special = re.compile("|".join(re.escape(t["content"]) for t in known["added_tokens"]) or "(?!)")
-        ends = [i for t, i in self.tokenizer.get_vocab().items() if t.endswith(_WORD_END)]
-        self.ends_part = np.zeros(self.tokenizer.get_vocab_size(), bool)
-        self.ends_part[ends] = True
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids one after another, and where the ids of each text begin and end."""
-        if len(self.words) > _CACHE_WORDS:
-            self.words, self.parts = {}, {}
-        elif len(self.parts) > _CACHE_WORDS // 2:
-            self.parts = {}
-        texts = pc.fill_null(texts, "")
-        odd = pc.match_substring_regex(texts, "[\x1c-\x1f]")
-        if pc.any(odd).as_py():
-            ids = [self._whole(t) for t in texts.to_pylist()]
-            ends = np.cumsum([0, *map(len, ids)]) // 4
-            return np.frombuffer(b"".join(ids), "<u4"), ends
-        words, code, starts = coded_words(texts)
-        ids = self._word_ids(words)
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        length = size[code]
-        ends = np.concatenate(([0], np.cumsum(length)))
-        places = np.repeat((np.cumsum(size) - size)[code] - ends[:-1], length) + np.arange(ends[-1])
-        return np.frombuffer(b"".join(ids), "<u4")[places], ends[starts]
-
-    def _whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _word_ids(self, words: list[str]) -> list[bytes]:
-        found = list(map(self.words.get, words))
-        fresh = [i for i, ids in enumerate(found) if ids is None]
-        cut: dict[int, list[str]] = {}
-        for i in fresh:
-            word = words[i]
-            if self.cuts_words and _PLAIN(word) and not self.special.search(word):
-                cut[i] = _word_parts(word.lower())
-            else:
-                found[i] = self._whole(word)
-        parts = self.parts
-        self._learn_parts(list({p for ps in cut.values() for p in ps if p not in parts}))
-        for i, ps in cut.items():
-            found[i] = parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps])
-        self.words.update((words[i], found[i]) for i in fresh if len(words[i]) <= _CACHE_CHARS)
-        return found
-
-    def _learn_parts(self, parts: list[str]) -> None:
-        for at in range(0, len(parts), 500):  # few at a time, as an encoding is much larger than its ids
-            own = parts[at : at + 500]
-            shown = [p if p.isascii() else p.encode().decode("latin-1").translate(_SHOWN) for p in own]
-            (encoded,) = self.model.encode_batch_fast([shown], is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(encoded.ids, "<u4")
+    def __init__(self, merges: bpe.Merges):
+        super().__init__(merges)
+        self.model = Tokenizer(Tokenizer.from_buffer(merges.definition).model)  # neither normalizes nor cuts
+        self.ends_part = np.zeros(merges.size, bool)
+        if merges.ending:
+            self.ends_part[[i for t, i in merges.vocabulary.items() if t.endswith(merges.ending)]] = True
+
+    def _merged(self, shown: list[str]) -> list[bytes]:
+        if not self.merges.ending:  # nothing in the ids tells where a part ends
+            return super()._merged(shown)
+        found = []
+        for at in range(0, len(shown), 500):  # few at a time, as an encoding is much larger than its ids
+            own = shown[at : at + 500]
+            (encoded,) = self.model.encode_batch_fast([own], is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(encoded.ids, "<i4")
             ends = (4 * (np.flatnonzero(self.ends_part[ids]) + 1)).tolist()
-            data, spans = ids.tobytes(), zip([0, *ends[:-1]], ends, strict=True)
-            self.parts.update(zip(own, [data[a:b] for a, b in spans], strict=True))
-
-
-def _word_parts(word: str) -> list[str]:
-    """The matches of PART_PATTERN in a plain lower-case word."""
-    if word.isalpha():
-        return [word]
-    core = word.rstrip(_MARKS)
-    if core.isalpha():
-        return [core, word[len(core) :]]
-    return _PART.findall(word)
-
-
-def _is_word_bpe(definition: dict) -> bool:
-    """Whether a tokenizer is of the kind whose words `WordEncoder` may cut itself."""
-    normalizers = [n["type"] for n in (definition["normalizer"] or {}).get("normalizers", [])]
-    before = (definition["pre_tokenizer"] or {}).get("pretokenizers", [])
-    return (
-        definition["model"]["type"] == "BPE"
-        and normalizers == ["NFC", "Replace", "Lowercase"]
-        and [b["type"] for b in before] == ["Split", "ByteLevel"]
-        and before[0]["pattern"] == {"Regex": PART_PATTERN}
-        and definition["model"]["end_of_word_suffix"] == _WORD_END
-    )
+            data = ids.tobytes()
+            found += [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+        return found
 
 
 def pieces(
@@ -167,15 +82,15 @@ def pieces(
     with the same id are packed as documents of their own.
     """
     with open(tokenizer_path, "rb") as file:
-        definition = file.read()
+        merges = shared(docs.sparkSession, bpe.Merges(file.read()))
     ending = np.array([end_id], "<u4").tobytes()
     width = 4 * capacity
 
     def cut(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for every core
-        encoder, item = WordEncoder(definition), TaskContext.get().partitionId() << 40
-        for batch in slabs(batches, 1, size=4 << 20):
-            ids, ends = encoder.encode_batch(batch.column(1))
+        encoder, item = WordEncoder(merges()), TaskContext.get().partitionId() << 40
+        for batch in slabs(batches, 1, size=2 << 20):
+            ids, ends = encoder.encode(batch.column(1))
             rows = []
             for key, start, end in zip(batch.column(0).to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
                 data = ids[start:end].tobytes() + ending

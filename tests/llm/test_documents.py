@@ -2,6 +2,7 @@
 
 import math
 import random
+import tracemalloc
 import re
 import subprocess
 import sys
@@ -18,8 +19,8 @@ from tokenizers import Tokenizer
 from tokenizers.models import WordPiece
 
 import corpus_pipeline
-from tarn.llm import langid, language_model, near_copies, packing, queries, segmentation, simhash, toxicity, wordpiece
-from tarn.llm.common import checksum_rest, least_labels, read_table
+from tarn.llm import bpe, langid, language_model, near_copies, packing, queries, segmentation, simhash, toxicity, wordpiece
+from tarn.llm.common import checksum_rest, least_labels, mix64, read_table
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, id long, fp long, word binary, run long, item long, node string"
@@ -159,12 +160,12 @@ def test_packing_in_a_tree(spark):
 
 def test_words_encode_like_their_text():
     path = packing.tokenizer_file()
-    tokenizer, encoder = Tokenizer.from_file(path), packing.WordEncoder(open(path, "rb").read())
+    tokenizer, encoder = Tokenizer.from_file(path), packing.WordEncoder(bpe.Merges(open(path, "rb").read()))
     texts = ["<|endoftext|> A's don't", "İ ſ ﬁ ΑΣ Σ x\xady ²½", "日本語 😀 \x85 \x1c", "a" * 3000, "a_b-c'd.e '' 's", "", " \n"]
     draw = random.Random(1)
     texts += ["".join(chr(draw.choice([draw.randrange(32, 592), draw.randrange(0, 0x3000)])) for _ in range(40)) for _ in range(300)]
     for batch in (texts, [t for t in texts if "\x1c" not in t]):
-        ids, ends = encoder.encode_batch(pa.array(batch))
+        ids, ends = encoder.encode(pa.array(batch))
         for text, a, b in zip(batch, ends[:-1], ends[1:], strict=True):
             assert ids[a:b].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
@@ -474,3 +475,46 @@ for name, run in entry.queries().items():
 """
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=600)
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_rows_that_share_an_id_keep_their_texts(spark):
+    """Only near copies go, whatever their ids; columns named as those inside stay."""
+    long = [" ".join(f"{w}{i}" for i in range(120)) for w in "abc"]
+    rows = [(1, long[0]), (1, long[1]), (2, long[1] + " end"), (None, long[2]), (3, long[2]), (None, "alone here"), (1, long[0])]
+    rows = [(i, t, f"g{n}", n) for n, (i, t) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, grp string, __row long")
+    kept = corpus_pipeline.without_near_copies(spark, docs, SF)
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id, r.text) for r in kept.collect() if r.doc_id is not None)
+    assert got == [(1, long[0]), (1, long[1]), (3, long[2])]
+    assert [r.text for r in kept.collect() if r.doc_id is None] == ["alone here"]
+
+
+def test_few_words_are_in_memory_at_a_time(monkeypatch):
+    """n-grams of two megabytes of distinct words, and scores that do not depend on runs."""
+    words = [f"wörd{i}" for i in range(200_000)]
+    tracemalloc.start()
+    total = sum(len(slot) for _, _, slot in langid._gram_runs(words))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20 and total == len(langid._grams(words)[0])
+    rnd = np.random.default_rng(1)
+    logp = rnd.normal(size=(2, langid.SLOTS)).astype(np.float32)
+    model = langid.Model(["de", "en"], logp, np.ones((2, len(langid._NAMES)), bool), 0)
+    some, is_letter = ["a", "ab", "wörd", "12", "x" * 300, "ελ", "abc"] * 3, langid.letter_table()
+    _, whole = langid.score_words(some, model, is_letter)
+    monkeypatch.setattr(langid, "_RUN", 2)
+    _, cut = langid.score_words(some, model, is_letter)
+    assert np.allclose(whole, cut)
+    for word, score in zip(some, cut, strict=True):  # every n-gram of the word between two blanks
+        marked, slots = f" {word} ", []
+        for n in langid.ORDERS:
+            for i in range(len(marked) - n + 1):
+                gram = marked[i : i + n]
+                if gram.strip():
+                    value = n
+                    for c in gram:
+                        value = (value * 0x100000001B3 + ord(c)) % 2**64
+                    slots.append(int(mix64(np.array([value], np.uint64))[0] % langid.SLOTS))
+        want = logp[:, slots].astype(float).sum(axis=1) / len(langid.ORDERS)
+        assert np.allclose(score, want if any(map(str.isalpha, word)) else 0, rtol=1e-4, atol=1e-4), word
