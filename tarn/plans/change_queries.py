@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tarn.operators.maintain import discover_tables, expired_files
@@ -14,9 +15,12 @@ from tarn.streaming.ingest import (
     dedupe_latest,
     incremental_since,
     ingest_stream,
+    land_attempt,
     land_pages,
+    renew_schema,
     reset_stream,
     run_increment,
+    start_attempt,
 )
 
 
@@ -178,6 +182,53 @@ def finished_paged_runs(spark, sf_dir):
     return dedupe_exact(spark.read.parquet(out).drop("run", "batch_id"))
 
 
+@query("R4 R5", sql="SELECT * FROM events WHERE ts < '2024-01-25'")
+def repeated_paged_run(spark, sf_dir):
+    """A run that was stopped after it had landed other versions of the same pages."""
+    pages, out, state = (scratch_path(spark, label) for label in ("pages", "increments", "state"))
+    events, schema = table(spark, sf_dir, "events"), spark.createDataFrame([], _EVENT_SCHEMA).schema
+
+    def pages_of(rows):
+        return lambda last, folder: write_json(rows.repartition(6, "event_id"), folder)
+
+    changed = events.filter("event_id % 2 = 0").withColumn("value", F.col("value") + 1)
+    land_attempt(spark, start_attempt(spark, pages, out, state, "2024-01-25"), pages_of(changed), schema, "ts")
+    run_increment(spark, pages_of(events.filter("ts < '2024-01-25'")), pages, out, state, schema, "ts", "2024-01-25")
+    return spark.read.parquet(out).drop("run", "batch_id")
+
+
+@query(
+    "R1 R2",
+    sql="""
+    SELECT event_id, user_id, event_type, value, list_value(event_type, user_id::VARCHAR) AS tags,
+           CASE WHEN ts >= '2024-01-15' THEN props END AS props
+    FROM events""",
+)
+def nested_stream_change(spark, sf_dir):
+    """The second drop has a new field in a struct in an array of structs: the stream stops,
+    takes the field in, and goes on with the drop."""
+    src, checkpoint, path = (scratch_path(spark, label) for label in ("drops", "checkpoint", "streamed"))
+    name = "tarn_" + path.rsplit("-", 1)[1]
+    events, early = table(spark, sf_dir, "events"), F.col("ts") < "2024-01-15"
+    tags = F.array(*[F.struct(F.col(c).cast("string").alias("tag")) for c in ("event_type", "user_id")]).alias("tags")
+    for rows, inner in ((events.filter(early), ["value"]), (events.filter(~early), ["value", "props"])):
+        detail = F.array(F.struct("event_type", F.struct(*inner).alias("more"))).alias("details")
+        write_json(rows.select("event_id", F.struct("user_id").alias("who"), detail, tags), src, mode="append")
+        try:
+            ingest_stream(spark, src, name, checkpoint, path=path)
+        except StreamingQueryException:
+            renew_schema(spark, src, checkpoint + "_schema")
+            spark.sql("DROP TABLE IDENTIFIER(:name)", {"name": name})
+            ingest_stream(spark, src, name, checkpoint, path=path)
+    loaded = spark.read.schema(spark.table(name).schema).parquet(path)
+    spark.sql("DROP TABLE IDENTIFIER(:name)", {"name": name})
+    detail = F.col("details")[0]
+    return loaded.select(
+        "event_id", F.col("who.user_id").alias("user_id"), detail["event_type"].alias("event_type"),
+        detail["more"]["value"].alias("value"), F.col("tags.tag").alias("tags"), detail["more"]["props"].alias("props"),
+    )
+
+
 @query("R3 R1", sql="SELECT event_id, value FROM events")
 def reset_and_loaded_again(spark, sf_dir):
     """A stream that is forgotten loads all files once more."""

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarn.sources.writers import qualified_path
+
 
 def create_schema(spark: SparkSession, name: str, use: bool = False) -> None:
     spark.sql("CREATE SCHEMA IF NOT EXISTS IDENTIFIER(:name)", {"name": name})
@@ -21,11 +23,16 @@ def drop_schema(spark: SparkSession, name: str) -> None:
 def register_external(spark: SparkSession, name: str, path: str) -> None:
     """Give a Parquet path a table name, so that the table shows what the path holds now.
 
-    A table of that name stays, unless its columns are no longer those of the path. Call it
-    again after each load: it drops listings Spark has kept and finds new partitions.
+    A table of that name stays, unless its columns are no longer those of the path; then it
+    is registered anew. A managed table, a view or a table over another path has data of its
+    own under that name: that is an error, and nothing is dropped. Call it again after each
+    load: it drops listings Spark has kept and finds new partitions.
     """
     columns = [(f.name, f.dataType) for f in spark.read.parquet(path).schema.fields]
     if spark.catalog.tableExists(name):
+        kind, location = spark.catalog.getTable(name).tableType, _location(spark, name)
+        if kind != "EXTERNAL" or location != qualified_path(spark, path):
+            raise ValueError(f"{name} is there already: {kind.lower()}, at {location}")
         if [(f.name, f.dataType) for f in spark.table(name).schema.fields] != columns:
             spark.sql("DROP TABLE IDENTIFIER(:name)", {"name": name})
     if not spark.catalog.tableExists(name):
@@ -35,6 +42,13 @@ def register_external(spark: SparkSession, name: str, path: str) -> None:
     spark.catalog.refreshTable(name)
 
 
+def _location(spark: SparkSession, name: str) -> str | None:
+    """Where a table lies, spelt as `qualified_path` does; a view lies nowhere."""
+    detail = spark.sql("DESCRIBE TABLE EXTENDED IDENTIFIER(:name)", {"name": name})
+    found = detail.filter("col_name = 'Location'").select("data_type").head()
+    return qualified_path(spark, found[0]) if found else None
+
+
 def replace_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 

@@ -91,15 +91,22 @@ def replace_folder(df: DataFrame, path: str, write=None) -> None:
     The rows are written next to the table first. Only the finished folder is moved into
     place, so a failed job leaves the old table untouched.
     """
-    spark = df.sparkSession
-    base, tag = path.rstrip("/"), uuid.uuid4().hex
-    fresh, old = f"{base}__fresh-{tag}", f"{base}__old-{tag}"
+    base = path.rstrip("/")
+    fresh = f"{base}__fresh-{uuid.uuid4().hex}"
     (write or write_parquet)(df, fresh)
+    move_into_place(df.sparkSession, fresh, base)
+
+
+def move_into_place(spark: SparkSession, fresh: str, path: str) -> None:
+    """Make the finished folder `fresh` the one at `path`; an older one there is moved aside
+    first and removed at the end."""
+    base = path.rstrip("/")
     fs, target = _fs(spark, base)
     _, fresh_path = _fs(spark, fresh)
-    _, old_path = _fs(spark, old)
+    _, old_path = _fs(spark, f"{base}__old-{uuid.uuid4().hex}")
     if fs.exists(target) and not fs.rename(target, old_path):
         raise OSError(f"cannot move {base} aside")
+    fs.mkdirs(target.getParent())
     if not fs.rename(fresh_path, target):
         fs.rename(old_path, target)
         raise OSError(f"cannot move {fresh} to {base}")
@@ -107,6 +114,19 @@ def replace_folder(df: DataFrame, path: str, write=None) -> None:
     spark.catalog.refreshByPath(base)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder and all in it, if it is there."""
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """The folders directly in a folder that may not be there."""
+    fs, p = _fs(spark, path)
+    found = fs.listStatus(p) if fs.exists(p) else []
+    return [status.getPath().toString() for status in found if status.isDirectory()]
+
+
 def truncate_and_load(df: DataFrame, path: str) -> None:
     """All old rows out, `df` in; a first run without a table is fine."""
     replace_folder(df, path)

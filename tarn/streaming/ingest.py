@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarn.sources.readers import read_folder
-from tarn.sources.writers import path_exists, replace_folder
+from tarn.sources.writers import move_into_place, path_exists, remove_folder, replace_folder, subfolders
 
 PAGES_PER_FILE = 10
 FILES_PER_BATCH = 50
@@ -27,23 +29,70 @@ def stream_schema(spark: SparkSession, src: str, location: str, fmt: str = "json
 
 
 def renew_schema(spark: SparkSession, src: str, location: str, fmt: str = "json") -> T.StructType:
-    """Take the fields of all files now in `src` for the kept schema; kept fields come first.
-
-    Call it when a stream stops at a file with new fields. A kept field keeps its type.
-    """
+    """Take the fields of all files now in `src` for the kept schema, at every level; kept
+    fields come first. Call it when a stream stops at a file with new fields."""
     kept = stream_schema(spark, src, location, fmt)
-    found = read_folder(spark, src, fmt, glob="*").schema
-    fresh = [f for f in found.fields if f.name not in kept.names]
-    schema = T.StructType([*kept.fields, *fresh])
+    schema = merged_type(kept, read_folder(spark, src, fmt, glob="*").schema)
     replace_folder(
         spark.createDataFrame([(schema.json(),)], "value string").coalesce(1), location, lambda df, p: df.write.text(p)
     )
     return schema
 
 
+def merged_type(kept: T.DataType, found: T.DataType) -> T.DataType:
+    """`kept` with the fields that only `found` has, in structs, arrays and maps at any depth.
+    A field that both have keeps its type, unless both types are nested in the same way."""
+    if isinstance(kept, T.StructType) and isinstance(found, T.StructType):
+        other = {f.name: f for f in found.fields}
+        fields = [
+            T.StructField(f.name, merged_type(f.dataType, other[f.name].dataType), f.nullable, f.metadata)
+            if f.name in other
+            else f
+            for f in kept.fields
+        ]
+        return T.StructType(fields + [f for f in found.fields if f.name not in kept.names])
+    if isinstance(kept, T.ArrayType) and isinstance(found, T.ArrayType):
+        return T.ArrayType(merged_type(kept.elementType, found.elementType), kept.containsNull)
+    if isinstance(kept, T.MapType) and isinstance(found, T.MapType):
+        return T.MapType(kept.keyType, merged_type(kept.valueType, found.valueType), kept.valueContainsNull)
+    return kept
+
+
+def _holds_structs(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.ArrayType):
+        return _holds_structs(data_type.elementType)
+    if isinstance(data_type, T.MapType):
+        return _holds_structs(data_type.valueType)
+    return isinstance(data_type, T.StructType)
+
+
+def unknown_paths(text: Column, data_type: T.DataType, path: str = "") -> Column:
+    """The paths of fields in a JSON text that `data_type` does not have, as an array.
+
+    Each level is read as raw JSON by name or by element, so only columns that hold structs
+    are read further down. A value of another shape has no paths; reading it by the schema
+    tells that it does not fit.
+    """
+    if isinstance(data_type, T.StructType):
+        nested = [f for f in data_type.fields if _holds_structs(f.dataType)]
+        keys = F.coalesce(F.json_object_keys(text), F.array().cast("array<string>"))
+        known = F.array(*[F.lit(c) for c in data_type.names]).cast("array<string>")
+        fresh = F.transform(F.array_except(keys, known), lambda key: F.concat(F.lit(path), key))
+        if not nested:
+            return fresh
+        raw = F.from_json(text, T.StructType([T.StructField(f.name, T.StringType()) for f in nested]))
+        return F.concat(fresh, *[unknown_paths(raw[f.name], f.dataType, f"{path}{f.name}.") for f in nested])
+    if isinstance(data_type, T.ArrayType):
+        inner, raw = data_type.elementType, F.from_json(text, "array<string>")
+    else:
+        inner, raw = data_type.valueType, F.map_values(F.from_json(text, "map<string,string>"))
+    found = F.flatten(F.transform(raw, lambda part: unknown_paths(part, inner, path[:-1] + "[].")))
+    return F.coalesce(F.array_distinct(found), F.array().cast("array<string>"))
+
+
 def _file_stream(spark, src, fmt, schema, max_files, sep=","):
     """A stream of files, with `_metadata`. A record that does not fit the schema, a field
-    the schema does not have and a CSV file with another header stop it."""
+    the schema does not have, at any depth, and a CSV file with another header stop it."""
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
@@ -54,15 +103,18 @@ def _file_stream(spark, src, fmt, schema, max_files, sep=","):
     if fmt != "json":
         return reader.format(fmt).schema(schema).load(src).select("*", "_metadata")
     lines = reader.text(src).filter(F.trim("value") != "")
-    unknown = F.array_except(F.json_object_keys("value"), F.array(*[F.lit(c) for c in schema.names]))
+    unknown = unknown_paths(F.col("value"), schema)
     message = F.concat(F.lit("fields that the schema does not have: "), F.array_join(unknown, ", "))
     known = F.when(F.size(unknown) > 0, F.raise_error(message).cast("string")).otherwise(F.col("value"))
-    nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
-    return lines.select(F.from_json(known, nullable, {"mode": "FAILFAST"}).alias("__row"), "_metadata").select(
+    return lines.select(F.from_json(known, _nullable(schema), {"mode": "FAILFAST"}).alias("__row"), "_metadata").select(
         "__row.*", "_metadata"
     )
 
 
+def _nullable(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+
+
 def ingest_stream(
     spark: SparkSession,
     src: str,
@@ -139,6 +191,65 @@ def land_pages(
     query.awaitTermination()
 
 
+@dataclass(frozen=True)
+class Attempt:
+    """One try at a paged run. What it fetches and lands lies in folders of its own, so that
+    nothing of an earlier try, whatever became of it, is taken for its own."""
+
+    day: str
+    last: str | None  # the day of the last finished run
+    number: int  # of the run, counting finished ones
+    run: str  # the name of its folder under `out`
+    pages: str
+    landed: str
+    checkpoint: str
+
+
+def start_attempt(spark: SparkSession, pages: str, out: str, state: str, day: str) -> Attempt:
+    """A new attempt at the run of `day`. A second run of the same day is a run of its own."""
+    last, number = last_run(spark, f"{state}/last_run"), finished_runs(spark, f"{state}/last_run") + 1
+    run, tag = (day if day != last else f"{day}-{number}"), uuid.uuid4().hex
+    return Attempt(
+        day, last, number, run,
+        pages=f"{pages}/run={run}/attempt={tag}",
+        landed=f"{out}/_attempts/{run}/{tag}",
+        checkpoint=f"{state}/checkpoints/{run}/{tag}",
+    )
+
+
+def land_attempt(
+    spark: SparkSession,
+    attempt: Attempt,
+    fetch: Callable[[str | None, str], None],
+    schema: T.StructType,
+    column: str,
+    months: int = 1,
+    fmt: str = "json",
+) -> None:
+    """Fetch the pages of an attempt and land their rows out of sight of readers of `out`."""
+    fetch(attempt.last, attempt.pages)
+    land_pages(
+        spark, attempt.pages, attempt.landed, attempt.checkpoint, schema, fmt,
+        keep=lambda rows: incremental_since(rows, column, attempt.last, months),
+    )
+
+
+def finish_attempt(spark: SparkSession, attempt: Attempt, pages: str, out: str, state: str) -> None:
+    """Show what an attempt has landed, by one move of its folder, then set the stamp. What
+    other attempts at this run have left is removed afterwards."""
+    target = f"{out}/run={attempt.run}"
+    if path_exists(spark, attempt.landed):
+        move_into_place(spark, attempt.landed, target)
+    else:  # no pages; an attempt that was stopped before its stamp may have had some
+        remove_folder(spark, target)
+    mark_run(spark, f"{state}/last_run", attempt.day, attempt.number)
+    for left in (f"{out}/_attempts/{attempt.run}", f"{state}/checkpoints/{attempt.run}"):
+        remove_folder(spark, left)
+    for folder in subfolders(spark, f"{pages}/run={attempt.run}"):
+        if folder.rsplit("/", 1)[1] != attempt.pages.rsplit("/", 1)[1]:
+            remove_folder(spark, folder)
+
+
 def run_increment(
     spark: SparkSession,
     fetch: Callable[[str | None, str], None],
@@ -155,29 +266,31 @@ def run_increment(
 
     `fetch(last_day, folder)` puts the pages of this run into `folder`; last_day is the day
     of the last finished run, or None. Only rows from `months` before that day on are
-    landed, under `<out>/run=<day>`. The stamp is set last, so a run that fails is repeated
-    from the same day; what it has landed is landed again in the same place. Returns the day
-    of the run before.
+    landed, under `<out>/run=<day>`. A run that is stopped anywhere is repeated as a new
+    attempt from the same day: with fresh pages, checkpoint and output, which take the place
+    of all that the stopped one has shown. Runs of one `state` follow each other; two at a
+    time are not supported. Returns the day of the run before.
     """
-    last, folder = last_run(spark, f"{state}/last_run"), f"{pages}/run={day}"
-    fetch(last, folder)
-    land_pages(
-        spark, folder, f"{out}/run={day}", f"{state}/checkpoint-{day}", schema, fmt,
-        keep=lambda rows: incremental_since(rows, column, last, months),
-    )
-    mark_run(spark, f"{state}/last_run", day)
-    return last
+    attempt = start_attempt(spark, pages, out, state, day)
+    land_attempt(spark, attempt, fetch, schema, column, months, fmt)
+    finish_attempt(spark, attempt, pages, out, state)
+    return attempt.last
 
 
-def mark_run(spark: SparkSession, path: str, day: str) -> None:
-    """Keep the day (`yyyy-MM-dd`) of the last finished run."""
-    replace_folder(spark.createDataFrame([(day,)], "last_run string"), path)
+def mark_run(spark: SparkSession, path: str, day: str, runs: int = 1) -> None:
+    """Keep the day (`yyyy-MM-dd`) of the last finished run and how many are finished."""
+    replace_folder(spark.createDataFrame([(day, runs)], "last_run string, runs int"), path)
 
 
 def last_run(spark: SparkSession, path: str) -> str | None:
     return spark.read.parquet(path).head()[0] if path_exists(spark, path) else None
 
 
+def finished_runs(spark: SparkSession, path: str) -> int:
+    """The number of finished runs; a stamp without it counts as one."""
+    return spark.read.parquet(path).head().asDict().get("runs", 1) if path_exists(spark, path) else 0
+
+
 def incremental_since(
     df: DataFrame, column: str, last_run: str | Column | None, months: int = 1
 ) -> DataFrame:

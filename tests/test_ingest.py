@@ -1,11 +1,15 @@
 """Streaming ingest, page landing and incremental filters, with restarts."""
 
 import json
+import re
 import shutil
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tarn.streaming import ingest
 from tarn.streaming.ingest import (
     dedupe_exact,
     dedupe_latest,
@@ -16,6 +20,7 @@ from tarn.streaming.ingest import (
     mark_run,
     renew_schema,
     reset_stream,
+    run_increment,
     stream_schema,
 )
 from tests.conftest import rows
@@ -158,3 +163,125 @@ def test_csv_stream_reads_its_header(spark, tmp_path):
     (src / "b.csv").write_text("v;id\nz;3\n")
     with pytest.raises(Exception):  # noqa: B017
         land_pages(spark, str(src), out, str(tmp_path / "cp"), schema, fmt="csv", sep=";")
+
+
+# ---- repeated runs --------------------------------------------------------------------
+
+RUN_SCHEMA = "id bigint, day string"
+
+
+def fetched(pages):
+    """A `fetch` that puts the given pages (lists of ids) into files of always the same names."""
+
+    def fetch(last, folder):
+        Path(folder).mkdir(parents=True)
+        for i, ids in enumerate(pages):
+            lines = [json.dumps({"id": n, "day": f"202403{n % 28 + 1:02}"}) for n in ids]
+            (Path(folder) / f"page-{i:05d}.json").write_text("\n".join(lines) + "\n")
+
+    return fetch
+
+
+def increment(spark, base, pages, day):
+    schema = spark.createDataFrame([], RUN_SCHEMA).schema
+    return run_increment(spark, fetched(pages), f"{base}/pages", f"{base}/out", f"{base}/state", schema, "day", day)
+
+
+def landed_ids(spark, base):
+    return sorted(r.id for r in spark.read.schema(RUN_SCHEMA).parquet(f"{base}/out").collect())
+
+
+@pytest.mark.parametrize("stopped", ["fetch", "between batches", "before the move", "before the stamp"])
+def test_a_stopped_run_leaves_nothing_behind(spark, tmp_path, monkeypatch, stopped):
+    """The pages have changed when the run is repeated; the result is that of one clean run."""
+
+    def stop(*a, **k):
+        raise RuntimeError(stopped)
+
+    before = [[100, 101]]
+    assert increment(spark, tmp_path, before, "2024-03-15") is None
+    first, second = [[n] for n in range(25)], [[0, 7], [1], [30]]
+    with monkeypatch.context() as patched:
+        if stopped == "fetch":
+            patched.setattr(ingest, "land_pages", stop)
+        if stopped == "between batches":
+            whole = ingest.land_pages
+
+            def two_batches(*args, **options):
+                whole(*args, **options, pages_per_file=5, files_per_batch=1)
+                stop()
+
+            patched.setattr(ingest, "land_pages", two_batches)
+        if stopped == "before the move":
+            patched.setattr(ingest, "move_into_place", stop)
+        if stopped == "before the stamp":
+            patched.setattr(ingest, "mark_run", stop)
+        with pytest.raises(RuntimeError, match=stopped):
+            increment(spark, tmp_path, first, "2024-03-20")
+    assert last_run(spark, f"{tmp_path}/state/last_run") == "2024-03-15"
+    seen = [100, 101] + (list(range(25)) if stopped == "before the stamp" else [])
+    assert landed_ids(spark, tmp_path) == sorted(seen)
+    assert increment(spark, tmp_path, second, "2024-03-20") == "2024-03-15"
+    assert landed_ids(spark, tmp_path) == [0, 1, 7, 30, 100, 101]
+    assert last_run(spark, f"{tmp_path}/state/last_run") == "2024-03-20"
+    assert not list((tmp_path / "out" / "_attempts").iterdir())
+    assert len(list((tmp_path / "pages" / "run=2024-03-20").iterdir())) == 1
+
+
+def test_a_second_run_of_a_day_adds_to_it(spark, tmp_path):
+    assert increment(spark, tmp_path, [[1, 2]], "2024-06-15") is None
+    assert increment(spark, tmp_path, [], "2024-06-15") == "2024-06-15"
+    assert landed_ids(spark, tmp_path) == [1, 2]
+    increment(spark, tmp_path, [[3]], "2024-03-15")
+    increment(spark, tmp_path, [[4]], "2024-03-15")
+    increment(spark, tmp_path, [[5]], "2024-03-15")
+    assert landed_ids(spark, tmp_path) == [1, 2, 4, 5]  # the third run looked back from June
+
+
+# ---- nested fields ----------------------------------------------------------------------
+
+NESTED = {"id": 1, "p": {"x": 1, "q": {"y": 2}}, "rows": [{"a": 1}], "grid": [[{"b": 1}]]}
+
+
+@pytest.mark.parametrize(
+    ("change", "path"),
+    [
+        ({"p": {"x": 2, "fresh": 1}}, "p.fresh"),
+        ({"p": {"x": 2, "q": {"y": 1, "z": {"deep": 1}}}}, "p.q.z"),
+        ({"rows": [{"a": 1}, None, {"a": 2, "late": True}]}, "rows[].late"),
+        ({"grid": [[], [{"b": 1}, {"c": 2}]]}, "grid[][].c"),
+        ({"top": None}, "top"),
+    ],
+)
+def test_a_new_field_at_any_depth_stops_the_stream(spark, tmp_path, change, path):
+    src, out, cp = tmp_path / "src", str(tmp_path / "t"), str(tmp_path / "cp")
+    src.mkdir()
+    (src / "a.json").write_text(json.dumps(NESTED) + "\n")
+    name = f"tarn_nested_{abs(hash(path)) % 10**9}"
+    ingest_stream(spark, str(src), name, cp, path=out)
+    (src / "b.json").write_text(json.dumps(NESTED | change | {"id": 2}) + "\n" + json.dumps({"id": 3, "p": None}) + "\n")
+    with pytest.raises(Exception, match=re.escape(path)):
+        ingest_stream(spark, str(src), name, cp, path=out)
+    assert spark.read.parquet(out).count() == 1
+    renewed = renew_schema(spark, str(src), f"{cp}_schema")
+    assert renewed.names[:4] == spark.read.json(str(src / "a.json")).schema.names
+    spark.sql(f"DROP TABLE {name}")
+    ingest_stream(spark, str(src), name, cp, path=out)
+    got = spark.read.option("mergeSchema", "true").parquet(out).orderBy("id").collect()
+    assert [r.id for r in got] == [1, 2, 3]
+    whole = spark.read.schema(renewed).json(str(src)).orderBy("id").collect()
+    assert [r.asDict(recursive=True) for r in whole] == [
+        {k: v for k, v in r.asDict(recursive=True).items() if k in renewed.names} for r in got
+    ]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_merged_types():
+    def of(text):
+        return T.StructType.fromDDL(text)
+
+    kept = of("a int, s struct<x: int, m: map<string, struct<u: int>>>, l array<struct<v: string>>")
+    found = of("b int, a string, l array<struct<w: int, v: int>>, s struct<y: int, m: map<string, struct<n: int, u: int>>>")
+    want = of("a int, s struct<x: int, m: map<string, struct<u: int, n: int>>, y: int>, l array<struct<v: string, w: int>>, b int")
+    assert ingest.merged_type(kept, found) == want
+    assert ingest.merged_type(T.LongType(), found) == T.LongType()

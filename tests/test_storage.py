@@ -497,3 +497,27 @@ def test_file_order_is_known_from_the_leaves(spark, tmp_path):
     shuffled = spark.range(10).repartition(3)
     assert not comes_in_file_order(shuffled)
     assert not comes_in_file_order(spark.createDataFrame(shuffled.rdd, "id bigint"))
+
+
+def test_registration_touches_no_other_data(spark, tmp_path):
+    """A managed table, a view and a table over another path are errors, and all stay."""
+    path, other = str(tmp_path / "t"), str(tmp_path / "other")
+    spark.range(5).write.parquet(path)
+    spark.range(3).select(F.col("id").alias("x")).write.parquet(other)
+    spark.range(7).select(F.col("id").alias("mine")).write.mode("overwrite").saveAsTable("tarn_managed")
+    with pytest.raises(ValueError, match="managed"):
+        catalog.register_external(spark, "tarn_managed", path)
+    assert spark.table("tarn_managed").count() == 7
+    spark.sql("DROP TABLE tarn_managed")
+    spark.range(2).createOrReplaceTempView("tarn_view")
+    with pytest.raises(ValueError, match="temporary"):
+        catalog.register_external(spark, "tarn_view", path)
+    spark.catalog.dropTempView("tarn_view")
+    catalog.register_external(spark, "tarn_ext", other)
+    with pytest.raises(ValueError, match="external, at"):
+        catalog.register_external(spark, "tarn_ext", path)
+    assert spark.table("tarn_ext").columns == ["x"]
+    spark.range(3).select("id", F.lit("a").alias("y")).write.mode("overwrite").parquet(other)
+    catalog.register_external(spark, "tarn_ext", other)
+    assert spark.table("tarn_ext").columns == ["id", "y"] and spark.table("tarn_ext").count() == 3
+    spark.sql("DROP TABLE tarn_ext")
