@@ -2,86 +2,76 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from tarn.functions.columns import content_hash
-from tarn.session import settings
+from tarn.session import broadcast_if_small
 from tarn.sources.readers import file_inventory
-from tarn.sources.writers import TARGET_MB, _fs
+from tarn.sources.writers import TARGET_MB, replace_folder
 
 RETAIN_HOURS = 168
-
-
-_COMPACTING = "_compact-"
-_REPLACES = "_replaces"
+#: Listed files, some 200 bytes each, that may be broadcast.
+LISTED_FILES = 100_000
 
 
 def compact(spark: SparkSession, path: str, target_mb: int = TARGET_MB) -> bool:
-    """Pack the small files of a Parquet table into files of about `target_mb`; False if
-    there is nothing to pack.
-
-    A file is small below half the target. Each folder with two or more of them is packed by
-    itself: the scan packs the small files into tasks of the target size and each task
-    writes one file, without a shuffle; large files are not touched. Columns that only some
-    of the files have stay, with NULL in the other rows; types that conflict are an error.
-    The new files wait in a hidden folder with a list of those they replace. From then on the
-    change is decided: if this is interrupted, the next call carries it through.
+    """Rewrite a Parquet table, or one partition folder of it, in files of about `target_mb`;
+    False, and nothing is touched, if no folder has two files below half the target.
+
+    One write for all folders: a listing deals small files whole into bins of the target size
+    and large ones into several, a shuffle by bin brings their rows together, and the new
+    folder takes the place of the old one when it is complete. If it is interrupted before,
+    the table is as it was. Columns that only some of the files have stay, with NULL in the
+    other rows; types that conflict are an error. Partition values keep their spelling.
+    Hidden files are not taken along. To rewrite less than a whole table, name the folder of
+    one partition.
     """
-    fs, _ = _fs(spark, path)
-    _finish(spark, fs, path)
-    files = file_inventory(spark, path, "*.parquet").withColumn("folder", F.regexp_extract("path", "(.*)/", 1))
-    small = files.filter(F.col("size") < target_mb * 1024 * 1024 // 2)
-    crowded = small.groupBy("folder").agg(F.collect_list("path").alias("paths")).filter("size(paths) > 1")
-    packed, size = False, f"{target_mb}m"
-    for row in crowded.toLocalIterator():
-        tag = uuid.uuid4().hex
-        fresh = f"{row.folder}/{_COMPACTING}{tag}"
-        with settings(
-            spark,
-            spark__sql__files__maxPartitionBytes=size,
-            spark__sql__files__openCostInBytes="0",
-            spark__sql__files__minPartitionNum="1",
-            spark__sql__sources__partitionColumnTypeInference__enabled="false",
-        ):
-            rows = spark.read.option("mergeSchema", "true").option("basePath", row.folder).parquet(*row.paths)
-            rows.write.parquet(fresh)
-        listed = fs.create(spark._jvm.org.apache.hadoop.fs.Path(f"{fresh}/{_REPLACES}"))
-        listed.write(bytearray("\n".join(p.rsplit("/", 1)[1] for p in row.paths).encode()))
-        listed.close()
-        packed = True
-    _finish(spark, fs, path)
-    spark.catalog.refreshByPath(path)
-    return packed
-
-
-def _finish(spark: SparkSession, fs, path: str) -> None:
-    """Carry decided compactions through, and forget undecided ones."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    pending = [hadoop.Path(path)]
-    while pending:
-        folder = pending.pop()
-        for status in fs.listStatus(folder):
-            inner = status.getPath()
-            if not status.isDirectory():
-                continue
-            if not inner.getName().startswith(_COMPACTING):
-                pending.append(inner)
-                continue
-            replaces = hadoop.Path(inner, _REPLACES)
-            if fs.exists(replaces):
-                listed = fs.open(replaces)
-                names = spark._jvm.org.apache.commons.io.IOUtils.toString(listed, "UTF-8")
-                listed.close()
-                for name in names.split("\n"):
-                    fs.delete(hadoop.Path(folder, name), False)
-                for done in fs.listStatus(inner):
-                    name = done.getPath().getName()
-                    if name.startswith("part-"):
-                        fs.rename(done.getPath(), hadoop.Path(folder, name))
-            fs.delete(inner, True)
+    base, target = path.rstrip("/"), target_mb << 20
+    bins = _dealt_files(spark, base, target)
+    crowd = bins.filter("small").groupBy("folder").count()
+    if crowd.filter("count > 1").isEmpty():
+        return False
+    n_bins = bins.groupBy("bin").agg(F.max("parts").alias("parts")).agg(F.sum("parts")).first()[0]
+    rows, partitions = _rows_as_stored(spark, base)
+    columns = [f"`{c}`" for c in rows.columns]
+    placed = rows.select(*columns, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    files = broadcast_if_small(bins.select(F.col("file").alias("__file"), "bin", "parts"), LISTED_FILES)
+    dealt = placed.join(files, "__file").repartition(n_bins, "bin", F.col("__row") % F.col("parts")).select(*columns)
+
+    def write(df: DataFrame, fresh: str) -> None:
+        df.write.partitionBy(*partitions).parquet(fresh)
+
+    replace_folder(dealt, base, write)
+    return True
+
+
+def _dealt_files(spark: SparkSession, path: str, target: int) -> DataFrame:
+    """(file, folder, small, bin, parts) of every Parquet file: a file of half the target or
+    more is a bin of its own, cut in `parts`; the others of a folder share bins."""
+    listing = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="*.parquet").load(path)
+    files = listing.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
+    files = files.withColumn("folder", F.regexp_extract("file", "(.*)/", 1)).withColumn("small", F.col("size") < target // 2)
+    before = Window.partitionBy("folder", "small").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    shared = F.concat_ws("/", "folder", F.floor(F.coalesce(F.sum("size").over(before), F.lit(0)) / target))
+    return files.select(
+        "file", "folder", "small", F.when(F.col("small"), shared).otherwise(F.col("file")).alias("bin"),
+        F.greatest(F.ceil(F.col("size") / target), F.lit(1)).alias("parts"),
+    )
+
+
+def _rows_as_stored(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
+    """All rows of a table with the columns of all its files, partition values as the text
+    they have in their folders, and the names of the partition columns."""
+    reader = spark.read.option("mergeSchema", "true")
+    data = reader.option("recursiveFileLookup", "true").parquet(path)
+    partitions = [c for c in spark.read.parquet(path).columns if c not in data.columns]
+    if not partitions:
+        return data, []
+    schema = T.StructType(data.schema.fields + [T.StructField(c, T.StringType()) for c in partitions])
+    return spark.read.schema(schema).parquet(path), partitions
 
 
 def expired_files(

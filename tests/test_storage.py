@@ -12,7 +12,6 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tarn.operators import maintain
 from tarn.operators.keys import gappy_ids
 from tarn.operators.maintain import checksum_manifest, compact, discover_tables, expired_files, table_stats
 from tarn.plans.loads import LoadSpec, load_distinct_per_file, load_folder, run_loads, run_together
@@ -287,12 +286,6 @@ def test_compaction_keeps_partition_folders(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2000
 
 
-def test_compaction_needs_no_shuffle(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(100).write.parquet(path)
-    assert "Exchange" not in spark.read.parquet(path)._jdf.queryExecution().executedPlan().toString()
-
-
 def test_broadcast_only_below_the_bound(spark):
     assert "hint" in broadcast_if_small(spark.range(5), 5)._jdf.queryExecution().logical().toString().lower()
     assert "hint" not in broadcast_if_small(spark.range(6), 5)._jdf.queryExecution().logical().toString().lower()
@@ -416,31 +409,61 @@ def test_jobs_together(spark):
 # ---- nothing is lost silently -------------------------------------------------------
 
 
-def test_compaction_keeps_columns_and_large_files(spark, tmp_path):
+def test_compaction_keeps_columns_and_cuts_large_files(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(10).select(F.col("id").alias("x")).coalesce(1).write.parquet(path)
     more = spark.range(10, 20).select(F.col("id").alias("x"), F.lit("e").alias("extra"))
     more.coalesce(1).write.mode("append").parquet(path)
     noise = spark.range(200_000).select(F.col("id").alias("x"), F.sha2(F.col("id").cast("string"), 512).alias("extra"))
     noise.coalesce(1).write.mode("append").parquet(path)
-    large = max(Path(path).glob("*.parquet"), key=lambda p: p.stat().st_size)
-    assert compact(spark, path, target_mb=8) and not compact(spark, path, target_mb=8)
-    assert large.exists() and len(list(Path(path).glob("*.parquet"))) == 2
+    large = max(p.stat().st_size for p in Path(path).glob("*.parquet"))
+    assert large > 12 << 20
+    assert compact(spark, path, target_mb=4) and not compact(spark, path, target_mb=4)
+    sizes = [p.stat().st_size for p in Path(path).glob("*.parquet")]
+    assert max(sizes) < large / 2 and sum(s < 2 << 20 for s in sizes) <= 1
     got = spark.read.option("mergeSchema", "true").parquet(path)
     assert got.count() == 200_020 and got.filter("extra = 'e'").count() == 10
 
 
-def test_decided_compaction_is_carried_through(spark, tmp_path, monkeypatch):
+def test_compaction_is_one_write_for_all_folders(spark, tmp_path):
+    """Two hundred folders, whose values look like numbers, are null or hold blanks and
+    signs; the number of jobs does not grow with them, and no session setting changes."""
+    path = str(tmp_path / "t")
+    name = F.when(F.col("id") % 200 == 7, None).when(F.col("id") % 200 == 8, "a b/%=é").otherwise(
+        F.format_string("%05d", F.col("id") % 200)
+    )
+    data = spark.range(4_000).select("id", name.alias("k"), (F.col("id") % 2).alias("j"))
+    data.repartition(2, "j").write.partitionBy("k").parquet(path)
+    data.repartition(2, "j").write.mode("append").partitionBy("k").parquet(path)
+    folders = sorted(p.name for p in Path(path).glob("k=*"))
+    before, conf = rows(spark.read.schema("id long, j long, k string").parquet(path)), dict(spark.conf.getAll)
+    spark.sparkContext.setJobGroup("compact-test", "compaction")
+    assert compact(spark, path)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("compact-test"))
+    spark.sparkContext.setJobGroup("other", "")
+    assert jobs < 20 and dict(spark.conf.getAll) == conf
+    assert not compact(spark, path)
+    assert sorted(p.name for p in Path(path).glob("k=*")) == folders
+    assert len(list(Path(path).glob("k=*/*.parquet"))) == 200
+    assert rows(spark.read.schema("id long, j long, k string").parquet(path)) == before
+
+
+def test_failed_compaction_leaves_the_table(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "t")
     spark.range(0, 1000, 1, 10).write.parquet(path)
-    calls = []
-    finish = maintain._finish
-    monkeypatch.setattr(maintain, "_finish", lambda *a: calls.append(a) or (finish(*a) if len(calls) != 2 else None))
-    compact(spark, path)
-    assert spark.read.parquet(path).count() == 1000
-    monkeypatch.setattr(maintain, "_finish", finish)
-    compact(spark, path)
-    assert spark.read.parquet(path).count() == 1000 and len(list(Path(path).glob("*.parquet"))) == 1
+    files = sorted(p.name for p in Path(path).iterdir())
+    monkeypatch.setattr(writers, "move_into_place", lambda *a: (_ for _ in ()).throw(RuntimeError("stopped")))
+    with pytest.raises(RuntimeError, match="stopped"):
+        compact(spark, path)
+    assert sorted(p.name for p in Path(path).iterdir()) == files
+    monkeypatch.undo()
+    assert compact(spark, path) and spark.read.parquet(path).count() == 1000
+    part = str(tmp_path / "p")
+    spark.range(100).select("id", (F.col("id") % 2).alias("k")).repartition(4).write.partitionBy("k").parquet(part)
+    untouched = sorted(p.name for p in Path(part, "k=1").iterdir())
+    assert compact(spark, f"{part}/k=0") and spark.read.parquet(part).count() == 100
+    assert sorted(p.name for p in Path(part, "k=1").iterdir()) == untouched
+    assert len(list(Path(part, "k=0").glob("*.parquet"))) == 1
 
 
 def test_append_refuses_another_schema(spark, tmp_path):
