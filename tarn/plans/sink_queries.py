@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tarn.operators.maintain import compact
 from tarn.operators.validate import check_fk, check_pk
-from tarn.plans.loads import LoadSpec, load_distinct_per_file, load_folder, run_loads, run_together
+from tarn.plans.loads import LoadSpec, load_distinct_per_file, load_folder, run_graph, run_loads, run_together
 from tarn.plans.registry import exact_sum, query, table
 from tarn.session import scratch_path, stage
 from tarn.sources.catalog import (
@@ -24,7 +24,7 @@ from tarn.sources.catalog import (
     register_external,
     replace_view,
 )
-from tarn.sources.readers import read_folder
+from tarn.sources.readers import file_types, read_folder
 from tarn.sources.writers import (
     append_or_create,
     export_rows,
@@ -328,3 +328,51 @@ def writes_together(spark, sf_dir):
         for n, p in zip(names, paths, strict=True)
     ]
     return first.unionByName(second)
+
+
+@query(
+    "X3",
+    sql="""
+    SELECT 'customer' AS name, 'loaded before' AS state, (SELECT count(*) FROM customer) AS n
+    UNION ALL SELECT 'supplier', 'loaded', (SELECT count(*) FROM supplier)
+    UNION ALL SELECT 'nation', 'loaded', (SELECT count(*) FROM nation)
+    UNION ALL SELECT 'part', 'loaded before', (SELECT count(*) FROM part)""",
+)
+def resumed_load_graph(spark, sf_dir):
+    """A load list whose second dataset fails at first: what does not need it is loaded, and
+    the repeated run loads the rest only."""
+    raw, warehouse, status = (scratch_path(spark, label) for label in ("raw", "warehouse", "status"))
+    names = ["customer", "supplier", "nation", "part"]
+    after = {"nation": ("supplier",), "part": ("customer",)}
+    specs = [LoadSpec(f"{raw}/{n}/", warehouse, "parquet", after=after.get(n, ())) for n in names]
+    for name in ("customer", "nation", "part", "supplier"):
+        if name == "supplier":
+            run_graph(spark, specs, status, "2024-01-01")  # it is not there yet
+        write_parquet(table(spark, sf_dir, name), f"{raw}/{name}")
+    states = run_graph(spark, specs, status, "2024-01-01").drop("message")
+    counts = [spark.read.parquet(f"{warehouse}/{n}").agg(F.lit(n).alias("name"), F.count("*").alias("n")) for n in names]
+    return states.join(reduce(DataFrame.unionByName, counts), "name")
+
+
+@query(
+    "S8 S7 K4",
+    sql="""
+    WITH c AS (SELECT lower(c_mktsegment) AS stem, bool_or(c_acctbal < 0) AS debts FROM customer
+               WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'MACHINERY') GROUP BY 1)
+    SELECT stem, 0 AS position, 'c_custkey' AS name, 'int' AS type FROM c
+    UNION ALL SELECT stem, 1, 'balance', CASE WHEN stem = 'machinery' THEN 'double'
+        WHEN stem = 'building' AND debts THEN 'string' ELSE 'int' END FROM c
+    UNION ALL SELECT stem, 2, 'c_name', 'string' FROM c""",
+)
+def types_of_every_file(spark, sf_dir):
+    """Three files whose balances are whole numbers, numbers or a text, in one pass."""
+    folder = scratch_path(spark, "files")
+    balance = {
+        "AUTOMOBILE": "string(int(c_acctbal))", "MACHINERY": "string(c_acctbal)",
+        "BUILDING": "CASE WHEN c_acctbal < 0 THEN 'debts' ELSE string(int(c_acctbal)) END",
+    }
+    for segment, text in balance.items():
+        rows = table(spark, sf_dir, "customer").filter(F.col("c_mktsegment") == segment)
+        write_single_csv(rows.selectExpr("c_custkey", f"{text} AS balance", "c_name"), folder, segment.lower())
+    types = file_types(spark, folder, "csv", ",")
+    return types.select(F.regexp_extract("path", r"([a-z]+)\.csv$", 1).alias("stem"), "position", "name", "type")

@@ -22,6 +22,7 @@ def get_session(app: str = "tarn", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.scheduler.mode", "FAIR")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)

@@ -208,6 +208,92 @@ def _tolerant_parquet(spark, path, schema, glob):
     return rows, per_file
 
 
+# Texts that CSV and JSON readers take for a number or a day.
+_WHOLE, _NUMBER = r"^[+-]?[0-9]+$", r"^([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|NaN|-?Inf)$"
+_DAY, _TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9:.]+(Z|[+-][0-9:]+)?$"
+
+
+def _fits(text: Column) -> dict[str, Column]:
+    """The types of a CSV field, from the least to the widest, and whether a text has it."""
+    def like(pattern: str, cast: str) -> Column:
+        return text.rlike(pattern) & text.try_cast(cast).isNotNull()
+
+    return {
+        "int": like(_WHOLE, "int"), "bigint": like(_WHOLE, "bigint"), "decimal(38,0)": like(_WHOLE, "decimal(38,0)"),
+        "double": like(_NUMBER, "string"), "date": like(_DAY, "date"), "timestamp": like(f"{_DAY}|{_TIME}", "timestamp"),
+        "boolean": F.lower(text).isin("true", "false"),
+    }
+
+
+def file_types(spark: SparkSession, path: str, fmt: str, sep: str = ";", glob: str | None = None) -> DataFrame:
+    """(path, position, name, type) of every column of every file in a folder: the least type
+    that all values of that column in that file have, in DDL.
+
+    One pass over all files. CSV files may have different headers; a column without values
+    is a string. JSON types are merged by Spark's aggregate over variants. A field that no
+    type fits but text is a string. Files without rows have their header's columns only.
+    """
+    if fmt == "json":
+        lines = spark.read.option("pathGlobFilter", glob or SUFFIXES[fmt]).text(path).filter(F.trim("value") != "")
+        merged = lines.groupBy(F.col("_metadata.file_path").alias("path")).agg(
+            F.schema_of_variant_agg(F.parse_json("value")).alias("ddl")
+        )
+        # as the JSON reader infers them: fractions are doubles, what is always null is text
+        for pattern, ddl in ((r"DECIMAL\([0-9]+,[0-9]+\)", "DOUBLE"), ("VOID", "STRING"), ("OBJECT<", "STRUCT<")):
+            merged = merged.withColumn("ddl", F.regexp_replace("ddl", pattern, ddl))
+        return merged.select("path", F.lit(0).alias("position"), F.lit(None).cast("string").alias("name"), F.col("ddl").alias("type"))
+    if fmt != "csv":
+        raise ValueError(f"types of {fmt} files are in their footers")
+    headers = stage(_headers(spark, path, sep, glob), "headers")
+    width = headers.agg(F.max(F.size("names"))).first()[0] or 0
+    texts = T.StructType([T.StructField(str(i), T.StringType()) for i in range(width)])
+    reader = _reader(spark, "csv", sep, False, glob, False).option("enforceSchema", "true").option("mode", "PERMISSIVE")
+    rows = reader.schema(texts).load(path).groupBy(F.col("_metadata.file_path").alias("path"))
+    checks = []
+    for i in range(width):
+        text, seen = F.col(f"`{i}`"), F.count(F.col(f"`{i}`")).alias("seen")
+        checks.append(F.struct(seen, *[F.count_if(fits).alias(name) for name, fits in _fits(text).items()]).alias(f"c{i}"))
+    counted = rows.agg(*checks) if checks else rows.count()
+    least = []
+    for i in range(width):
+        kinds = [F.when(F.col(f"c{i}")[name] == F.col(f"c{i}.seen"), name) for name in _fits(F.lit(""))]
+        least.append(F.when(F.col(f"c{i}.seen") > 0, F.coalesce(*kinds)))
+    typed = counted.select("path", F.array(*least).cast("array<string>").alias("types"))
+    both = headers.join(typed, "path", "left").select("path", F.posexplode("names").alias("position", "name"), "types")
+    return both.select("path", "position", "name", F.coalesce(F.get("types", F.col("position")), F.lit("string")).alias("type"))
+
+
+def _headers(spark, path, sep, glob) -> DataFrame:
+    """(path, names) of every CSV file that has a line; its first line is in its first block."""
+    lines = spark.read.option("pathGlobFilter", glob or SUFFIXES["csv"]).text(path).filter("_metadata.file_block_start = 0")
+    numbered = lines.select(F.col("_metadata.file_path").alias("path"), F.struct(F.monotonically_increasing_id(), "value").alias("line"))
+    first = F.regexp_replace(F.min("line")["value"], "[\"\r\ufeff]", "")
+    return numbered.groupBy("path").agg(F.split(first, F.concat(F.lit("\\Q"), F.lit(sep), F.lit("\\E"))).alias("names"))
+
+
+_WIDER = {
+    "int": {"bigint", "double", "decimal(38,0)"}, "bigint": {"double", "decimal(38,0)"}, "decimal(38,0)": {"double"},
+    "date": {"timestamp"},
+}
+
+
+def misfit_report(types: DataFrame, schema: T.StructType) -> DataFrame:
+    """(path, position, name, type, expected) of the columns, by `file_types` of CSV files,
+    that do not fit `schema`: another name at their place, a type that is no narrower one, or
+    a column too few or too many (the other side null)."""
+    wanted = F.array(*[
+        F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("wanted"), F.lit(f.dataType.simpleString()).alias("expected"))
+        for i, f in enumerate(schema.fields)
+    ])
+    every = types.select("path").distinct().select("path", F.inline(wanted))
+    both = types.join(every, ["path", "position"], "full")
+    pairs = [F.lit(f"{a}>{b}") for a, wider in _WIDER.items() for b in sorted(wider)]
+    fits = (F.col("type") == F.col("expected")) | (F.col("expected") == "string")
+    fits |= F.concat_ws(">", "type", "expected").isin(*pairs)
+    good = F.col("name").eqNullSafe(F.col("wanted")) & F.coalesce(fits, F.lit(False))
+    return both.filter(~good).select("path", "position", F.coalesce("name", "wanted").alias("name"), "type", "expected")
+
+
 def widen_ints(df: DataFrame) -> DataFrame:
     """Every integer column as double, so that a later missing value fits."""
     return df.select(
@@ -237,12 +323,14 @@ def read_columnar_json(df: DataFrame, schema: T.StructType | str, column: str =
     """
     row = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     arrays = T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in row.fields])
-    doc = F.from_json(column, arrays, {"mode": "FAILFAST"})
-    sizes = F.array(*[F.coalesce(F.size(doc.getField(f.name)), F.lit(-1)) for f in row.fields])
+    # a select of its own: the optimizer does not repeat what is used more than once
+    parsed = df.select(F.from_json(column, arrays, {"mode": "FAILFAST"}).alias("doc"))
+    columns = [F.col("doc").getField(f.name).alias(f.name) for f in row.fields]
+    sizes = F.array(*[F.coalesce(F.size(c), F.lit(-1)) for c in columns])
+    zipped = F.arrays_zip(*columns)
     uneven = F.raise_error(F.lit("arrays of different lengths in a columnar document"))
-    doc = F.when(F.size(F.array_distinct(sizes)) > 1, uneven.cast(arrays)).otherwise(doc)
-    zipped = F.arrays_zip(*[doc.getField(f.name).alias(f.name) for f in row.fields])
-    return df.select(F.inline(zipped))
+    uneven = uneven.cast(parsed.select(zipped).schema[0].dataType)
+    return parsed.select(F.inline(F.when(F.size(F.array_distinct(sizes)) > 1, uneven).otherwise(zipped)))
 
 
 def read_zip_members(spark: SparkSession, path: str, suffix: str = ".csv") -> DataFrame:

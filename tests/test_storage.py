@@ -6,15 +6,18 @@ import os
 import zipfile
 from pathlib import Path
 from types import SimpleNamespace
+from urllib.parse import unquote
 
 import duckdb
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarn.operators.keys import gappy_ids
 from tarn.operators.maintain import checksum_manifest, compact, discover_tables, expired_files, table_stats
-from tarn.plans.loads import LoadSpec, load_distinct_per_file, load_folder, run_loads, run_together
+from tarn.plans import loads
+from tarn.plans.loads import LoadSpec, load_distinct_per_file, load_folder, run_graph, run_loads, run_together
 from tarn.session import broadcast_if_small, comes_in_file_order, scratch_path, settings
 from tarn.sources import catalog, generated, readers, writers
 from tests.conftest import rows
@@ -544,3 +547,113 @@ def test_registration_touches_no_other_data(spark, tmp_path):
     catalog.register_external(spark, "tarn_ext", other)
     assert spark.table("tarn_ext").columns == ["id", "y"] and spark.table("tarn_ext").count() == 3
     spark.sql("DROP TABLE tarn_ext")
+
+
+# ---- types of every file --------------------------------------------------------------
+
+
+def test_types_of_every_file_in_one_pass(spark, tmp_path):
+    """The least type of each column of each file; what they infer reads back as Spark's own
+    inference reads each file by itself."""
+    src = tmp_path / "src"
+    src.mkdir()
+    (src / "a b.csv").write_text('id,v,"w",n,d,t,f\n1,1.5,x,,2024-01-01,2024-01-01 10:00:00,true\n-2,3,"y,z",,2024-02-30x,2024-01-02,False\n')
+    (src / "b.csv").write_text("id,v\n99999999999,0x1\n7,\n")
+    (src / "c.csv").write_text("v\n 5\n")
+    (src / "d.csv").write_text("x,y\n")
+    (src / "e.csv").write_text("big\n123456789012345678901234\n1\n")
+    types = readers.file_types(spark, str(src), "csv", ",")
+    got = {}
+    for row in types.orderBy("path", "position").collect():
+        got.setdefault(unquote(row.path).rsplit("/", 1)[1], []).append((row.name, row.type))
+    assert got == {
+        "a b.csv": [("id", "int"), ("v", "double"), ("w", "string"), ("n", "string"), ("d", "string"), ("t", "timestamp"), ("f", "boolean")],
+        "b.csv": [("id", "bigint"), ("v", "string")], "c.csv": [("v", "string")],
+        "d.csv": [("x", "string"), ("y", "string")], "e.csv": [("big", "decimal(38,0)")],
+    }
+    report = readers.misfit_report(types, T.StructType.fromDDL("id bigint, v double"))
+    found = {(unquote(r.path).rsplit("/", 1)[1], r.position, r.name, r.type, r.expected) for r in report.collect()}
+    assert {f for f in found if f[0] == "b.csv"} == {("b.csv", 1, "v", "string", "double")}
+    assert {f for f in found if f[0] == "c.csv"} == {("c.csv", 0, "v", "string", "bigint"), ("c.csv", 1, "v", None, "double")}
+    assert len({f for f in found if f[0] == "a b.csv"}) == 5
+
+    load_distinct_per_file(spark, str(src), str(tmp_path / "dst"), own_schemas=True)
+    first = spark.read.parquet(f"{tmp_path}/dst/file_stem=a b")
+    assert [f.dataType.simpleString() for f in first.schema.fields] == [t for _, t in got["a b.csv"]]
+    assert sorted(r.w for r in first.collect()) == ["x", "y,z"]
+    assert rows(spark.read.parquet(f"{tmp_path}/dst/file_stem=b")) == [(7, None), (99999999999, "0x1")]
+    assert sorted(p.name for p in Path(tmp_path / "dst").glob("file_stem=*")) == [
+        "file_stem=a b", "file_stem=b", "file_stem=c", "file_stem=e"]
+
+
+def test_many_files_cost_one_inference(spark, tmp_path):
+    for fmt, lines in (("csv", "a,b\n{i},x\n"), ("json", '{{"a": {i}, "b": "x", "c": {{"d": [1.5, null]}}}}\n')):
+        src, dst = tmp_path / fmt, str(tmp_path / f"{fmt}-out")
+        src.mkdir()
+        for i in range(60):
+            (src / f"f{i}.{fmt}").write_text(lines.format(i=i))
+        spark.sparkContext.setJobGroup(f"types-{fmt}", "")
+        load_distinct_per_file(spark, str(src), dst, fmt=fmt, own_schemas=True)
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"types-{fmt}"))
+        spark.sparkContext.setJobGroup("other", "")
+        assert jobs < 20
+        whole = spark.read.parquet(dst)
+        assert sorted(r.a for r in whole.collect()) == list(range(60))
+        if fmt == "json":
+            assert whole.schema["c"].dataType.simpleString() == "struct<d:array<double>>"
+
+
+def test_columnar_json_is_parsed_once(spark, tmp_path):
+    (tmp_path / "c.txt").write_text('{"a": [1, 2], "b": ["x", "y"]}\n')
+    parsed = readers.read_columnar_json(spark.read.text(str(tmp_path)), "a int, b string")
+    assert parsed._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+    assert rows(parsed) == [(1, "x"), (2, "y")]
+
+
+# ---- load graphs ----------------------------------------------------------------------
+
+
+def test_a_failing_dataset_stops_only_what_needs_it(spark, tmp_path):
+    raw, target, status = tmp_path / "raw", str(tmp_path / "w"), str(tmp_path / "status")
+    for name in ("a", "b", "c", "d", "e"):
+        put(raw / name, x__csv="k,v\n1,2\n")
+    (raw / "b" / "x.csv").unlink()
+    after = {"c": ("b",), "d": ("a",), "e": ("c", "d")}
+    specs = [LoadSpec(f"{raw}/{n}/", target, "csv", ",", after=after.get(n, ())) for n in "edcba"]
+    got = {r.name: (r.state, r.message) for r in run_graph(spark, specs, status, "r1").collect()}
+    assert {n: s for n, (s, _) in got.items()} == {"a": "loaded", "b": "failed", "c": "waiting", "d": "loaded", "e": "waiting"}
+    assert "b" in got["c"][1] and got["e"][1] == "c" and got["b"][1]
+    put(raw / "b", x__csv="k,v\n3,4\n")
+    again = {r.name: r.state for r in run_graph(spark, specs, status, "r1").collect()}
+    assert again == {"a": "loaded before", "b": "loaded", "c": "loaded", "d": "loaded before", "e": "loaded"}
+    assert all(spark.read.parquet(f"{target}/{n}").count() == 1 for n in "abcde")
+    run_graph(spark, specs, status, "r2")
+    assert all(spark.read.parquet(f"{target}/{n}").count() == 2 for n in "abcde")
+
+
+def test_an_interrupted_load_is_not_doubled(spark, tmp_path, monkeypatch):
+    put(tmp_path / "raw" / "a", x__csv="k,v\n1,2\n")
+    specs = [LoadSpec(f"{tmp_path}/raw/a/", str(tmp_path / "w"), "csv", ",")]
+    with monkeypatch.context() as patched:
+        patched.setattr(loads, "register_external", lambda *a: 1 / 0)
+        failing = [LoadSpec(f"{tmp_path}/raw/a/", str(tmp_path / "w"), "csv", ",", table="tarn_late")]
+        assert run_graph(spark, failing, str(tmp_path / "s"), "r").head().state == "failed"
+    assert run_graph(spark, specs, str(tmp_path / "s"), "r").head().state == "loaded"
+    assert spark.read.parquet(f"{tmp_path}/w/a").count() == 1
+
+
+def test_graphs_without_an_order_are_refused(spark, tmp_path):
+    def spec(name, *after):
+        return LoadSpec(f"{tmp_path}/{name}/", str(tmp_path / "w"), after=after)
+
+    for specs in ([spec("a", "b"), spec("b", "a")], [spec("a", "z")], [spec("a"), spec("a")]):
+        with pytest.raises(ValueError, match="datasets that"):
+            run_graph(spark, specs, str(tmp_path / "s"), "r")
+
+
+def test_jobs_side_by_side_have_pools_of_their_own(spark):
+    def pool():
+        return spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+
+    assert run_together([pool, pool, pool]) == ["together-0", "together-1", "together-2"]
+    assert pool() is None
