@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tarn.functions.columns import content_hash
 from tarn.session import broadcast_if_small
-from tarn.sources.readers import file_inventory
+from tarn.sources.readers import file_inventory, rows_as_stored
 from tarn.sources.writers import TARGET_MB, replace_folder
 
 RETAIN_HOURS = 168
@@ -35,7 +34,7 @@ def compact(spark: SparkSession, path: str, target_mb: int = TARGET_MB) -> bool:
     if crowd.filter("count > 1").isEmpty():
         return False
     n_bins = bins.groupBy("bin").agg(F.max("parts").alias("parts")).agg(F.sum("parts")).first()[0]
-    rows, partitions = _rows_as_stored(spark, base)
+    rows, partitions = rows_as_stored(spark, base)
     columns = [f"`{c}`" for c in rows.columns]
     placed = rows.select(*columns, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
     files = broadcast_if_small(bins.select(F.col("file").alias("__file"), "bin", "parts"), LISTED_FILES)
@@ -62,18 +61,6 @@ def _dealt_files(spark: SparkSession, path: str, target: int) -> DataFrame:
     )
 
 
-def _rows_as_stored(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
-    """All rows of a table with the columns of all its files, partition values as the text
-    they have in their folders, and the names of the partition columns."""
-    reader = spark.read.option("mergeSchema", "true")
-    data = reader.option("recursiveFileLookup", "true").parquet(path)
-    partitions = [c for c in spark.read.parquet(path).columns if c not in data.columns]
-    if not partitions:
-        return data, []
-    schema = T.StructType(data.schema.fields + [T.StructField(c, T.StringType()) for c in partitions])
-    return spark.read.schema(schema).parquet(path), partitions
-
-
 def expired_files(
     inventory: DataFrame, live: DataFrame, hours: int = RETAIN_HOURS, now: Column | None = None
 ) -> DataFrame:

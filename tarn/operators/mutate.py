@@ -6,13 +6,18 @@ publishes the result. Nothing overwrites a path that the same plan reads.
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarn.operators.keys import assign_surrogate_keys
 from tarn.operators.validate import require_key
 from tarn.session import stage
+from tarn.sources.readers import rows_as_stored
+from tarn.sources.writers import remove_folder
 
 _HIT = "__hit"
 
@@ -113,6 +118,64 @@ def renew_dimension(
     return known.unionByName(keyed)
 
 
+def merge_partitions(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    on: list[str],
+    protect: list[str] | None = None,
+    insert: bool = True,
+) -> int:
+    """Merge `source` into the partitioned Parquet table at `path`, rewriting only the
+    partitions that it concerns; returns their number.
+
+    Concerned are the partitions of rows with a matching key, which a scan of the key columns
+    finds, and those that the source's rows belong to. Matching rows take the columns of the
+    source but for `on` and `protect` (default: none); a new value in a partition column
+    moves a row. With `insert` the other rows are added. Columns are matched whatever their
+    case; one that the table lacks, or a key that occurs twice in the source, is an error, and
+    so are new rows without the partition columns. Partition values are matched as text.
+    Partitions are replaced when all new files are written; files of others stay as they are.
+    A partition that has lost all its rows is removed after that; if that is interrupted, its
+    rows are there twice until the merge is repeated.
+    """
+    target, partitions = rows_as_stored(spark, path)
+    if not partitions:
+        raise ValueError(f"{path} has no partitions; replace it by merge_update and merge_insert")
+    source = _named_like(source, target)
+    source = stage(source.withColumns({c: F.col(c).cast("string") for c in partitions if c in source.columns}), "source")
+    placed = all(c in source.columns for c in partitions)
+    if insert and not placed:
+        raise ValueError(f"new rows need the partition columns {partitions}")
+    folder = F.regexp_extract("_metadata.file_path", "(.*)/", 1)
+    hit = target.select(*on, *partitions, folder.alias("__folder")).join(source.select(*on), on, "left_semi")
+    concerned = hit.select(*partitions, "__folder").distinct()
+    if placed:
+        known = target.select(*partitions, folder.alias("__folder")).distinct()
+        wanted = source.select(*partitions).distinct()
+        same = reduce(Column.__and__, [known[c].eqNullSafe(wanted[c]) for c in partitions])
+        concerned = concerned.unionByName(known.join(wanted, same, "left_semi")).distinct()
+    listed = concerned.collect()  # one row per rewritten folder
+
+    def of(row):
+        return reduce(Column.__and__, [F.col(f"`{c}`").eqNullSafe(F.lit(row[c])) for c in partitions])
+
+    old = target.filter(reduce(Column.__or__, map(of, listed), F.lit(False)))
+    rows = merge_update(old, source, on, protect or [])
+    if insert:
+        fresh = new_members(old, source, on)
+        rows = rows.unionByName(fresh, allowMissingColumns=True)
+    rows = stage(rows.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in target.schema.fields]), "merged")
+    written = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
+    written.parquet(path)
+    left = {tuple(r) for r in rows.select(*partitions).distinct().collect()}
+    for row in listed:
+        if tuple(row[c] for c in partitions) not in left:
+            remove_folder(spark, unquote(row["__folder"]))
+    spark.catalog.refreshByPath(path)
+    return len({tuple(row[c] for c in partitions) for row in listed} | left)
+
+
 def densify_missing(
     keys: DataFrame, key: str, first: int, last: int, name: str, existing: DataFrame
 ) -> DataFrame:

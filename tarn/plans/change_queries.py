@@ -6,7 +6,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tarn.operators.maintain import discover_tables, expired_files
-from tarn.operators.mutate import densify_missing, merge_insert, merge_update, renew_dimension
+from tarn.operators.mutate import densify_missing, merge_insert, merge_partitions, merge_update, renew_dimension
 from tarn.plans.registry import query, table
 from tarn.session import scratch_path, stage
 from tarn.sources.writers import write_csv, write_json
@@ -68,6 +68,28 @@ def merged_inserts(spark, sf_dir):
     return merge_insert(_dimension(spark, sf_dir), _incoming(spark, sf_dir))
 
 
+@query(
+    "T1 T2 T3",
+    sql="""
+    SELECT o_orderkey, o_custkey, CASE WHEN year(o_orderdate) = 1995 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+           CASE WHEN year(o_orderdate) = 1995 AND o_orderkey % 2 = 0 THEN '1996' ELSE year(o_orderdate)::VARCHAR END AS year
+    FROM orders""",
+)
+def merged_partitions(spark, sf_dir):
+    """Orders by year: those of 1995 change, half of them move to 1996, and 1998 is new; the
+    other years are not written again."""
+    path = scratch_path(spark, "by-year")
+    year, even = F.year("o_orderdate"), F.col("o_orderkey") % 2 == 0
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", year.alias("year"))
+    orders.filter("year <> 1998").write.partitionBy("year").parquet(path)
+    changed = orders.filter("year IN (1995, 1998)").withColumns({
+        "year": F.when((F.col("year") == 1995) & even, 1996).otherwise(F.col("year")),
+        "o_totalprice": F.col("o_totalprice") + F.when(F.col("year") == 1995, 1).otherwise(0),
+    })
+    merge_partitions(spark, path, changed, ["o_orderkey"])
+    return spark.read.parquet(path).withColumn("year", F.col("year").cast("string"))
+
+
 @query(
     "T3 T1 J9 W1 T2",
     sql=f"""{_DIM_SQL}

@@ -208,6 +208,18 @@ def _tolerant_parquet(spark, path, schema, glob):
     return rows, per_file
 
 
+def rows_as_stored(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
+    """All rows of a table with the columns of all its files, partition values as the text
+    they have in their folders, and the names of the partition columns."""
+    reader = spark.read.option("mergeSchema", "true")
+    data = reader.option("recursiveFileLookup", "true").parquet(path)
+    partitions = [c for c in spark.read.parquet(path).columns if c not in data.columns]
+    if not partitions:
+        return data, []
+    schema = T.StructType(data.schema.fields + [T.StructField(c, T.StringType()) for c in partitions])
+    return spark.read.schema(schema).parquet(path), partitions
+
+
 # Texts that CSV and JSON readers take for a number or a day.
 _WHOLE, _NUMBER = r"^[+-]?[0-9]+$", r"^([+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|NaN|-?Inf)$"
 _DAY, _TIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9:.]+(Z|[+-][0-9:]+)?$"

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from tarn.operators.keys import gappy_ids
 from tarn.operators.maintain import checksum_manifest, compact, discover_tables, expired_files, table_stats
+from tarn.operators.mutate import merge_partitions
 from tarn.plans import loads
 from tarn.plans.loads import LoadSpec, load_distinct_per_file, load_folder, run_graph, run_loads, run_together
 from tarn.session import broadcast_if_small, comes_in_file_order, scratch_path, settings
@@ -657,3 +658,34 @@ def test_jobs_side_by_side_have_pools_of_their_own(spark):
 
     assert run_together([pool, pool, pool]) == ["together-0", "together-1", "together-2"]
     assert pool() is None
+
+
+# ---- merges by partition --------------------------------------------------------------
+
+
+def test_only_concerned_partitions_are_written(spark, tmp_path):
+    """Updates, moves, an emptied partition, a null one, new ones; spelling of values stays."""
+    path = str(tmp_path / "t")
+    data = [(i, f"v{i}", ["007", "a b/%", None, "x", "gone"][i % 5]) for i in range(50)]
+    spark.createDataFrame(data, "id long, v string, p string").repartition(2).write.partitionBy("p").parquet(path)
+    before = {f.relative_to(path): f.stat().st_mtime_ns for f in Path(path).glob("p=*/*.parquet")}
+    gone = [(i, "moved", "x") for i in range(50) if i % 5 == 4]
+    source = spark.createDataFrame([*gone, (2, "null one", None), (100, "new", "late"), (101, "new", None)], "ID long, V string, P string")
+    assert merge_partitions(spark, path, source, ["id"]) == 4
+    want = {i: (v, p) for i, v, p in data} | {i: (v, p) for i, v, p in map(tuple, source.collect())}
+    got = spark.read.schema("id long, v string, p string").parquet(path).collect()
+    assert len(got) == len(want) and {r.id: (r.v, r.p) for r in got} == want
+    after = {f.relative_to(path): f.stat().st_mtime_ns for f in Path(path).glob("p=*/*.parquet")}
+    kept = {f for f in before if f.parts[0] in ("p=007", "p=a b%2F%25")}
+    assert kept and all(after.get(f) == before[f] for f in kept)
+    assert sorted({f.parts[0] for f in after}) == [
+        "p=007", "p=__HIVE_DEFAULT_PARTITION__", "p=a b%2F%25", "p=late", "p=x"]
+    update = spark.createDataFrame([(5, "by key"), (999, "nowhere")], "id long, v string")
+    assert merge_partitions(spark, path, update, ["id"], insert=False) == 1
+    assert {r.v for r in spark.read.parquet(path).filter("id IN (5, 999)").collect()} == {"by key"}
+    with pytest.raises(ValueError, match="partition columns"):
+        merge_partitions(spark, path, update, ["id"])
+    with pytest.raises(ValueError, match="merge source"):
+        merge_partitions(spark, path, update.unionByName(update), ["id"], insert=False)
+    assert spark.read.parquet(path).count() == 52
+    assert merge_partitions(spark, path, update.filter("id = 0"), ["id"], insert=False) == 0
