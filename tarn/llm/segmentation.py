@@ -8,6 +8,12 @@ completions. That value is drawn at the root, and handed down so that one child
 and the others draw theirs under it. The first k complete paths are the sample; the value
 of the next one gives each path the chance that a sample includes it.
 
+Which child inherits does not depend on the value: it is a draw by the children's shares. So
+the way down from a node is drawn for all parts of all texts of a batch at once, as the parts
+are independent. The children left aside hold the rest of the node's weight: their largest
+value is drawn for all of them together, and handed down along the path only as far as it
+can still be among the best.
+
 Blanks are shown as U+2581. As no piece of the vocabulary goes on across a blank after a
 letter, the lattice is cut before such blanks, and each distinct part is built only once.
 """
@@ -15,20 +21,28 @@ letter, the lattice is cut before such blanks, and each distinct part is built o
 from __future__ import annotations
 
 import math
+import random
+import re
 import zlib
-from bisect import insort
+from bisect import bisect_right, insort
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarn.llm.common import shared, slabs
+from tarn.llm.common import mix64, shared, slabs
 
 BLANK = "▁"
 SAMPLES = 4
-_CACHE_PARTS = 50_000
+#: Arcs, some 30 bytes each, that a sampler keeps between batches.
+_CACHE_ARCS = 1_000_000
+_PART = re.compile(" +[^ ]*")
+_NO_LETTER = 0x110000
+#: Between the draws at neighbouring places of a text: the step of splitmix64.
+_STEP = 0x9E3779B97F4A7C15
 
 
 @dataclass
@@ -45,6 +59,18 @@ class Vocabulary:
     def __post_init__(self):
         byte_of = {i: bytes([b]) for b, i in enumerate(self.bytes)}
         self.shown = [byte_of.get(i, t.replace(BLANK, " ").encode()) for i, t in enumerate(self.texts)]
+        # a trie: edges are sorted by node and letter, node 0 is the root
+        nodes, edges = {"": 0}, {}
+        for piece in self.pieces:
+            node = 0
+            for end in range(1, len(piece) + 1):
+                below = nodes.setdefault(piece[:end], len(nodes))
+                edges[node << 21 | ord(piece[end - 1])] = node = below
+        self.edges = np.array(sorted(edges), np.int64)
+        self.targets = np.array([edges[e] for e in sorted(edges)], np.int64)
+        self.piece_at, self.weight_at = np.full(len(nodes), -1, np.int64), np.zeros(len(nodes))
+        for piece, (number, weight) in self.pieces.items():
+            self.piece_at[nodes[piece]], self.weight_at[nodes[piece]] = number, weight
 
     @classmethod
     def load(cls, model_path: str, sharpness: float = 1.0) -> Vocabulary:
@@ -64,127 +90,273 @@ class Vocabulary:
         return cls(pieces, byte_ids, cost, texts, max(map(len, pieces)))
 
 
-def _parts(text: str) -> list[str]:
-    """A text with a blank before it, cut before every blank that follows something else."""
-    line, parts, start = " " + text, [], 0
-    at = line.find(" ", 1)
-    while at > 0:
-        if line[at - 1] != " ":
-            parts.append(line[start:at])
-            start = at
-        at = line.find(" ", at + 1)
-    return [*parts, line[start:]]
+@dataclass
+class _Text:
+    """One text under search. starts (begins), bases: where its parts begin in the text and in
+    the store; waiting: nodes (-value, number, log probability, path, position, arc); paths:
+    what was drawn, as (value, log probability, arc by position or -1)."""
+
+    starts: np.ndarray
+    begins: list[int]
+    bases: np.ndarray
+    length: int
+    chance: random.Random
+    seed: int
+    waiting: list[tuple]
+    paths: list[tuple]
+    born: int = 1
 
 
 class Sampler:
-    """Draws segmentations; keeps the lattices of the parts it has seen."""
+    """Draws segmentations; keeps the lattices of the parts it has seen.
+
+    The store is flat: positions of all parts one after the other, arcs grouped by position,
+    the widest first. An arc has a width in characters, the log of its share of the paths
+    from there, the summed shares up to it, and a piece; a character that is spelled in
+    bytes has -1 - its code point instead.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.known: dict[str, list] = {}
-
-    def _lattice(self, part: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
-        """For every position the pieces that begin there: (end, ids, log share of the paths
-        from here that take it). A character that is no piece of its own is spelled in bytes,
-        and so is a U+2581 of the text itself."""
-        pieces, longest = self.vocabulary.pieces, self.vocabulary.longest
-        n, shown, literal = len(part), part.replace(" ", BLANK), BLANK in part
-        arcs: list[list] = [[] for _ in range(n)]
-        after = [0.0] * (n + 1)
-        for start in range(n - 1, -1, -1):
-            options = []
-            for end in range(start + 1, min(n, start + longest) + 1):
-                if literal and part[end - 1] == BLANK:
-                    break
-                found = pieces.get(shown[start:end])
-                if found is not None:
-                    options.append((end, (found[0],), found[1] + after[end]))
-            if not options or options[0][0] != start + 1:
-                ids = tuple(self.vocabulary.bytes[b] for b in part[start].encode())
-                options.append((start + 1, ids, self.vocabulary.byte_cost * len(ids) + after[start + 1]))
-            top = max(o[2] for o in options)
-            total = top + math.log(sum(math.exp(o[2] - top) for o in options))
-            after[start] = total
-            arcs[start] = [(end, ids, score - total) for end, ids, score in options]
-        return arcs
-
-    def lattices(self, text: str) -> list[list]:
-        if len(self.known) > _CACHE_PARTS:
-            self.known.clear()
+        self.byte_ids = np.array(vocabulary.bytes, np.int32)
+        self.shown = pa.array(vocabulary.shown, pa.binary())
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.first = np.zeros(1, np.int64)
+        self.width, self.piece, self.ends = (np.empty(0, np.int32) for _ in range(3))
+        self.share, self.upto = np.empty(0), np.empty(0)
+
+    def _learn(self, parts: list[str]) -> None:
+        """Adds the lattices of new parts to the store, all of them at once."""
+        lengths = np.array([len(p) for p in parts], np.int64)
+        stops = np.cumsum(lengths)
+        bases = len(self.first) - 1 + stops - lengths
+        self.known.update(zip(parts, bases.tolist(), strict=True))
+        at, width, weight, piece = self._arcs("".join(parts), np.repeat(stops, lengths))
+
+        # log weights of all paths from a position, from the ends of the parts to their starts
+        first = np.searchsorted(at, np.arange(stops[-1] + 1))
+        n_arcs = np.diff(first)
+        left = np.repeat(stops, lengths) - np.arange(stops[-1])
+        order = np.argsort(left[at], kind="stable")
+        turns = np.searchsorted(left[at][order], np.arange(1, lengths.max() + 2))
+        after, share = np.zeros(stops[-1]), np.empty(len(at))
+        ends = at + width == np.repeat(stops, lengths)[at]
+        for lo, hi in zip(turns[:-1].tolist(), turns[1:].tolist(), strict=True):
+            arcs = order[lo:hi]
+            spots = at[arcs]
+            score = weight[arcs] + np.where(ends[arcs], 0.0, after[np.where(ends[arcs], 0, spots + width[arcs])])
+            begins = np.flatnonzero(np.diff(spots, prepend=-1))
+            counts = n_arcs[spots[begins]]
+            top = np.maximum.reduceat(score, begins)
+            total = top + np.log(np.add.reduceat(np.exp(score - np.repeat(top, counts)), begins))
+            total = np.where(counts == 1, top, total)
+            after[spots[begins]] = total
+            share[arcs] = score - np.repeat(total, counts)
+
+        upto, place = np.exp(share), np.arange(len(at)) - first[at]
+        for i in range(1, int(n_arcs.max())):
+            arcs = np.flatnonzero(place == i)
+            upto[arcs] += upto[arcs - 1]
+        upto[first[1:] - 1] = 1.0
+        self.first = np.concatenate((self.first, first[1:] + len(self.share)))
+        self.width = np.concatenate((self.width, width.astype(np.int32)))
+        self.piece = np.concatenate((self.piece, piece.astype(np.int32)))
+        self.ends = np.concatenate((self.ends, ends.astype(np.int32)))
+        self.share, self.upto = np.concatenate((self.share, share)), np.concatenate((self.upto, upto))
+
+    def _arcs(self, text: str, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Where an arc begins, its width, log weight and piece, by position, the widest first.
+        All positions go down the trie of pieces together. A character that is no piece of
+        its own is spelled in bytes, and so is a U+2581 of the text itself."""
+        v = self.vocabulary
+        letters = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
+        shown = np.where(letters == ord(BLANK), _NO_LETTER, np.where(letters == ord(" "), ord(BLANK), letters))
+        spots, nodes, found = np.arange(len(letters)), np.zeros(len(letters), np.int64), []
+        for width in range(1, v.longest + 1):
+            keys = (nodes << 21) | shown[spots + width - 1]
+            edges = np.minimum(np.searchsorted(v.edges, keys), len(v.edges) - 1)
+            on = v.edges[edges] == keys
+            spots, nodes = spots[on], v.targets[edges[on]]
+            here = v.piece_at[nodes] >= 0
+            ids = v.piece_at[nodes[here]]
+            found.append((spots[here], np.full(len(ids), width), v.weight_at[nodes[here]], ids))
+            further = spots + width < stops[spots]
+            spots, nodes = spots[further], nodes[further]
+            if not len(spots):
+                break
+        bare = np.ones(len(letters), bool)
+        bare[found[0][0]] = False
+        bare = np.flatnonzero(bare)
+        n_bytes = 1 + sum((letters[bare] >= bound).astype(np.int64) for bound in (0x80, 0x800, 0x10000))
+        found.insert(0, (bare, np.ones(len(bare), np.int64), v.byte_cost * n_bytes, -1 - letters[bare]))
+        at, width, weight, piece = (np.concatenate(c) for c in zip(*reversed(found), strict=True))
+        order = np.argsort(at, kind="stable")
+        return at[order], width[order], weight[order], piece[order]
+
+    def lattices(self, text: str) -> list[list[list[tuple[int, tuple[int, ...], float]]]]:
+        """For every part and position the arcs (end, ids, log share), to look at."""
         found = []
-        for part in _parts(text):
-            arcs = self.known.get(part)
-            if arcs is None:
-                arcs = self._lattice(part)
-                if len(part) <= 64:
-                    self.known[part] = arcs
-            found.append(arcs)
+        for part in _PART.findall(" " + text):
+            if part not in self.known:
+                self._learn([part])
+            base = self.known[part]
+            arcs = [range(self.first[base + at], self.first[base + at + 1]) for at in range(len(part))]
+            found.append([[(at + int(self.width[a]), self._ids(a), float(self.share[a])) for a in some] for at, some in enumerate(arcs)])
         return found
 
+    def _ids(self, arc: int) -> tuple[int, ...]:
+        return tuple(self._spelled(self.piece[arc : arc + 1])[0].tolist())
+
+    def _spelled(self, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Piece ids with characters spelled in bytes, and how many ids each one became."""
+        counts, spelled = np.ones(len(pieces), np.int64), pieces < 0
+        if not spelled.any():
+            return pieces, counts
+        letters = [chr(-1 - p).encode() for p in pieces[spelled].tolist()]
+        counts[spelled] = [len(b) for b in letters]
+        ids = np.repeat(pieces, counts)
+        ids[ids < 0] = self.byte_ids[np.frombuffer(b"".join(letters), np.uint8)]
+        return ids, counts
+
     def sample(self, text: str, k: int, seed: int) -> list[tuple[list[int], float, float]]:
         """Up to k distinct segmentations (ids, log probability, chance to be in a sample),
         in the order drawn; fewer only if the text has no more."""
-        if not text:
-            return [([], 0.0, 1.0)]
-        chain = self.lattices(text)
-        draws = _Draws(seed)
-        # a node: its value, the log probability so far, part, position, the ids as a chain
-        root = draws.gumbel()
-        waiting: list[tuple] = [(-root, 0, 0.0, 0, 0, None)]  # the best first
-        born, done = 1, []
-        while waiting and len(done) <= k:
-            value, _, logp, number, at, ids = waiting.pop(0)
-            value = -value
-            spare = k - len(done)  # every node has a path, so no more nodes than these matter
-            while number < len(chain):
-                arcs = chain[number]
-                if at == len(arcs):
-                    number, at = number + 1, 0
-                    continue
-                options = arcs[at]
-                if len(options) == 1:
-                    end, piece, share = options[0]
-                    logp, at, ids = logp + share, end, (ids, piece)
-                    continue
-                own = [logp + o[2] + draws.gumbel() for o in options]
-                best = max(range(len(own)), key=own.__getitem__)
-                top = own[best]
-                for i, (end, piece, share) in enumerate(options):
-                    if i == best:
-                        continue
-                    # the draw of this child, given that the largest of all is `value`
-                    v = value - own[i] + math.log1p(-math.exp(min(own[i] - top, -1e-12)))
-                    under = value - max(0.0, v) - math.log1p(math.exp(-abs(v)))
-                    if len(waiting) < spare or (spare and under > -waiting[-1][0]):
-                        insort(waiting, (-under, born, logp + share, number, end, (ids, piece)))
-                        born += 1
-                        del waiting[spare:]
-                end, piece, share = options[best]
-                logp, at, ids = logp + share, end, (ids, piece)
-            done.append((value, logp, ids))
-        bound = done[k][0] if len(done) > k else -math.inf
-        out = []
-        for _, logp, ids in done[:k]:
-            inclusion = 1.0 if bound == -math.inf else -math.expm1(-math.exp(min(logp - bound, 700.0)))
-            flat = []
-            while ids is not None:
-                ids, piece = ids
-                flat.append(piece)
-            out.append(([i for piece in reversed(flat) for i in piece], logp, inclusion))
-        return out
-
-
-class _Draws:
-    """Gumbel draws in blocks from a seeded generator."""
-
-    def __init__(self, seed: int):
-        self.generator = np.random.Generator(np.random.PCG64(seed))
-        self.block: list[float] = []
-
-    def gumbel(self) -> float:
-        if not self.block:
-            self.block = self.generator.gumbel(size=512).tolist()
-        return self.block.pop()
+        _, ids, ends, logps, inclusions = self.sample_all([text], k, [seed])
+        return [(s.tolist(), lp, inc) for s, lp, inc in zip(np.split(ids, ends[:-1]), logps, inclusions, strict=True)]
+
+    def sample_all(self, texts: list[str], k: int, seeds: list[int]) -> tuple[list[int], np.ndarray, np.ndarray, list[float], list[float]]:
+        """The samples of some texts one after the other: the number of the text, all ids,
+        where the ids of each sample end, log probabilities and chances to be included."""
+        if len(self.share) > _CACHE_ARCS:
+            self._clear()
+        searches, cut = [], [_PART.findall(" " + text) if text else [] for text in texts]
+        fresh = [p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in self.known]
+        if fresh:
+            self._learn(fresh)
+        for parts, seed in zip(cut, seeds, strict=True):
+            bases = np.array([self.known[p] for p in parts], np.int64)
+            starts = np.cumsum([0, *map(len, parts)])
+            chance = random.Random(seed)
+            root = -math.log(chance.expovariate(1.0))
+            length = int(starts[-1])
+            searches.append(_Text(starts[:-1], starts[:-1].tolist(), bases, length, chance, seed & (2**64 - 1), [(-root, 0, 0.0, None, -1, -1)], []))
+        for drawn in range(k):
+            active = [t for t in searches if t.waiting]
+            if active:
+                self._complete(active, k - drawn, drawn)
+        owners, logps, inclusions, chosen = [], [], [], []
+        for number, t in enumerate(searches):
+            bound = -t.waiting[0][0] if t.waiting else -math.inf
+            for _, logp, path in t.paths:
+                owners.append(number)
+                logps.append(logp)
+                inclusions.append(1.0 if bound == -math.inf else -math.expm1(-math.exp(min(logp - bound, 700.0))))
+                chosen.append(path[path >= 0])
+        arcs = np.concatenate(chosen) if chosen else np.empty(0, np.int64)
+        ids, counts = self._spelled(self.piece[arcs])
+        ends = np.concatenate(([0], np.cumsum(counts)))[np.cumsum([len(c) for c in chosen], dtype=np.int64)]
+        return owners, ids, ends, logps, inclusions
+
+    def _complete(self, active: list[_Text], spare: int, drawn: int) -> None:
+        """Takes the best node of each text down to a complete path, and puts the `spare`
+        best nodes it leaves aside in waiting."""
+        first, width, upto, ends = self.first, self.width, self.upto, self.ends
+        taken, path = [], np.full(sum(t.length for t in active), -1, np.int64)
+        spots, places, keys, offset = [], [], [], 0
+        for t in active:
+            value, _, logp, parent, at, arc = t.waiting.pop(0)
+            if arc >= 0:
+                path[offset : offset + at] = parent[:at]
+                path[offset + at] = arc
+                at += int(width[arc])
+            else:
+                at = 0
+            taken.append((-value, logp, at))
+            begin = int(np.searchsorted(t.starts, at, side="right")) - 1
+            if at < t.length:
+                inside = at - int(t.starts[begin])
+                spot, place = t.bases[begin:].copy(), t.starts[begin:] + offset
+                spot[0] += inside
+                place[0] += inside
+                spots.append(spot)
+                places.append(place)
+                keys.append(np.full(len(spot), (t.seed + drawn * 0xD1342543DE82EF95 - offset * _STEP) & (2**64 - 1), np.uint64))
+            offset += t.length
+        spots, places, keys = (np.concatenate(c) if c else np.empty(0, np.int64) for c in (spots, places, keys))
+        keys = keys.astype(np.uint64) + places.astype(np.uint64) * np.uint64(_STEP)
+        while len(spots):
+            # a draw depends on the text's seed, the round and the place in the text alone
+            u = (mix64(keys) >> np.uint64(11)) * 2.0**-53
+            arcs = first[spots]
+            past = np.flatnonzero(u >= upto[arcs])
+            while len(past):
+                arcs[past] += 1
+                past = past[u[past] >= upto[arcs[past]]]
+            path[places] = arcs
+            on = np.flatnonzero(ends[arcs] == 0)
+            wide = width[arcs[on]].astype(np.int64)
+            spots, places = spots[on] + wide, places[on] + wide
+            keys = keys[on] + wide.astype(np.uint64) * np.uint64(_STEP)
+        offset = 0
+        for t, (value, logp, at) in zip(active, taken, strict=True):
+            own = path[offset : offset + t.length]
+            offset += t.length
+            steps = np.flatnonzero(own[at:] >= 0) + at
+            sums = np.cumsum(self.share[own[steps]])
+            t.paths.append((value, logp + (float(sums[-1]) if len(sums) else 0.0), own))
+            self._leave_aside(t, own, steps, sums, value, logp, spare)
+
+    def _leave_aside(self, t: _Text, own, steps, sums, value: float, logp: float, spare: int) -> None:
+        """Puts the best of the children aside of a path in waiting."""
+        waiting, chance = t.waiting, t.chance
+        del waiting[spare:]
+        end = float(sums[-1]) if len(sums) else 0.0
+        under, before, inherits = value, 0.0, False
+        for j in range(len(steps)):
+            if end - before >= 0.0:
+                return
+            # `under` bounds what is aside from this step on, or is its largest value
+            if not inherits:
+                under = _under(logp + before + _rest(end - before), under, chance)
+            if len(waiting) == spare and under <= -waiting[-1][0]:
+                return
+            at = int(steps[j])
+            mine, upto = int(own[at]), float(sums[j])
+            part = bisect_right(t.begins, at) - 1
+            spot = int(t.bases[part]) + at - t.begins[part]
+            lo, hi = self.first[spot : spot + 2].tolist()
+            aside = [(a, part) for a, part in zip(range(lo, hi), self.share[lo:hi].tolist(), strict=True) if a != mine]
+            if not aside:
+                before, inherits = upto, True
+                continue
+            weights = [math.exp(s) for _, s in aside]
+            later = math.exp(upto - before + _rest(end - upto)) if end < upto else 0.0
+            total = sum(weights)
+            inherits = chance.random() * (total + later) >= total
+            top = under
+            if inherits:
+                top = _under(logp + before + math.log(total), under, chance)
+            best = chance.choices(range(len(aside)), weights)[0] if len(aside) > 1 else 0
+            for i, (arc, part) in enumerate(aside):
+                v = top if i == best else _under(logp + before + part, top, chance)
+                if len(waiting) < spare or v > -waiting[-1][0]:
+                    insort(waiting, (-v, t.born, logp + before + part, own, at, arc))
+                    t.born += 1
+                    del waiting[spare:]
+            before = upto
+
+
+def _rest(log_share: float) -> float:
+    """log(1 - exp(log_share)), for what is beside a path of that share."""
+    return math.log(-math.expm1(log_share)) if log_share < 0.0 else -math.inf
+
+
+def _under(place: float, bound: float, chance: random.Random) -> float:
+    """A Gumbel value at `place`, given that it is below `bound`."""
+    return min(bound, place - math.log(math.exp(min(place - bound, 700.0)) + chance.expovariate(1.0)))
 
 
 def decode(ids: list[int], vocabulary: Vocabulary) -> str:
@@ -221,20 +393,29 @@ def sample_segmentations(
     n_keys = len(keys)
 
     def draw(batches):
-        vocabulary = get()
-        sampler = Sampler(vocabulary)
-        for batch in slabs(batches, 0, rows=500, size=1 << 20):
-            out = []
-            for i, (text, row_seed) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-                for n, (ids, logp, inclusion) in enumerate(sampler.sample(text, samples, row_seed & (2**63 - 1))):
-                    crc = zlib.crc32(np.array(ids, "<u4").tobytes())
-                    out.append((i, n, ids, len(ids), crc, logp, inclusion, decode(ids, vocabulary) == text))
-            owner, *found = (list(c) for c in zip(*out, strict=True))
-            taken = [batch.column(2 + j).take(pa.array(owner)) for j in range(n_keys)]
-            arrays = [pa.array(c, t) for c, t in zip(found, types, strict=True)]
-            yield pa.RecordBatch.from_arrays([*taken, *arrays], names)
-
-    types = [pa.int32(), pa.list_(pa.int32()), pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.bool_()]
+        sampler = Sampler(get())
+        for batch in slabs(batches, 0, rows=500, size=1 << 18):
+            texts = batch.column(0).to_pylist()
+            owners, ids, ends, logps, inclusions = sampler.sample_all(texts, samples, batch.column(1).to_pylist())
+            begins = np.concatenate(([0], ends))
+            spelled = sampler.shown.take(pa.array(ids))
+            at = np.frombuffer(spelled.buffers()[1], np.int32)[begins]
+            bytes_of = memoryview(spelled.buffers()[2] or b"")
+            crcs, decodes, little = [], [], ids.astype("<u4")
+            for n, owner in enumerate(owners):
+                crcs.append(zlib.crc32(little[begins[n] : begins[n + 1]]))
+                shown = str(bytes_of[at[n] : at[n + 1]], "utf-8", "replace")
+                decodes.append(shown.removeprefix(" ") == texts[owner])
+            firsts = np.searchsorted(owners, owners)
+            found = [
+                pa.array(np.arange(len(owners)) - firsts, pa.int32()),
+                pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(ids, pa.int32())),
+                pa.array(np.diff(begins), pa.int32()), pa.array(crcs, pa.int64()),
+                pa.array(logps, pa.float64()), pa.array(inclusions, pa.float64()), pa.array(decodes, pa.bool_()),
+            ]
+            taken = [batch.column(2 + j).take(pa.array(owners)) for j in range(n_keys)]
+            yield pa.RecordBatch.from_arrays([*taken, *found], names)
+
     fields = "sample int, ids array<int>, n_pieces int, ids_crc32 long, log_prob double, inclusion double, decodes boolean"
     names = [*[f"k{i}" for i in range(n_keys)], *[f.split()[0] for f in fields.split(", ")]]
     drawn = source.mapInArrow(draw, ", ".join([*[f"k{i} long" for i in range(n_keys)], fields]))

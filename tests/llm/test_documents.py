@@ -434,6 +434,45 @@ def test_samples_follow_the_lattice():
     assert abs(sum(weight[ids] / n * p for ids, p in chances.items()) - 1) < 0.03
 
 
+def test_samples_depend_on_the_text_and_its_seed_alone():
+    """Not on the batch, the store or the order; a very long text is taken whole."""
+    vocabulary = segmentation.Vocabulary.load(packing.tokenizer_file("piece_bpe_32k.model"))
+    texts = ["the cat  sat", "", LONG, "▁ \x00 é 日本 😀", "the cat  sat", " ", "日本語" * 200, "x" * 300]
+    seeds = [3, 1, 4, -1, 3, 9, 2, 6]
+    sampler = segmentation.Sampler(vocabulary)
+    owners, ids, ends, logps, inclusions = sampler.sample_all(texts, 4, seeds)
+    found = list(zip(owners, [tuple(c.tolist()) for c in np.split(ids, ends[:-1])], logps, inclusions, strict=True))
+    for number in reversed(range(len(texts))):
+        alone = segmentation.Sampler(vocabulary).sample(texts[number], 4, seeds[number])
+        assert [(number, tuple(i), lp, inc) for i, lp, inc in alone] == [f for f in found if f[0] == number]
+    assert all(segmentation.decode(list(i), vocabulary) == texts[n] for n, i, _, _ in found)
+    # no piece joins two of these letters, so there is one path
+    assert [len({i for n, i, _, _ in found if n == number}) for number in (0, 2, 6, 7)] == [4, 4, 1, 4]
+
+
+def test_lattices_equal_a_plain_recursion():
+    vocabulary = segmentation.Vocabulary.load(packing.tokenizer_file("piece_bpe_32k.model"))
+    sampler = segmentation.Sampler(vocabulary)
+    for part in (" the", "  blanks", " ", " 日本é😀", " under▁line", " \x00", " internationalization", " " + "ab" * 40):
+        pieces = {}
+        for start in range(len(part)):
+            for end in range(start + 1, len(part) + 1):
+                shown = part[start:end].replace("▁", "\0").replace(" ", "▁")
+                if shown in vocabulary.pieces:
+                    number, weight = vocabulary.pieces[shown]
+                    pieces[start, end] = (number,), weight
+            if (start, start + 1) not in pieces:
+                spelled = part[start].encode()
+                pieces[start, start + 1] = tuple(vocabulary.bytes[b] for b in spelled), vocabulary.byte_cost * len(spelled)
+        after = {len(part): 0.0}
+        for start in reversed(range(len(part))):
+            after[start] = np.logaddexp.reduce([w + after[e] for (s, e), (_, w) in pieces.items() if s == start])
+        (arcs,) = sampler.lattices(part[1:])
+        got = {(start, end): (ids, share) for start, some in enumerate(arcs) for end, ids, share in some}
+        assert {k: ids for k, (ids, _) in got.items()} == {k: ids for k, (ids, _) in pieces.items()}
+        assert all(abs(share - (pieces[s, e][1] + after[e] - after[s])) < 1e-9 for (s, e), (_, share) in got.items())
+
+
 # --- pipeline
 
 
