@@ -7,12 +7,13 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tarn.operators.keys import POSITION_BITS, RANGE, STAMP, lay_out, range_number
+from tarn.sources.writers import append_or_create
 
 
 def count_tables(tables: dict[tuple[str, str, str], DataFrame]) -> DataFrame:
@@ -110,6 +111,74 @@ def describe_long(df: DataFrame, columns: list[str] | None = None, exact: bool =
     return profile
 
 
+#: Size of a quantile sketch; ranks are off by less than half a percent of the rows.
+SKETCH_SIZE = 800
+
+
+def profile_sketches(df: DataFrame, columns: list[str] | None = None, size: int = SKETCH_SIZE) -> DataFrame:
+    """One row per numeric column that profiles can be merged from: column, n (values), mean,
+    m2 (summed squares around the mean), low, high, sketch (of quantiles). One pass; a column
+    without values has n = 0. Missing values, NaN among them, are left out."""
+    entries = []
+    for c in columns or numeric_columns(df):
+        value = present(df, c).cast("double")
+        entries.append(
+            F.struct(
+                F.lit(c).alias("column"),
+                F.count(value).alias("n"),
+                F.avg(value).alias("mean"),
+                (F.var_pop(value) * F.count(value)).alias("m2"),
+                F.min(value).alias("low"),
+                F.max(value).alias("high"),
+                F.kll_sketch_agg_double(value, F.lit(size)).alias("sketch"),
+            )
+        )
+    return df.agg(F.array(*entries).alias("__rows")).select(F.inline("__rows"))
+
+
+def merge_sketches(parts: DataFrame, size: int = SKETCH_SIZE) -> DataFrame:
+    """The sketches of all rows of some loads, from those of each load, in the same form."""
+    whole = Window.partitionBy("column")
+    mean = F.sum(F.col("n") * F.col("mean")).over(whole) / F.nullif(F.sum("n").over(whole), F.lit(0))
+    aside = F.col("m2") + F.col("n") * (F.col("mean") - F.col("all_mean")) ** 2
+    return parts.withColumn("all_mean", mean).groupBy("column").agg(
+        F.sum("n").alias("n"),
+        F.max("all_mean").alias("mean"),
+        F.sum(aside).alias("m2"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.kll_merge_agg_double("sketch", F.lit(size)).alias("sketch"),
+    )
+
+
+def sketched_profile(sketches: DataFrame) -> DataFrame:
+    """(column, stat, value) as of `describe_long`, from one sketch row per column."""
+    stats = {
+        "count": F.col("n").cast("double"),
+        "mean": F.col("mean"),
+        "std": F.when(F.col("n") > 1, F.sqrt(F.col("m2") / (F.col("n") - 1))),
+        "min": F.col("low"),
+        "max": F.col("high"),
+    }
+    for name, q in QUARTILES.items():
+        stats[name] = F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", F.lit(q)))
+    entries = [F.struct(F.lit(stat).alias("stat"), value.alias("value")) for stat, value in stats.items()]
+    return sketches.select("column", F.inline(F.array(*entries)))
+
+
+def append_profile(df: DataFrame, path: str, load: str, columns: list[str] | None = None) -> None:
+    """Keep the sketches of one load in the table at `path`; a repeated load replaces its own.
+
+    Only the rows of the load are read, however large the table they go to has become.
+    """
+    append_or_create(profile_sketches(df, columns), path, batch=load)
+
+
+def stored_profile(spark: SparkSession, path: str) -> DataFrame:
+    """The profile of all loads kept at `path`; it reads one row per load and column."""
+    return sketched_profile(merge_sketches(spark.read.parquet(path).drop("batch")))
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], quantiles: list[float]) -> DataFrame:
     """(column, quantile, value) with linear interpolation, exact at any size.
 

@@ -6,12 +6,14 @@ from pyspark.sql import functions as F
 
 from tarn.operators.keys import assign_surrogate_keys, cumulative, gappy_ids, with_row_index
 from tarn.operators.profile import (
+    append_profile,
     column_means,
     count_objects,
     count_tables,
     describe_long,
     group_sums,
     highest,
+    stored_profile,
     summarize,
 )
 from tarn.operators.reshape import (
@@ -23,6 +25,7 @@ from tarn.operators.reshape import (
     transpose,
 )
 from tarn.plans.registry import exact_sum, query, table
+from tarn.session import scratch_path
 
 # The names of the driver tables.
 TABLES = """region nation customer supplier part orders lineitem events documents embeddings
@@ -122,7 +125,7 @@ def column_averages(spark, sf_dir):
     return means.select(F.round("user_id", 6).alias("user_id"), F.round("value", 6).alias("value"))
 
 
-def _profile_sql(table_name, columns):
+def _profile_sql(table_name, columns, digits=6):
     stats = {
         "count": "count({c})",
         "mean": "avg({c})",
@@ -134,7 +137,7 @@ def _profile_sql(table_name, columns):
         "max": "max({c})",
     }
     return " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", '{s}' AS stat, round(({e.format(c=c)})::DOUBLE, 6) AS value
+        f"""SELECT '{c}' AS "column", '{s}' AS stat, round(({e.format(c=c)})::DOUBLE, {digits}) AS value
         FROM {table_name}"""
         for c in columns
         for s, e in stats.items()
@@ -148,30 +151,48 @@ def exact_profile(spark, sf_dir):
     return profile.withColumn("value", F.round("value", 6))
 
 
-@query(
-    "A8",
-    sql=f"""SELECT "column", stat, CASE WHEN stat LIKE '%\\%' ESCAPE '\\' THEN NULL ELSE value END AS value,
-        true AS near FROM ({_profile_sql("lineitem", ["l_quantity", "l_extendedprice", "l_discount"])})""",
-)
-def approximate_profile(spark, sf_dir):
+_PROFILED = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+def _near_sql(digits):
+    return f"""SELECT "column", stat, CASE WHEN stat LIKE '%\\%' ESCAPE '\\' THEN NULL ELSE value END AS value,
+        true AS near FROM ({_profile_sql("lineitem", _PROFILED, digits)})"""
+
+
+def _nearness(rows, profile, digits=6):
     """Exact statistics, and whether each quartile has nearly its share of rows at or below it."""
-    columns = ["l_quantity", "l_extendedprice", "l_discount"]
-    lines = table(spark, sf_dir, "lineitem").select(*columns)
-    profile = describe_long(lines, columns)
-    marks = profile.filter(F.col("stat").endswith("%"))
-    rows = marks.collect()  # three quartiles per column
+    marks = profile.filter(F.col("stat").endswith("%")).collect()  # three quartiles per column
     shares = [
         (F.avg((F.col(r.column) <= r.value).cast("int")) >= float(r.stat[:-1]) / 100 - 0.01)
         & (F.avg((F.col(r.column) < r.value).cast("int")) <= float(r.stat[:-1]) / 100 + 0.01)
-        for r in rows
+        for r in marks
     ]
     entries = [
         F.struct(F.lit(r.column).alias("column"), F.lit(r.stat).alias("stat"), F.lit(None).cast("double").alias("value"), s.alias("near"))
-        for r, s in zip(rows, shares, strict=True)
+        for r, s in zip(marks, shares, strict=True)
     ]
-    near = lines.agg(F.array(*entries).alias("__marks")).select(F.inline("__marks"))
+    near = rows.agg(F.array(*entries).alias("__marks")).select(F.inline("__marks"))
     exact = profile.filter(~F.col("stat").endswith("%"))
-    return exact.select("column", "stat", F.round("value", 6).alias("value"), F.lit(True).alias("near")).unionByName(near)
+    return exact.select("column", "stat", F.round("value", digits).alias("value"), F.lit(True).alias("near")).unionByName(near)
+
+
+@query("A8", sql=_near_sql(6))
+def approximate_profile(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select(*_PROFILED)
+    return _nearness(lines, describe_long(lines, _PROFILED))
+
+
+@query("A8", sql=_near_sql(4))
+def profile_of_loads(spark, sf_dir):
+    """Line items come in three loads, the last one twice; their sketches are merged.
+
+    A mean of means differs from a mean in its last bits; l_discount has one that lies just
+    between two numbers of six digits, so four are compared.
+    """
+    lines, path = table(spark, sf_dir, "lineitem"), scratch_path(spark, "sketches")
+    for load in (0, 1, 2, 2):
+        append_profile(lines.filter(F.col("l_orderkey") % 3 == load), path, str(load), _PROFILED)
+    return _nearness(lines, stored_profile(spark, path), 4)
 
 
 @query(

@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import math
 import os
 import zipfile
 from pathlib import Path
@@ -14,6 +15,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tarn.operators import profile
 from tarn.operators.keys import gappy_ids
 from tarn.operators.maintain import checksum_manifest, compact, discover_tables, expired_files, table_stats
 from tarn.operators.mutate import merge_partitions
@@ -689,3 +691,26 @@ def test_only_concerned_partitions_are_written(spark, tmp_path):
         merge_partitions(spark, path, update.unionByName(update), ["id"], insert=False)
     assert spark.read.parquet(path).count() == 52
     assert merge_partitions(spark, path, update.filter("id = 0"), ["id"], insert=False) == 0
+
+
+def test_profiles_of_loads_are_merged(spark, tmp_path):
+    """Like one profile of all rows; a repeated load counts once; columns without values stay."""
+    path = str(tmp_path / "sketches")
+    schema = "a double, b int, c double, t string"
+    loads = {
+        "one": [(float(i), i % 7, None, "x") for i in range(3_000)],
+        "two": [(float("nan"), None, None, None)] * 5,
+        "three": [(float(i), 10**6 + i, None, "y") for i in range(3_000, 10_000)],
+        "none": [],
+    }
+    for load in ("one", "two", "three", "none", "three"):
+        profile.append_profile(spark.createDataFrame(loads[load], schema), path, load)
+    assert spark.read.parquet(path).count() == 4 * 3
+    got = {(r.column, r.stat): r.value for r in profile.stored_profile(spark, path).collect()}
+    every = spark.createDataFrame([r for rows in loads.values() for r in rows], schema)
+    want = {(r.column, r.stat): r.value for r in profile.describe_long(every, exact=True).collect()}
+    for c in "ab":
+        for stat in ("count", "mean", "std", "min", "max"):
+            assert math.isclose(got[c, stat], want[c, stat], rel_tol=1e-12), (c, stat)
+    assert all(abs(got["a", stat] - want["a", stat]) < 100 for stat in profile.QUARTILES)
+    assert got["c", "count"] == 0 and all(got["c", stat] is None for stat in ("mean", "std", "min", "max", *profile.QUARTILES))
