@@ -11,8 +11,8 @@ of the next one gives each path the chance that a sample includes it.
 Which child inherits does not depend on the value: it is a draw by the children's shares. So
 the way down from a node is drawn for all parts of all texts of a batch at once, as the parts
 are independent. The children left aside hold the rest of the node's weight: their largest
-value is drawn for all of them together, and handed down along the path only as far as it
-can still be among the best.
+value is drawn for all of them together, and handed down to parts of the path only as long
+as it can still be among the best.
 
 Blanks are shown as U+2581. As no piece of the vocabulary goes on across a blank after a
 letter, the lattice is cut before such blanks, and each distinct part is built only once.
@@ -120,6 +120,9 @@ class Sampler:
         self.vocabulary = vocabulary
         self.byte_ids = np.array(vocabulary.bytes, np.int32)
         self.shown = pa.array(vocabulary.shown, pa.binary())
+        from_root = vocabulary.edges <= _NO_LETTER
+        self.below_root = np.zeros(_NO_LETTER + 1, np.int32)
+        self.below_root[vocabulary.edges[from_root]] = vocabulary.targets[from_root]
         self._clear()
 
     def _clear(self) -> None:
@@ -134,20 +137,24 @@ class Sampler:
         stops = np.cumsum(lengths)
         bases = len(self.first) - 1 + stops - lengths
         self.known.update(zip(parts, bases.tolist(), strict=True))
-        at, width, weight, piece = self._arcs("".join(parts), np.repeat(stops, lengths))
+        stop = np.repeat(stops, lengths)
+        at, width, weight, piece = self._arcs("".join(parts), stop)
 
         # log weights of all paths from a position, from the ends of the parts to their starts
-        first = np.searchsorted(at, np.arange(stops[-1] + 1))
-        n_arcs = np.diff(first)
-        left = np.repeat(stops, lengths) - np.arange(stops[-1])
-        order = np.argsort(left[at], kind="stable")
-        turns = np.searchsorted(left[at][order], np.arange(1, lengths.max() + 2))
-        after, share = np.zeros(stops[-1]), np.empty(len(at))
-        ends = at + width == np.repeat(stops, lengths)[at]
+        n_arcs = np.bincount(at, minlength=stops[-1])
+        first = np.concatenate(([0], np.cumsum(n_arcs)))
+        left = (stop - np.arange(stops[-1]))[at]
+        if lengths.max() < 1 << 16:
+            left = left.astype(np.uint16)  # sorted by its digits
+        order = np.argsort(left, kind="stable")
+        turns = np.concatenate(([0], np.cumsum(np.bincount(left)[1:])))
+        after, share = np.zeros(stops[-1] + 1), np.empty(len(at))
+        ends = at + width == stop[at]
+        to = np.where(ends, stops[-1], at + width)  # all ends are one place, of weight 0
         for lo, hi in zip(turns[:-1].tolist(), turns[1:].tolist(), strict=True):
             arcs = order[lo:hi]
             spots = at[arcs]
-            score = weight[arcs] + np.where(ends[arcs], 0.0, after[np.where(ends[arcs], 0, spots + width[arcs])])
+            score = weight[arcs] + after[to[arcs]]
             begins = np.flatnonzero(np.diff(spots, prepend=-1))
             counts = n_arcs[spots[begins]]
             top = np.maximum.reduceat(score, begins)
@@ -176,10 +183,15 @@ class Sampler:
         shown = np.where(letters == ord(BLANK), _NO_LETTER, np.where(letters == ord(" "), ord(BLANK), letters))
         spots, nodes, found = np.arange(len(letters)), np.zeros(len(letters), np.int64), []
         for width in range(1, v.longest + 1):
-            keys = (nodes << 21) | shown[spots + width - 1]
-            edges = np.minimum(np.searchsorted(v.edges, keys), len(v.edges) - 1)
-            on = v.edges[edges] == keys
-            spots, nodes = spots[on], v.targets[edges[on]]
+            if width == 1:
+                nodes = self.below_root[shown].astype(np.int64)
+                on = nodes > 0
+                spots, nodes = spots[on], nodes[on]
+            else:
+                keys = (nodes << 21) | shown[spots + width - 1]
+                edges = np.minimum(np.searchsorted(v.edges, keys), len(v.edges) - 1)
+                on = v.edges[edges] == keys
+                spots, nodes = spots[on], v.targets[edges[on]]
             here = v.piece_at[nodes] >= 0
             ids = v.piece_at[nodes[here]]
             found.append((spots[here], np.full(len(ids), width), v.weight_at[nodes[here]], ids))
@@ -264,7 +276,7 @@ class Sampler:
         """Takes the best node of each text down to a complete path, and puts the `spare`
         best nodes it leaves aside in waiting."""
         first, width, upto, ends = self.first, self.width, self.upto, self.ends
-        taken, path = [], np.full(sum(t.length for t in active), -1, np.int64)
+        taken, path = [], np.full(sum(t.length for t in active), -1, np.int32)
         spots, places, keys, offset = [], [], [], 0
         for t in active:
             value, _, logp, parent, at, arc = t.waiting.pop(0)
@@ -310,48 +322,40 @@ class Sampler:
             self._leave_aside(t, own, steps, sums, value, logp, spare)
 
     def _leave_aside(self, t: _Text, own, steps, sums, value: float, logp: float, spare: int) -> None:
-        """Puts the best of the children aside of a path in waiting."""
+        """Puts the best of the children aside of a path in waiting.
+
+        A run of steps whose largest value aside is known is split at the step that has it,
+        drawn by the weights aside; the runs before and after it draw theirs under it.
+        """
         waiting, chance = t.waiting, t.chance
         del waiting[spare:]
-        end = float(sums[-1]) if len(sums) else 0.0
-        under, before, inherits = value, 0.0, False
-        for j in range(len(steps)):
-            if end - before >= 0.0:
-                return
-            # `under` bounds what is aside from this step on, or is its largest value
-            if not inherits:
-                under = _under(logp + before + _rest(end - before), under, chance)
-            if len(waiting) == spare and under <= -waiting[-1][0]:
-                return
-            at = int(steps[j])
-            mine, upto = int(own[at]), float(sums[j])
+        falls = np.concatenate(([0.0], -sums))  # the log of what the path has lost before each step
+        runs = [(0, len(steps), value)]
+        while runs:
+            lo, hi, bound = runs.pop()
+            before = float(falls[lo])
+            lost = before - float(falls[hi])
+            if lost >= 0.0:
+                continue
+            top = _under(logp - before + math.log(-math.expm1(lost)), bound, chance)
+            if len(waiting) == spare and top <= -waiting[-1][0]:
+                continue
+            line = before - math.log1p(chance.random() * math.expm1(lost))
+            j = min(max(int(falls.searchsorted(line, "right")) - 1, lo), hi - 1)
+            at, place = int(steps[j]), logp - float(falls[j])
+            mine = int(own[at])
             part = bisect_right(t.begins, at) - 1
             spot = int(t.bases[part]) + at - t.begins[part]
-            lo, hi = self.first[spot : spot + 2].tolist()
-            aside = [(a, part) for a, part in zip(range(lo, hi), self.share[lo:hi].tolist(), strict=True) if a != mine]
-            if not aside:
-                before, inherits = upto, True
-                continue
-            weights = [math.exp(s) for _, s in aside]
-            later = math.exp(upto - before + _rest(end - upto)) if end < upto else 0.0
-            total = sum(weights)
-            inherits = chance.random() * (total + later) >= total
-            top = under
-            if inherits:
-                top = _under(logp + before + math.log(total), under, chance)
-            best = chance.choices(range(len(aside)), weights)[0] if len(aside) > 1 else 0
-            for i, (arc, part) in enumerate(aside):
-                v = top if i == best else _under(logp + before + part, top, chance)
+            first, last = self.first[spot : spot + 2].tolist()
+            aside = [(a, s) for a, s in enumerate(self.share[first:last].tolist(), first) if a != mine]
+            best = chance.choices(range(len(aside)), [math.exp(s) for _, s in aside])[0] if len(aside) > 1 else 0
+            for i, (arc, share) in enumerate(aside):
+                v = top if i == best else _under(place + share, top, chance)
                 if len(waiting) < spare or v > -waiting[-1][0]:
-                    insort(waiting, (-v, t.born, logp + before + part, own, at, arc))
+                    insort(waiting, (-v, t.born, place + share, own, at, arc))
                     t.born += 1
                     del waiting[spare:]
-            before = upto
-
-
-def _rest(log_share: float) -> float:
-    """log(1 - exp(log_share)), for what is beside a path of that share."""
-    return math.log(-math.expm1(log_share)) if log_share < 0.0 else -math.inf
+            runs += [(j + 1, hi, top), (lo, j, top)]
 
 
 def _under(place: float, bound: float, chance: random.Random) -> float:
