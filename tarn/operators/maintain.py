@@ -8,12 +8,15 @@ from pyspark.sql.window import Window
 
 from tarn.functions.columns import content_hash
 from tarn.session import broadcast_if_small
+from tarn.sources.ranges import Opener, streamed_digests
 from tarn.sources.readers import file_inventory, rows_as_stored
 from tarn.sources.writers import TARGET_MB, replace_folder
 
 RETAIN_HOURS = 168
 #: Listed files, some 200 bytes each, that may be broadcast.
 LISTED_FILES = 100_000
+#: Bytes of a file that is hashed in one piece.
+WHOLE_FILE = 256 << 20
 
 
 def compact(spark: SparkSession, path: str, target_mb: int = TARGET_MB) -> bool:
@@ -93,10 +96,16 @@ def discover_tables(keys: DataFrame, column: str = "path", marker: str = "_delta
     )
 
 
-def checksum_manifest(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Path, size and SHA-256 of every file; files are hashed in parallel, each at once
-    (Spark reads a binary file of up to 2 GB)."""
+def checksum_manifest(
+    spark: SparkSession, path: str, glob: str | None = None, whole: int = WHOLE_FILE, opener: Opener | None = None
+) -> DataFrame:
+    """Path, size and SHA-256 of every file, hashed in parallel. Files of up to `whole` bytes
+    are read by Spark at once, larger ones, of any size, as a stream by a task each."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select("path", F.col("length").alias("size"), content_hash("content").alias("sha256"))
+    small = reader.load(path).filter(F.col("length") <= whole)
+    large = file_inventory(spark, path, glob).filter(F.col("size") > whole)
+    return small.select("path", F.col("length").alias("size"), content_hash("content").alias("sha256")).union(
+        streamed_digests(large, opener)
+    )

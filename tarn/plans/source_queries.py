@@ -6,12 +6,14 @@ import io
 import zipfile
 
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from tarn.operators.maintain import checksum_manifest, table_stats
 from tarn.plans.registry import query, table
 from tarn.session import scratch_path
 from tarn.sources.generated import add_person_columns, date_range, literal_table, number_range
+from tarn.sources.ranges import file_systems, read_zip_members, tree_manifest
 from tarn.sources.readers import (
     file_inventory,
     infer_schema_first_file,
@@ -107,6 +109,31 @@ def zipped_csv_read(spark, sf_dir):
     return unpack_archives(archives).select(parsed.alias("row")).select("row.*")
 
 
+@query("S16", sql="SELECT p_partkey, p_name, p_brand, p_size FROM part")
+def archived_members_read(spark, sf_dir):
+    """Archives in a folder, ten members each, that many tasks read member by member."""
+    folder, locate = scratch_path(spark, "archives"), file_systems()
+
+    def zipped(frames):
+        for i, frame in enumerate(frames):
+            task = TaskContext.get().partitionId()
+            store, inside = locate(folder)
+            store.create_dir(inside)
+            with (
+                store.open_output_stream(f"{inside}/{task}-{i}.zip") as stream,
+                zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as archive,
+            ):
+                for n, member in frame.groupby(frame.index % 10):
+                    archive.writestr(f"rows-{n}.csv", "\n".join(member["value"]) + "\n")
+                archive.writestr("notes.txt", "not read")
+            yield pd.DataFrame({"path": [f"{task}-{i}.zip"]})
+
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    part.select(F.to_csv(F.struct("*")).alias("value")).mapInPandas(zipped, "path string").count()
+    parsed = F.from_csv("value", "p_partkey bigint, p_name string, p_brand string, p_size int")
+    return read_zip_members(spark, folder).select(parsed.alias("row")).select("row.*")
+
+
 @query(
     "S11",
     sql="""
@@ -312,3 +339,26 @@ def checksum_manifest_bytes(spark, sf_dir):
     manifest = checksum_manifest(spark, folder, glob="*.txt")
     hashed = F.min(F.col("sha256").rlike("^[0-9a-f]{64}$"))
     return manifest.agg(F.sum("size").alias("n_bytes"), hashed.alias("all_hashed"))
+
+
+@query(
+    "T10 F13",
+    sql="""
+    SELECT (sum(strlen(text) + 1))::BIGINT AS n_bytes, true AS streamed_alike, true AS one_range_alike
+    FROM conversations""",
+)
+def ranged_checksums(spark, sf_dir):
+    """Files hashed as streams, in one range and in ranges of 16 kB, beside Spark's own reader."""
+    folder = scratch_path(spark, "ranged")
+    write_text(table(spark, sf_dir, "conversations"), folder, "text")
+    whole = checksum_manifest(spark, folder, "*.txt")
+    streamed = checksum_manifest(spark, folder, "*.txt", whole=0).select("path", F.col("sha256").alias("streamed"))
+    single = tree_manifest(spark, folder, "*.txt").select("path", F.col("sha256").alias("single"))
+    ranged = tree_manifest(spark, folder, "*.txt", size=16 << 10).select("path", F.col("sha256").alias("ranged"))
+    joined = whole.join(streamed, "path").join(single, "path").join(ranged, "path")
+    small = (F.col("size") <= 16 << 10) == (F.col("ranged") == F.col("sha256"))
+    return joined.agg(
+        F.sum("size").alias("n_bytes"),
+        F.min(F.col("sha256") == F.col("streamed")).alias("streamed_alike"),
+        F.min((F.col("sha256") == F.col("single")) & small).alias("one_range_alike"),
+    )

@@ -345,17 +345,12 @@ def read_columnar_json(df: DataFrame, schema: T.StructType | str, column: str =
     return parsed.select(F.inline(F.when(F.size(F.array_distinct(sizes)) > 1, uneven).otherwise(zipped)))
 
 
-def read_zip_members(spark: SparkSession, path: str, suffix: str = ".csv") -> DataFrame:
-    """Lines of the members with `suffix` of all zip archives in a folder."""
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path)
-    return unpack_archives(archives.select("path", "content"), suffix)
-
-
 def unpack_archives(archives: DataFrame, suffix: str = ".csv", batch_lines: int = 10_000) -> DataFrame:
     """Archives (path, content) -> lines (archive, member, line_number, value).
 
     Archives are unpacked in parallel, one at a time per task, and their lines leave the
-    task in batches. Parse them with `from_csv` / `from_json`.
+    task in batches. Parse them with `from_csv` / `from_json`. Archives in files are better
+    read by `ranges.read_zip_members`, which deals out their members.
     """
 
     def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

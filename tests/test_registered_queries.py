@@ -37,7 +37,7 @@ sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})
 from pyspark.sql import SparkSession
 spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
 import __spark_entry__ as entry
-for name in ("json_array_read", "zipped_csv_read"):
+for name in ("json_array_read", "zipped_csv_read", "archived_members_read", "ranged_checksums"):
     assert entry.queries()[name](spark, {SF!r}).count() > 0
 """
     done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)

@@ -22,7 +22,7 @@ from tarn.operators.mutate import merge_partitions
 from tarn.plans import loads
 from tarn.plans.loads import LoadSpec, load_distinct_per_file, load_folder, run_graph, run_loads, run_together
 from tarn.session import broadcast_if_small, comes_in_file_order, scratch_path, settings
-from tarn.sources import catalog, generated, readers, writers
+from tarn.sources import catalog, generated, ranges, readers, writers
 from tests.conftest import rows
 
 
@@ -149,7 +149,7 @@ def test_zip_members(spark, tmp_path):
             z.writestr("b.csv", "\n".join(f"{i},{n}" for n in range(25)))
             z.writestr("a.csv", "é,1\r\n")
             z.writestr("skip.txt", "no")
-    got = readers.read_zip_members(spark, str(tmp_path))
+    got = ranges.read_zip_members(spark, str(tmp_path))
     assert got.count() == 3 * 26
     first = got.filter("archive LIKE '%z1.zip'").orderBy("member", "line_number").head(3)
     assert [(r.member, r.line_number, r.value) for r in first] == [
@@ -172,6 +172,54 @@ def test_file_inventory_and_manifest(spark, tmp_path):
     assert manifest["a.txt"] == hashlib.sha256(b"hello").hexdigest()
 
 
+def test_one_archive_is_read_by_many_tasks(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "all in one.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for i in range(100):
+            z.writestr(f"{i}.csv", "".join(f"{i},{n}\n" for n in range(i)))
+        with pytest.warns(UserWarning):
+            z.writestr("7.csv", "same name\n")
+    got = ranges.read_zip_members(spark, str(tmp_path), batch_lines=16)
+    tasks = got.select("member", F.spark_partition_id().alias("task")).distinct()
+    assert tasks.select("task").distinct().count() > 8
+    expected = [(f"{i}.csv", n + 1, f"{i},{n}") for i in range(100) for n in range(i)] + [("7.csv", 1, "same name")]
+    assert rows(got.select("member", "line_number", "value")) == sorted(expected)
+    empty = tmp_path / "none"
+    empty.mkdir()
+    assert ranges.read_zip_members(spark, str(empty)).count() == 0
+
+
+def test_hashes_of_ranges(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ranges, "FAN", 4)
+    contents = {"a.bin": bytes(range(256)) * 40, "b.bin": b"z", "c.bin": b"x" * 100, "d.bin": b"y" * 401}
+    for name, data in contents.items():
+        (tmp_path / name).write_bytes(data)
+
+    def tree(data):
+        level = [hashlib.sha256(data[i : i + 100]).hexdigest() for i in range(0, max(len(data), 1), 100)]
+        while len(level) > 1:
+            level = [hashlib.sha256("".join(level[i : i + 4]).encode()).hexdigest() for i in range(0, len(level), 4)]
+        return level[0]
+
+    got = {os.path.basename(r.path): r.sha256 for r in ranges.tree_manifest(spark, str(tmp_path), size=100).collect()}
+    assert got == {name: tree(data) for name, data in contents.items()}
+    streamed = {os.path.basename(r.path): r.sha256 for r in checksum_manifest(spark, str(tmp_path), whole=99).collect()}
+    assert streamed == {name: hashlib.sha256(data).hexdigest() for name, data in contents.items()}
+    longer = ranges.file_ranges(spark.createDataFrame([(f"{tmp_path}/c.bin", 150)], "path string, size long"), 100)
+    with pytest.raises(Exception, match="ends before"):
+        ranges.range_digests(longer).collect()
+
+
+def test_a_file_above_two_gigabytes(spark, tmp_path):
+    with open(tmp_path / "large.bin", "wb") as f:  # a hole: it takes no room on the disk
+        f.truncate((2 << 30) + 5)
+    row = checksum_manifest(spark, str(tmp_path)).first()
+    state = hashlib.sha256()
+    for _ in range(2 << 10):
+        state.update(bytes(1 << 20))
+    state.update(bytes(5))
+    assert (row.size, row.sha256) == ((2 << 30) + 5, state.hexdigest())
+
+
 def test_gzip_text(spark, tmp_path):
     with gzip.open(tmp_path / "a.csv.gz", "wt") as f:
         f.write("x;y\n1;2\n")
