@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarn.operators.maintain import compact
-from tarn.operators.validate import check_fk, check_pk
+from tarn.operators.validate import append_checked, check_fk, check_new_keys, check_pk
 from tarn.plans.loads import LoadSpec, load_distinct_per_file, load_folder, run_graph, run_loads, run_together
 from tarn.plans.registry import exact_sum, query, table
 from tarn.session import scratch_path, stage
@@ -376,3 +376,33 @@ def types_of_every_file(spark, sf_dir):
         write_single_csv(rows.selectExpr("c_custkey", f"{text} AS balance", "c_name"), folder, segment.lower())
     types = file_types(spark, folder, "csv", ",")
     return types.select(F.regexp_extract("path", r"([a-z]+)\.csv$", 1).alias("stem"), "position", "name", "type")
+
+
+@query(
+    "K15 K5",
+    sql="""
+    SELECT stored, n_rows > 1 AS repeated, count(*) AS n_keys, sum(n_rows)::BIGINT AS n_rows,
+           (SELECT count(*) FROM orders) AS n_target
+    FROM (SELECT CASE WHEN o_orderstatus = 'F' THEN -1 - o_orderkey
+                      WHEN o_orderstatus = 'P' THEN o_orderkey END AS key,
+                 coalesce(o_orderstatus = 'P', false) AS stored,
+                 CASE WHEN any_value(o_orderstatus) = 'F' THEN 2 * count(*) ELSE count(*) END AS n_rows
+          FROM orders GROUP BY 1, 2)
+    GROUP BY ALL""",
+)
+def checked_appends(spark, sf_dir):
+    """Orders appended in two batches with their keys kept; then what a third batch would break:
+    keys that are stored (`P`), keys twice in the batch (`F`), keys that are missing (`O`)."""
+    path, keys = scratch_path(spark, "keyed"), f"keys_{uuid.uuid4().hex}"
+    orders = table(spark, sf_dir, "orders")
+    for batch, rest in (("even", 0), ("odd", 1), ("odd", 1)):  # a repeated batch changes nothing
+        append_checked(orders.filter(F.pmod("o_orderkey", F.lit(2)) == rest), path, ["o_orderkey"], keys, batch, 8)
+    status = F.col("o_orderstatus")
+    key = F.when(status == "F", -1 - F.col("o_orderkey")).when(status == "P", F.col("o_orderkey"))
+    third = orders.withColumn("o_orderkey", key)
+    third = third.union(third.filter(status == "F"))
+    bad = stage(check_new_keys(third, ["o_orderkey"], keys, "third"), "violations")
+    spark.sql("DROP TABLE IDENTIFIER(:name)", {"name": keys})
+    n_target = spark.read.parquet(path).count()
+    grouped = bad.groupBy("stored", (F.col("n_rows") > 1).alias("repeated"))
+    return grouped.agg(F.count("*").alias("n_keys"), F.sum("n_rows").alias("n_rows"), F.lit(n_target).alias("n_target"))

@@ -19,6 +19,7 @@ from tarn.operators import profile
 from tarn.operators.keys import gappy_ids
 from tarn.operators.maintain import checksum_manifest, compact, discover_tables, expired_files, table_stats
 from tarn.operators.mutate import merge_partitions
+from tarn.operators.validate import append_checked, check_new_keys
 from tarn.plans import loads
 from tarn.plans.loads import LoadSpec, load_distinct_per_file, load_folder, run_graph, run_loads, run_together
 from tarn.session import broadcast_if_small, comes_in_file_order, scratch_path, settings
@@ -762,3 +763,29 @@ def test_profiles_of_loads_are_merged(spark, tmp_path):
             assert math.isclose(got[c, stat], want[c, stat], rel_tol=1e-12), (c, stat)
     assert all(abs(got["a", stat] - want["a", stat]) < 100 for stat in profile.QUARTILES)
     assert got["c", "count"] == 0 and all(got["c", stat] is None for stat in ("mean", "std", "min", "max", *profile.QUARTILES))
+
+
+def test_appended_keys_are_checked_without_moving_the_stored_ones(spark, tmp_path):
+    path, keys = str(tmp_path / "t"), "keys_of_t"
+    frame = lambda *ids: spark.createDataFrame([(i, s) for i, s in ids], "id long, part string")
+    try:
+        append_checked(frame((1, "a"), (1, "b")), path, ["id", "part"], keys, "one", 8)
+        append_checked(frame((2, "a")), path, ["id", "part"], keys, "two", 8)
+        for bad in [((1, "b"),), ((3, "c"), (3, "c")), ((4, None),)]:
+            with pytest.raises(ValueError, match="would be no key"):
+                append_checked(frame((9, "z"), *bad), path, ["id", "part"], keys, "three", 8)
+        # a repeated batch replaces its own keys and rows, also with others
+        append_checked(frame((5, "e")), path, ["id", "part"], keys, "two", 8)
+        append_checked(frame((2, "a")), path, ["id", "part"], keys, "three", 8)
+        append_checked(frame().limit(0), path, ["id", "part"], keys, "four", 8)
+        assert rows(spark.read.parquet(path).select("id", "part")) == [(1, "a"), (1, "b"), (2, "a"), (5, "e")]
+        assert rows(spark.table(keys).select("id", "part")) == [(1, "a"), (1, "b"), (2, "a"), (5, "e")]
+        with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions="200"):
+            bad = check_new_keys(frame((1, "a"), (7, "g")), ["id", "part"], keys, "five")
+            plan = bad._jdf.queryExecution().executedPlan().toString()
+            assert rows(bad) == [(1, "a", 1, True)]
+        stored = plan[plan.rindex("+- Sort") :]  # the right side of the join comes last
+        assert "__known" in stored and "Exchange" not in stored, plan
+        assert "Bucketed: true" in plan
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {keys}")
