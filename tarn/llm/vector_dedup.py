@@ -1,22 +1,28 @@
 """Near-duplicate vectors: sign hashing by random hyperplanes, exact cosines, components.
 
-Vectors of one label meet in `TABLES` hash tables, each keyed by the signs of `BITS` random
-projections. For a pair at the threshold of 0.93 one table agrees with probability
-(1 - acos(0.93)/pi) ** 14 = 0.167, so that 48 tables miss it once in 6,000 times; more
-similar pairs are missed less. Only the keys travel first; a vector goes on to the tables
-where it has company. Equal vectors count once, with a weight. In a bucket all cosines are
-computed in blocks; a pair is counted in the first table that has it together, so links need
-no list of pairs: a bucket returns link counts per vector and a star per linked group.
+Vectors of one label meet in hash tables, each keyed by the signs of random projections. A
+pair at the threshold of 0.93 agrees in one sign with probability p = 1 - acos(0.93)/pi. Keys
+have two bits more than it takes to number the rows of the largest label (`BITS` at least),
+so that a bucket of unlike vectors holds a few rows at any size of the table; the number of
+tables grows with 1/p a bit (`TABLES` at `BITS`), which keeps the chance to miss a pair at the
+threshold at 1 in 6,000. So the work grows with a power of the rows of about 1.2, not with
+their square. Only the keys travel first; a vector goes on to the tables where it has
+company. Equal vectors count once, with a weight. All cosines of a bucket are computed, of
+many small buckets at once; a pair is counted in the first table that has it together, so
+links need no list of pairs: a bucket returns link counts per vector and a star per group.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarn.llm.common import least_labels
 from tarn.llm.components import with_component
 from tarn.session import stage
 
@@ -26,6 +32,17 @@ SEED = 7
 #: Rows of a bucket that meet in one task; a larger bucket is cut in slices.
 SLICE = 2_048
 _BLOCK = 512
+#: Buckets of at most so many rows are compared many at a time.
+_SMALL = 64
+_RUN_ROWS = 8_192
+_RUN_VALUES = 4 << 20
+
+
+def key_shape(rows: int, threshold: float = THRESHOLD) -> tuple[int, int]:
+    """Bits of a key and number of tables for a largest label of so many rows."""
+    bits = max(BITS, math.ceil(math.log2(max(rows, 1))) + 2)
+    agree = 1 - math.acos(min(max(threshold, -1.0), 1.0)) / math.pi
+    return bits, math.ceil(TABLES / agree ** (bits - BITS)) if agree else TABLES
 
 
 def signatures(vectors: np.ndarray, bits: int = BITS, tables: int = TABLES, seed: int = SEED) -> np.ndarray:
@@ -78,14 +95,41 @@ def bucket_links(unit, weight, signs, table, slices, left: int, right: int, thre
     return counts, label
 
 
+def small_bucket_links(unit, weight, signs, table, slices, apart, ends, threshold: float = THRESHOLD):
+    """`bucket_links` for a run of cells laid end to end: `ends` holds, for each row, the row
+    after the last of its cell, `table` the table, `apart` whether only rows of unlike slices
+    are compared there. Pairs are made in blocks of a bounded number of values."""
+    n = len(unit)
+    counts, x, y = np.zeros(n, np.int64), [], []
+    later = ends - np.arange(n) - 1
+    before = np.concatenate(([0], np.cumsum(later)))
+    block = max(_RUN_VALUES // unit.shape[1], 1)
+    for start in range(0, int(before[-1]), block):
+        pair = np.arange(start, min(start + block, int(before[-1])))
+        i = np.searchsorted(before, pair, "right") - 1
+        j = i + 1 + pair - before[i]
+        cosine = np.einsum("ij,ij->i", unit[i], unit[j])
+        near = cosine >= threshold
+        for k in np.flatnonzero(np.abs(cosine - threshold) < 1e-9):
+            near[k] = float(np.dot(unit[i[k]], unit[j[k]])) >= threshold
+        near &= ~apart[i] | (slices[i] != slices[j])
+        i, j = i[near], j[near]
+        first = (signs[i] == signs[j]).argmax(axis=1) == table[i]
+        np.add.at(counts, i[first], weight[j[first]])
+        np.add.at(counts, j[first], weight[i[first]])
+        x.append(i)
+        y.append(j)
+    return counts, least_labels(n, np.concatenate(x), np.concatenate(y)) if x else np.arange(n)
+
+
 def near_vectors(
     rows: DataFrame,
     id_column: str = "vec_id",
     vector_column: str = "embedding",
     label_column: str = "label",
     threshold: float = THRESHOLD,
-    bits: int = BITS,
-    tables: int = TABLES,
+    bits: int | None = None,
+    tables: int | None = None,
 ) -> DataFrame:
     """id, n_links, component_id and kept of every row.
 
@@ -94,6 +138,7 @@ def near_vectors(
     nulls or non-finite components links with nothing; so do vectors of unequal length. A
     row with a null id keeps null fields; rows that share an id count as links of each other
     like any other rows, and are one node of a component. Further columns are not read.
+    Without `bits` and `tables`, keys are as `key_shape` says for the largest label.
     """
     source = rows.select(
         F.col(f"`{id_column}`").cast("long").alias("id"),
@@ -111,6 +156,10 @@ def near_vectors(
     )
     numbered = groups.withColumn("node", F.monotonically_increasing_id())
     nodes = stage(numbered.withColumn("size", F.size("vector")), "nodes")
+    if bits is None or tables is None:
+        largest = nodes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
+        shape = key_shape(largest, threshold)
+        bits, tables = bits or shape[0], tables or shape[1]
 
     def sign(batches):
         for batch in batches:
@@ -144,45 +193,63 @@ def near_vectors(
     meeting = meeting.repartition(*order).sortWithinPartitions(*order)
 
     def compare(batches):
-        kept: list[pa.RecordBatch] = []
+        held, rows = [], 0
         for batch in batches:
-            key = [batch.column(batch.schema.get_field_index(c)).to_numpy() for c in order]
-            change = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in key])) + 1 if len(key[0]) else []
-            if kept and any(kept[-1].column(c)[-1].as_py() != batch.column(c)[0].as_py() for c in order):
-                yield from cell(kept)
-                kept = []
-            for start, stop in zip([0, *change], [*change, batch.num_rows], strict=True):
-                if start:
-                    yield from cell(kept)
-                    kept = []
-                kept.append(batch.slice(start, stop - start))
-        if kept:
-            yield from cell(kept)
-
-    def cell(parts):
-        data = pa.Table.from_batches(parts).combine_chunks()
-        column = {c: data.column(c).to_numpy() for c in ("table", "slice", "left", "right", "node", "copies")}
-        # checksums of buckets may collide: labels and lengths are compared as they are
-        vectors = data.column("vector").to_pylist()
-        kinds: dict = {}
-        for i, (label, v) in enumerate(zip(data.column("label").to_pylist(), vectors, strict=True)):
-            kinds.setdefault((label, len(v), int(column["table"][i])), []).append(i)
-        signs = np.array(data.column("signs").to_pylist(), np.int32)
-        for (_, _, table), at in kinds.items():
-            if len(at) < 2:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows < _RUN_ROWS:
                 continue
-            unit = _unit(np.array([vectors[i] for i in at]))
-            counts, label = bucket_links(
-                unit, column["copies"][at], signs[at], table, column["slice"][at],
-                int(column["left"][0]), int(column["right"][0]), threshold,
-            )
-            node = column["node"][at]
-            linked = np.flatnonzero((counts > 0) | (label != np.arange(len(at))))
-            if len(linked):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[linked]), pa.array(counts[linked]), pa.array(node[label[linked]])],
-                    names=["node", "links", "with"],
-                )
+            data = pa.Table.from_batches(held).combine_chunks()
+            key = [data.column(c).to_numpy() for c in order]
+            change = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in key])) + 1
+            if len(change):  # the last cell may go on in the next batch
+                yield from cells_of(data.slice(0, change[-1]))
+                data = data.slice(change[-1])
+            held, rows = data.to_batches(), data.num_rows
+        if rows:
+            yield from cells_of(pa.Table.from_batches(held))
+
+    def cells_of(data):
+        data = data.combine_chunks()
+        names = ("bucket", "left", "right", "table", "slice", "node", "copies")
+        column = {c: data.column(c).to_numpy() for c in names}
+        # checksums of buckets may collide: labels and lengths are compared as they are
+        column["label"] = data.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+        column["size"] = pc.list_value_length(data.column("vector")).to_numpy()
+        signs = data.column("signs").combine_chunks().flatten().to_numpy().reshape(data.num_rows, -1)
+        values = data.column("vector").combine_chunks().flatten().to_numpy()
+        stops = np.cumsum(column["size"])
+        same = ("bucket", "left", "right", "label", "size", "table")
+        for size in np.unique(column["size"]):
+            at = np.flatnonzero(column["size"] == size)
+            at = at[np.lexsort([column[c][at] for c in reversed(same)])]
+            cut = np.flatnonzero(np.logical_or.reduce([column[c][at][1:] != column[c][at][:-1] for c in same])) + 1
+            bounds = np.concatenate(([0], cut, [len(at)]))
+            lengths = np.diff(bounds)
+            wide = np.repeat(lengths, lengths)
+            groups = [at[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True) if b - a > _SMALL]
+            small = at[(wide > 1) & (wide <= _SMALL)]
+            unit_of = lambda rows, size=size: _unit(values[(stops[rows] - size)[:, None] + np.arange(size)])
+            for group in groups:
+                yield from linked(column["node"][group], *bucket_links(
+                    unit_of(group), column["copies"][group], signs[group], int(column["table"][group[0]]), column["slice"][group],
+                    int(column["left"][group[0]]), int(column["right"][group[0]]), threshold,
+                ))
+            if len(small):
+                kept = lengths[(lengths > 1) & (lengths <= _SMALL)]
+                ends = np.repeat(np.cumsum(kept), kept)
+                apart = column["left"][small] != column["right"][small]
+                yield from linked(column["node"][small], *small_bucket_links(
+                    unit_of(small), column["copies"][small], signs[small], column["table"][small], column["slice"][small],
+                    apart, ends, threshold,
+                ))
+
+    def linked(node, counts, label):
+        at = np.flatnonzero((counts > 0) | (label != np.arange(len(node))))
+        if len(at):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node[at]), pa.array(counts[at]), pa.array(node[label[at]])], names=["node", "links", "with"]
+            )
 
     found = stage(meeting.mapInArrow(compare, "node long, links long, with long"), "vector-links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))

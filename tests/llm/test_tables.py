@@ -28,9 +28,11 @@ def usable(v):
     return v is not None and len(v) > 0 and all(x is not None and np.isfinite(x) for x in v)
 
 
-@pytest.mark.parametrize("slice_rows", [7, 2_048])
-def test_links_equal_brute_force(spark, monkeypatch, slice_rows):
+@pytest.mark.parametrize(("slice_rows", "small"), [(7, 64), (2_048, 64), (2_048, 1), (7, 3)])
+def test_links_equal_brute_force(spark, monkeypatch, slice_rows, small):
     monkeypatch.setattr(vector_dedup, "SLICE", slice_rows)
+    monkeypatch.setattr(vector_dedup, "_SMALL", small)
+    monkeypatch.setattr(vector_dedup, "_RUN_ROWS", 50)
     df = vectors(spark)
     rows = df.collect()
     unit = [np.array(r.embedding) / np.abs(r.embedding).max() if usable(r.embedding) and any(r.embedding) else None for r in rows]
@@ -56,6 +58,22 @@ def test_links_equal_brute_force(spark, monkeypatch, slice_rows):
     assert vector_dedup.near_vectors(df.limit(0)).count() == 0
 
 
+def test_pairs_near_the_threshold_are_found_at_every_size_of_key():
+    draw = np.random.default_rng(5)
+    for rows in (100, 100_000, 10_000_000):
+        bits, tables = vector_dedup.key_shape(rows)
+        assert 2**bits >= 4 * rows
+        a = draw.normal(size=(400, 64))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        aside = draw.normal(size=a.shape)
+        aside -= (aside * a).sum(axis=1, keepdims=True) * a
+        aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+        cosine = draw.uniform(0.93, 0.95, size=(400, 1))
+        b = cosine * a + np.sqrt(1 - cosine**2) * aside
+        together = vector_dedup.signatures(a, bits, tables) == vector_dedup.signatures(b, bits, tables)
+        assert together.any(axis=1).mean() >= 0.99
+
+
 def test_a_chain_is_one_component(spark):
     edges = spark.range(1, 300).select(F.col("id"), (F.col("id") - 1).alias("before")).orderBy(F.rand(3))
     found = with_component(spark.range(305).union(spark.range(1)), "id", edges)
