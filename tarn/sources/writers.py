@@ -59,12 +59,14 @@ def write_single_csv(
     """One CSV called `<folder>/<name>.csv`, replacing an older one; no marker files.
 
     One file means one writing task, so this is for exports; use `write_csv` for anything
-    else. With `max_rows` a larger frame is refused while it is written, and the older file
+    else. That task only sorts and writes: the rows are computed by as many tasks as `df` has
+    and take their order along. With `max_rows` a larger frame is refused while it is written, and the older file
     stays.
     """
     spark = df.sparkSession
     part_folder = f"{folder.rstrip('/')}/_writing-{uuid.uuid4().hex}"
-    single = df.coalesce(1)
+    place = next(n for n in ("__place", "__place_", "__place__") if n not in df.columns)
+    single = df.withColumn(place, F.monotonically_increasing_id()).repartition(1).sortWithinPartitions(place).drop(place)
     if max_rows is not None:
         over = F.raise_error(F.lit(f"more than {max_rows} rows: not a single-file export"))
         numbered = single.withColumn("__n", F.monotonically_increasing_id())

@@ -789,3 +789,18 @@ def test_appended_keys_are_checked_without_moving_the_stored_ones(spark, tmp_pat
         assert "Bucketed: true" in plan
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {keys}")
+
+
+def test_a_single_csv_is_computed_by_many_tasks_in_order(spark, tmp_path):
+    group = "single-csv"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        df = spark.range(0, 5_000, numPartitions=7).select((F.lit(5_000) - F.col("id")).alias("n"), F.rand(3).alias("r")).orderBy("r")
+        path = writers.write_single_csv(df, str(tmp_path), "sorted")
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    values = [float(line.split(",")[1]) for line in Path(path).read_text().splitlines()[1:]]
+    assert len(values) == 5_000 and values == sorted(values)
+    assert max(s.numTasks for s in stages if s) >= 7
