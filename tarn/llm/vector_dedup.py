@@ -48,8 +48,11 @@ def key_shape(rows: int, threshold: float = THRESHOLD) -> tuple[int, int]:
 def signatures(vectors: np.ndarray, bits: int = BITS, tables: int = TABLES, seed: int = SEED) -> np.ndarray:
     """(rows, tables): the signs of random projections. Rows are float64 of one length."""
     planes = np.random.default_rng([seed, vectors.shape[1]]).standard_normal((vectors.shape[1], bits * tables))
-    signs = (vectors @ planes > 0).reshape(len(vectors), tables, bits)
-    return signs @ (1 << np.arange(bits))
+    keys, block = np.empty((len(vectors), tables), np.int64), max(_RUN_VALUES // (bits * tables), 1)
+    for at in range(0, len(vectors), block):  # keys grow with the table, memory does not
+        signs = (vectors[at : at + block] @ planes > 0).reshape(-1, tables, bits)
+        keys[at : at + block] = signs @ (1 << np.arange(bits))
+    return keys
 
 
 def bucket_links(unit, weight, signs, table, slices, left: int, right: int, threshold: float = THRESHOLD):
