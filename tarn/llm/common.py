@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pickle
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -115,6 +116,35 @@ def mix64(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def deflated(values) -> bytes:
+    """Bytes or whole numbers from 0, deflated; numbers byte plane by byte plane, as most are
+    small, without the planes that no number reaches."""
+    if not isinstance(values, bytes):
+        whole = np.asarray(values).astype("<i8")
+        planes = max(1, -(-int(whole.max(initial=0)).bit_length() // 8))
+        values = np.ascontiguousarray(whole.view(np.uint8).reshape(-1, 8).T[:planes]).tobytes()
+        return bytes([planes]) + zlib.compress(values, 1)
+    return zlib.compress(values, 1)
+
+
+def numbers(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(memoryview(data)[1:]), np.uint8).reshape(data[0], -1)
+    found = np.zeros((planes.shape[1], 8), np.uint8)
+    found[:, : data[0]] = planes.T
+    return found.view("<i8").ravel()
+
+
+def log_gamma(x: np.ndarray) -> np.ndarray:
+    """Stirling's series after moving the argument above 8."""
+    shift = np.zeros_like(x)
+    y = x.copy()
+    for _ in range(8):
+        low = y < 8
+        shift -= np.where(low, np.log(y), 0)
+        y = np.where(low, y + 1, y)
+    return shift + (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
+
+
 def least_labels(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """For n nodes and undirected links, the smallest node reachable from each."""
     label = np.arange(n)

@@ -35,7 +35,11 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tarn.llm import text_tree
 from tarn.llm.common import coded_words, mix64, shared, slabs
+from tarn.llm.common import deflated as _deflated
+from tarn.llm.common import log_gamma as _log_gamma
+from tarn.llm.common import numbers as _numbers
 from tarn.session import stage
 
 DEPTH = 6
@@ -97,24 +101,6 @@ def _runs(docs: DataFrame) -> DataFrame:
     )
 
 
-def _deflated(values) -> bytes:
-    """Bytes or whole numbers from 0, deflated; numbers byte plane by byte plane, as most are
-    small, without the planes that no number reaches."""
-    if not isinstance(values, bytes):
-        numbers = np.asarray(values).astype("<i8")
-        planes = max(1, -(-int(numbers.max(initial=0)).bit_length() // 8))
-        values = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T[:planes]).tobytes()
-        return bytes([planes]) + zlib.compress(values, 1)
-    return zlib.compress(values, 1)
-
-
-def _numbers(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(memoryview(data)[1:]), np.uint8).reshape(data[0], -1)
-    numbers = np.zeros((planes.shape[1], 8), np.uint8)
-    numbers[:, : data[0]] = planes.T
-    return numbers.view("<i8").ravel()
-
-
 def _groups_of(words: list[bytes], groups: int) -> tuple[np.ndarray, np.ndarray]:
     """The words in the order of their checksum groups, and where each group begins."""
     group = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % groups
@@ -189,6 +175,25 @@ def _word_answers(corpus: DataFrame, answers: DataFrame, parts: int) -> DataFram
     return corpus.groupBy("grp").cogroup(answers.groupBy("grp")).applyInPandas(answer, _BACK)
 
 
+def _word_counts(corpus: DataFrame) -> DataFrame:
+    """For every run and group, how often its words, in their order there, are in all
+    training texts."""
+
+    def back(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                grp, trained, runs, codes = (batch.column(k)[i].as_py() for k in range(4))
+                total = _numbers(trained)
+                for run, code in zip(runs, codes, strict=True):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([run]), pa.array([grp]), pa.array([False]), pa.array([_deflated(total[_numbers(code)])], pa.binary()),
+                         pa.array([None], pa.binary())],
+                        names=["run", "grp", "pairs", "trained", "log10"],
+                    )
+
+    return corpus.select("grp", "trained", "runs", "codes").mapInArrow(back, _BACK)
+
+
 def _pair_answers(runs: DataFrame, groups: int) -> DataFrame:
     """For every run and group, how often its pairs, in their order there, are in all
     training texts. Only hashes of pairs travel, as sorted differences."""
@@ -368,17 +373,6 @@ def _weigh(counted, below: dict[int, tuple[np.ndarray, np.ndarray]] | None = Non
     return model, (parents, products)
 
 
-def _log_gamma(x: np.ndarray) -> np.ndarray:
-    """Stirling's series after moving the argument above 8."""
-    shift = np.zeros_like(x)
-    y = x.copy()
-    for _ in range(8):
-        low = y < 8
-        shift -= np.where(low, np.log(y), 0)
-        y = np.where(low, y + 1, y)
-    return shift + (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
-
-
 def _log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Log of the Krichevsky-Trofimov probability of a sequence with these counts."""
     return _log_gamma(ones + 0.5) + _log_gamma(zeros + 0.5) - np.log(np.pi) - _log_gamma(zeros + ones + 1)
@@ -537,14 +531,34 @@ def _log10_sum(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return np.logaddexp(left * np.log(10), right * np.log(10)) / np.log(10)
 
 
-def score_documents(docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
+def _tree_of_words(corpus: DataFrame, groups: int, ends: int, n_listed: int) -> tuple[DataFrame, float]:
+    """The answers to the words of all runs, and the log10 probability of the end."""
+    spark = corpus.sparkSession
+    end_row = [(groups, bytearray(_deflated(END)), bytearray(_deflated([ends])))]
+    every = corpus.select("grp", "words", "trained").union(spark.createDataFrame(end_row, "grp long, words binary, trained binary"))
+    parts = max(1, -(-8 * n_listed // SLOTS))
+    tree = stage(_tree_parts(every, parts), "tree")
+    top = shared(spark, _top(tree))
+    of_end = _key_answers(tree.filter(F.array_contains("grps", groups)), top).filter(F.col("grp") == groups)
+    end_log = float(_log10_of([END], of_end.toPandas(), parts)[0])
+    answers = _key_answers(tree, top).filter(F.col("grp") < groups)
+    return _word_answers(corpus, answers, parts), end_log
+
+
+def score_documents(
+    docs: DataFrame, held_out: Column, id_column: str = "doc_id", text_column: str = "text", running: bool = False
+) -> DataFrame:
+    """id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row; if
+    `running`, also the score of the tree alone and its bits per byte.
 
     Rows that are not held out train both models. Tokens are the lower-cased (A-Z) words
     between ASCII white space, and one end. `base_score` is the add-0.1 unigram score of the
     tokens, `score` the log10 probability of the same tokens under the model. A null text is
     empty: one end. Ids may be null or repeated; each row is scored by itself, and further
     columns are not read. Without training rows the tree gives each bit one half.
+
+    The tree codes the distinct words, below their counts; or, if `running`, all training
+    text as it runs (see `text_tree`), and only the word before is a context beside it.
     """
     spark = docs.sparkSession
     source = docs.select(
@@ -574,37 +588,44 @@ def score_documents(docs: DataFrame, held_out: Column, id_column: str = "doc_id"
     n_train, n_words = total.n + ends, total.v + (ends > 0)
     scale = n_train + _ALPHA * (n_words + 1)
 
-    end_row = [(groups, bytearray(_deflated(END)), bytearray(_deflated([ends])))]
-    every = corpus.select("grp", "words", "trained").union(spark.createDataFrame(end_row, "grp long, words binary, trained binary"))
-    parts = max(1, -(-8 * listed.words // SLOTS))
-    tree = stage(_tree_parts(every, parts), "tree")
-    top = shared(spark, _top(tree))
-    of_end = _key_answers(tree.filter(F.array_contains("grps", groups)), top).filter(F.col("grp") == groups)
-    end_log = float(_log10_of([END], of_end.toPandas(), parts)[0])
-    answers = _key_answers(tree, top).filter(F.col("grp") < groups)
+    if running:
+        parts = max(1, -(-listed.pairs // SLOTS))
+        tree = stage(text_tree.tree_parts(runs, parts), "tree")
+        answers = text_tree.key_answers(tree, shared(spark, text_tree.top_of(tree)))
+        told = answers.selectExpr("run", "part AS grp", "CAST(NULL AS boolean) AS pairs", "CAST(NULL AS binary) AS trained", "logs AS log10")
+        told, end_log = _word_counts(corpus).union(told), 0.0
+    else:
+        told, end_log = _tree_of_words(corpus, groups, ends, listed.words)
 
     def score(key, run: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
         found = run.iloc[0]
         words = zlib.decompress(found["words"]).split()
         before, after, _ = map(_numbers, found["pairs"])
         of_words, of_pairs = _groups_of(words, groups), _pair_groups(words, before, after, pair_groups)
-        trained, logs, seen = np.zeros(len(words)), np.zeros(len(words)), np.zeros(len(before))
+        trained, logs, seen, in_tree = np.zeros(len(words)), np.zeros(len(words)), np.zeros(len(before)), []
         for group, pairs, times, log in zip(*(counted[c] for c in ("grp", "pairs", "trained", "log10")), strict=True):
+            if times is None:
+                in_tree.append((group, log))
+                continue
             order, starts, *_ = of_pairs if pairs else of_words
             own = order[starts[group] : starts[group + 1]]
             (seen if pairs else trained)[own] = _numbers(times)
-            if not pairs:
+            if log is not None:
                 logs[own] = np.frombuffer(zlib.decompress(log), "<f4")
         trained, logs = np.append(trained, ends), np.append(logs, end_log)
         base = np.log10((trained + _ALPHA) / scale)
-        own = _pair_log10(seen, trained[before], _word_mixture(trained, logs, n_train, n_words)[after])
+        if running:
+            listed_words = [*words, END]
+            alone = text_tree.pair_log10(listed_words, before, after, in_tree, parts)
+            length = np.fromiter(map(len, listed_words), np.int64, len(listed_words)) + 1
+        else:
+            alone = _word_mixture(trained, logs, n_train, n_words)[after]
+        own = _pair_log10(seen, trained[before], alone)
         shown, text, times = map(_numbers, found["uses"])
         pair, n = np.repeat(np.arange(len(before)), shown), len(found["ids"])
-        known, base, own = (
-            np.bincount(text, weights=value[pair] * times, minlength=n)
-            for value in ((trained > 0)[after], base[after], own)
-        )
-        return pd.DataFrame({
+        per_pair = [(trained > 0)[after], base[after], own, *([alone, length[after]] if running else [])]
+        known, base, own, *of_tree = (np.bincount(text, weights=value[pair] * times, minlength=n) for value in per_pair)
+        scored = pd.DataFrame({
             "id": pd.array([None if v is None or v != v else int(v) for v in found["ids"]], dtype="Int64"),
             "held_out": ~np.array(found["train"], bool),
             "n_tokens": np.array(found["sizes"]) + 1,
@@ -613,8 +634,12 @@ def score_documents(docs: DataFrame, held_out: Column, id_column: str = "doc_id"
             "base_score": base,
             "score": own,
         })
+        if running:
+            scored["tree_score"], scored["bits_per_byte"] = of_tree[0], of_tree[0] / of_tree[1] * -np.log2(10)
+        return scored
 
     schema = "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    schema += ", tree_score double, bits_per_byte double" if running else ""
     ours = runs.select("run", "ids", "train", "sizes", "words", "pairs", "uses").groupBy("run")
-    theirs = _word_answers(corpus, answers, parts).union(_pair_answers(runs, pair_groups)).groupBy("run")
+    theirs = told.union(_pair_answers(runs, pair_groups)).groupBy("run")
     return ours.cogroup(theirs).applyInPandas(score, schema).withColumnRenamed("id", id_column)

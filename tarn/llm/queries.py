@@ -67,7 +67,7 @@ def pipeline(spark, sf_dir):
 @registered
 def op9_context_tree_scores(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
-    return language_model.score_documents(docs, checksum_rest("doc_id", 10) == 0)
+    return language_model.score_documents(docs, checksum_rest("doc_id", 10) == 0, running=True)
 
 
 @registered
