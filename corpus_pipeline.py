@@ -56,8 +56,8 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five-word shingles, similarity 0.8 or more) the row with
-    the smallest id, one without an id only if no other has any. Rows are told apart by a
+    """Of each group of near copies (near fingerprints or shared min-hash keys over five-word
+    shingles, and a similarity of 0.8 or more) the row with the smallest id, one without an id only if no other has any. Rows are told apart by a
     number of their own, so rows that share an id but not a text are different documents."""
     number = next(n for n in ("__row", "__row_", "__row__") if n not in docs.columns)
     rows = stage(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")

@@ -1,10 +1,12 @@
 """Near copies by the share of common word shingles, exactly confirmed.
 
 Two texts are near copies if the Jaccard similarity of their sets of `SHINGLE`-word
-shingles is at least 0.8. Texts meet through `BANDS` min-hash keys of `ROWS` values each: a
-pair at exactly 0.8 shares none of them about 5 times in a million, a closer one more
-rarely. What shares keys, directly or over others, is one candidate group, and there the
-sets themselves are compared.
+shingles is at least 0.8. Texts meet through their SimHash fingerprints over such shingles,
+compared in bit planes as `simhash` does: all that differ in few bits. Fingerprints that
+near do not reach down to a similarity of 0.8, so texts also meet through `BANDS` min-hash
+keys of `ROWS` values each: a pair at exactly 0.8 shares none of them about 5 times in a
+million, a closer one more rarely. What meets, directly or over others, is one candidate
+group, and there the sets themselves are compared.
 
 A large group is cut in slices. Each slice meets the first text of the group, which settles
 a group of copies of one text in one pass; only groups that are still in parts after that
@@ -20,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarn.llm import simhash
 from tarn.llm.common import coded_words, mix64, slabs
 from tarn.llm.components import with_component
 from tarn.session import stage
@@ -92,7 +95,8 @@ def linked(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """(id, digest of the set of shingles, its size, its band keys) of every row of (id, text)."""
+    """(id, digest of the set of shingles, its size, its band keys, fingerprint over shingles)
+    of every row of (id, text)."""
 
     def of_texts(batches):
         for batch in slabs(batches, 1):
@@ -100,11 +104,12 @@ def sketches(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
                  pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([band_keys(s) for s in sets], pa.list_(pa.int64()))],
-                ["id", "digest", "size", "keys"],
+                 pa.array([band_keys(s) for s in sets], pa.list_(pa.int64())),
+                 pa.array(np.array([simhash.fingerprint(t, SHINGLE) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64))],
+                ["id", "digest", "size", "keys", "fp"],
             )
 
-    return docs.mapInArrow(of_texts, "id long, digest binary, size long, keys array<long>")
+    return docs.mapInArrow(of_texts, "id long, digest binary, size long, keys array<long>, fp long")
 
 
 def _confirmed(cells: DataFrame) -> DataFrame:
@@ -127,13 +132,14 @@ def near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     source = docs.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text_column}`").alias("text"))
     prints = stage(sketches(source), "sketches")
     known = prints.filter("id IS NOT NULL")
-    distinct = stage(known.groupBy("digest", "size", "keys").agg(F.min("id").alias("node")), "distinct-sketches")
+    distinct = stage(known.groupBy("digest", "size", "keys").agg(F.min("id").alias("node"), F.min_by("fp", "id").alias("fp")), "distinct-sketches")
     same = known.join(distinct.select("digest", "node"), "digest").filter("id <> node").select("id", "node")
 
     keyed = distinct.select("node", F.explode("keys").alias("key"))
     met = keyed.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("n")).filter("n > 1")
     meetings = keyed.join(met.select("key", "low"), "key").filter("node <> low").select("node", "low")
-    grouped = stage(with_component(distinct.select("node", "size"), "node", meetings, "grp"), "candidates")
+    near = simhash.near_prints(distinct.select(F.col("node").alias("id"), "fp"))
+    grouped = stage(with_component(distinct.select("node", "size"), "node", near.union(meetings), "grp"), "candidates")
     slices = F.ceil(F.greatest(F.sum("size") / SLICE_SHINGLES, F.count("*") / SLICE)).alias("slices")
     sizes = grouped.groupBy("grp").agg(slices, F.count("*").alias("n")).filter("n > 1").drop("n")
     members = grouped.join(sizes, "grp").select("node", "grp", "slices").distinct()

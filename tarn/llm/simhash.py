@@ -230,6 +230,14 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, slice_rows: int
     return cells.mapInArrow(compare, "u long, v long")
 
 
+def near_prints(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(u, v) links that join all rows of (id, fp) with near fingerprints; a null id has none."""
+    known = prints.filter("id IS NOT NULL")
+    distinct = stage(known.groupBy("fp").agg(F.min("id").alias("node")), "distinct-fingerprints")
+    same = known.join(distinct, "fp").filter("id <> node").select(F.col("id").alias("u"), F.col("node").alias("v"))
+    return same.union(fingerprint_links(distinct, radius))
+
+
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", radius: int = RADIUS
 ) -> DataFrame:
@@ -240,11 +248,7 @@ def near_duplicates(
     columns of `docs` are not read.
     """
     prints = stage(fingerprints(docs, id_column, text_column), "fingerprints")
-    known = prints.filter("id IS NOT NULL")
-    distinct = stage(known.groupBy("fp").agg(F.min("id").alias("node")), "distinct-fingerprints")
-    same = known.join(distinct, "fp").filter("id <> node").select(F.col("id").alias("u"), F.col("node").alias("v"))
-    links = same.union(fingerprint_links(distinct, radius))
-    return with_component(prints, "id", links).select(
+    return with_component(prints, "id", near_prints(prints, radius)).select(
         F.col("id").alias(id_column),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
