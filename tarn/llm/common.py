@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
 import zlib
 from collections.abc import Iterable, Iterator
@@ -47,9 +49,21 @@ def read_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release_memory() -> None:
+    """Give what a worker no longer uses back to the system. Workers go on from stage to
+    stage, and what earlier tasks have freed would else count against the later ones."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def slabs(batches: Iterable[pa.RecordBatch], column: int, rows: int = 2_000, size: int = 8 << 20) -> Iterator:
     """Batches cut into runs of at most `rows` rows and, past one row, `size` bytes of a text
-    column, so that memory in a task does not depend on how Spark cuts its batches."""
+    column, so that memory in a task does not depend on how Spark cuts its batches. Memory of
+    earlier tasks is given back before, and this one's afterwards."""
+    release_memory()
     for batch in batches:
         texts = batch.column(column)
         start = 0
@@ -59,6 +73,7 @@ def slabs(batches: Iterable[pa.RecordBatch], column: int, rows: int = 2_000, siz
                 stop = start + (stop - start) // 2
             yield batch.slice(start, stop - start)
             start = stop
+    release_memory()
 
 
 def coded_words(texts: pa.Array, lower: bool = False, ascii: bool = False) -> tuple[list[str], np.ndarray, np.ndarray]:
