@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tarn.functions.columns import content_hash
-from tarn.session import broadcast_if_small
+from tarn.session import broadcast_if_small, stage
 from tarn.sources.ranges import Opener, streamed_digests
 from tarn.sources.readers import file_inventory, rows_as_stored
 from tarn.sources.writers import TARGET_MB, replace_folder
@@ -24,24 +24,25 @@ def compact(spark: SparkSession, path: str, target_mb: int = TARGET_MB) -> bool:
     False, and nothing is touched, if no folder has two files below half the target.
 
     One write for all folders: a listing deals small files whole into bins of the target size
-    and large ones into several, a shuffle by bin brings their rows together, and the new
+    and large ones into several, a shuffle hands every task the rows of one bin, and the new
     folder takes the place of the old one when it is complete. If it is interrupted before,
     the table is as it was. Columns that only some of the files have stay, with NULL in the
     other rows; types that conflict are an error. Partition values keep their spelling.
-    Hidden files are not taken along. To rewrite less than a whole table, name the folder of
+    Hidden files are not taken along. Sizes are those of the files or of their rows in
+    memory, whichever is more, so that no task reads much more than the target. To rewrite less than a whole table, name the folder of
     one partition.
     """
     base, target = path.rstrip("/"), target_mb << 20
-    bins = _dealt_files(spark, base, target)
-    crowd = bins.filter("small").groupBy("folder").count()
-    if crowd.filter("count > 1").isEmpty():
-        return False
-    n_bins = bins.groupBy("bin").agg(F.max("parts").alias("parts")).agg(F.sum("parts")).first()[0]
     rows, partitions = rows_as_stored(spark, base)
+    bins = stage(_dealt_files(spark, rows, base, target), "dealt-files")
+    crowd, n_tasks = bins.agg(F.max("crowd"), F.max(F.col("task") + F.col("parts"))).first()
+    if (crowd or 0) < 2:
+        return False
     columns = [f"`{c}`" for c in rows.columns]
     placed = rows.select(*columns, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-    files = broadcast_if_small(bins.select(F.col("file").alias("__file"), "bin", "parts"), LISTED_FILES)
-    dealt = placed.join(files, "__file").repartition(n_bins, "bin", F.col("__row") % F.col("parts")).select(*columns)
+    files = broadcast_if_small(bins.select(F.col("file").alias("__file"), "task", "parts"), LISTED_FILES)
+    task = (F.col("task") + F.col("__row") % F.col("parts")).cast("int")
+    dealt = placed.join(files, "__file").repartitionById(n_tasks, task).select(*columns)
 
     def write(df: DataFrame, fresh: str) -> None:
         df.write.partitionBy(*partitions).parquet(fresh)
@@ -50,18 +51,28 @@ def compact(spark: SparkSession, path: str, target_mb: int = TARGET_MB) -> bool:
     return True
 
 
-def _dealt_files(spark: SparkSession, path: str, target: int) -> DataFrame:
-    """(file, folder, small, bin, parts) of every Parquet file: a file of half the target or
-    more is a bin of its own, cut in `parts`; the others of a folder share bins."""
+def _dealt_files(spark: SparkSession, rows: DataFrame, path: str, target: int) -> DataFrame:
+    """(file, crowd, parts, task) of every Parquet file: a file of half the target or more is
+    cut in `parts`, for tasks from `task` on; the small ones of a folder, `crowd` in number, are
+    put together into bins, of one task each."""
     listing = spark.read.format("binaryFile").options(recursiveFileLookup="true", pathGlobFilter="*.parquet").load(path)
-    files = listing.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
+    stored = listing.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
+    width = rows._jdf.schema().defaultSize()
+    counted = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg((F.count("*") * width).alias("size"))  # from the footers
+    files = stored.union(counted).groupBy("file").agg(F.max("size").alias("size"))
     files = files.withColumn("folder", F.regexp_extract("file", "(.*)/", 1)).withColumn("small", F.col("size") < target // 2)
-    before = Window.partitionBy("folder", "small").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    alike = Window.partitionBy("folder", "small")
+    before = alike.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     shared = F.concat_ws("/", "folder", F.floor(F.coalesce(F.sum("size").over(before), F.lit(0)) / target))
-    return files.select(
-        "file", "folder", "small", F.when(F.col("small"), shared).otherwise(F.col("file")).alias("bin"),
+    files = files.select(
+        "file", F.when(F.col("small"), shared).otherwise(F.col("file")).alias("bin"),
+        F.when(F.col("small"), F.count("*").over(alike)).otherwise(0).alias("crowd"),
         F.greatest(F.ceil(F.col("size") / target), F.lit(1)).alias("parts"),
     )
+    all_files = Window.orderBy("bin", "file")
+    is_new = F.coalesce(F.lag("bin").over(all_files) != F.col("bin"), F.lit(True))
+    files = files.withColumn("tasks", F.when(is_new, F.col("parts")).otherwise(0))
+    return files.select("file", "crowd", "parts", (F.sum("tasks").over(all_files) - F.col("parts")).alias("task"))
 
 
 def expired_files(
