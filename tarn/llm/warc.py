@@ -16,8 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: The alphabet of base32 (RFC 4648), a fixed value.
-BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+#: The digits that `conv` writes to base 32, and those of base32 (RFC 4648), fixed values.
+_DIGITS, BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _BREAK = "\r\n"
 
@@ -25,13 +25,8 @@ _BREAK = "\r\n"
 def base32_sha1(payload: Column) -> Column:
     """The SHA-1 of a binary column in upper-case base32: four times 40 bits, 8 digits each."""
     digest = F.sha1(payload)
-
-    def digit(i: Column) -> Column:
-        quarter = F.conv(F.substring(digest, F.floor(i / 8).cast("int") * 10 + 1, F.lit(10)), 16, 10).cast("long")
-        value = F.call_function("shiftright", quarter, (F.lit(35) - 5 * (i % 8)).cast("int")).bitwiseAND(F.lit(31))
-        return F.substring(F.lit(BASE32), (value + 1).cast("int"), F.lit(1))
-
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(31)), digit), "")
+    quarters = [F.lpad(F.conv(F.substring(digest, at, 10), 16, 32), 8, "0") for at in (1, 11, 21, 31)]
+    return F.translate(F.concat(*quarters), _DIGITS, BASE32)
 
 
 def _record_id(key: Column) -> Column:

@@ -1,5 +1,6 @@
 """Operators over vectors and pages, against brute force and on odd tables."""
 
+import base64
 import hashlib
 
 import numpy as np
@@ -102,6 +103,14 @@ def test_search_equals_brute_force(spark, monkeypatch):
     assert sorted((r.rank, r.vec_id) for r in few)[0][0] == 1 and len(few) == 2
 
 
+def test_a_digest_is_made_without_a_lambda(spark):
+    """A lambda over the 32 digits made the payload's SHA-1 anew for each of them."""
+    df = spark.range(500).select(F.repeat("id", F.col("id").cast("int")).cast("binary").alias("p"))
+    df = df.select("p", warc.base32_sha1(F.col("p")).alias("digest"))
+    assert all(r.digest == base64.b32encode(hashlib.sha1(r.p).digest()).decode() for r in df.collect())
+    assert "lambda" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_archive_round_trip(spark):
     big = "é" * 300_000
     payloads = [b"same", b"same", b"same", b"", None, big.encode(), b"\r\n\r\nWARC/1.1\r\n", bytes(range(256)), b"same"]
