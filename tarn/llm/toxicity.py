@@ -31,6 +31,10 @@ MIN_PRECISION = 0.7
 FIT_ROWS = 20_000
 #: Labels up to this number are broadcast after a count; beyond, they are joined by shuffle.
 BROADCAST_LABELS = 2_000_000
+#: Bytes of text whose words are in memory at a time, some 30 times as much.
+SLAB = 1 << 20
+#: Stems, some 200 bytes each, that a task counts before it hands them on.
+HELD_STEMS = 150_000
 TRUST = 0.97  # in a label, against the voters
 #: Voters whose firing correlates at least so much within a class count as repeats.
 REDUNDANT = 0.5
@@ -49,13 +53,14 @@ def stems(word: str) -> list[str]:
     return [f"={core}", *(f"^{core[:n]}" for n in BEGINNINGS if len(core) > n)]
 
 
-def text_stems(texts: pa.Array, wanted: dict[str, int] | None = None):
+def text_stems(texts: pa.Array, wanted: dict[str, int] | None = None, known: dict[str, int] | None = None):
     """(names, text, stem): the distinct stems of each text, as numbers into `names`.
 
-    With `wanted`, only these stems, under their given numbers.
+    With `wanted`, only these stems, under their given numbers. With `known`, which takes in
+    the new ones, stems seen before keep their numbers.
     """
     words, codes, starts = coded_words(texts, lower=True)
-    numbers: dict[str, int] = {} if wanted is None else wanted
+    numbers: dict[str, int] = wanted if wanted is not None else {} if known is None else known
     stem, owner = [], []
     for i, word in enumerate(words):
         for s in stems(word):
@@ -98,22 +103,33 @@ def text_patterns(text: str | None) -> list[float]:
 # --- the lexicon
 
 
-def _count_stems(rows: DataFrame, wanted: dict[str, int] | None) -> DataFrame:
-    """(stem, n): the number of texts with each stem."""
-    get = shared(rows.sparkSession, wanted)
+def stem_counts(batches):
+    """(stem, n): the number of texts with each stem, added up over the batches of a task as
+    long as it holds no more than `HELD_STEMS` stems."""
+
+    def counted():
+        listed = np.array(list(names), dtype=object)
+        return pa.RecordBatch.from_arrays([pa.array(listed, pa.string()), pa.array(times)], ["stem", "n"])
+
+    names, times = {}, np.zeros(0, np.int64)
+    for batch in slabs(batches, 0, size=SLAB):
+        _, _, stem = text_stems(batch.column(0), known=names)
+        more = np.bincount(stem, minlength=len(names))
+        more[: len(times)] += times
+        times = more
+        if len(names) > HELD_STEMS:
+            yield counted()
+            names, times = {}, np.zeros(0, np.int64)
+    yield counted()
+
+
+def _count_stems(rows: DataFrame) -> DataFrame:
+    """(stem, n) over all rows."""
 
     def count(batches):
-        for batch in slabs(batches, 0):
-            names, _, stem = text_stems(batch.column(0), get())
-            times = np.bincount(stem, minlength=len(names))
-            found = np.flatnonzero(times)
-            listed = np.array(list(names), dtype=object)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(listed[found], pa.string()), pa.array(times[found])], ["stem", "n"]
-            )
+        yield from stem_counts(batches)
 
-    counted = rows.select("text").mapInArrow(count, "stem string, n long")
-    return counted.groupBy("stem").agg(F.sum("n").alias("n"))
+    return rows.select("text").mapInArrow(count, "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
 
 
 def mine_voters(labelled: DataFrame) -> tuple[list[str], dict[str, int]]:
@@ -127,8 +143,8 @@ def mine_voters(labelled: DataFrame) -> tuple[list[str], dict[str, int]]:
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
         return [], {}
-    inside = _count_stems(labelled.filter("toxic = 1"), None).filter("n > 1")
-    outside = _count_stems(labelled.filter("toxic = 0"), None).withColumnRenamed("n", "m")
+    inside = _count_stems(labelled.filter("toxic = 1")).filter("n > 1")
+    outside = _count_stems(labelled.filter("toxic = 0")).withColumnRenamed("n", "m")
     counted = stage(inside.join(outside, "stem", "left").fillna(0, ["m"]), "stems")
     tried = counted.count()
     if not tried:
@@ -304,7 +320,7 @@ def train(rows: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_co
     get = shared(spark, numbers)
 
     def show(batches):
-        for batch in slabs(batches, 1):
+        for batch in slabs(batches, 1, size=SLAB):
             votes, patterns = votes_of(batch.column(1), get())
             fired = [np.flatnonzero(v) for v in votes]
             yield pa.RecordBatch.from_arrays(
@@ -335,7 +351,7 @@ def score_texts(docs: DataFrame, model: Model, id_column: str = "doc_id", text_c
     get = shared(docs.sparkSession, model)
 
     def score(batches):
-        for batch in slabs(batches, 1):
+        for batch in slabs(batches, 1, size=SLAB):
             values = get().score(batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(values), pa.array((values >= 0.5).astype(np.int32))],

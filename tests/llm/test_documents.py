@@ -208,6 +208,20 @@ def test_viterbi_equals_all_paths():
 # --- toxicity
 
 
+def test_a_task_hands_on_each_stem_once(monkeypatch):
+    """However many slabs it reads; past the bound it hands on what it has and counts anew."""
+    texts = [f"again w{i % 7}" for i in range(5_000)] + [None, ""]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 1_500], pa.string())], ["text"]) for i in range(0, len(texts), 1_500)]
+    plain = Counter(s for t in texts for s in {s for w in (t or "").split() for s in toxicity.stems(w)})
+    for held, most in ((toxicity.HELD_STEMS, 1), (3, 10)):
+        monkeypatch.setattr(toxicity, "HELD_STEMS", held)
+        found = [(r["stem"], r["n"]) for b in toxicity.stem_counts(iter(batches)) for r in b.to_pylist()]
+        added = Counter()
+        for stem, n in found:
+            added[stem] += n
+        assert added == plain and len(plain) <= len(found) <= most * len(plain)
+
+
 def test_toxic_words_are_learned(spark):
     draw = random.Random(4)
     words = ["".join(draw.choices("abcdefgh", k=5)) for _ in range(400)]
