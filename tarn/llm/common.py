@@ -5,7 +5,6 @@ from __future__ import annotations
 import ctypes
 import gc
 import pickle
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -131,19 +130,72 @@ def mix64(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct whole numbers, sorted, and the place of each one among them."""
+    listed = sorted_once(np.sort(keys))
+    return listed, places_in(listed)(keys)
+
+
+def sorted_once(keys: np.ndarray) -> np.ndarray:
+    """Sorted numbers without the repeated ones."""
+    return keys[np.concatenate(([True], keys[1:] != keys[:-1]))[: len(keys)]]
+
+
+def places_in(listed: np.ndarray):
+    """A function that finds the places of whole numbers in a sorted list, without repeats, that
+    has them all. A table by hash has one of those that meet there; the others are found in
+    a smaller table of their own, the last few by search."""
+    if len(listed) < 1 << 10:
+        return lambda keys: np.searchsorted(listed, keys).astype(np.int32)
+    shift, factor = np.uint64(63 - len(listed).bit_length()), np.uint64(_GOLDEN + 2 * len(listed))
+
+    def slots(keys):
+        return (keys.view(np.uint64) * factor) >> shift
+
+    number, own = np.arange(len(listed), dtype=np.int32), slots(listed)
+    table = np.zeros(1 << 64 - int(shift), np.int32)
+    table[own] = number
+    lost = np.flatnonzero(table[own] != number).astype(np.int32)
+    if 2 * len(lost) > len(listed):  # numbers that the hash does not keep apart
+        return lambda keys: np.searchsorted(listed, keys).astype(np.int32)
+    rest = places_in(listed[lost])
+
+    def find(keys):
+        place = table[slots(keys)]
+        wrong = np.flatnonzero(listed[place] != keys)
+        if len(wrong):
+            place[wrong] = lost[rest(keys[wrong])]
+        return place
+
+    return find
+
+
+def by_group(group: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of things in the order of their groups, and where each group begins."""
+    small = group.astype(np.uint16 if groups <= 1 << 16 else np.int64)  # short ones are sorted by their digits
+    order = np.argsort(small, kind="stable")
+    return order, np.concatenate(([0], np.cumsum(np.bincount(small, minlength=groups))))
+
+
 def deflated(values) -> bytes:
-    """Bytes or whole numbers from 0, deflated; numbers byte plane by byte plane, as most are
-    small, without the planes that no number reaches."""
+    """Bytes or whole numbers from 0, made smaller (zstd, after their length); numbers byte
+    plane by byte plane, as most are small, without the planes that no number reaches."""
+    planes = b""
     if not isinstance(values, bytes):
         whole = np.asarray(values).astype("<i8")
-        planes = max(1, -(-int(whole.max(initial=0)).bit_length() // 8))
-        values = np.ascontiguousarray(whole.view(np.uint8).reshape(-1, 8).T[:planes]).tobytes()
-        return bytes([planes]) + zlib.compress(values, 1)
-    return zlib.compress(values, 1)
+        n = max(1, -(-int(whole.max(initial=0)).bit_length() // 8))
+        planes, values = bytes([n]), np.ascontiguousarray(whole.view(np.uint8).reshape(-1, 8).T[:n])
+    size = memoryview(values).nbytes
+    return planes + size.to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(values, asbytes=True)
+
+
+def inflated(data) -> bytes:
+    data = memoryview(data)
+    return pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True)
 
 
 def numbers(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zlib.decompress(memoryview(data)[1:]), np.uint8).reshape(data[0], -1)
+    planes = np.frombuffer(inflated(memoryview(data)[1:]), np.uint8).reshape(data[0], -1)
     found = np.zeros((planes.shape[1], 8), np.uint8)
     found[:, : data[0]] = planes.T
     return found.view("<i8").ravel()

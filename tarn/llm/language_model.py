@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarn.llm import text_tree
-from tarn.llm.common import coded_words, mix64, shared, slabs
+from tarn.llm.common import by_group, coded_words, distinct, inflated, mix64, shared, slabs
 from tarn.llm.common import deflated as _deflated
 from tarn.llm.common import log_gamma as _log_gamma
 from tarn.llm.common import numbers as _numbers
@@ -103,9 +103,7 @@ def _runs(docs: DataFrame) -> DataFrame:
 
 def _groups_of(words: list[bytes], groups: int) -> tuple[np.ndarray, np.ndarray]:
     """The words in the order of their checksum groups, and where each group begins."""
-    group = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % groups
-    order = np.argsort(group, kind="stable")
-    return order, np.searchsorted(group[order], np.arange(groups + 1))
+    return by_group(np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % groups, groups)
 
 
 def _pair_groups(words: list[bytes], before: np.ndarray, after: np.ndarray, groups: int):
@@ -116,7 +114,7 @@ def _pair_groups(words: list[bytes], before: np.ndarray, after: np.ndarray, grou
     both = mix64(left[before] ^ right[after])
     group = both % np.uint64(groups)
     key = (group << np.uint64(_PAIR_BITS)) | (both >> np.uint64(64 - _PAIR_BITS))
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)  # pairs of one key are told the same
     key = key[order]
     starts = np.searchsorted(key, np.arange(groups + 1, dtype=np.uint64) << np.uint64(_PAIR_BITS))
     return order, starts, (key & np.uint64((1 << _PAIR_BITS) - 1)).astype(np.int64)
@@ -129,7 +127,7 @@ def _corpus_words(runs: DataFrame, groups: int) -> DataFrame:
     def deal(batches):
         for batch in batches:
             for run, blob, trained in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                words, times = zlib.decompress(blob).split(), _numbers(trained)
+                words, times = inflated(blob).split(), _numbers(trained)
                 order, starts = _groups_of(words, groups)
                 for group in np.flatnonzero(np.diff(starts)).tolist():
                     own = order[starts[group] : starts[group + 1]]
@@ -141,7 +139,7 @@ def _corpus_words(runs: DataFrame, groups: int) -> DataFrame:
 
     def count(frame: pd.DataFrame) -> pd.DataFrame:
         numbers: dict[bytes, int] = {}
-        lists = (zlib.decompress(blob).split() for blob in frame["words"])
+        lists = (inflated(blob).split() for blob in frame["words"])
         coded = [np.array([numbers.setdefault(w, len(numbers)) for w in words]) for words in lists]
         times = [_numbers(t) for t in frame["trained"]]
         total = np.bincount(np.concatenate(coded), weights=np.concatenate(times), minlength=len(numbers))
@@ -202,7 +200,7 @@ def _pair_answers(runs: DataFrame, groups: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 run, blob, (before, after, trained) = (batch.column(k)[i].as_py() for k in range(3))
-                words, times = zlib.decompress(blob).split(), _numbers(trained)
+                words, times = inflated(blob).split(), _numbers(trained)
                 order, starts, hashes = _pair_groups(words, _numbers(before), _numbers(after), groups)
                 for group in np.flatnonzero(np.diff(starts)).tolist():
                     own = slice(starts[group], starts[group + 1])
@@ -215,7 +213,7 @@ def _pair_answers(runs: DataFrame, groups: int) -> DataFrame:
     def count(frame: pd.DataFrame) -> pd.DataFrame:
         hashes = [np.cumsum(_numbers(h)) for h in frame["hashes"]]
         ends = np.cumsum([0, *map(len, hashes)])
-        _, code = np.unique(np.concatenate(hashes), return_inverse=True)
+        _, code = distinct(np.concatenate(hashes))
         total = np.bincount(code, weights=np.concatenate([_numbers(t) for t in frame["trained"]]))
         back = [_deflated(total[code[a:b]]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
         return pd.DataFrame({"run": frame["run"], "grp": frame["grp"], "pairs": True, "trained": back, "log10": None})
@@ -379,7 +377,7 @@ def _log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 
 def _listed(blob: bytes) -> list[bytes]:
-    text = zlib.decompress(blob)
+    text = inflated(blob)
     return [END] if text == END else text.split()
 
 
@@ -504,7 +502,7 @@ def _log10_of(words: list[bytes], answers: pd.DataFrame, parts: int) -> np.ndarr
     order, starts = _part_starts(keys, parts)
     logs = np.zeros(len(keys))
     for part, blob in zip(answers["part"], answers["logs"], strict=True):
-        logs[order[starts[part] : starts[part + 1]]] = np.frombuffer(zlib.decompress(blob), "<f4")
+        logs[order[starts[part] : starts[part + 1]]] = np.frombuffer(inflated(blob), "<f4")
     return _sum_words(words, keys, logs)
 
 
@@ -599,7 +597,7 @@ def score_documents(
 
     def score(key, run: pd.DataFrame, counted: pd.DataFrame) -> pd.DataFrame:
         found = run.iloc[0]
-        words = zlib.decompress(found["words"]).split()
+        words = inflated(found["words"]).split()
         before, after, _ = map(_numbers, found["pairs"])
         of_words, of_pairs = _groups_of(words, groups), _pair_groups(words, before, after, pair_groups)
         trained, logs, seen, in_tree = np.zeros(len(words)), np.zeros(len(words)), np.zeros(len(before)), []
@@ -611,7 +609,7 @@ def score_documents(
             own = order[starts[group] : starts[group + 1]]
             (seen if pairs else trained)[own] = _numbers(times)
             if log is not None:
-                logs[own] = np.frombuffer(zlib.decompress(log), "<f4")
+                logs[own] = np.frombuffer(inflated(log), "<f4")
         trained, logs = np.append(trained, ends), np.append(logs, end_log)
         base = np.log10((trained + _ALPHA) / scale)
         if running:

@@ -15,7 +15,6 @@ all.
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tarn.llm.common import deflated, log_gamma, mix64, numbers
+from tarn.llm.common import by_group, deflated, distinct, inflated, log_gamma, mix64, numbers, places_in, sorted_once
 
 DEPTH, ROOT = 6, 3
 MARK = 9
@@ -65,24 +64,38 @@ def _written(words: list[bytes], before: np.ndarray, after: np.ndarray):
 def listed_bytes(words: list[bytes], before: np.ndarray, after: np.ndarray):
     """The distinct bytes in context of some pairs of words, sorted; and of each byte that
     the pairs have, the pair and its place among the distinct ones."""
-    keys, pairs, places = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], []
+    keys, pairs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
     for at, pair, written in _written(words, before, after):
-        own, place = np.unique(written, return_inverse=True)
-        keys.append(own)
+        keys.append(written)
         pairs.append((at + pair).astype(np.int32))
-        places.append(place.astype(np.int32))
-    ends = np.cumsum([len(k) for k in keys])
-    listed, among = np.unique(np.concatenate(keys), return_inverse=True)
-    among = among.astype(np.int32)
-    places = [among[a:b][place] for a, b, place in zip(ends[:-1], ends[1:], places, strict=True)]
-    return listed, np.concatenate(pairs), np.concatenate([np.zeros(0, np.int32), *places])
+    every = np.concatenate(keys)
+    every.sort()
+    listed = sorted_once(every)
+    del every
+    find = places_in(listed)
+    return listed, np.concatenate(pairs), np.concatenate([find(k) for k in keys])
+
+
+def counted_bytes(words: list[bytes], before: np.ndarray, after: np.ndarray, times: np.ndarray):
+    """The distinct bytes in context of some pairs of words, sorted, and how often each is in
+    texts that have the pairs so many times. A byte is sorted with up to 255 of its times."""
+    often = np.flatnonzero(times > 255)
+    more = np.repeat(often, times[often] // 255)
+    before, after = np.concatenate((before, before[more])), np.concatenate((after, after[more]))
+    times = np.concatenate((np.where(times > 255, times % 255, times), np.full(len(more), 255))).astype(np.uint64)
+    parts = [np.zeros(0, np.uint64)]
+    for at, pair, written in _written(words, before, after):
+        parts.append((written << np.uint64(8)) | times[at + pair])
+    every = np.concatenate(parts)
+    every.sort()
+    keys = every >> np.uint64(8)
+    starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))[: len(keys)])
+    return keys[starts], np.add.reduceat((every & np.uint64(255)).astype(np.int64), starts) if len(keys) else np.zeros(0, np.int64)
 
 
 def part_starts(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """The sorted keys in the order of their parts, and where each part begins."""
-    part = mix64(keys >> np.uint64(8 * (DEPTH - ROOT + 1))) % np.uint64(parts)
-    order = np.argsort(part, kind="stable")
-    return order, np.searchsorted(part[order], np.arange(parts + 1))
+    return by_group(mix64(keys >> np.uint64(8 * (DEPTH - ROOT + 1))) % np.uint64(parts), parts)
 
 
 # --- estimates and weights
@@ -116,7 +129,7 @@ def _levels(keys: np.ndarray, times: np.ndarray, stop: int):
     for depth in range(DEPTH, stop - 1, -1):
         if depth < DEPTH:
             shorter = (listed >> np.uint64(16) << np.uint64(8)) | (listed & np.uint64(255))
-            listed, place = np.unique(shorter, return_inverse=True)
+            listed, place = distinct(shorter)
             seen = np.bincount(place, weights=seen, minlength=len(listed))
         yield depth, listed, seen, place
 
@@ -199,7 +212,7 @@ def _log10_of(keys: np.ndarray, times: np.ndarray, top: Top) -> np.ndarray:
         chances[bit] = _mixed(chances[bit], (seen > 0)[here], kt[here], own[here])
     for depth in range(ROOT - 1, -1, -1):
         context = keys >> np.uint64(8 * (DEPTH - depth + 1))
-        listed, place = np.unique((context << np.uint64(8)) | (keys & np.uint64(255)), return_inverse=True)
+        listed, place = distinct((context << np.uint64(8)) | (keys & np.uint64(255)))
         stored = top.nodes[depth]
         if not len(stored):
             continue
@@ -229,8 +242,7 @@ def tree_parts(runs: DataFrame, parts: int) -> DataFrame:
             for i in range(batch.num_rows):
                 run, blob, pairs = (batch.column(k)[i].as_py() for k in range(3))
                 before, after, trained = map(numbers, pairs)
-                keys, pair, place = listed_bytes(run_words(blob), before, after)
-                times = np.bincount(place, weights=trained[pair], minlength=len(keys))
+                keys, times = counted_bytes(run_words(blob), before, after, trained)
                 order, starts = part_starts(keys, parts)
                 for part in np.flatnonzero(np.diff(starts)).tolist():
                     own = order[starts[part] : starts[part + 1]]
@@ -243,7 +255,7 @@ def tree_parts(runs: DataFrame, parts: int) -> DataFrame:
     def gather(frame: pd.DataFrame) -> pd.DataFrame:
         listed = [np.cumsum(numbers(k)) for k in frame["keys"]]
         ends = np.cumsum([0, *map(len, listed)])
-        keys, code = np.unique(np.concatenate(listed), return_inverse=True)
+        keys, code = distinct(np.concatenate(listed))
         times = np.bincount(code, weights=np.concatenate([numbers(t) for t in frame["times"]]))
         return pd.DataFrame({
             "part": frame["part"].head(1), "keys": [deflated(np.diff(keys, prepend=0))], "times": [deflated(times)],
@@ -258,7 +270,7 @@ def tree_parts(runs: DataFrame, parts: int) -> DataFrame:
 
 def run_words(blob: bytes) -> list[bytes]:
     """The words of a run and, past the last, the start or end of a text."""
-    return [*zlib.decompress(blob).split(), b"\n"]
+    return [*inflated(blob).split(), b"\n"]
 
 
 def _keys_of(keys: bytes, times: bytes) -> tuple[np.ndarray, np.ndarray]:

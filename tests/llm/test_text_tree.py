@@ -1,6 +1,7 @@
 """The tree over running text against a dictionary of contexts."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -8,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from tarn.llm import language_model, queries, text_tree
+from tarn.llm import common, language_model, queries, text_tree
 from tarn.llm.common import checksum_rest, read_table
 
 SF = "/root/testdata/sf0.001"
@@ -105,6 +106,33 @@ def test_running_chances_sum_to_one():
     assert np.allclose(np.add.reduceat(chance, np.arange(0, len(every), 256)), 1)
 
 
+def test_counts_of_bytes_equal_brute_force():
+    """Times above one byte, none at all, and pairs that share their bytes in context."""
+    draw = random.Random(5)
+    words = [*{bytes(draw.choices(b"abc\xc3\xff", k=draw.randint(1, 9))) for _ in range(900)}, b"\n"]
+    before, after = (np.array([draw.randrange(len(words)) for _ in range(3_000)]) for _ in range(2))
+    times = np.array([draw.choice([0, 1, 2, 255, 256, 510, 70_000]) for _ in before])
+    keys, often = text_tree.counted_bytes(words, before, after, times)
+    listed, pair, place = text_tree.listed_bytes(words, before, after)
+    want = Counter()
+    for b, a, n in zip(before, after, times, strict=True):
+        for byte, context in written(words[b], words[a]):
+            want[int.from_bytes(bytes([*context, byte]), "big")] += int(n)
+    assert dict(zip(keys.tolist(), often.tolist(), strict=True)) == want
+    assert listed.tolist() == sorted(want) and np.bincount(place, weights=times[pair]).tolist() == [want[k] for k in sorted(want)]
+    none = text_tree.counted_bytes([b"\n"], *[np.zeros(0, np.int64)] * 3)
+    assert [len(x) for x in none] == [0, 0]
+
+
+def test_places_of_numbers_that_the_hash_does_not_keep_apart():
+    keys = np.random.default_rng(1).integers(0, 1 << 40, 50_000).astype(np.uint64)
+    for listed in (np.unique(keys), np.unique(keys) << np.uint64(24), np.arange(1 << 12, dtype=np.uint64) << np.uint64(52)):
+        asked = np.concatenate((listed[::-1], listed))
+        assert np.array_equal(listed[common.places_in(listed)(asked)], asked)
+    for some in (np.array([5, 1, 5, 3]), np.zeros(0, np.int64), keys % np.uint64(9_000)):
+        assert all(np.array_equal(*pair) for pair in zip(common.distinct(some), np.unique(some, return_inverse=True), strict=True))
+
+
 def test_tree_alone_beats_the_base(spark):
     """The tree carries the score: alone it is above the counts of words, and the word before adds to it."""
     scores = queries.QUERIES["op9_context_tree_scores"](spark, "/root/testdata/sf0.01").filter("held_out")
