@@ -30,6 +30,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +38,8 @@ from tarn.llm.common import mix64, shared, slabs
 
 BLANK = "▁"
 SAMPLES = 4
-#: Arcs, some 30 bytes each, that a sampler keeps between batches.
-_CACHE_ARCS = 1_000_000
+#: Arcs, some 25 bytes each, that a sampler keeps between batches.
+_CACHE_ARCS = 3_000_000
 _PART = re.compile(" +[^ ]*")
 _NO_LETTER = 0x110000
 #: Between the draws at neighbouring places of a text: the step of splitmix64.
@@ -68,10 +69,34 @@ class Vocabulary:
                 edges[node << 21 | ord(piece[end - 1])] = node = below
         self.edges = np.array(sorted(edges), np.int64)
         self.targets = np.array([edges[e] for e in sorted(edges)], np.int64)
+        # one edge by hash; of places where several meet, all but one are looked up in a list
+        self.shift = np.uint64(62 - max(len(edges), 1).bit_length())
+        slots, number = self._slots(self.edges), np.arange(len(edges), dtype=np.int32)
+        self.edge_at = np.zeros(1 << 64 - int(self.shift), np.int32)
+        self.edge_at[slots] = number
+        self.meeting = np.zeros(len(self.edge_at), bool)
+        self.others = np.flatnonzero(self.edge_at[slots] != number)
+        self.meeting[slots[self.others]] = True
         self.piece_at, self.weight_at = np.full(len(nodes), -1, np.int64), np.zeros(len(nodes))
         for piece, (number, weight) in self.pieces.items():
             self.piece_at[nodes[piece]], self.weight_at[nodes[piece]] = number, weight
 
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(_STEP)) >> self.shift
+
+    def edges_of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of some edges the trie has, and their numbers."""
+        slots = self._slots(keys)
+        edges = self.edge_at[slots]
+        on = self.edges[edges] == keys
+        if len(self.others):
+            rest = np.flatnonzero(self.meeting[slots] & ~on)
+            others = self.edges[self.others]
+            at = np.minimum(np.searchsorted(others, keys[rest]), len(others) - 1)
+            found = others[at] == keys[rest]
+            edges[rest[found]], on[rest[found]] = self.others[at[found]], True
+        return on, edges[on]
+
     @classmethod
     def load(cls, model_path: str, sharpness: float = 1.0) -> Vocabulary:
         """The pieces of a SentencePiece file. Weights follow Zipf's law over the order of
@@ -93,8 +118,8 @@ class Vocabulary:
 @dataclass
 class _Text:
     """One text under search. starts (begins), bases: where its parts begin in the text and in
-    the store; waiting: nodes (-value, number, log probability, path, position, arc); paths:
-    what was drawn, as (value, log probability, arc by position or -1)."""
+    the store; waiting: nodes (-value, number, log probability, path, how many of its arcs,
+    position, arc); paths: what was drawn, as (value, log probability, arcs)."""
 
     starts: np.ndarray
     begins: list[int]
@@ -111,9 +136,10 @@ class Sampler:
     """Draws segmentations; keeps the lattices of the parts it has seen.
 
     The store is flat: positions of all parts one after the other, arcs grouped by position,
-    the widest first. An arc has a width in characters, the log of its share of the paths
-    from there, the summed shares up to it, and a piece; a character that is spelled in
-    bytes has -1 - its code point instead.
+    the widest first. An arc has a width in characters (below 0 if the part ends there), the
+    log of its share of the paths from there, the summed shares up to it, and a piece; a
+    character that is spelled in bytes has -1 - its code point instead. Arrays are longer than
+    what they hold, so that most of the time new parts need no copy of them.
     """
 
     def __init__(self, vocabulary: Vocabulary):
@@ -123,22 +149,32 @@ class Sampler:
         from_root = vocabulary.edges <= _NO_LETTER
         self.below_root = np.zeros(_NO_LETTER + 1, np.int32)
         self.below_root[vocabulary.edges[from_root]] = vocabulary.targets[from_root]
+        self.first = np.zeros(1, np.int64)
+        self.width, self.piece = np.empty(0, np.int16), np.empty(0, np.int32)
+        self.share, self.upto = np.empty(0), np.empty(0)
         self._clear()
 
     def _clear(self) -> None:
         self.known: dict[str, int] = {}
-        self.first = np.zeros(1, np.int64)
-        self.width, self.piece, self.ends = (np.empty(0, np.int32) for _ in range(3))
-        self.share, self.upto = np.empty(0), np.empty(0)
-
-    def _learn(self, parts: list[str]) -> None:
-        """Adds the lattices of new parts to the store, all of them at once."""
-        lengths = np.array([len(p) for p in parts], np.int64)
+        self.n_spots = self.n_arcs = 0
+
+    def _keep(self, name: str, at: int, values: np.ndarray) -> None:
+        kept, end = getattr(self, name), at + len(values)
+        if end > len(kept):
+            longer = np.empty(max(end, 3 * len(kept) // 2), kept.dtype)
+            longer[:at] = kept[:at]
+            kept = longer
+            setattr(self, name, kept)
+        kept[at:end] = values
+
+    def _learn(self, words: list[str]) -> None:
+        """Adds the lattices of new parts, a blank and a word, to the store, all of them at once."""
+        lengths = np.array([len(w) + 1 for w in words], np.int64)
         stops = np.cumsum(lengths)
-        bases = len(self.first) - 1 + stops - lengths
-        self.known.update(zip(parts, bases.tolist(), strict=True))
+        bases = self.n_spots + stops - lengths
+        self.known.update(zip(words, bases.tolist(), strict=True))
         stop = np.repeat(stops, lengths)
-        at, width, weight, piece = self._arcs("".join(parts), stop)
+        at, width, weight, piece = self._arcs(" " + " ".join(words), stop)
 
         # log weights of all paths from a position, from the ends of the parts to their starts
         n_arcs = np.bincount(at, minlength=stops[-1])
@@ -168,11 +204,10 @@ class Sampler:
             arcs = np.flatnonzero(place == i)
             upto[arcs] += upto[arcs - 1]
         upto[first[1:] - 1] = 1.0
-        self.first = np.concatenate((self.first, first[1:] + len(self.share)))
-        self.width = np.concatenate((self.width, width.astype(np.int32)))
-        self.piece = np.concatenate((self.piece, piece.astype(np.int32)))
-        self.ends = np.concatenate((self.ends, ends.astype(np.int32)))
-        self.share, self.upto = np.concatenate((self.share, share)), np.concatenate((self.upto, upto))
+        self._keep("first", self.n_spots + 1, first[1:] + self.n_arcs)
+        for name, values in (("width", np.where(ends, -width, width)), ("piece", piece), ("share", share), ("upto", upto)):
+            self._keep(name, self.n_arcs, values)
+        self.n_spots, self.n_arcs = self.n_spots + int(stops[-1]), self.n_arcs + len(at)
 
     def _arcs(self, text: str, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Where an arc begins, its width, log weight and piece, by position, the widest first.
@@ -188,10 +223,8 @@ class Sampler:
                 on = nodes > 0
                 spots, nodes = spots[on], nodes[on]
             else:
-                keys = (nodes << 21) | shown[spots + width - 1]
-                edges = np.minimum(np.searchsorted(v.edges, keys), len(v.edges) - 1)
-                on = v.edges[edges] == keys
-                spots, nodes = spots[on], v.targets[edges[on]]
+                on, edges = v.edges_of((nodes << 21) | shown[spots + width - 1])
+                spots, nodes = spots[on], v.targets[edges]
             here = v.piece_at[nodes] >= 0
             ids = v.piece_at[nodes[here]]
             found.append((spots[here], np.full(len(ids), width), v.weight_at[nodes[here]], ids))
@@ -212,11 +245,11 @@ class Sampler:
         """For every part and position the arcs (end, ids, log share), to look at."""
         found = []
         for part in _PART.findall(" " + text):
-            if part not in self.known:
-                self._learn([part])
-            base = self.known[part]
+            if part[1:] not in self.known:
+                self._learn([part[1:]])
+            base = self.known[part[1:]]
             arcs = [range(self.first[base + at], self.first[base + at + 1]) for at in range(len(part))]
-            found.append([[(at + int(self.width[a]), self._ids(a), float(self.share[a])) for a in some] for at, some in enumerate(arcs)])
+            found.append([[(at + abs(int(self.width[a])), self._ids(a), float(self.share[a])) for a in some] for at, some in enumerate(arcs)])
         return found
 
     def _ids(self, arc: int) -> tuple[int, ...]:
@@ -227,9 +260,10 @@ class Sampler:
         counts, spelled = np.ones(len(pieces), np.int64), pieces < 0
         if not spelled.any():
             return pieces, counts
+        spelled = np.flatnonzero(spelled)
         letters = [chr(-1 - p).encode() for p in pieces[spelled].tolist()]
         counts[spelled] = [len(b) for b in letters]
-        ids = np.repeat(pieces, counts)
+        ids = np.repeat(pieces, counts) if len(b"".join(letters)) > len(letters) else pieces.copy()
         ids[ids < 0] = self.byte_ids[np.frombuffer(b"".join(letters), np.uint8)]
         return ids, counts
 
@@ -242,19 +276,14 @@ class Sampler:
     def sample_all(self, texts: list[str], k: int, seeds: list[int]) -> tuple[list[int], np.ndarray, np.ndarray, list[float], list[float]]:
         """The samples of some texts one after the other: the number of the text, all ids,
         where the ids of each sample end, log probabilities and chances to be included."""
-        if len(self.share) > _CACHE_ARCS:
+        if self.n_arcs > _CACHE_ARCS:
             self._clear()
-        searches, cut = [], [_PART.findall(" " + text) if text else [] for text in texts]
-        fresh = [p for p in dict.fromkeys(chain.from_iterable(cut)) if p not in self.known]
-        if fresh:
-            self._learn(fresh)
-        for parts, seed in zip(cut, seeds, strict=True):
-            bases = np.array([self.known[p] for p in parts], np.int64)
-            starts = np.cumsum([0, *map(len, parts)])
+        searches = []
+        for bases, starts, seed in zip(*self._cut(texts), seeds, strict=True):
             chance = random.Random(seed)
             root = -math.log(chance.expovariate(1.0))
             length = int(starts[-1])
-            searches.append(_Text(starts[:-1], starts[:-1].tolist(), bases, length, chance, seed & (2**64 - 1), [(-root, 0, 0.0, None, -1, -1)], []))
+            searches.append(_Text(starts[:-1], starts[:-1].tolist(), bases, length, chance, seed & (2**64 - 1), [(-root, 0, 0.0, None, 0, -1, -1)], []))
         for drawn in range(k):
             active = [t for t in searches if t.waiting]
             if active:
@@ -266,27 +295,52 @@ class Sampler:
                 owners.append(number)
                 logps.append(logp)
                 inclusions.append(1.0 if bound == -math.inf else -math.expm1(-math.exp(min(logp - bound, 700.0))))
-                chosen.append(path[path >= 0])
+                chosen.append(path)
         arcs = np.concatenate(chosen) if chosen else np.empty(0, np.int64)
         ids, counts = self._spelled(self.piece[arcs])
         ends = np.concatenate(([0], np.cumsum(counts)))[np.cumsum([len(c) for c in chosen], dtype=np.int64)]
         return owners, ids, ends, logps, inclusions
 
+    def _cut(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Where the parts of each text begin in the store, and in the text, with its end."""
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        coded, stops = split.flatten().dictionary_encode(), split.offsets.to_numpy()
+        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        odd, empty = {}, words.index("") if "" in words else -1
+        if empty >= 0:  # an empty text, or blanks side by side or at an end
+            for n in np.unique(np.searchsorted(stops, np.flatnonzero(codes == empty), "right") - 1).tolist():
+                odd[n] = [p[1:] for p in _PART.findall(" " + texts[n])] if texts[n] else []
+        found = list(map(self.known.get, words))
+        fresh = [w for w, base in zip(words, found, strict=True) if base is None and w]
+        more = [w for w in dict.fromkeys(chain(*odd.values())) if w not in self.known]
+        fresh = list(dict.fromkeys(fresh + more)) if more else fresh
+        if fresh:
+            self._learn(fresh)
+            found = [self.known.get(w, 0) if base is None else base for w, base in zip(words, found, strict=True)]
+        base_of = np.array([base or 0 for base in found], np.int64)
+        length_of = pc.utf8_length(coded.dictionary).to_numpy() + 1
+        bases, starts = [], []
+        for n, (lo, hi) in enumerate(zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True)):
+            own = codes[lo:hi]
+            lengths = length_of[own] if n not in odd else np.array([len(w) + 1 for w in odd[n]], np.int64)
+            bases.append(base_of[own] if n not in odd else np.array([self.known[w] for w in odd[n]], np.int64))
+            starts.append(np.concatenate(([0], np.cumsum(lengths))))
+        return bases, starts
+
     def _complete(self, active: list[_Text], spare: int, drawn: int) -> None:
         """Takes the best node of each text down to a complete path, and puts the `spare`
         best nodes it leaves aside in waiting."""
-        first, width, upto, ends = self.first, self.width, self.upto, self.ends
+        first, width, upto = self.first, self.width, self.upto
         taken, path = [], np.full(sum(t.length for t in active), -1, np.int32)
-        spots, places, keys, offset = [], [], [], 0
+        spots, places, keys, offset, offsets = [], [], [], 0, []
         for t in active:
-            value, _, logp, parent, at, arc = t.waiting.pop(0)
+            value, _, logp, parent, n, at, arc = t.waiting.pop(0)
             if arc >= 0:
-                path[offset : offset + at] = parent[:at]
-                path[offset + at] = arc
-                at += int(width[arc])
+                head = np.append(parent[:n], np.int32(arc))
+                at += abs(int(width[arc]))
             else:
-                at = 0
-            taken.append((-value, logp, at))
+                head, at = np.empty(0, np.int32), 0
+            taken.append((-value, logp, head))
             begin = int(np.searchsorted(t.starts, at, side="right")) - 1
             if at < t.length:
                 inside = at - int(t.starts[begin])
@@ -296,6 +350,7 @@ class Sampler:
                 spots.append(spot)
                 places.append(place)
                 keys.append(np.full(len(spot), (t.seed + drawn * 0xD1342543DE82EF95 - offset * _STEP) & (2**64 - 1), np.uint64))
+            offsets.append(offset)
             offset += t.length
         spots, places, keys = (np.concatenate(c) if c else np.empty(0, np.int64) for c in (spots, places, keys))
         keys = keys.astype(np.uint64) + places.astype(np.uint64) * np.uint64(_STEP)
@@ -308,26 +363,28 @@ class Sampler:
                 arcs[past] += 1
                 past = past[u[past] >= upto[arcs[past]]]
             path[places] = arcs
-            on = np.flatnonzero(ends[arcs] == 0)
-            wide = width[arcs[on]].astype(np.int64)
+            wide = width[arcs]
+            on = np.flatnonzero(wide > 0)
+            wide = wide[on].astype(np.int64)
             spots, places = spots[on] + wide, places[on] + wide
             keys = keys[on] + wide.astype(np.uint64) * np.uint64(_STEP)
-        offset = 0
-        for t, (value, logp, at) in zip(active, taken, strict=True):
-            own = path[offset : offset + t.length]
-            offset += t.length
-            steps = np.flatnonzero(own[at:] >= 0) + at
-            sums = np.cumsum(self.share[own[steps]])
-            t.paths.append((value, logp + (float(sums[-1]) if len(sums) else 0.0), own))
-            self._leave_aside(t, own, steps, sums, value, logp, spare)
-
-    def _leave_aside(self, t: _Text, own, steps, sums, value: float, logp: float, spare: int) -> None:
+        steps = np.flatnonzero(path >= 0)
+        rest = path[steps]
+        shares, cuts = self.share[rest], np.searchsorted(steps, [*offsets, offset]).tolist()
+        for i, (t, (value, logp, head)) in enumerate(zip(active, taken, strict=True)):
+            own = slice(cuts[i], cuts[i + 1])
+            sums = np.cumsum(shares[own])
+            arcs = np.concatenate((head, rest[own]))
+            t.paths.append((value, logp + (float(sums[-1]) if len(sums) else 0.0), arcs))
+            self._leave_aside(t, arcs, steps[own] - offsets[i], sums, value, logp, spare)
+
+    def _leave_aside(self, t: _Text, arcs, steps, sums, value: float, logp: float, spare: int) -> None:
         """Puts the best of the children aside of a path in waiting.
 
         A run of steps whose largest value aside is known is split at the step that has it,
         drawn by the weights aside; the runs before and after it draw theirs under it.
         """
-        waiting, chance = t.waiting, t.chance
+        waiting, chance, earlier = t.waiting, t.chance, len(arcs) - len(steps)
         del waiting[spare:]
         falls = np.concatenate(([0.0], -sums))  # the log of what the path has lost before each step
         runs = [(0, len(steps), value)]
@@ -343,7 +400,7 @@ class Sampler:
             line = before - math.log1p(chance.random() * math.expm1(lost))
             j = min(max(int(falls.searchsorted(line, "right")) - 1, lo), hi - 1)
             at, place = int(steps[j]), logp - float(falls[j])
-            mine = int(own[at])
+            mine = int(arcs[earlier + j])
             part = bisect_right(t.begins, at) - 1
             spot = int(t.bases[part]) + at - t.begins[part]
             first, last = self.first[spot : spot + 2].tolist()
@@ -352,7 +409,7 @@ class Sampler:
             for i, (arc, share) in enumerate(aside):
                 v = top if i == best else _under(place + share, top, chance)
                 if len(waiting) < spare or v > -waiting[-1][0]:
-                    insort(waiting, (-v, t.born, place + share, own, at, arc))
+                    insort(waiting, (-v, t.born, place + share, arcs, earlier + j, at, arc))
                     t.born += 1
                     del waiting[spare:]
             runs += [(j + 1, hi, top), (lo, j, top)]
