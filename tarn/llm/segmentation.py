@@ -149,9 +149,10 @@ class Sampler:
         from_root = vocabulary.edges <= _NO_LETTER
         self.below_root = np.zeros(_NO_LETTER + 1, np.int32)
         self.below_root[vocabulary.edges[from_root]] = vocabulary.targets[from_root]
-        self.first = np.zeros(1, np.int64)
-        self.width, self.piece = np.empty(0, np.int16), np.empty(0, np.int32)
-        self.share, self.upto = np.empty(0), np.empty(0)
+        size = _CACHE_ARCS + _CACHE_ARCS // 4
+        self.first = np.zeros(size // 2, np.int64)
+        self.width, self.piece = np.empty(size, np.int16), np.empty(size, np.int32)
+        self.share, self.upto = np.empty(size), np.empty(size)
         self._clear()
 
     def _clear(self) -> None:
@@ -184,20 +185,21 @@ class Sampler:
             left = left.astype(np.uint16)  # sorted by its digits
         order = np.argsort(left, kind="stable")
         turns = np.concatenate(([0], np.cumsum(np.bincount(left)[1:])))
-        after, share = np.zeros(stops[-1] + 1), np.empty(len(at))
+        after, share, in_turn = np.zeros(stops[-1] + 1), np.empty(len(at)), np.empty(len(at))
         ends = at + width == stop[at]
-        to = np.where(ends, stops[-1], at + width)  # all ends are one place, of weight 0
+        to = np.where(ends, stops[-1], at + width)[order]  # all ends are one place, of weight 0
+        begin_at, weight = at[order], weight[order]
         for lo, hi in zip(turns[:-1].tolist(), turns[1:].tolist(), strict=True):
-            arcs = order[lo:hi]
-            spots = at[arcs]
-            score = weight[arcs] + after[to[arcs]]
+            spots = begin_at[lo:hi]
+            score = weight[lo:hi] + after[to[lo:hi]]
             begins = np.flatnonzero(np.diff(spots, prepend=-1))
             counts = n_arcs[spots[begins]]
             top = np.maximum.reduceat(score, begins)
             total = top + np.log(np.add.reduceat(np.exp(score - np.repeat(top, counts)), begins))
             total = np.where(counts == 1, top, total)
             after[spots[begins]] = total
-            share[arcs] = score - np.repeat(total, counts)
+            in_turn[lo:hi] = score - np.repeat(total, counts)
+        share[order] = in_turn
 
         upto, place = np.exp(share), np.arange(len(at)) - first[at]
         for i in range(1, int(n_arcs.max())):
@@ -253,19 +255,19 @@ class Sampler:
         return found
 
     def _ids(self, arc: int) -> tuple[int, ...]:
-        return tuple(self._spelled(self.piece[arc : arc + 1])[0].tolist())
-
-    def _spelled(self, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Piece ids with characters spelled in bytes, and how many ids each one became."""
-        counts, spelled = np.ones(len(pieces), np.int64), pieces < 0
-        if not spelled.any():
-            return pieces, counts
-        spelled = np.flatnonzero(spelled)
-        letters = [chr(-1 - p).encode() for p in pieces[spelled].tolist()]
-        counts[spelled] = [len(b) for b in letters]
-        ids = np.repeat(pieces, counts) if len(b"".join(letters)) > len(letters) else pieces.copy()
+        return tuple(self._spelled(np.array([arc]))[0].tolist())
+
+    def _spelled(self, arcs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Piece ids of arcs with characters spelled in bytes, where these were, and how many
+        ids more than one each became."""
+        pieces = self.piece[arcs]
+        at = np.flatnonzero(pieces < 0)
+        letters = [chr(-1 - p).encode() for p in pieces[at].tolist()]
+        more = np.array([len(b) - 1 for b in letters], np.int64)
+        # the further bytes of a character are put in behind it
+        ids = np.insert(pieces, np.repeat(at + 1, more), -1) if more.any() else pieces
         ids[ids < 0] = self.byte_ids[np.frombuffer(b"".join(letters), np.uint8)]
-        return ids, counts
+        return ids, at, more
 
     def sample(self, text: str, k: int, seed: int) -> list[tuple[list[int], float, float]]:
         """Up to k distinct segmentations (ids, log probability, chance to be in a sample),
@@ -297,15 +299,16 @@ class Sampler:
                 inclusions.append(1.0 if bound == -math.inf else -math.expm1(-math.exp(min(logp - bound, 700.0))))
                 chosen.append(path)
         arcs = np.concatenate(chosen) if chosen else np.empty(0, np.int64)
-        ids, counts = self._spelled(self.piece[arcs])
-        ends = np.concatenate(([0], np.cumsum(counts)))[np.cumsum([len(c) for c in chosen], dtype=np.int64)]
+        ids, at, more = self._spelled(arcs)
+        ends = np.cumsum([len(c) for c in chosen], dtype=np.int64)
+        ends += np.concatenate(([0], np.cumsum(more)))[np.searchsorted(at, ends)]
         return owners, ids, ends, logps, inclusions
 
     def _cut(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Where the parts of each text begin in the store, and in the text, with its end."""
         split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         coded, stops = split.flatten().dictionary_encode(), split.offsets.to_numpy()
-        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        words, codes = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
         odd, empty = {}, words.index("") if "" in words else -1
         if empty >= 0:  # an empty text, or blanks side by side or at an end
             for n in np.unique(np.searchsorted(stops, np.flatnonzero(codes == empty), "right") - 1).tolist():
@@ -455,7 +458,7 @@ def sample_segmentations(
 
     def draw(batches):
         sampler = Sampler(get())
-        for batch in slabs(batches, 0, rows=500, size=1 << 18):
+        for batch in slabs(batches, 0, rows=2_000, size=1 << 20):
             texts = batch.column(0).to_pylist()
             owners, ids, ends, logps, inclusions = sampler.sample_all(texts, samples, batch.column(1).to_pylist())
             begins = np.concatenate(([0], ends))

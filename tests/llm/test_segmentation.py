@@ -39,3 +39,11 @@ def test_draws_do_not_depend_on_what_is_kept(monkeypatch):
     monkeypatch.setattr(segmentation, "_CACHE_ARCS", 100)
     assert [cleared.sample(t, 3, i) for i, t in enumerate(texts)] == first
     assert len(cleared.known) < len(kept.known) and cleared.n_arcs < kept.n_arcs <= len(kept.share)
+
+
+def test_spelling_leaves_the_store_as_it_is():
+    own = sampler()
+    text = "\x00\x01 é😀\x02 \x00"
+    before = [own.lattices(text), own.piece[: own.n_arcs].tolist(), own.sample(text, 2, 5)]
+    assert [own.lattices(text), own.piece[: own.n_arcs].tolist(), own.sample(text, 2, 5)] == before
+    assert segmentation.decode(before[2][0][0], own.vocabulary) == text
