@@ -25,8 +25,9 @@ import random
 import re
 import zlib
 from bisect import bisect_right, insort
+from collections.abc import Callable
 from dataclasses import dataclass
-from itertools import chain
+from itertools import accumulate, chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,9 @@ from tarn.llm.common import mix64, shared, slabs
 BLANK = "▁"
 SAMPLES = 4
 #: Arcs, some 25 bytes each, that a sampler keeps between batches.
-_CACHE_ARCS = 3_000_000
+_CACHE_ARCS = 6_000_000
+#: Steps of a path at which children aside are looked for before all of them are weighed.
+_NEAR = 32
 _PART = re.compile(" +[^ ]*")
 _NO_LETTER = 0x110000
 #: Between the draws at neighbouring places of a text: the step of splitmix64.
@@ -77,25 +80,26 @@ class Vocabulary:
         self.meeting = np.zeros(len(self.edge_at), bool)
         self.others = np.flatnonzero(self.edge_at[slots] != number)
         self.meeting[slots[self.others]] = True
-        self.piece_at, self.weight_at = np.full(len(nodes), -1, np.int64), np.zeros(len(nodes))
+        self.piece_at, self.weight_of = np.full(len(nodes), -1, np.int32), np.zeros(len(self.texts))
         for piece, (number, weight) in self.pieces.items():
-            self.piece_at[nodes[piece]], self.weight_at[nodes[piece]] = number, weight
+            self.piece_at[nodes[piece]], self.weight_of[number] = number, weight
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return (keys.view(np.uint64) * np.uint64(_STEP)) >> self.shift
+        return ((keys.view(np.uint64) * np.uint64(_STEP)) >> self.shift).view(np.int64)
 
     def edges_of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of some edges the trie has, and their numbers."""
         slots = self._slots(keys)
-        edges = self.edge_at[slots]
-        on = self.edges[edges] == keys
+        edges = self.edge_at.take(slots)
+        on = self.edges.take(edges) == keys
         if len(self.others):
-            rest = np.flatnonzero(self.meeting[slots] & ~on)
-            others = self.edges[self.others]
-            at = np.minimum(np.searchsorted(others, keys[rest]), len(others) - 1)
-            found = others[at] == keys[rest]
-            edges[rest[found]], on[rest[found]] = self.others[at[found]], True
-        return on, edges[on]
+            rest = np.flatnonzero(self.meeting.take(slots) & ~on)
+            others, asked = self.edges[self.others], keys.take(rest)
+            at = np.minimum(np.searchsorted(others, asked), len(others) - 1)
+            found = np.flatnonzero(others.take(at) == asked)
+            rest = rest.take(found)
+            edges[rest], on[rest] = self.others.take(at.take(found)), True
+        return on, edges.take(np.flatnonzero(on))
 
     @classmethod
     def load(cls, model_path: str, sharpness: float = 1.0) -> Vocabulary:
@@ -168,80 +172,107 @@ class Sampler:
             setattr(self, name, kept)
         kept[at:end] = values
 
-    def _learn(self, words: list[str]) -> None:
-        """Adds the lattices of new parts, a blank and a word, to the store, all of them at once."""
-        lengths = np.array([len(w) + 1 for w in words], np.int64)
+    def _learn(self, words: list[str]) -> np.ndarray:
+        """Adds the lattices of new parts, a blank and a word, to the store, all of them at once,
+        and returns where they begin."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
         stops = np.cumsum(lengths)
-        bases = self.n_spots + stops - lengths
+        size, bases = int(stops[-1]), self.n_spots + stops - lengths
         self.known.update(zip(words, bases.tolist(), strict=True))
-        stop = np.repeat(stops, lengths)
-        at, width, weight, piece = self._arcs(" " + " ".join(words), stop)
+        n_arcs, width, piece, weight = self._arcs(" " + " ".join(words), stops)
+        first = np.concatenate(([0], np.cumsum(n_arcs)))
+        to = np.repeat(np.arange(size), n_arcs) + width
+        stop = np.zeros(size + 1, bool)
+        stop[stops] = True
+        ends = np.flatnonzero(stop.take(to))
+        to[ends] = size  # all ends are one place, of weight 0
+        width[ends] *= -1
 
         # log weights of all paths from a position, from the ends of the parts to their starts
-        n_arcs = np.bincount(at, minlength=stops[-1])
-        first = np.concatenate(([0], np.cumsum(n_arcs)))
-        left = (stop - np.arange(stops[-1]))[at]
+        left = np.repeat(stops, lengths) - np.arange(size)
+        turns = np.cumsum(np.bincount(left))
         if lengths.max() < 1 << 16:
             left = left.astype(np.uint16)  # sorted by its digits
-        order = np.argsort(left, kind="stable")
-        turns = np.concatenate(([0], np.cumsum(np.bincount(left)[1:])))
-        after, share, in_turn = np.zeros(stops[-1] + 1), np.empty(len(at)), np.empty(len(at))
-        ends = at + width == stop[at]
-        to = np.where(ends, stops[-1], at + width)[order]  # all ends are one place, of weight 0
-        begin_at, weight = at[order], weight[order]
-        for lo, hi in zip(turns[:-1].tolist(), turns[1:].tolist(), strict=True):
-            spots = begin_at[lo:hi]
-            score = weight[lo:hi] + after[to[lo:hi]]
-            begins = np.flatnonzero(np.diff(spots, prepend=-1))
-            counts = n_arcs[spots[begins]]
-            top = np.maximum.reduceat(score, begins)
-            total = top + np.log(np.add.reduceat(np.exp(score - np.repeat(top, counts)), begins))
-            total = np.where(counts == 1, top, total)
-            after[spots[begins]] = total
-            in_turn[lo:hi] = score - np.repeat(total, counts)
-        share[order] = in_turn
-
-        upto, place = np.exp(share), np.arange(len(at)) - first[at]
-        for i in range(1, int(n_arcs.max())):
-            arcs = np.flatnonzero(place == i)
-            upto[arcs] += upto[arcs - 1]
+        spots = np.argsort(left, kind="stable")
+        counts = n_arcs.take(spots)
+        begins = np.concatenate(([0], np.cumsum(counts)))
+        group = np.repeat(np.arange(size), counts)
+        order = (first.take(spots) - begins[:-1]).take(group) + np.arange(len(to))
+        to, weight = to.take(order), weight.take(order)
+        after, share, part = np.zeros(size + 1), np.empty(len(to)), np.empty(len(to))
+        bounds = begins[turns].tolist()
+        for i, (lo, hi) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+            own = slice(int(turns[i]), int(turns[i + 1]))
+            firsts, mine = begins[own] - lo, group[lo:hi] - turns[i]
+            score = weight[lo:hi] + after.take(to[lo:hi])
+            top = np.maximum.reduceat(score, firsts)
+            chance = np.exp(score - top.take(mine))
+            sums = np.add.reduceat(chance, firsts)
+            total = top + np.log(sums)
+            after[spots[own]] = total
+            share[lo:hi] = score - total.take(mine)
+            part[lo:hi] = chance / sums.take(mine)
+        in_place = np.empty(len(to)), np.empty(len(to))
+        in_place[0][order], in_place[1][order] = share, part
+        share, upto = in_place
+
+        many, i = np.flatnonzero(n_arcs > 1), 1
+        while len(many):
+            arcs = first.take(many) + i
+            upto[arcs] = upto.take(arcs) + upto.take(arcs - 1)
+            i += 1
+            many = many.take(np.flatnonzero(n_arcs.take(many) > i))
         upto[first[1:] - 1] = 1.0
         self._keep("first", self.n_spots + 1, first[1:] + self.n_arcs)
-        for name, values in (("width", np.where(ends, -width, width)), ("piece", piece), ("share", share), ("upto", upto)):
+        for name, values in (("width", width), ("piece", piece), ("share", share), ("upto", upto)):
             self._keep(name, self.n_arcs, values)
-        self.n_spots, self.n_arcs = self.n_spots + int(stops[-1]), self.n_arcs + len(at)
+        self.n_spots, self.n_arcs = self.n_spots + size, self.n_arcs + len(to)
+        return bases
 
     def _arcs(self, text: str, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Where an arc begins, its width, log weight and piece, by position, the widest first.
-        All positions go down the trie of pieces together. A character that is no piece of
-        its own is spelled in bytes, and so is a U+2581 of the text itself."""
+        """How many arcs each position has, and their widths, pieces and log weights, by position,
+        the widest first. All positions go down the trie of pieces together. A character that is
+        no piece of its own is spelled in bytes, and so is a U+2581 of the text itself."""
         v = self.vocabulary
         letters = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
         shown = np.where(letters == ord(BLANK), _NO_LETTER, np.where(letters == ord(" "), ord(BLANK), letters))
-        spots, nodes, found = np.arange(len(letters)), np.zeros(len(letters), np.int64), []
+        shown = np.append(shown, _NO_LETTER)
+        # a piece that goes on across a blank has only blanks: it may leave a part that has no letter
+        bounded = (shown[stops - 1] == ord(BLANK)).any()
+        stop = np.repeat(stops, np.diff(stops, prepend=0)) if bounded else None
+        nodes = self.below_root.take(shown[:-1]).astype(np.int64)
+        spots = np.flatnonzero(nodes)
+        nodes, found = nodes.take(spots), []
         for width in range(1, v.longest + 1):
-            if width == 1:
-                nodes = self.below_root[shown].astype(np.int64)
-                on = nodes > 0
-                spots, nodes = spots[on], nodes[on]
-            else:
-                on, edges = v.edges_of((nodes << 21) | shown[spots + width - 1])
-                spots, nodes = spots[on], v.targets[edges]
-            here = v.piece_at[nodes] >= 0
-            ids = v.piece_at[nodes[here]]
-            found.append((spots[here], np.full(len(ids), width), v.weight_at[nodes[here]], ids))
-            further = spots + width < stops[spots]
-            spots, nodes = spots[further], nodes[further]
+            ids = v.piece_at.take(nodes)
+            here = np.flatnonzero(ids >= 0)
+            found.append((spots.take(here), ids.take(here)))
+            if bounded:
+                further = np.flatnonzero(spots + width < stop.take(spots))
+                spots, nodes = spots.take(further), nodes.take(further)
+            on, edges = v.edges_of((nodes << 21) | shown.take(spots + width))
+            spots, nodes = spots.take(np.flatnonzero(on)), v.targets.take(edges)
             if not len(spots):
                 break
+        n_arcs = np.zeros(len(letters), np.int64)
+        for at, _ in found:
+            n_arcs[at] = n_arcs.take(at) + 1
         bare = np.ones(len(letters), bool)
         bare[found[0][0]] = False
         bare = np.flatnonzero(bare)
+        n_arcs[bare] += 1
+        place = np.cumsum(n_arcs)
+        widths, pieces = np.ones(place[-1], np.int16), np.empty(place[-1], np.int32)
+        bare_at = place[bare] - 1
+        pieces[bare_at] = -1 - letters[bare]
+        place[bare] = bare_at
+        for width, (at, ids) in enumerate(found, 1):
+            own = place.take(at) - 1
+            widths[own], pieces[own], place[at] = width, ids, own
+        weights = v.weight_of.take(np.maximum(pieces, 0))
         n_bytes = 1 + sum((letters[bare] >= bound).astype(np.int64) for bound in (0x80, 0x800, 0x10000))
-        found.insert(0, (bare, np.ones(len(bare), np.int64), v.byte_cost * n_bytes, -1 - letters[bare]))
-        at, width, weight, piece = (np.concatenate(c) for c in zip(*reversed(found), strict=True))
-        order = np.argsort(at, kind="stable")
-        return at[order], width[order], weight[order], piece[order]
+        weights[bare_at] = v.byte_cost * n_bytes
+        return n_arcs, widths, pieces, weights
 
     def lattices(self, text: str) -> list[list[list[tuple[int, tuple[int, ...], float]]]]:
         """For every part and position the arcs (end, ids, log share), to look at."""
@@ -260,7 +291,7 @@ class Sampler:
     def _spelled(self, arcs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Piece ids of arcs with characters spelled in bytes, where these were, and how many
         ids more than one each became."""
-        pieces = self.piece[arcs]
+        pieces = self.piece.take(arcs)
         at = np.flatnonzero(pieces < 0)
         letters = [chr(-1 - p).encode() for p in pieces[at].tolist()]
         more = np.array([len(b) - 1 for b in letters], np.int64)
@@ -313,20 +344,19 @@ class Sampler:
         if empty >= 0:  # an empty text, or blanks side by side or at an end
             for n in np.unique(np.searchsorted(stops, np.flatnonzero(codes == empty), "right") - 1).tolist():
                 odd[n] = [p[1:] for p in _PART.findall(" " + texts[n])] if texts[n] else []
-        found = list(map(self.known.get, words))
-        fresh = [w for w, base in zip(words, found, strict=True) if base is None and w]
+        base_of = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        fresh = np.flatnonzero(base_of < 0)
+        fresh = fresh[fresh != empty]
         more = [w for w in dict.fromkeys(chain(*odd.values())) if w not in self.known]
-        fresh = list(dict.fromkeys(fresh + more)) if more else fresh
-        if fresh:
-            self._learn(fresh)
-            found = [self.known.get(w, 0) if base is None else base for w, base in zip(words, found, strict=True)]
-        base_of = np.array([base or 0 for base in found], np.int64)
+        more = sorted(set(more).difference(words[i] for i in fresh.tolist())) if more else more
+        if len(fresh) or more:
+            base_of[fresh] = self._learn([words[i] for i in fresh.tolist()] + more)[: len(fresh)]
         length_of = pc.utf8_length(coded.dictionary).to_numpy() + 1
         bases, starts = [], []
         for n, (lo, hi) in enumerate(zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True)):
             own = codes[lo:hi]
-            lengths = length_of[own] if n not in odd else np.array([len(w) + 1 for w in odd[n]], np.int64)
-            bases.append(base_of[own] if n not in odd else np.array([self.known[w] for w in odd[n]], np.int64))
+            lengths = length_of.take(own) if n not in odd else np.array([len(w) + 1 for w in odd[n]], np.int64)
+            bases.append(base_of.take(own) if n not in odd else np.array([self.known[w] for w in odd[n]], np.int64))
             starts.append(np.concatenate(([0], np.cumsum(lengths))))
         return bases, starts
 
@@ -334,93 +364,109 @@ class Sampler:
         """Takes the best node of each text down to a complete path, and puts the `spare`
         best nodes it leaves aside in waiting."""
         first, width, upto = self.first, self.width, self.upto
-        taken, path = [], np.full(sum(t.length for t in active), -1, np.int32)
-        spots, places, keys, offset, offsets = [], [], [], 0, []
+        path = np.full(sum(t.length for t in active), -1, np.int32)
+        taken, spots, places, sizes, inside, keys, offset, offsets = [], [], [], [], [], [], 0, []
         for t in active:
             value, _, logp, parent, n, at, arc = t.waiting.pop(0)
-            if arc >= 0:
-                head = np.append(parent[:n], np.int32(arc))
-                at += abs(int(width[arc]))
-            else:
-                head, at = np.empty(0, np.int32), 0
-            taken.append((-value, logp, head))
-            begin = int(np.searchsorted(t.starts, at, side="right")) - 1
+            at = at + abs(int(width[arc])) if arc >= 0 else 0
+            taken.append((-value, logp, parent, n, arc))
+            begin = bisect_right(t.begins, at) - 1
             if at < t.length:
-                inside = at - int(t.starts[begin])
-                spot, place = t.bases[begin:].copy(), t.starts[begin:] + offset
-                spot[0] += inside
-                place[0] += inside
-                spots.append(spot)
-                places.append(place)
-                keys.append(np.full(len(spot), (t.seed + drawn * 0xD1342543DE82EF95 - offset * _STEP) & (2**64 - 1), np.uint64))
+                spots.append(t.bases[begin:])
+                places.append(t.starts[begin:])
+                sizes.append(len(t.begins) - begin)
+                inside.append(at - t.begins[begin])
+                keys.append((t.seed + drawn * 0xD1342543DE82EF95) & (2**64 - 1))
+            else:
+                sizes.append(0)
             offsets.append(offset)
             offset += t.length
-        spots, places, keys = (np.concatenate(c) if c else np.empty(0, np.int64) for c in (spots, places, keys))
-        keys = keys.astype(np.uint64) + places.astype(np.uint64) * np.uint64(_STEP)
+        spots, places = (np.concatenate(c) if c else np.empty(0, np.int64) for c in (spots, places))
+        counts, inside = np.array(sizes, np.int64), np.array(inside, np.int64)
+        starts = (np.cumsum(counts) - counts)[counts > 0]
+        spots[starts] += inside
+        places[starts] += inside
+        # a draw depends on the text's seed, the round and the place in the text alone
+        keys = np.repeat(np.array(keys, np.uint64), counts[counts > 0]) + places.view(np.uint64) * np.uint64(_STEP)
+        places += np.repeat(offsets, counts)
         while len(spots):
-            # a draw depends on the text's seed, the round and the place in the text alone
             u = (mix64(keys) >> np.uint64(11)) * 2.0**-53
-            arcs = first[spots]
-            past = np.flatnonzero(u >= upto[arcs])
+            arcs = first.take(spots)
+            past = np.flatnonzero(u >= upto.take(arcs))
             while len(past):
-                arcs[past] += 1
-                past = past[u[past] >= upto[arcs[past]]]
+                ahead = arcs.take(past) + 1
+                arcs[past] = ahead
+                past = past.take(np.flatnonzero(u.take(past) >= upto.take(ahead)))
             path[places] = arcs
-            wide = width[arcs]
+            wide = width.take(arcs)
             on = np.flatnonzero(wide > 0)
-            wide = wide[on].astype(np.int64)
-            spots, places = spots[on] + wide, places[on] + wide
-            keys = keys[on] + wide.astype(np.uint64) * np.uint64(_STEP)
+            wide = wide.take(on).astype(np.int64)
+            spots, places = spots.take(on) + wide, places.take(on) + wide
+            keys = keys.take(on) + wide.view(np.uint64) * np.uint64(_STEP)
         steps = np.flatnonzero(path >= 0)
-        rest = path[steps]
-        shares, cuts = self.share[rest], np.searchsorted(steps, [*offsets, offset]).tolist()
-        for i, (t, (value, logp, head)) in enumerate(zip(active, taken, strict=True)):
+        rest = path.take(steps)
+        shares, cuts = self.share.take(rest), np.searchsorted(steps, [*offsets, offset]).tolist()
+        for i, (t, (value, logp, parent, n, arc)) in enumerate(zip(active, taken, strict=True)):
             own = slice(cuts[i], cuts[i + 1])
-            sums = np.cumsum(shares[own])
-            arcs = np.concatenate((head, rest[own]))
-            t.paths.append((value, logp + (float(sums[-1]) if len(sums) else 0.0), arcs))
-            self._leave_aside(t, arcs, steps[own] - offsets[i], sums, value, logp, spare)
-
-    def _leave_aside(self, t: _Text, arcs, steps, sums, value: float, logp: float, spare: int) -> None:
+            head = n + (arc >= 0)
+            arcs = np.empty(head + own.stop - own.start, np.int32)
+            if head:
+                arcs[:n], arcs[n] = parent[:n], arc
+            arcs[head:] = rest[own]
+            lost = float(shares[own].sum())
+            t.paths.append((value, logp + lost, arcs))
+            self._leave_aside(t, arcs, steps[own], offsets[i], shares[own], lost, value, logp, spare)
+
+    def _leave_aside(self, t: _Text, arcs, steps, offset: int, shares, whole: float, value: float, logp: float, spare: int) -> None:
         """Puts the best of the children aside of a path in waiting.
 
         A run of steps whose largest value aside is known is split at the step that has it,
         drawn by the weights aside; the runs before and after it draw theirs under it.
         """
-        waiting, chance, earlier = t.waiting, t.chance, len(arcs) - len(steps)
+        waiting, chance, n = t.waiting, t.chance.random, len(steps)
         del waiting[spare:]
-        falls = np.concatenate(([0.0], -sums))  # the log of what the path has lost before each step
-        runs = [(0, len(steps), value)]
+        # the log of what the path has lost before each step: the first steps are mostly enough
+        falls = list(accumulate((-shares[:_NEAR]).tolist(), initial=0.0))
+        runs = [(0, n, value)]
         while runs:
             lo, hi, bound = runs.pop()
-            before = float(falls[lo])
-            lost = before - float(falls[hi])
+            if lo >= hi:
+                continue
+            if len(falls) <= max(lo, hi if hi < n else 0):
+                falls = list(accumulate((-shares).tolist(), initial=0.0))
+            before = falls[lo]
+            lost = before - (falls[hi] if hi < len(falls) else -whole)
             if lost >= 0.0:
                 continue
             top = _under(logp - before + math.log(-math.expm1(lost)), bound, chance)
             if len(waiting) == spare and top <= -waiting[-1][0]:
                 continue
-            line = before - math.log1p(chance.random() * math.expm1(lost))
-            j = min(max(int(falls.searchsorted(line, "right")) - 1, lo), hi - 1)
-            at, place = int(steps[j]), logp - float(falls[j])
-            mine = int(arcs[earlier + j])
+            line = before - math.log1p(chance() * math.expm1(lost))
+            if line >= falls[-1] and len(falls) <= n:
+                falls = list(accumulate((-shares).tolist(), initial=0.0))
+            j = min(max(bisect_right(falls, line) - 1, lo), hi - 1)
+            at, place = int(steps[j]) - offset, logp - falls[j]
+            mine = int(arcs[len(arcs) - n + j])
             part = bisect_right(t.begins, at) - 1
             spot = int(t.bases[part]) + at - t.begins[part]
             first, last = self.first[spot : spot + 2].tolist()
             aside = [(a, s) for a, s in enumerate(self.share[first:last].tolist(), first) if a != mine]
-            best = chance.choices(range(len(aside)), [math.exp(s) for _, s in aside])[0] if len(aside) > 1 else 0
+            best = 0
+            if len(aside) > 1:
+                upto = list(accumulate(math.exp(s) for _, s in aside))
+                best = bisect_right(upto, chance() * upto[-1], 0, len(upto) - 1)
             for i, (arc, share) in enumerate(aside):
                 v = top if i == best else _under(place + share, top, chance)
                 if len(waiting) < spare or v > -waiting[-1][0]:
-                    insort(waiting, (-v, t.born, place + share, arcs, earlier + j, at, arc))
+                    insort(waiting, (-v, t.born, place + share, arcs, len(arcs) - n + j, at, arc))
                     t.born += 1
                     del waiting[spare:]
             runs += [(j + 1, hi, top), (lo, j, top)]
 
 
-def _under(place: float, bound: float, chance: random.Random) -> float:
+def _under(place: float, bound: float, chance: Callable[[], float]) -> float:
     """A Gumbel value at `place`, given that it is below `bound`."""
-    return min(bound, place - math.log(math.exp(min(place - bound, 700.0)) + chance.expovariate(1.0)))
+    return min(bound, place - math.log(math.exp(min(place - bound, 700.0)) - math.log(1.0 - chance())))
 
 
 def decode(ids: list[int], vocabulary: Vocabulary) -> str:
@@ -459,7 +505,7 @@ def sample_segmentations(
     def draw(batches):
         sampler = Sampler(get())
         for batch in slabs(batches, 0, rows=2_000, size=1 << 20):
-            texts = batch.column(0).to_pylist()
+            texts, written = batch.column(0).to_pylist(), batch.column(0).cast(pa.binary()).to_pylist()
             owners, ids, ends, logps, inclusions = sampler.sample_all(texts, samples, batch.column(1).to_pylist())
             begins = np.concatenate(([0], ends))
             spelled = sampler.shown.take(pa.array(ids))
@@ -468,8 +514,7 @@ def sample_segmentations(
             crcs, decodes, little = [], [], ids.astype("<u4")
             for n, owner in enumerate(owners):
                 crcs.append(zlib.crc32(little[begins[n] : begins[n + 1]]))
-                shown = str(bytes_of[at[n] : at[n + 1]], "utf-8", "replace")
-                decodes.append(shown.removeprefix(" ") == texts[owner])
+                decodes.append(bytes(bytes_of[at[n] : at[n + 1]]).removeprefix(b" ") == written[owner])
             firsts = np.searchsorted(owners, owners)
             found = [
                 pa.array(np.arange(len(owners)) - firsts, pa.int32()),

@@ -47,3 +47,26 @@ def test_spelling_leaves_the_store_as_it_is():
     before = [own.lattices(text), own.piece[: own.n_arcs].tolist(), own.sample(text, 2, 5)]
     assert [own.lattices(text), own.piece[: own.n_arcs].tolist(), own.sample(text, 2, 5)] == before
     assert segmentation.decode(before[2][0][0], own.vocabulary) == text
+
+
+def test_parts_learnt_together_are_as_if_learnt_alone():
+    """Also those of only blanks, which a piece of blanks could leave."""
+    texts = [" ", "a  ", "   ", "▁ ", "the end", " \x00 😀 "]
+    together = sampler()
+    assert any(len(p) > 1 and not p.strip(segmentation.BLANK) for p in together.vocabulary.pieces)
+    _, starts = together._cut(texts)
+    for text, start in zip(texts, starts, strict=True):
+        n_arcs, alone = together.n_arcs, sampler()
+        assert together.lattices(text) == alone.lattices(text) and len(alone.lattices(text)) == len(start) - 1
+        assert together.n_arcs == n_arcs  # nothing had to be learnt again
+    bases = together._learn(["new", "", "newer"])
+    assert bases.tolist() == [together.known[w] for w in ("new", "", "newer")]
+
+
+def test_draws_do_not_depend_on_how_many_steps_are_weighed_first(monkeypatch):
+    texts = ["a", "", "some words and others, " * 30, "日本 é  😀 " * 20]
+    found = []
+    for near in (1, 3, segmentation._NEAR, 10**6):
+        monkeypatch.setattr(segmentation, "_NEAR", near)
+        found.append([sampler().sample(t, 4, i) for i, t in enumerate(texts)])
+    assert all(f == found[0] for f in found)
