@@ -40,7 +40,7 @@ from tarn.llm.common import mix64, shared, slabs
 BLANK = "▁"
 SAMPLES = 4
 #: Arcs, some 25 bytes each, that a sampler keeps between batches.
-_CACHE_ARCS = 6_000_000
+_CACHE_ARCS = 3_000_000
 #: Steps of a path at which children aside are looked for before all of them are weighed.
 _NEAR = 32
 _PART = re.compile(" +[^ ]*")
@@ -154,7 +154,7 @@ class Sampler:
         self.below_root = np.zeros(_NO_LETTER + 1, np.int32)
         self.below_root[vocabulary.edges[from_root]] = vocabulary.targets[from_root]
         size = _CACHE_ARCS + _CACHE_ARCS // 4
-        self.first = np.zeros(size // 2, np.int64)
+        self.first = np.zeros(size // 2, np.int32)
         self.width, self.piece = np.empty(size, np.int16), np.empty(size, np.int32)
         self.share, self.upto = np.empty(size), np.empty(size)
         self._clear()
@@ -297,7 +297,7 @@ class Sampler:
         more = np.array([len(b) - 1 for b in letters], np.int64)
         # the further bytes of a character are put in behind it
         ids = np.insert(pieces, np.repeat(at + 1, more), -1) if more.any() else pieces
-        ids[ids < 0] = self.byte_ids[np.frombuffer(b"".join(letters), np.uint8)]
+        ids[np.flatnonzero(ids < 0)] = self.byte_ids[np.frombuffer(b"".join(letters), np.uint8)]
         return ids, at, more
 
     def sample(self, text: str, k: int, seed: int) -> list[tuple[list[int], float, float]]:
@@ -426,14 +426,15 @@ class Sampler:
         waiting, chance, n = t.waiting, t.chance.random, len(steps)
         del waiting[spare:]
         # the log of what the path has lost before each step: the first steps are mostly enough
-        falls = list(accumulate((-shares[:_NEAR]).tolist(), initial=0.0))
+        near, falls = _NEAR, list(accumulate((-shares[:_NEAR]).tolist(), initial=0.0))
         runs = [(0, n, value)]
         while runs:
             lo, hi, bound = runs.pop()
             if lo >= hi:
                 continue
-            if len(falls) <= max(lo, hi if hi < n else 0):
-                falls = list(accumulate((-shares).tolist(), initial=0.0))
+            while len(falls) <= max(lo, hi if hi < n else 0):
+                near *= 4
+                falls = list(accumulate((-shares[:near]).tolist(), initial=0.0))
             before = falls[lo]
             lost = before - (falls[hi] if hi < len(falls) else -whole)
             if lost >= 0.0:
@@ -442,8 +443,9 @@ class Sampler:
             if len(waiting) == spare and top <= -waiting[-1][0]:
                 continue
             line = before - math.log1p(chance() * math.expm1(lost))
-            if line >= falls[-1] and len(falls) <= n:
-                falls = list(accumulate((-shares).tolist(), initial=0.0))
+            while line >= falls[-1] and len(falls) <= n:
+                near *= 4
+                falls = list(accumulate((-shares[:near]).tolist(), initial=0.0))
             j = min(max(bisect_right(falls, line) - 1, lo), hi - 1)
             at, place = int(steps[j]) - offset, logp - falls[j]
             mine = int(arcs[len(arcs) - n + j])
